@@ -17,9 +17,10 @@ class ChunkTable(dict):
         self.segment, self.limit = segment, limit
 
     def fill(self, chunks: Iterable[str]) -> None:
-        new = list(set(chunks).difference(self))
+        own = set(chunks)
+        new = list(own.difference(self))
         if new:
             if len(self) + len(new) > self.limit:
                 self.clear()
-                new = list(set(chunks))
+                new = list(own)
             self.update(zip(new, self.segment(new), strict=True))

@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parents[1]
-#: Rows of one Arrow batch that holds whole texts; a batch then stays in the tens of megabytes.
-TEXT_ROWS = 256
+#: Most bytes and rows of one Arrow batch, since whole texts travel in them.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 4096
 #: Bits of a bounded filter: 2 MB, whatever the input holds.
 FILTER_BITS = 1 << 24
 PAGE_BITS = 1 << 15
@@ -42,9 +42,8 @@ def ship(spark: SparkSession) -> None:
 def text_batches(spark: SparkSession) -> None:
     """Bounds the Arrow batches of the session, since whole texts travel in them."""
     ship(spark)
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > TEXT_ROWS:
-        spark.conf.set(key, str(TEXT_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -95,3 +94,8 @@ def probed(rows: DataFrame, key: Column, pages: DataFrame, bits: int = FILTER_BI
 
 def maybe_in(rows: DataFrame, key: Column, pages: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     return probed(rows, key, pages, bits).filter("_hit").drop("_hit")
+
+
+def crc_mod(doc_id: Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
