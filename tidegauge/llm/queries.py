@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegauge.llm import common, exact_dedup, fingerprints, packing, sentencepieces
+from tidegauge.llm import common, exact_dedup, fingerprints, lmscore, packing, sentencepieces, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -23,16 +24,24 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score(common.documents(spark, sf_dir), common.crc_mod(F.col("doc_id"), 7) != 2)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(common.documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), digest=True)
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.deduplicate(common.documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op5_best_fit_packing, op8_sentencepiece, op10_exact_dedup)
+    f.__name__: f for f in (op1_fingerprints, op5_best_fit_packing, op6_lm_scoring, op8_sentencepiece, op9_simhash, op10_exact_dedup)
 }
 
 SQL: dict[str, str] = {
