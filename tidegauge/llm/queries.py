@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import common, exact_dedup, fingerprints, lmscore, packing, sentencepieces, simhash
+from tidegauge.llm import common, exact_dedup, fingerprints, langid, lmscore, packing, sentencepieces, simhash
 
 
 def tokenizer_path(name: str) -> str:
@@ -28,6 +28,10 @@ def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.score(common.documents(spark, sf_dir), common.crc_mod(F.col("doc_id"), 7) != 2)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(common.documents(spark, sf_dir), common.crc_mod(F.col("doc_id"), 4) != 2)
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode(common.documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), digest=True)
 
@@ -41,7 +45,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op5_best_fit_packing, op6_lm_scoring, op8_sentencepiece, op9_simhash, op10_exact_dedup)
+    f.__name__: f for f in (op1_fingerprints, op5_best_fit_packing, op6_lm_scoring, op7_language_id, op8_sentencepiece, op9_simhash, op10_exact_dedup)
 }
 
 SQL: dict[str, str] = {
