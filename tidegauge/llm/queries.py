@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import common, exact_dedup, fingerprints, langid, lmscore, packing, sentencepieces, simhash
+from tidegauge.llm import common, exact_dedup, fingerprints, langid, lmscore, packing, pii, quality, sentencepieces, simhash, tokencounts
 
 
 def tokenizer_path(name: str) -> str:
@@ -20,6 +20,25 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(common.documents(spark, sf_dir))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(common.documents(spark, sf_dir))
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokencounts.count(common.documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def path_of() -> Column:
+    """The path level below a source: its part in one language."""
+    return F.concat_ws("/", F.col("source"), F.col("lang"))
+
+
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"), F.col("source"), path_of())
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
@@ -45,7 +64,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op5_best_fit_packing, op6_lm_scoring, op7_language_id, op8_sentencepiece, op9_simhash, op10_exact_dedup)
+    f.__name__: f
+    for f in (
+        op1_fingerprints,
+        op2_pii,
+        op3_token_counts,
+        op4_quality,
+        op5_best_fit_packing,
+        op6_lm_scoring,
+        op7_language_id,
+        op8_sentencepiece,
+        op9_simhash,
+        op10_exact_dedup,
+    )
 }
 
 SQL: dict[str, str] = {
