@@ -1,4 +1,6 @@
 import os
+
+os.environ.setdefault("OMP_NUM_THREADS", "1")  # before numpy is loaded: its matrices are small here
 import sys
 
 import pytest
