@@ -18,6 +18,7 @@ broken by document id and piece. An empty table gives an empty result. Other col
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -34,6 +35,11 @@ END_ID = 1
 #: Ranks are counted in this many shares of each length, so that a length that many pieces have isn't one task.
 SHARES = 64
 
+#: Chunks that a worker's table holds (some 200 MB), and those that are tokenised together.
+WORDS_HELD, TOGETHER = 800_000, 1000
+#: Letters below the combining marks, then perhaps punctuation: one or two of the vocabulary's words.
+PLAIN = re.compile("[A-Za-z\u00e0-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+([.,;:!?|]+)?")
+
 _tokenizers: dict[str, ChunkTable] = {}
 
 
@@ -46,12 +52,33 @@ def token_table(path: str) -> ChunkTable:
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(path)
-
-        def segment(chunks: list[str]) -> Iterator[bytes]:
-            for e in t.encode_batch_fast(chunks, add_special_tokens=False):
-                yield np.array(e.ids, "<u4").tobytes()
-
-        _tokenizers[path] = ChunkTable(segment)
+        last = np.zeros(t.get_vocab_size(), bool)
+        for token, k in t.get_vocab().items():
+            last[k] = token.endswith("</w>")
+
+        def segment(chunks: list[str]) -> list[bytes]:
+            # letters and what stands behind them: one or two words each, which go to the tokenizer many at a time
+            out: list[bytes] = [b""] * len(chunks)
+            plain, words, rest = [], [], []
+            for k, c in enumerate(chunks):
+                if m := PLAIN.fullmatch(c):
+                    plain.append(k)
+                    words.append(2 if m[1] else 1)
+                else:
+                    rest.append(k)
+            for k, e in zip(rest, t.encode_batch_fast([chunks[k] for k in rest], add_special_tokens=False), strict=True):
+                out[k] = np.array(e.ids, "<u4").tobytes()
+            for at in range(0, len(plain), TOGETHER):
+                own = plain[at : at + TOGETHER]
+                ids = np.array(t.encode(" ".join([chunks[k] for k in own]), add_special_tokens=False).ids, "<u4")
+                ends = (4 * (np.flatnonzero(last[ids]) + 1))[np.cumsum(words[at : at + TOGETHER]) - 1].tolist()
+                flat, start = ids.tobytes(), 0
+                for k, end in zip(own, ends, strict=True):
+                    out[k] = flat[start:end]
+                    start = end
+            return out
+
+        _tokenizers[path] = ChunkTable(segment, WORDS_HELD)
     return _tokenizers[path]
 
 
