@@ -13,9 +13,9 @@ level that fits the filter is taken. It is the same rule at every size; rarer wo
 unknown to the model (never to the base score).
 
 The events are the known words and one unknown word, as in the base score. With N tokens, N1 words seen
-once and M the count of words left out: p(unknown) = (N1 + M) / (N + N1), p(w) = c(w) / (N + N1), and in
-context p(w | v) = p(w) * p(t | s) / p(t) for the classes s of v and t of w, where
-p(t | s) = (c(s, t) + PRIOR * p(t)) / (c(s) + PRIOR). A text starts after an end. Scores add log10 p.
+once and M the count of words left out, the unknown word counts N1 + M. A word's probability is that of
+its class after the class before, p(t | s) = (c(s, t) + PRIOR * c(t) / (N + N1)) / (c(s) + PRIOR), times its
+share of its class: 1 for a frequent word, c(w) / c(TAIL) else. A text starts after an end. Scores add log10 p.
 
 Beside it stands the exact base score: add-one smoothed words. The most frequent HEAD words' counts are
 broadcast (a fixed bound), those of all other words are joined by word.
@@ -210,27 +210,28 @@ def build_filter(grams: DataFrame) -> tuple[np.ndarray, int]:
 
 
 class Model:
-    """Reads the filter. total: N + N1; classes: counts of the classes, TAIL first."""
+    """Reads the filter. total: N + N1; sizes: counts of the classes, TAIL first."""
 
-    def __init__(self, bits: np.ndarray, least: int, total: int, unknown: float, classes: np.ndarray):
-        self.filter, self.least, self.total, self.unknown, self.classes = Filter(bits), least, total, max(unknown, 1e-9), classes
-        self.ratios = np.full((CLASSES + 2) ** 2, np.nan, np.float32)
+    def __init__(self, bits: np.ndarray, least: int, total: int, unknown: float, classes: dict[bytes, int], sizes: np.ndarray):
+        self.filter, self.least, self.total, self.unknown, self.classes, self.sizes = Filter(bits), least, total, max(unknown, 1e-9), classes, sizes
+        self.steps = np.full((CLASSES + 2) ** 2, np.nan, np.float32)
         self.table = ChunkTable(lambda words: self.words(words).tolist())
 
     def words(self, words: list[bytes]) -> np.ndarray:
-        """log10 p(w), without context."""
+        """log10 of each word's share of its class."""
         own = count_of(self.filter.levels(word_grams(words), self.least))
-        return np.log10(np.where(own > 0, own, self.unknown) / self.total)
+        share = np.minimum(np.where(own > 0, own, self.unknown) / max(self.sizes[0], 1e-9), 1)
+        return np.where([w in self.classes for w in words], 0.0, np.log10(share))
 
     def contexts(self, codes: np.ndarray) -> np.ndarray:
-        """log10 p(t | s) / p(t) of each pair; each distinct pair is probed once by a worker."""
-        new = np.unique(codes[np.isnan(self.ratios[codes])])
+        """log10 p(t | s) of each pair; each distinct pair is probed once by a worker."""
+        new = np.unique(codes[np.isnan(self.steps[codes])])
         if len(new):
             seen = count_of(self.filter.levels(pair_grams(new), self.least))
             s, t = np.divmod(new, CLASSES + 2)
-            alone = np.maximum(self.classes[t], 1e-9) / self.total
-            self.ratios[new] = np.log10((np.minimum(seen, self.classes[s]) + PRIOR * alone) / (self.classes[s] + PRIOR) / alone)
-        return self.ratios[codes]
+            alone = np.maximum(self.sizes[t], 1e-9) / self.total
+            self.steps[new] = np.log10((np.minimum(seen, self.sizes[s]) + PRIOR * alone) / (self.sizes[s] + PRIOR))
+        return self.steps[codes]
 
 
 #: The model that a worker has read, by the name of its build.
@@ -263,7 +264,6 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     shared, key = spark.sparkContext.broadcast((bits, head, classes, sizes)), uuid.uuid4().hex
     norm = math.log10(n + v + 1)
     end_base = math.log10(ends + 1) - norm
-    end_own = math.log10(max(ends, 1e-9) / total)
     names = ["row", "doc_id", "total", "known", "base", "own", "word", "m"]
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64()]
 
@@ -275,7 +275,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
         bits, head, classes, sizes = shared.value
         if key not in _models:
             _models.clear()
-            _models[key] = Model(bits, least, total, unknown, sizes)
+            _models[key] = Model(bits, least, total, unknown, classes, sizes)
         model = _models[key]
         table = model.table
         for b in batches:
@@ -288,7 +288,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
             table.fill(w for c in counts for w in c)
             first, rows, tail, many = row, [], [], []
             for c, context in zip(counts, added, strict=True):
-                known, base, own, rest = int(ends > 0), end_base, end_own + context, 0
+                known, base, own, rest = int(ends > 0), end_base, context, 0
                 for w, m in c.items():
                     own += m * table[w]
                     if (seen := head.get(w)) is None:
