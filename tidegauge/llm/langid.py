@@ -53,7 +53,7 @@ def grams_of(words: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
     out, h = [], np.zeros(len(flat), np.uint64)
     for k in range(ORDER):
         # the hash grows to the left: a gram's hash without its first character is its suffix's
-        back = np.concatenate((np.zeros(k, np.uint64), flat[: len(flat) - k])) if k else flat
+        back = np.concatenate((np.zeros(min(k, len(flat)), np.uint64), flat[: max(len(flat) - k, 0)]))
         x = (back + np.uint64(k << 32)) * np.uint64(0x9E3779B97F4A7C15)
         h = h + (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         out.append(np.where(place >= k, h, np.uint64(0)))
