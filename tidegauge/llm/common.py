@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 PACKAGE = Path(__file__).resolve().parents[1]
 #: Most bytes and rows of one Arrow batch, since whole texts travel in them.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 4096
+BATCH_BYTES, BATCH_ROWS = 2 << 20, 4096
 #: Bits of a bounded filter: 2 MB, whatever the input holds.
 FILTER_BITS = 1 << 24
 PAGE_BITS = 1 << 15
@@ -99,3 +99,16 @@ def maybe_in(rows: DataFrame, key: Column, pages: DataFrame, bits: int = FILTER_
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
+
+
+def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """The rows of docs whose id isn't in gone (one column of distinct longs); rows with a null id stay.
+
+    A bounded filter of the ids lets almost all rows that stay pass unmoved; only the others are joined.
+    """
+    gone = saved(gone.toDF("_gone"), "gone")
+    pages = saved(bit_filter(gone, F.col("_gone")), "pages")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"))
+    marked = probed(rows, F.coalesce("id", F.lit(0)), pages)
+    doubtful = marked.filter("_hit").join(gone, F.col("id") == F.col("_gone"), "left_anti")
+    return marked.filter("not _hit").select("row.*").unionByName(doubtful.select("row.*"))

@@ -163,8 +163,5 @@ def reject(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_co
     """The rows of docs that are kept, with all their columns; only rows that may have been rejected are shuffled."""
     judged = classify(docs, labels, host, path, id_col, text_col, label_col)
     kept = judged.filter("doc_id is not null").groupBy("doc_id").agg(F.max("keep").alias("keep"))
-    gone = common.saved(kept.filter("not keep").select(F.col("doc_id").alias("_gone")), "gone")
-    pages = common.saved(common.bit_filter(gone, F.col("_gone")), "pages")
-    marked = common.probed(docs.filter(F.col(id_col).isNotNull() | F.col(text_col).rlike(r"\S")), F.col(id_col).cast("long"), pages)
-    doubtful = marked.filter("_hit").join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    return marked.filter("not _hit").unionByName(doubtful).select(*docs.columns)
+    with_words = docs.filter(F.col(id_col).isNotNull() | F.col(text_col).rlike(r"\S"))
+    return common.without_ids(with_words, id_col, kept.filter("not keep").select("doc_id"))

@@ -244,8 +244,4 @@ def drop_near_copies(docs: DataFrame, words: int = WORDS, bits: int = BITS, id_c
     """
     label = near_duplicates(docs, words, bits, id_col, text_col)
     stays = label.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
-    gone = common.saved(stays.filter("not stays").select(F.col("doc_id").alias("_gone")), "gone")
-    pages = common.saved(common.bit_filter(gone, F.col("_gone")), "pages")
-    marked = common.probed(docs, F.col(id_col).cast("long"), pages)
-    doubtful = marked.filter("_hit").join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
-    return marked.filter("not _hit").unionByName(doubtful).select(*docs.columns)
+    return common.without_ids(docs, id_col, stays.filter("not stays").select("doc_id"))
