@@ -34,10 +34,10 @@ from tidegauge.llm import common
 from tidegauge.llm.tagger import Tagger, char_classes
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE, WINDOWS, STEPS = 3000, 4000, 150
-#: Characters of a window that training reads, around its span or anchor.
-SEEN = 48
-WIDTH, STRIDE, AROUND = 128, 64, 24
+SAMPLE, WINDOWS, STEPS = 3000, 4000, 300
+#: Made-up training texts.
+SEEDS = 1500
+WIDTH, STRIDE, AROUND = 96, 48, 24
 LIKELY = 0.9
 
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -46,6 +46,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 ANCHORS = re.compile(r"[0-9@]+")
+LONG = re.compile(r"[0-9](?:[\x20().,/-]{0,2}[0-9])+")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -189,13 +190,13 @@ def _trimmed(text: str, kind: int, a: int, b: int) -> tuple[int, int]:
     return a, b
 
 
-def _seeds() -> list[tuple[str, list[Span]]]:
-    """Short labelled texts of every kind, made by rule."""
-    rng = np.random.default_rng(5)
+def _seeds(many: int = SEEDS, seed: int = 5) -> list[tuple[str, list[Span]]]:
+    """Short labelled texts of every kind, and of numbers that are none, made by rule."""
+    rng = np.random.default_rng(seed)
     pick = lambda s, n: "".join(rng.choice(list(s), n))
     out = []
-    for n in range(400):
-        kind = n % 5
+    for n in range(many):
+        kind, n = n % 5, n // 5
         if kind == 0:
             s = f"{pick('abcdeinorst', 6)}.{pick('aeinorst', 5)}@{pick('aeimnorst', 7)}.{('com', 'org', 'net', 'example')[n % 4]}"
         elif kind == 1:
@@ -208,9 +209,10 @@ def _seeds() -> list[tuple[str, list[Span]]]:
             s = ("+1 (%s) %s-%s", "+%s %s %s", "%s-%s-%s", "(%s) %s-%s")[n % 4] % (pick("23456789", 3), pick("0123456789", 3), pick("0123456789", 4))
         else:
             s = (pick("0123456789", int(rng.integers(1, 8))), f"{rng.integers(1, 99)}.{rng.integers(0, 99)}", f"2{pick('0123456789', 3)}-0{pick('123456789', 1)}-1{pick('012345678', 1)}", pick("0123456789abcdef", 32))[n % 4]
-        left = " ".join(pick("aeinorsthld", int(k)) for k in rng.integers(2, 9, 5))
-        text = f"{left} {s} {' '.join(pick('aeinorsthld', int(k)) for k in rng.integers(2, 9, 5))}"
-        out.append((text, [(len(left) + 1, kind, len(left) + 1 + len(s))] if kind < 4 else []))
+        # a window that holds the number anywhere
+        left = " ".join(pick("aeinorsthld", int(k)) for k in rng.integers(2, 9, 16))[-int(rng.integers(1, WIDTH - len(s))) :] + (" ", ", ", ": ")[int(rng.integers(0, 3))]
+        text = left + s + (" ", ". ", ", ", "\n")[int(rng.integers(0, 4))] + " ".join(pick("aeinorsthld", int(k)) for k in rng.integers(2, 9, 16))
+        out.append((text[: max(WIDTH, len(left) + len(s))], [(len(left), kind, len(left) + len(s))] if kind < 4 else []))
     return out
 
 
@@ -227,6 +229,11 @@ def _variants(text: str, spans: list[Span]) -> Iterator[tuple[str, list[Span]]]:
         yield text[:a] + new + text[b:], [(a, k, a + len(new))]
 
 
+def doubtful(text: str, spans: list[Span]) -> bool:
+    """Whether a number as long as a telephone or card number stands outside the spans: its label isn't known."""
+    return any(sum(c.isdigit() for c in m[0]) >= 10 and not any(a <= m.start() and m.end() <= b for a, _, b in spans) for m in LONG.finditer(text))
+
+
 def training_windows(docs: DataFrame, sample: int = SAMPLE, most: int = WINDOWS) -> list[tuple[str, list[Span]]]:
     """Labelled windows from a bounded sample of docs (doc_id, text), in the order of a hash."""
     n = docs.count()
@@ -241,7 +248,7 @@ def training_windows(docs: DataFrame, sample: int = SAMPLE, most: int = WINDOWS)
                 for s in window_starts(text):
                     own = [(a - s, k, e - s) for a, k, e in spans if s <= a and e <= s + WIDTH]
                     cutoff = any(a < s < e or a < s + WIDTH < e for a, _, e in spans)
-                    if not cutoff:
+                    if not cutoff and not doubtful(text[s : s + WIDTH], own):
                         rows.append((text[s : s + WIDTH], [x for span in own for x in span]))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["window", "spans"])
 
@@ -253,14 +260,12 @@ def training_windows(docs: DataFrame, sample: int = SAMPLE, most: int = WINDOWS)
 
 def train(docs: DataFrame, sample: int = SAMPLE, most: int = WINDOWS, steps: int = STEPS) -> Tagger:
     own = training_windows(docs, sample, most)
-    rows = own + [v for text, spans in own for v in _variants(text, spans)] + _seeds()
+    rows = own + _seeds()
+    rows += [v for text, spans in rows for v in _variants(text, spans)]
     x = _encoded([t for t, _ in rows], WIDTH)
     y = np.stack([tags_of(t, 0, WIDTH, s) for t, s in rows])
-    # the surroundings of the first span or anchor are enough to learn from
-    middle = [(s[0][0] + s[0][2]) // 2 if s else (m.start() if (m := ANCHORS.search(t)) else 0) for t, s in rows]
-    take = np.clip(np.array(middle) - SEEN // 2, 0, WIDTH - SEEN)[:, None] + np.arange(SEEN)
     tagger = Tagger(len(KINDS) + 1)
-    tagger.fit(np.take_along_axis(x, take, 1), np.take_along_axis(y, take, 1), steps)
+    tagger.fit(x, y, steps)
     return tagger
 
 

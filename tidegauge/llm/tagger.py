@@ -132,7 +132,7 @@ class Tagger:
         }
         return float((total - score).mean()), grads
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int, batch: int = 64, rate: float = 0.05, seed: int = 11) -> list[float]:
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int, batch: int = 48, rate: float = 0.05, seed: int = 11) -> list[float]:
         """Adam over random batches of the windows x, y [row, time]; returns the losses."""
         rng, losses = np.random.default_rng(seed), []
         m, v = ({k: np.zeros_like(w) for k, w in self.p.items()} for _ in range(2))
