@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from tidegauge.llm import common, exact_dedup, packing, pii, quality, simhash
 from tidegauge.llm.queries import path_of, tokenizer_path
 
+#: 19 of 128 bits differ where sets of shingles have a similarity of 0.8.
+NEAR_BITS, NEAR_BLOCKS = 19, 2
+
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents whose posterior of being good is below one half."""
@@ -24,8 +27,8 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each component of linked SimHash fingerprints, with the parameters of op9's contract."""
-    return simhash.drop_near_copies(docs)
+    """Keeps one document of each component of near copies: five words, and fingerprints that stand for a similarity of 0.8."""
+    return simhash.drop_near_copies(docs, words=5, bits=NEAR_BITS, blocks=NEAR_BLOCKS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -81,7 +81,7 @@ def test_large_buckets_connect_what_small_ones_do():
     center = int(rng.integers(0, 1 << 62))
     prints = np.array(sorted({center ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 63, (200, 2))} | {0, 1, 3}), np.uint64)
     forest = simhash.Forest()
-    simhash.link_runs(np.zeros(len(prints), np.int32), prints, 4, forest)
+    simhash.link_runs(np.zeros(len(prints), np.int32), prints[:, None], 4, forest)
     want = brute_components(prints.tolist(), prints.tolist())
     assert {p: forest.root(p) for p in prints.tolist()} == want
 
@@ -92,3 +92,18 @@ def test_empty_table_and_repeated_rows(spark):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "a b"), (2, "a b")], schema)
     assert sorted(str(r.component_id) for r in simhash.near_duplicates(docs).collect()) == ["1"] * 4
     assert sorted(str(r.doc_id) for r in simhash.drop_near_copies(docs).collect()) == ["1", "1", "None"]
+
+
+def test_more_blocks_find_most_copies_of_similarity_09(spark):
+    rng = np.random.default_rng(5)
+    rows, pairs = [], []
+    for k in range(60):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 300)]
+        other = list(words)
+        for at in range(0, 300, 100):  # every change costs five of the shingles: a similarity of about 0.9
+            other[at + int(rng.integers(0, 90))] = f"z{k}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, 5, 19, blocks=2).collect()}
+    assert all(got[i] in (i, i - 1) for i in got) and all(got[2 * k] == 2 * k for k in range(60))
+    assert sum(got[2 * k + 1] == 2 * k for k in range(60)) > 50
