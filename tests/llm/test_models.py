@@ -56,6 +56,14 @@ def test_the_filter_gives_levels_back(spark):
     assert np.abs(np.log(lmscore.count_of(true) / n)).max() < math.log(lmscore.BASE)
 
 
+def test_most_frequent_words_are_whole_levels(spark):
+    rows = [(b"a%d" % k, 1 + k // 3) for k in range(300)] + [(b"x" * 100, 1000)]
+    words = spark.createDataFrame(rows, "word binary, n long")
+    got = lmscore.most_frequent(words, 50)
+    assert 30 < len(got) <= 50 and min(got.values()) > max(n for w, n in rows if w not in got and len(w) <= 64)
+    assert len(lmscore.most_frequent(words, 1000)) == 300 and lmscore.most_frequent(words.limit(0)) == {}
+
+
 def test_ties_of_pair_codes():
     codes, sizes = lmscore.pair_codes(["a b", None, "b"], {b"a": 2})
     w = lmscore.CLASSES + 2

@@ -147,6 +147,23 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(words: DataFrame, most: int = HEAD) -> dict[bytes, int]:
+    """Exact counts of the most frequent short words, `most` at the most.
+
+    The words above a count are taken whole; the count is found in a histogram of its logarithm, so neither
+    a sort nor every task's own candidates reach the driver.
+    """
+    short = words.filter(F.length("word") <= 64).withColumn("bin", F.floor(F.log("n") * 100).cast("int"))
+    bins = sorted(((r["bin"], r["count"]) for r in short.groupBy("bin").count().collect()), reverse=True)
+    least, total = None, 0
+    for b, n in bins:
+        total += n
+        if total > most:
+            break
+        least = b
+    return {} if least is None else {bytes(r.word): r.n for r in short.filter(F.col("bin") >= least).select("word", "n").collect()}
+
+
 def count_pairs(docs: DataFrame, classes: dict[bytes, int]) -> DataFrame:
     """code, n over all neighbours in the texts of docs (text)."""
     shared = docs.sparkSession.sparkContext.broadcast(classes)
@@ -247,8 +264,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     n, v, once = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count(F.when(F.col("n") == 1, 1))).first()
     end = words.filter(F.col("word") == F.lit(END)).select("n").first()
     ends = end[0] if end else 0
-    # HEAD rows at most
-    head = {bytes(w): c for w, c in words.filter(F.length("word") <= 64).orderBy(F.desc("n"), "word").limit(HEAD).collect()}
+    head = most_frequent(words)
     ranked = [w for w in sorted(head, key=lambda w: (-head[w], w)) if w != END]
     classes = {w: k + 2 for k, w in enumerate(ranked[:CLASSES])}
     pairs = common.saved(count_pairs(rows.filter(training), classes), "pairs")
