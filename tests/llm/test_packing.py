@@ -79,3 +79,14 @@ def test_packed_documents(spark, capacity):
             at += length
         assert at <= capacity
     assert packing.pack_documents(docs.limit(0), PATH).count() == 0
+
+
+def test_only_the_table_in_use_stays_filled():
+    a, b = (ChunkTable(lambda own: [c * 2 for c in own]) for _ in range(2))
+    a.fill(["x"])
+    b.fill(["y"])
+    assert not a and b == {"y": "yy"}
+    b.fill(["z"])
+    assert len(b) == 2
+    a.fill(["x"])
+    assert a == {"x": "xx"} and not b

@@ -9,6 +9,17 @@ from typing import Any
 TABLE_ROWS = 300_000
 
 
+_filled: ChunkTable | None = None
+
+
+def release(but: ChunkTable | None = None) -> None:
+    """Empties the table that this worker filled last: the worker outlives the operator that needed it."""
+    global _filled
+    if _filled is not None and _filled is not but:
+        _filled.clear()
+    _filled = but
+
+
 class ChunkTable(dict):
     """chunk -> result, filled for many new chunks at a time."""
 
@@ -17,6 +28,7 @@ class ChunkTable(dict):
         self.segment, self.limit = segment, limit
 
     def fill(self, chunks: Iterable[str]) -> None:
+        release(self)
         own = set(chunks)
         new = list(own.difference(self))
         if new:

@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm import common
+from tidegauge.llm.chunks import release
 from tidegauge.llm.tagger import Tagger, char_classes
 
 KINDS = ("email", "ip", "card", "phone")
@@ -324,6 +325,7 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", char
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             texts = b.column(at).to_pylist()
             new = [x if x is None else masked(x, spans) for x, (_, spans) in zip(texts, find([x or "" for x in texts], get()), strict=True)]

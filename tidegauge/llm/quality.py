@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm import common
+from tidegauge.llm.chunks import release
 
 SAMPLE = 20_000
 STRONGEST = 10_000.0
@@ -71,6 +72,7 @@ def table(docs: DataFrame, host: Column, path: Column, id_col: str = "doc_id", t
     names = ["doc_id", "host", "path", "has_words", *[f"f{k}" for k in range(len(FEATURES))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             own = np.array([features(x) for x in b.column(1).to_pylist()], np.float64).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(own[:, 0] > 0), *[pa.array(own[:, k]) for k in range(len(FEATURES))]], names)

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm import common
+from tidegauge.llm.chunks import release
 from tidegauge.llm.components import components
 
 WORDS, BITS = 4, 4
@@ -205,6 +206,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", te
     common.text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in batches:
             own = [f"{fingerprint(x, words, blocks):0{16 * blocks}x}" for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.string())], ["doc_id", "print"])
