@@ -64,6 +64,19 @@ def test_most_frequent_words_are_whole_levels(spark):
     assert len(lmscore.most_frequent(words, 1000)) == 300 and lmscore.most_frequent(words.limit(0)) == {}
 
 
+def test_every_ngram_is_in_a_shard_however_many(spark):
+    n = 200_000
+    df = spark.range(2, n + 2).select(F.col("id").alias("v"), F.lit(2).cast("long").alias("w"), F.lit(10**10).alias("n"))
+    filters, shards = lmscore.build_shards(df)
+    assert shards > lmscore.SHARDS  # 57 levels each: 11.4 million entries, and as many bits as they need
+    asked = df.select(F.col("v").alias("row"), "v", "w", F.lit(1).cast("long").alias("m"))
+    both = asked.union(asked.select(F.col("row") + n, F.col("v") + n, "w", "m"))
+    got = lmscore.probe_shards(both, filters, shards, np.full(2 * n + 2, 1e12), 1.0, 10**15).toPandas()
+    own = got.own[got.row < n + 2]
+    assert len(got) == 2 * n and ((own > 9.8) & (own < 10.2)).mean() > 0.99 and own.min() > 9.8
+    assert (got.own[got.row >= n + 2] < 0).mean() > 0.8
+
+
 def test_ties_of_pair_codes():
     codes, sizes = lmscore.pair_codes(["a b", None, "b"], {b"a": 2})
     w = lmscore.CLASSES + 2

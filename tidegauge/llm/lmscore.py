@@ -1,21 +1,22 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Training counts every word of every training document, exactly, by a distributed aggregation, and then
-every pair of neighbours, where words beyond the CLASSES most frequent ones stand for one class, TAIL.
-These unigrams and class bigrams are the n-grams of the model. A count is quantised to a level
-q = 1 + floor(log_BASE(count)), and the n-gram is entered into one bit filter under q keys, level 1 to
-q. A worker reads a count back by probing level after level until a probe misses, so it errs only
-upwards, and rarely.
-
-The filter has a fixed number of bits and is broadcast. What goes in is decided over complete counts:
-the number of entries that each least level would need is summed over all n-grams, and the lowest least
-level that fits the filter is taken. It is the same rule at every size; rarer words then count as
-unknown to the model (never to the base score).
-
-The events are the known words and one unknown word, as in the base score. With N tokens, N1 words seen
-once and M the count of words left out, the unknown word counts N1 + M. A word's probability is that of
-its class after the class before, p(t | s) = (c(s, t) + PRIOR * c(t) / (N + N1)) / (c(s) + PRIOR), times its
-share of its class: 1 for a frequent word, c(w) / c(TAIL) else. A text starts after an end. Scores add log10 p.
+Training counts every word and every pair of neighbouring words of every training document, exactly, by
+distributed aggregations. These unigrams and bigrams are the n-grams of the model; none is left out at any
+size. A count is quantised to a level q = 1 + floor(log_BASE(count)), and the n-gram is entered into a bit
+filter under q keys, level 1 to q. A count is read back by probing level after level until a probe misses,
+so it errs only upwards, and rarely.
+
+Pairs between the CLASSES most frequent words and the end are bounded, so their filter is broadcast; its size
+follows their counted entries. All other bigrams, and the words beyond the HEAD most frequent, are dealt to
+shards of 2^17 bits, whose number follows the counted entries. A shard is chosen by the word beyond HEAD, so
+that its own count is read beside those of its pairs, or else by the pair. Scored pairs are dealt to the same
+shards and probed there: nothing that grows with the input is held in one place. A word beyond CLASSES has
+few occurrences, so no shard is hot.
+
+The events are the known words and one unknown word, as in the base score. With N tokens and N1 words seen
+once, the unknown word counts N1. A word after another has p(w | v) = (c(v, w) + PRIOR * c(w) / (N + N1)) /
+(c(v) + PRIOR): what the pair doesn't tell comes from the word's own count. A text starts after an end. Scores
+add log10 p. A count of a pair is at most that of its words.
 
 Beside it stands the exact base score: add-one smoothed words. The most frequent HEAD words' counts are
 broadcast (a fixed bound), those of all other words are joined by word.
@@ -39,18 +40,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegauge.llm import common
-from tidegauge.llm.chunks import ChunkTable
 
-BITS = 1 << 27
+BITS = 1 << 24
 PROBES = 3
+#: Bits of a shard, and the least number of shards.
+SHARD_BITS, SHARDS = 1 << 17, 1024
+#: Bits for each entry: a fifth of the bits are set, so 1 in 125 probes errs.
+ROOM = PROBES / -math.log(0.8)
 BASE = 1.5
 HEAD = 1 << 16
 CLASSES = 2048
 PRIOR = 20.0
+#: Word ids: 1 is the end, then ranks; words beyond HEAD have their hash with this bit set.
+TAIL_BIT = 1 << 62
 #: Words that a counting task holds before it hands them on.
 HELD = 300_000
 #: Neighbours that a counting task holds before it hands them on.
-PAIRS_HELD = 1 << 21
+PAIRS_HELD = 1 << 20
 END = b"\x03"
 TOP_LEVEL = 64
 
@@ -75,42 +81,63 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def positions(grams: np.ndarray, level: np.ndarray | int) -> list[np.ndarray]:
+def positions(grams: np.ndarray, level: np.ndarray | int, size: int = BITS) -> list[np.ndarray]:
     """Bit positions of (n-gram, level), one array for each probe."""
     h = _mix(grams + _mix(np.atleast_1d(level).astype(np.uint64) + np.uint64(1)))
     step = _mix(h) | np.uint64(1)
-    return [((h + np.uint64(k) * step) >> np.uint64(20)).astype(np.int64) & (BITS - 1) for k in range(PROBES)]
+    return [((h + np.uint64(k) * step) >> np.uint64(20)).astype(np.int64) & (size - 1) for k in range(PROBES)]
 
 
 class Filter:
-    """The bits; levels() reads quantised counts back by probing."""
+    """The bits, of one filter or of several of `size` bits in a row; levels() reads quantised counts back by probing."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+    def __init__(self, bits: np.ndarray, size: int | None = None):
+        self.bits, self.size = bits, size or 8 * len(bits)
 
-    def has(self, grams: np.ndarray, level: int) -> np.ndarray:
+    def has(self, grams: np.ndarray, level: int, which: np.ndarray | int = 0) -> np.ndarray:
         out = np.ones(len(grams), bool)
-        for at in positions(grams, level):
+        for at in positions(grams, level, self.size):
+            at = at + which * self.size
             out &= (self.bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
         return out
 
-    def levels(self, grams: np.ndarray, least: int = 1) -> np.ndarray:
-        """0 for n-grams that aren't in; those below the least level were never entered."""
+    def levels(self, grams: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
+        """0 for n-grams that aren't in; which: the filter of each n-gram, if there are several."""
         found, open_ = np.zeros(len(grams), np.int64), np.arange(len(grams))
         for q in range(1, TOP_LEVEL + 1):
-            open_ = open_[self.has(grams[open_], q)]
+            open_ = open_[self.has(grams[open_], q, 0 if which is None else which[open_])]
             if not len(open_):
                 break
             found[open_] = q
-        return np.where(found >= least, found, 0)
+        return found
 
 
-def word_grams(words: list[bytes]) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(w, 7) for w in words], np.uint64)
+def word_ids(words: list[bytes], ranks: dict[bytes, int]) -> list[int]:
+    """The id in ranks, else the hash beyond TAIL_BIT."""
+    return [ranks.get(w) or xxhash.xxh64_intdigest(w, 7) >> 2 | TAIL_BIT for w in words]
 
 
-def pair_grams(codes: np.ndarray) -> np.ndarray:
-    return _mix(codes.astype(np.uint64) + np.uint64(0xD6E8FEB86659FD93))
+def grams_of(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Hashes of pairs of word ids; a word alone stands after 0."""
+    return _mix(_mix(v.view(np.uint64) + np.uint64(0xD6E8FEB86659FD93)) + w.view(np.uint64))
+
+
+def neighbours(texts: list[str | None], ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(id before, id) of every token of the texts, and the tokens of each text."""
+    flat, sizes = [], []
+    for x in texts:
+        own = words_of(x)
+        flat += [END, *own, END]
+        sizes.append(len(own) + 1)
+    sizes = np.array(sizes, np.int64)
+    if not flat:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), sizes
+    distinct = list(set(flat))
+    ids = dict(zip(distinct, word_ids(distinct, ranks), strict=True))
+    all_ids = np.fromiter(map(ids.__getitem__, flat), np.int64, len(flat))
+    keep = np.ones(len(flat) - 1, bool)
+    keep[np.cumsum(sizes + 1)[:-1] - 1] = False  # from one text's end to the next one's start
+    return all_ids[:-1][keep], all_ids[1:][keep], sizes
 
 
 def pair_codes(texts: list[str | None], classes: dict[bytes, int]) -> tuple[np.ndarray, list[int]]:
@@ -164,90 +191,171 @@ def most_frequent(words: DataFrame, most: int = HEAD) -> dict[bytes, int]:
     return {} if least is None else {bytes(r.word): r.n for r in short.filter(F.col("bin") >= least).select("word", "n").collect()}
 
 
-def count_pairs(docs: DataFrame, classes: dict[bytes, int]) -> DataFrame:
-    """code, n over all neighbours in the texts of docs (text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(classes)
+def count_pairs(docs: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """v, w, n over all neighbours in the texts of docs (text), as word ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
         def out() -> pa.RecordBatch:
-            uniq, many = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.int64),) * 2
-            return pa.RecordBatch.from_arrays([pa.array(uniq), pa.array(many)], ["code", "n"])
+            v, w = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, np.int64),) * 2
+            _, at, many = np.unique(grams_of(v, w), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(v[at]), pa.array(w[at]), pa.array(many)], ["v", "w", "n"])
 
         for b in batches:
-            held.append(pair_codes(b.column(0).to_pylist(), shared.value)[0])
-            n += len(held[-1])
+            held.append(neighbours(b.column(0).to_pylist(), shared.value)[:2])
+            n += len(held[-1][0])
             if n >= PAIRS_HELD:
                 yield out()
                 held, n = [], 0
         yield out()
 
-    return docs.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(run, "v long, w long, n long").groupBy("v", "w").agg(F.sum("n").alias("n"))
 
 
-def gram_table(words: DataFrame, pairs: DataFrame) -> DataFrame:
-    """gram (a hash) and n of all words and pairs."""
+def tail_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """v (0), w, n of the words without a rank."""
+    shared = words.sparkSession.sparkContext.broadcast(ranks)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(word_grams(b.column(0).to_pylist()).view(np.int64)), b.column(1)], ["gram", "n"])
+            ids = np.array(word_ids(b.column(0).to_pylist(), shared.value), np.int64)
+            own, n = ids[ids >= TAIL_BIT], b.column(1).to_numpy()[ids >= TAIL_BIT]
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(own), np.int64)), pa.array(own), pa.array(n)], ["v", "w", "n"])
+
+    return words.select("word", "n").mapInArrow(run, "v long, w long, n long")
+
 
-    def run_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def gram_table(pairs: DataFrame) -> DataFrame:
+    """gram (a hash) and n of pairs of word ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(pair_grams(b.column(0).to_numpy()).view(np.int64)), b.column(1)], ["gram", "n"])
+            own = grams_of(b.column(0).to_numpy(), b.column(1).to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), b.column(2)], ["gram", "n"])
 
-    return words.mapInArrow(run, "gram long, n long").union(pairs.mapInArrow(run_pairs, "gram long, n long"))
+    return pairs.select("v", "w", "n").mapInArrow(run, "gram long, n long")
 
 
-def build_filter(grams: DataFrame) -> tuple[np.ndarray, int]:
-    """(bits as bytes, least level): the lowest least level whose entries fill at most half of the bits."""
+def entries_of(grams: DataFrame) -> int:
+    """The filter entries of all n-grams."""
     level = F.floor(F.log(F.col("n").cast("double")) / math.log(BASE) + 1e-9) + 1
-    # at most TOP_LEVEL rows
-    levels = Counter({int(r[0]): r[1] for r in grams.groupBy(level.alias("q")).count().collect()})
-    room, least = int(BITS * math.log(2) / PROBES), 1
-    while sum(min(q, TOP_LEVEL) * n for q, n in levels.items() if q >= least) > room:
-        least += 1
+    return grams.agg(F.coalesce(F.sum(F.least(level, F.lit(TOP_LEVEL))), F.lit(0))).first()[0]
+
+
+def _entered(grams: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Every (gram, level) to enter, and the index of its n-gram."""
+    top = np.minimum(level_of(n), TOP_LEVEL)
+    at = np.repeat(np.arange(len(top)), top)
+    return grams[at], np.arange(len(at)) - np.repeat(np.cumsum(top) - top, top) + 1, at
+
+
+def build_filter(grams: DataFrame) -> tuple[np.ndarray, int]:
+    """(bits as bytes, least level) of a bounded table (gram, n): all levels are entered, into as many bits as they need."""
+    size = max(BITS, 1 << math.ceil(math.log2(entries_of(grams) * ROOM + 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            own, top = b.column(0).to_numpy().view(np.uint64), np.minimum(level_of(b.column(1).to_numpy()), TOP_LEVEL)
-            own, top = own[top >= least], top[top >= least]
-            repeated = np.repeat(own, top)
-            each = np.arange(len(repeated)) - np.repeat(np.cumsum(top) - top, top) + 1
-            at = np.unique(np.concatenate(positions(repeated, each)))
+            own, each, _ = _entered(b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy())
+            at = np.unique(np.concatenate(positions(own, each, size)))
             yield pa.RecordBatch.from_arrays([pa.array((at >> 15).astype(np.int32)), pa.array(at & 32767)], ["page", "bit"])
 
     pages = grams.mapInArrow(run, "page int, bit long").groupBy("page").agg(F.bitmap_construct_agg("bit").alias("map"))
-    bits = np.zeros(BITS // 8, np.uint8)
-    # at most BITS / 2**15 pages of 4 KB
+    bits = np.zeros(size // 8, np.uint8)
     for page, own in pages.collect():
         bits[page << 12 : (page + 1) << 12] = np.frombuffer(own, np.uint8)
-    return bits, least
+    return bits, 1
+
+
+def sharded(pairs: DataFrame, shards: int) -> DataFrame:
+    """Adds the shard of (v, w): by the word beyond HEAD, whose own n-gram lies there too, or else by the pair."""
+    key = F.when(F.col("w") >= TAIL_BIT, F.xxhash64("w")).when(F.col("v") >= TAIL_BIT, F.xxhash64("v")).otherwise(F.xxhash64("v", "w"))
+    return pairs.withColumn("shard", F.pmod(key, F.lit(shards)).cast("int"))
+
+
+def build_shards(grams: DataFrame) -> tuple[DataFrame, int]:
+    """shard, bits of the filters of (v, w, n), saved; and the number of shards, which follows the entries."""
+    shards = max(SHARDS, math.ceil(entries_of(grams) * ROOM / SHARD_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, bits = None, None  # the shard that may go on
+
+        for b in batches:
+            shard = b.column(3).to_numpy()
+            own, each, at = _entered(grams_of(b.column(0).to_numpy(), b.column(1).to_numpy()), b.column(2).to_numpy())
+            names, slot = np.unique(shard, return_inverse=True)
+            if not len(names):
+                continue
+            maps = np.zeros((len(names), SHARD_BITS // 8), np.uint8)
+            for k in positions(own, each, SHARD_BITS):
+                np.bitwise_or.at(maps, (slot[at], k >> 3), np.left_shift(1, k & 7).astype(np.uint8))
+            if last == names[0]:
+                maps[0] |= bits
+            elif last is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([bits.tobytes()])], ["shard", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array(names[:-1], pa.int32()), pa.array([x.tobytes() for x in maps[:-1]], pa.binary())], ["shard", "bits"])
+            last, bits = names[-1], maps[-1]
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), pa.array([bits.tobytes()])], ["shard", "bits"])
+
+    dealt = sharded(grams.select("v", "w", "n"), shards).repartition("shard").sortWithinPartitions("shard")
+    return common.saved(dealt.mapInArrow(run, "shard int, bits binary"), "shards"), shards
+
+
+def probe_shards(asked: DataFrame, filters: DataFrame, shards: int, counts: np.ndarray, unknown: float, total: int) -> DataFrame:
+    """row, own: the sum of m * log10(c(v, w) + PRIOR * c(w) / total) over asked (row, v, w, m). counts: of the ids with a rank."""
+    shared = asked.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, maps = shared.value, {}
+        for b in batches:
+            shard, bits = b.column(0).to_numpy(), b.column(1)
+            for k in np.flatnonzero(bits.is_valid().to_numpy(zero_copy_only=False)):
+                maps[shard[k]] = np.frombuffer(bits[k].as_py(), np.uint8)
+            ask = np.flatnonzero(~bits.is_valid().to_numpy(zero_copy_only=False))
+            if len(ask):
+                row, v, w, m = (c.take(pa.array(ask)).to_numpy() for c in b.columns[2:])
+                names, slot = np.unique(shard[ask], return_inverse=True)
+                none = np.zeros(SHARD_BITS // 8, np.uint8)
+                own = Filter(np.concatenate([maps.get(x, none) for x in names]), SHARD_BITS)
+                far_v, far_w = v >= TAIL_BIT, w >= TAIL_BIT
+                # the word whose count lies in this shard
+                word = np.where(far_w, w, v)
+                alone = count_of(own.levels(grams_of(np.zeros_like(word), word), slot))
+                of_w = np.where(far_w, alone, counts[np.where(far_w, 0, w)])
+                of_v = np.where(far_v, np.where(far_w, np.inf, alone), counts[np.where(far_v, 0, v)])
+                level = own.levels(grams_of(v, w), slot)
+                # where v's count lies elsewhere, the least count of the level stays below it
+                seen = np.where(far_v & far_w, np.where(level > 0, BASE ** (level - 1.0), 0), count_of(level))
+                seen = np.minimum(seen, np.minimum(of_v, of_w))
+                gain = m * np.log10(seen + PRIOR * np.where(of_w > 0, of_w, unknown) / total)
+                rows, at = np.unique(row, return_inverse=True)
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(np.bincount(at, gain))], ["row", "own"])
+            last = shard[-1] if len(shard) else None
+            maps = {last: maps[last]} if last in maps else {}
+
+    asks = sharded(asked, shards).select("shard", F.lit(None).cast("binary").alias("bits"), "row", "v", "w", "m")
+    none = [F.lit(None).cast("long").alias(c) for c in ("row", "v", "w", "m")]
+    dealt = filters.select("shard", "bits", *none).union(asks).repartition("shard").sortWithinPartitions("shard", F.col("bits").isNull())
+    return dealt.mapInArrow(run, "row long, own double").groupBy("row").agg(F.sum("own").alias("own"))
 
 
 class Model:
-    """Reads the filter. total: N + N1; sizes: counts of the classes, TAIL first."""
+    """Reads the filter of pairs between frequent words. total: N + N1; counts: of the ids with a rank."""
 
-    def __init__(self, bits: np.ndarray, least: int, total: int, unknown: float, classes: dict[bytes, int], sizes: np.ndarray):
-        self.filter, self.least, self.total, self.unknown, self.classes, self.sizes = Filter(bits), least, total, max(unknown, 1e-9), classes, sizes
+    def __init__(self, bits: np.ndarray, total: int, counts: np.ndarray):
+        self.filter, self.total, self.counts = Filter(bits), total, counts
         self.steps = np.full((CLASSES + 2) ** 2, np.nan, np.float32)
-        self.table = ChunkTable(lambda words: self.words(words).tolist())
-
-    def words(self, words: list[bytes]) -> np.ndarray:
-        """log10 of each word's share of its class."""
-        own = count_of(self.filter.levels(word_grams(words), self.least))
-        share = np.minimum(np.where(own > 0, own, self.unknown) / max(self.sizes[0], 1e-9), 1)
-        return np.where([w in self.classes for w in words], 0.0, np.log10(share))
 
     def contexts(self, codes: np.ndarray) -> np.ndarray:
-        """log10 p(t | s) of each pair; each distinct pair is probed once by a worker."""
+        """log10 p(w | v) of each pair, v * (CLASSES + 2) + w; each distinct pair is probed once by a worker."""
         new = np.unique(codes[np.isnan(self.steps[codes])])
         if len(new):
-            seen = count_of(self.filter.levels(pair_grams(new), self.least))
-            s, t = np.divmod(new, CLASSES + 2)
-            alone = np.maximum(self.sizes[t], 1e-9) / self.total
-            self.steps[new] = np.log10((np.minimum(seen, self.sizes[s]) + PRIOR * alone) / (self.sizes[s] + PRIOR))
+            v, w = np.divmod(new, CLASSES + 2)
+            seen = np.minimum(count_of(self.filter.levels(grams_of(v, w))), np.minimum(self.counts[v], self.counts[w]))
+            alone = np.maximum(self.counts[w], 1e-9) / self.total
+            self.steps[new] = np.log10((seen + PRIOR * alone) / (self.counts[v] + PRIOR))
         return self.steps[codes]
 
 
@@ -266,47 +374,49 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     ends = end[0] if end else 0
     head = most_frequent(words)
     ranked = [w for w in sorted(head, key=lambda w: (-head[w], w)) if w != END]
-    classes = {w: k + 2 for k, w in enumerate(ranked[:CLASSES])}
-    pairs = common.saved(count_pairs(rows.filter(training), classes), "pairs")
-    bits, least = build_filter(gram_table(words.filter(F.col("word") != F.lit(END)), pairs))
-    out_level = F.floor(F.log(F.col("n").cast("double")) / math.log(BASE) + 1e-9) + 1 < least
-    left_out = words.filter(out_level).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    sizes = np.zeros(CLASSES + 2)
-    sizes[1] = ends
-    for w, k in classes.items():
-        sizes[k] = head[w]
-    sizes[0] = n - sizes.sum() + once
-    total, unknown = max(n + once, 1), once + left_out
-    shared, key = spark.sparkContext.broadcast((bits, head, classes, sizes)), uuid.uuid4().hex
+    ranks = {END: 1} | {w: k + 2 for k, w in enumerate(ranked)}
+    pairs = common.saved(count_pairs(rows.filter(training), ranks), "pairs")
+    frequent = (F.col("v") < CLASSES + 2) & (F.col("w") < CLASSES + 2)
+    bits, _ = build_filter(gram_table(pairs.filter(frequent)))
+    filters, shards = build_shards(pairs.filter(~frequent).union(tail_words(words, ranks)))
+    ids = np.zeros(max(CLASSES, len(ranked)) + 2)
+    ids[1] = ends
+    ids[2 : len(ranked) + 2] = [head[w] for w in ranked]
+    total, unknown = max(n + once, 1), max(once, 1e-9)
+    shared, key = spark.sparkContext.broadcast((bits, head, ranks, ids)), uuid.uuid4().hex
     norm = math.log10(n + v + 1)
     end_base = math.log10(ends + 1) - norm
-    names = ["row", "doc_id", "total", "known", "base", "own", "word", "m"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64()]
+    names = ["row", "doc_id", "total", "known", "base", "own", "word", "m", "v", "w"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         # a number for each row, since rows may share an id
         row = TaskContext.get().partitionId() << 40
-        bits, head, classes, sizes = shared.value
+        bits, head, ranks, ids = shared.value
         if key not in _models:
             _models.clear()
-            _models[key] = Model(bits, least, total, unknown, classes, sizes)
+            _models[key] = Model(bits, total, ids)
         model = _models[key]
-        table = model.table
         for b in batches:
             texts = b.column(1).to_pylist()
-            codes, tokens = pair_codes(texts, classes)
-            steps = np.concatenate(([0.0], np.cumsum(model.contexts(codes), dtype=np.float64)))
-            edge = np.cumsum([0, *tokens])
-            added = (steps[edge[1:]] - steps[edge[:-1]]).tolist()
+            before, token, tokens = neighbours(texts, ranks)
+            of = np.repeat(np.arange(len(texts)), tokens)
+            near = (before < CLASSES + 2) & (token < CLASSES + 2)
+            steps = -np.log10(ids[np.where(before < TAIL_BIT, before, 0)] + PRIOR)
+            steps[near] = model.contexts(before[near] * (CLASSES + 2) + token[near])
+            added = np.bincount(of, steps, len(texts)).tolist()
+            far = np.flatnonzero(~near)
+            grams = _mix(grams_of(before[far], token[far]) + of[far].astype(np.uint64))
+            _, at, repeats = np.unique(grams, return_index=True, return_counts=True)
+            at = far[at]
+            asked = (row + of[at], before[at], token[at], repeats)
             counts = [Counter(words_of(x)) for x in texts]
-            table.fill(w for c in counts for w in c)
             first, rows, tail, many = row, [], [], []
             for c, context in zip(counts, added, strict=True):
                 known, base, own, rest = int(ends > 0), end_base, context, 0
                 for w, m in c.items():
-                    own += m * table[w]
                     if (seen := head.get(w)) is None:
                         tail.append((row, w, m))
                         rest += m
@@ -317,17 +427,24 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
                 row += 1
             size, known, base, own = zip(*rows, strict=True) if rows else ((),) * 4
             at, words_, many = zip(*tail, strict=True) if tail else ((),) * 3
-            whole = [range(first, row), b.column(0).to_pylist(), size, known, base, own, [None] * len(rows), [None] * len(rows)]
-            apart = [at, *[[None] * len(at)] * 5, words_, many]
-            for part in (whole, apart):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(part, types, strict=True)], names)
-
-    schema = "row long, doc_id long, total long, known long, base double, own double, word binary, m long"
+            whole = [range(first, row), b.column(0).to_pylist(), size, known, base, own, *[[None] * len(rows)] * 4]
+            apart = [at, *[[None] * len(at)] * 5, words_, many, *[[None] * len(at)] * 2]
+            empty = pa.nulls(len(asked[0]))
+            pairs = [asked[0], *[empty] * 6, asked[3], asked[1], asked[2]]
+            for part in (whole, apart, pairs):
+                yield pa.RecordBatch.from_arrays([c.cast(t) if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(part, types, strict=True)], names)
+
+    schema = "row long, doc_id long, total long, known long, base double, own double, word binary, m long, v long, w long"
     parts = common.saved(rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, schema), "parts")
     tails = parts.filter("word is not null").select("row", "word", "m").join(words, "word")
-    added = tails.groupBy("row").agg(F.sum("m").alias("more"), F.sum(F.col("m") * F.log10(F.col("n") + 1)).alias("gain"))
+    # a known word counts as the word before, too
+    before = F.sum(F.col("m") * (math.log10(PRIOR) - F.log10(F.col("n") + PRIOR))).alias("own")
+    added = tails.groupBy("row").agg(F.sum("m").alias("more"), F.sum(F.col("m") * F.log10(F.col("n") + 1)).alias("gain"), before)
+    probed = probe_shards(parts.filter("v is not null").select("row", "v", "w", "m"), filters, shards, ids, unknown, total)
+    both = added.unionByName(probed.select("row", F.lit(0).cast("long").alias("more"), F.lit(0.0).alias("gain"), "own"))
+    added = both.groupBy("row").agg(*[F.sum(c).alias(c) for c in ("more", "gain")], F.sum("own").alias("more_own"))
     return (
-        parts.filter("word is null")
+        parts.filter("total is not null")
         .join(added, "row", "left")
         .select(
             "doc_id",
@@ -336,6 +453,6 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
             (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
             F.lit(n).cast("long").alias("train_tokens"),
             (F.col("base") + F.coalesce("gain", F.lit(0.0))).alias("base_score"),
-            F.col("own").alias("score"),
+            (F.col("own") + F.coalesce("more_own", F.lit(0.0))).alias("score"),
         )
     )
