@@ -77,6 +77,28 @@ def test_every_ngram_is_in_a_shard_however_many(spark):
     assert (got.own[got.row >= n + 2] < 0).mean() > 0.8
 
 
+def test_pairs_of_rare_words_count_as_pairs(spark):
+    """Words beyond the classes, and beyond the head, against a model of exact pairs."""
+    common_, mid = [f"c{k}" for k in range(2500)], [f"m{k}" for k in range(40)]
+    rare = [f"r{k}" for k in range(70000)]  # of one count, and too many for the head
+    texts = [" ".join(rare[k : k + 1000]) for k in range(0, 70000, 1000)] * 2 + [" ".join(common_)] * 12
+    texts += [" ".join(x for k in range(j, 70000, 4000) for x in (rare[k], mid[k % 40])) for j in range(20)]
+    rows = list(enumerate(texts))
+    held = [" ".join(rare[7:60]), " ".join(rare[7:60:2]), " ".join(common_[2100:2200]), " ".join(common_[2100:2200][::-1]), "zz " + rare[0] + " " + mid[0] + " zz zz zz", f"{rare[4]} {mid[4]} {rare[5]} c1 {rare[9]}", ""]
+    rows += [(10_000 + k, t) for k, t in enumerate(held)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id - 10_000: r.score for r in lmscore.score(docs, F.col("doc_id") < 10_000).collect() if r.doc_id >= 10_000}
+    seq = lambda t: ["$", *t.split(), "$"]
+    c, c2 = Counter(w for t in texts for w in seq(t)[1:]), Counter(x for t in texts for x in zip(seq(t)[:-1], seq(t)[1:], strict=True))
+    once = sum(x == 1 for x in c.values())
+    total = sum(c.values()) + once
+    for k, t in enumerate(held):
+        s = seq(t)
+        want = sum(math.log10((c2[v, w] + 20 * (c[w] or max(once, 1e-9)) / total) / (c[v] + 20)) for v, w in zip(s[:-1], s[1:], strict=True))
+        assert abs(got[k] - want) <= 0.18 * (len(s) - 1), (k, got[k], want)
+    assert got[0] / 54 > got[1] / 28 + 1 and got[2] > got[3] + 50
+
+
 def test_ties_of_pair_codes():
     codes, sizes = lmscore.pair_codes(["a b", None, "b"], {b"a": 2})
     w = lmscore.CLASSES + 2
