@@ -1,0 +1,34 @@
+import numpy as np
+
+import corpus_pipeline
+from tidegauge.llm import nearcopies
+
+
+def similarity(a, b):
+    a, b = ({tuple(t.split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))} for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_the_stage_joins_all_copies_of_similarity_08_and_no_others(spark):
+    """Pairs just above 0.8 go, pairs just below stay."""
+    rng = np.random.default_rng(6)
+    rows, same = [], []
+    for k in range(120):
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 304)]
+        other = list(words)
+        n = 6 if k % 2 else 7 + k % 7  # six changes of five shingles each: 270 of 330 are shared, 0.818; from seven on it is 0.79 at most
+        for at in range(n):
+            other[20 + 22 * at] = f"z{k}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        same.append(similarity(rows[-1][1], rows[-2][1]) >= 0.8)
+    rows += [(1000, None), (1001, "  "), (1002, "A b c"), (1003, "a  B c"), (None, "a b c"), (1005, "one two three")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r.doc_id for r in corpus_pipeline.without_near_copies(spark, docs, "").collect()]
+    assert {i for i in kept if i is not None and i < 1000} == set(range(0, 240, 2)) | {2 * k + 1 for k in range(120) if not same[k]}
+    assert sum(same) == 60 and sorted(str(i) for i in kept if i is None or i >= 1000) == ["1000", "1002", "1005", "None"]
+    assert corpus_pipeline.without_near_copies(spark, docs.limit(0), "").count() == 0
+
+
+def test_links_go_on_over_members_that_are_no_neighbours():
+    sets = [np.arange(k, k + 100, dtype=np.uint64) for k in (20, 0, 10, 30, 500)]  # 0.82 in steps of 10, 0.67 in steps of 20
+    assert sorted(sorted(x) for x in nearcopies.link_bucket(sets, 0.8)) == [[0, 2], [0, 3], [1, 2]]

@@ -1,0 +1,135 @@
+"""Near copies by the similarity of their sets of word shingles: MinHash bands as candidates, exact verification.
+
+A text's set holds the XXH64 hashes (seed 42) of its runs of `words` words. Texts of one set have one print and
+are one. Of every set, BANDS * ROWS minima under mixed hashes are taken; each band of ROWS minima is a key. Two
+sets of similarity s share a key with probability 1 - (1 - s^4)^16: 0.9998 at 0.8, 1 beyond. Buckets with at
+least two prints get the sets themselves, and a link is reported if the similarity of the two sets, computed on
+all shingles, is at least `similarity` and the two aren't connected yet in this bucket.
+
+A null or blank text has the empty set. Rows that share an id stay or go together; rows with a null id stay.
+An empty table gives an empty result. A bucket's sets meet in one task.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidegauge.llm import common
+from tidegauge.llm.chunks import release
+from tidegauge.llm.components import components
+
+WORDS, SIMILARITY = 5, 0.8
+BANDS, ROWS = 16, 4
+_rng = np.random.default_rng(8)
+_ADD, _MUL = (_rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1) for _ in range(2))
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The sorted distinct hashes of the runs of words; of all words, if they are fewer."""
+    own = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not own:
+        return np.zeros(0, np.uint64)
+    n = max(1, len(own) - words + 1)
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(b" ".join(own[k : k + words]), 42) for k in range(n)), np.uint64, n))
+
+
+def print_of(own: np.ndarray) -> str:
+    return xxhash.xxh3_128_hexdigest(own.tobytes())
+
+
+def band_keys(own: np.ndarray) -> list[int]:
+    """One key for each band; none for the empty set."""
+    if not len(own):
+        return []
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for k in range(0, len(own), 1 << 12):
+        h = (own[None, k : k + (1 << 12)] ^ _ADD[:, None]) * _MUL[:, None]
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        least = np.minimum(least, (h ^ (h >> np.uint64(32))).min(1))
+    bands = least.reshape(BANDS, ROWS)
+    return [xxhash.xxh64_intdigest(b.tobytes(), k) - (1 << 63) for k, b in enumerate(bands)]
+
+
+def link_bucket(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that connect the sets of similarity `similarity` or more, directly or in steps; pivot by pivot."""
+    part, sizes, out = np.arange(len(sets)), np.array([len(s) for s in sets]), []
+    for i in range(len(sets) - 1):
+        small, large = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
+        apart = i + 1 + np.flatnonzero((part[i + 1 :] != part[i]) & (small[i + 1 :] >= similarity * large[i + 1 :] - 1e-9))
+        if not len(apart):
+            if (part == part[0]).all():
+                break
+            continue
+        flat = np.concatenate([sets[j] for j in apart])
+        at = np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)
+        both = np.bincount(np.repeat(np.arange(len(apart)), sizes[apart]), sets[i][at] == flat, len(apart))
+        for j in apart[both >= similarity * (sizes[apart] + sizes[i] - both) - 1e-9]:
+            if part[j] != part[i]:
+                part[part == part[j]] = part[i]
+                out.append((i, int(j)))
+    return out
+
+
+def near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, component_id (smallest id reachable over links) for every row."""
+    common.text_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for b in batches:
+            own = [shingles(x, words) for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([print_of(s) for s in own], pa.string()), pa.array([band_keys(s) for s in own], pa.list_(pa.int64()))], ["doc_id", "print", "keys"])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [shingles(x, words) for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([print_of(s) for s in own], pa.string()), pa.array([s.tobytes() for s in own], pa.binary())], ["print", "hashes"])
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, names, sets = None, [], []
+
+        def out() -> pa.RecordBatch:
+            found = link_bucket(sets, similarity)
+            return pa.RecordBatch.from_arrays([pa.array([names[x[k]] for x in found], pa.string()) for k in (0, 1)], ["a", "b"])
+
+        for b in batches:
+            for key, name, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if key != last:
+                    if len(sets) > 1:
+                        yield out()
+                    last, names, sets = key, [], []
+                names.append(name)
+                sets.append(np.frombuffer(own, np.uint64))
+        if len(sets) > 1:
+            yield out()
+
+    prints = common.saved(rows.mapInArrow(sign, "doc_id long, print string, keys array<long>"), "prints")
+    least = prints.groupBy("print").agg(F.min("doc_id").alias("least"), F.first("keys").alias("keys"))
+    keyed = least.select("print", F.explode("keys").alias("key"))
+    several = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
+    candidates = common.saved(keyed.join(several, "key"), "candidates").select("key", "print")
+    wanted = candidates.select("print").distinct()
+    ids = prints.join(wanted, "print", "left_semi").select(F.coalesce("doc_id", F.lit(0).cast("long")).alias("id"))
+    pages = common.saved(common.bit_filter(ids, F.col("id")), "pages")
+    texts = common.maybe_in(rows, F.coalesce("doc_id", F.lit(0).cast("long")), pages).select("text")
+    sets = common.saved(texts.mapInArrow(gather, "print string, hashes binary").join(wanted, "print", "left_semi").dropDuplicates(["print"]), "sets")
+    buckets = candidates.join(sets, "print").select("key", "print", "hashes").repartition("key").sortWithinPartitions("key")
+    found = components(buckets.mapInArrow(sweep, "a string, b string"))
+    rooted = least.join(found, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
+    tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    label = common.saved(rooted.join(tops, "root").select("print", "component_id"), "labels")
+    return prints.join(label, "print").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, words: int = WORDS, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of docs that stay, with all their columns: those whose id is the smallest of its component."""
+    label = near_copies(docs, words, similarity, id_col, text_col)
+    stays = label.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    return common.without_ids(docs, id_col, stays.filter("not stays").select("doc_id"))
