@@ -195,3 +195,15 @@ def test_percentages(spark):
     r = quality.summary(df, ["signal"]).collect()
     assert len(r) == 1 and (r[0].total_windows, r[0].good_pct) == (3, pytest.approx(33.33))
     assert stats.bad_rate(df, ["signal"]).filter("signal = 't'").first().bad == 1
+
+
+def test_no_frame_is_left_out_of_video_flags(spark, tmp_path):
+    """A user with more rows than six windows of 15 frames has as many windows as they fill."""
+    from tidegauge.plans.queries import QUERIES
+
+    rows = [(k, 1, k, 1.0) for k in range(200)] + [(200 + k, 2, k, 1.0) for k in range(20)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, s long, value double")
+    events.select("event_id", "user_id", F.timestamp_seconds(F.col("s") + 1704067200).alias("ts"), F.lit("a").alias("event_type"), "value").write.parquet(f"{tmp_path}/events.parquet")
+    got = QUERIES["q_video_flags"](spark, str(tmp_path)).collect()
+    assert sorted(r.window_id for r in got if r.user_id == 1) == list(range(14)) and sorted(r.window_id for r in got if r.user_id == 2) == list(range(6))
+    assert all((r.window_blur is not None) == (r.window_id < (14 if r.user_id == 1 else 2)) for r in got)

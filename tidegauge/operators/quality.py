@@ -42,9 +42,10 @@ def _kept(keys: list[str]) -> list[str]:
     return [*keys, "window_id"]
 
 
-def _finish(samples: DataFrame, metrics: DataFrame, keys: list[str], windows: Windows, rules, extra=()) -> DataFrame:
-    """Metrics on the dense spine, with flags; rules: function of nothing that reads the metric columns."""
-    dense = timewin.spine(samples.select(*keys).distinct(), windows.count).join(metrics, _kept(keys), "left")
+def _finish(samples: DataFrame, metrics: DataFrame, keys: list[str], windows: Windows, rules, extra=(), own: DataFrame | None = None) -> DataFrame:
+    """Metrics on the dense spine, with flags; rules: function of nothing that reads the metric columns; own: keys and their own number of windows, _n."""
+    spine = timewin.spine(samples.select(*keys).distinct(), windows.count) if own is None else timewin.spine(own, F.col("_n")).drop("_n")
+    dense = spine.join(metrics, _kept(keys), "left")
     for name, default in extra:
         dense = dense.withColumn(name, F.coalesce(name, F.lit(default)))
     own = [c for c in dense.columns if c not in _kept(keys)]
@@ -252,11 +253,13 @@ def audio(samples: DataFrame, keys: list[str], rate: float, width_s: float, clip
     )
 
 
-def video(frames: DataFrame, keys: list[str], fps: float, width_s: float, count: int, blur: tuple = (100.0, 50.0), clipped: tuple = (0.1, 0.3), face: tuple = (0.78, 0.5)) -> DataFrame:
-    """frames: keys, frame, lap_var, clipped_ratio, face. Windows without frames are BAD."""
+def video(frames: DataFrame, keys: list[str], fps: float, width_s: float, count: int, blur: tuple = (100.0, 50.0), clipped: tuple = (0.1, 0.3), face: tuple = (0.78, 0.5), whole: bool = False) -> DataFrame:
+    """frames: keys, frame, lap_var, clipped_ratio, face. Windows without frames are BAD; whole: keys with frames beyond `count` windows have as many more."""
     size = max(1, round(fps * width_s))
     windows = Windows(round(width_s * SECOND), count)
-    rows = frames.withColumn("window_id", timewin.whole(F.col("frame"), size)).filter(F.col("window_id") < count)
+    rows = frames.withColumn("window_id", timewin.whole(F.col("frame"), size))
+    rows = rows if whole else rows.filter(F.col("window_id") < count)
+    own = rows.groupBy(*keys).agg(F.greatest(F.lit(count), F.max("window_id") + 1).alias("_n")) if whole else None
     metrics = rows.groupBy(*_kept(keys)).agg(_n4(F.avg("lap_var")).alias("window_blur"), _n4(F.avg("clipped_ratio")).alias("window_clipping"), _n4(F.avg("face")).alias("face_detection_rate"))
     rules = lambda: [
         *R.at_least(F.col("window_blur"), *blur),
@@ -264,7 +267,7 @@ def video(frames: DataFrame, keys: list[str], fps: float, width_s: float, count:
         *R.at_least(F.col("face_detection_rate"), *face),
         (F.col("window_blur").isNull(), "BAD", "ARTIFACT"),
     ]
-    return _finish(frames, metrics, keys, windows, rules)
+    return _finish(frames, metrics, keys, windows, rules, own=own)
 
 
 def summary(flags: DataFrame, keys: list[str]) -> DataFrame:

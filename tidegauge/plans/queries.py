@@ -203,7 +203,7 @@ def video_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = samples(spark, sf_dir).select(
         "user_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("t")) - 1).alias("frame"), (c % 300).alias("lap_var"), ((c % 100) / 200.0).alias("clipped_ratio"), (c % 4 > 0).cast("int").alias("face")
     )
-    return quality.video(rows, KEYS, 15, 1.0, 6, blur=(150, 120), clipped=(0.25, 0.3))
+    return quality.video(rows, KEYS, 15, 1.0, 6, blur=(150, 120), clipped=(0.25, 0.3), whole=True)
 
 
 @query(f"WITH {E} SELECT user_id, k AS window_id, count(*) AS n, sum(c) / count(*)::DOUBLE AS mean_c FROM e, range({DAYS}) r(k) WHERE t >= (k + 1) * {DAY} - {7 * DAY} AND t < (k + 1) * {DAY} GROUP BY ALL")
