@@ -207,3 +207,17 @@ def test_no_frame_is_left_out_of_video_flags(spark, tmp_path):
     got = QUERIES["q_video_flags"](spark, str(tmp_path)).collect()
     assert sorted(r.window_id for r in got if r.user_id == 1) == list(range(14)) and sorted(r.window_id for r in got if r.user_id == 2) == list(range(6))
     assert all((r.window_blur is not None) == (r.window_id < (14 if r.user_id == 1 else 2)) for r in got)
+
+
+def test_models_read_all_components_and_every_k(spark, monkeypatch):
+    from tidegauge.operators import ml
+    from tidegauge.plans.queries import QUERIES
+
+    seen = {}
+    # what each operator is asked for, without its fits
+    monkeypatch.setattr(ml, "kmeans", lambda points, key, columns, ks, seed=42, starts=10, good=0.5: seen.update(kmeans=(len(columns), points.count(), ks, starts)) or (points, 0, {}))
+    monkeypatch.setattr(ml, "pca", lambda df, train, columns, most=3: seen.update(pca=len(columns)) or df.withColumn("pc", F.array()))
+    monkeypatch.setattr(ml, "lda", lambda df, group, label, columns, keep, most=3: seen.update(lda=len(columns)))
+    for name in ("q_kmeans", "q_pca", "q_lda"):
+        QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert seen == {"kmeans": (64, 40, range(2, 42), 10), "pca": 64, "lda": 64}

@@ -567,18 +567,18 @@ def eeg_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.eeg(rows, ["entity_id"], 32.0, 1.0, noise)
 
 
-def vectors(spark: SparkSession, sf_dir: str, dims: int = 8) -> DataFrame:
+def vectors(spark: SparkSession, sf_dir: str, dims: int = 64) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", "label", (F.col("vec_id") % 4).alias("entity"), *[F.col("embedding")[k].cast("double").alias(f"x{k}") for k in range(dims)])
 
 
 @query()
 def lda(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ml.lda(vectors(spark, sf_dir), ["entity"], "label", [f"x{k}" for k in range(8)], ["vec_id"])
+    return ml.lda(vectors(spark, sf_dir), ["entity"], "label", [f"x{k}" for k in range(64)], ["vec_id"])
 
 
 @query()
 def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = [f"x{k}" for k in range(8)]
+    names = [f"x{k}" for k in range(64)]
     rows = vectors(spark, sf_dir)
     scaled = ml.scale(ml.impute(rows, rows, names), rows, names)
     return ml.pca(scaled, scaled, names).select("vec_id", "pc")
@@ -586,8 +586,8 @@ def pca(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    means = vectors(spark, sf_dir).groupBy((F.col("label") * 4 + F.col("entity")).alias("id")).agg(*[F.avg(f"x{k}").alias(f"x{k}") for k in range(3)])
-    return ml.kmeans(means, "id", ["x0", "x1", "x2"], range(2, 6), starts=3)[0]
+    means = vectors(spark, sf_dir).groupBy((F.col("label") * 4 + F.col("entity")).alias("id")).agg(*[F.avg(f"x{k}").alias(f"x{k}") for k in range(64)])
+    return ml.kmeans(means, "id", [f"x{k}" for k in range(64)], range(2, 42))[0]
 
 
 @query()
