@@ -27,9 +27,10 @@ class ChunkTable(dict):
         super().__init__()
         self.segment, self.limit = segment, limit
 
-    def fill(self, chunks: Iterable[str]) -> None:
+    def fill(self, parts: Iterable[Iterable[str]]) -> None:
+        """Segments those chunks of all parts that aren't in the table yet."""
         release(self)
-        own = set(chunks)
+        own = set().union(*parts)
         new = list(own.difference(self))
         if new:
             if len(self) + len(new) > self.limit:

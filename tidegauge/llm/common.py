@@ -7,8 +7,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,19 @@ def text_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches in batches of some `size` bytes: a batch beyond that goes on alone."""
+    held, n = [], 0
+    for b in batches:
+        if held and n + b.nbytes > size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n = [], 0
+        held.append(b)
+        n += b.nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)

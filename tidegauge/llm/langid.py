@@ -152,7 +152,7 @@ def entropies(docs: DataFrame, model: Model, *more: str) -> DataFrame:
         model, table = _tables[key]
         for b in batches:
             counts = [Counter(words_of(x)) for x in b.column(1).to_pylist()]
-            table.fill(w for c in counts for w in c)
+            table.fill(counts)
             n, bits = [], []
             for c in counts:
                 size = sum((len(w) + 1) * m for w, m in c.items())

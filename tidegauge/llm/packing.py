@@ -37,6 +37,8 @@ SHARES = 64
 
 #: Chunks that a worker's table holds (some 200 MB), and those that are tokenised together.
 WORDS_HELD, TOGETHER = 800_000, 1000
+#: Bytes of texts whose new chunks are tokenised together.
+BATCH_BYTES = 8 << 20
 #: Letters below the combining marks, then perhaps punctuation: one or two of the vocabulary's words.
 PLAIN = re.compile("[A-Za-z\u00e0-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+([.,;:!?|]+)?")
 
@@ -88,7 +90,7 @@ def chunked(text: str) -> list[str]:
 
 def ids_of(texts: list[str | None], table: ChunkTable) -> Iterator[bytes]:
     parts = [chunked(x or "") for x in texts]
-    table.fill(c for p in parts for c in p)
+    table.fill(parts)
     end = np.array([END_ID], "<u4").tobytes()
     for p in parts:
         yield b"".join([*map(table.__getitem__, p), end])
@@ -101,7 +103,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = token_table(tokenizer)
-        for b in batches:
+        for b in common.together(batches, BATCH_BYTES):
             out: list[list] = [[] for _ in range(5 + with_ids)]
             for doc_id, ids in zip(b.column(0).to_pylist(), ids_of(b.column(1).to_pylist(), table), strict=True):
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):

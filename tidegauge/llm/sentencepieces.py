@@ -80,7 +80,7 @@ def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str =
             rows = []
             if split:
                 parts = [chunks_of(x) for x in texts]
-                table.fill(c for p in parts for c in p)
+                table.fill(parts)
                 for p in parts:
                     own = [table[c] for c in p]
                     rows.append((sum(x[1] for x in own), ",".join([x[0] for x in own]), " ".join([x[2] for x in own])))
