@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tidegauge.llm import common, langid, lmscore, quality
@@ -42,39 +43,70 @@ def test_base_scores_are_exact_and_the_model_is_close(spark):
     assert lmscore.score(docs.limit(0), trained).count() == 0
 
 
-def test_the_filter_gives_levels_back(spark):
+def test_words_are_read_in_blocks_as_in_plain_python():
+    texts = ["a b", None, "", "Abc ABC\x0babc\x1cabc  ", "x" * 2_500_000 + " y " + "z" * 10, " ", "é ü q", "w1 W1 " * 300_000, "\u2003a\u00a0b c\td"]
+    got, ids = [[] for _ in texts], {}
+    for doc, h in lmscore.words(pa.array(texts)):
+        for k, x in zip(doc.tolist(), h.tolist(), strict=True):
+            got[k].append(x)
+    for text, own in zip(texts, got, strict=True):
+        plain = (text or "").encode().lower().split()
+        assert len(own) == len(plain)
+        assert all(ids.setdefault(w, h) == h for w, h in zip(plain, own, strict=True))
+    assert len(set(ids.values())) == len(ids)
+    sliced = pa.array(["q", "a b", None, "c"]).slice(1, 2)
+    assert [(d.tolist(), len(h)) for d, h in lmscore.words(sliced)] == [([0, 0], 2)]
+    steps = [(d, v, w) for x in lmscore.steps(pa.array(["a b", "", None])) for d, v, w in zip(*(c.tolist() for c in x), strict=True)]
+    x, y, end = lmscore.hash_of("a"), lmscore.hash_of("b"), int(lmscore.END)
+    assert sorted(steps) == sorted([(0, end, x), (0, x, y), (0, y, end), (1, end, end), (2, end, end)])
+
+
+def test_the_filter_gives_levels_back():
     rng = np.random.default_rng(0)
-    grams = rng.integers(0, 2**62, 20000).astype(np.int64)
+    grams = rng.integers(0, 2**40, 20000).astype(np.uint64)
     n = rng.integers(1, 100000, 20000)
-    df = spark.createDataFrame(list(zip(grams.tolist(), n.tolist())), "gram long, n long")
-    bits, least = lmscore.build_filter(df)
-    assert least == 1
-    f = lmscore.Filter(bits)
-    found, true = f.levels(grams.view(np.uint64)), lmscore.level_of(n)
+    f = lmscore.Filter.of(grams, n)
+    found, true = f.levels(grams), lmscore.level_of(n)
     assert (found >= true).all() and (found == true).mean() > 0.99
-    assert (f.levels(rng.integers(2**62, 2**63, 20000).astype(np.uint64)) > 0).mean() < 0.01
-    assert np.abs(np.log(lmscore.count_of(true) / n)).max() < math.log(lmscore.BASE)
+    assert (f.levels(rng.integers(2**40, 2**41, 20000).astype(np.uint64)) > 0).mean() < 0.02
+    assert (lmscore.LOW[true] <= n).all() and (n / lmscore.LOW[true]).max() < 1.5
+    assert lmscore.LOW[lmscore.level_of(np.array([1, 2, 3, 4]))].tolist() == [1, 2, 3, 4]
+    assert lmscore.Filter.of(grams[:0], n[:0]).levels(grams).max() == 0
+
+
+def test_counts_over_a_byte_and_packing():
+    own, n = lmscore._bytes_of_counts(np.array([5, 6, 7, 8], np.uint64), np.array([1, 255, 256, 1000]))
+    back = lmscore._tally([own], [n])
+    assert back[0].tolist() == [5, 6, 7, 8] and back[1].tolist() == [1, 255, 256, 1000]
+    x = np.array([0, 1, 2**40 - 1], np.uint64)
+    assert lmscore._unpack(lmscore._pack(x, 5), 5).tolist() == x.tolist()
 
 
 def test_most_frequent_words_are_whole_levels(spark):
-    rows = [(b"a%d" % k, 1 + k // 3) for k in range(300)] + [(b"x" * 100, 1000)]
-    words = spark.createDataFrame(rows, "word binary, n long")
+    words = spark.createDataFrame([(k, 1 + k // 3) for k in range(300)], "word long, n long")
     got = lmscore.most_frequent(words, 50)
-    assert 30 < len(got) <= 50 and min(got.values()) > max(n for w, n in rows if w not in got and len(w) <= 64)
+    assert 30 < len(got) <= 50 and min(got.values()) > max(1 + k // 3 for k in range(300) if k not in got)
     assert len(lmscore.most_frequent(words, 1000)) == 300 and lmscore.most_frequent(words.limit(0)) == {}
 
 
-def test_every_ngram_is_in_a_shard_however_many(spark):
-    n = 200_000
-    df = spark.range(2, n + 2).select(F.col("id").alias("v"), F.lit(2).cast("long").alias("w"), F.lit(10**10).alias("n"))
-    filters, shards = lmscore.build_shards(df)
-    assert shards > lmscore.SHARDS  # 57 levels each: 11.4 million entries, and as many bits as they need
-    asked = df.select(F.col("v").alias("row"), "v", "w", F.lit(1).cast("long").alias("m"))
-    both = asked.union(asked.select(F.col("row") + n, F.col("v") + n, "w", "m"))
-    got = lmscore.probe_shards(both, filters, shards, np.full(2 * n + 2, 1e12), 1.0, 10**15).toPandas()
-    own = got.own[got.row < n + 2]
-    assert len(got) == 2 * n and ((own > 9.8) & (own < 10.2)).mean() > 0.99 and own.min() > 9.8
-    assert (got.own[got.row >= n + 2] < 0).mean() > 0.8
+def test_scores_are_those_of_a_distribution(spark):
+    """With counts up to 4 nothing is lost in quantising: p sums to 1 over known words, the end and the unknown word."""
+    training = ["a b c", "a b", "a c", "b a b", "d"] + ["e a"] * 3
+    seq = lambda t: ["$", *t.split(), "$"]
+    c = Counter(w for t in training for w in seq(t)[1:])
+    c2 = Counter(x for t in training for x in zip(seq(t)[:-1], seq(t)[1:], strict=True))
+    once, n = sum(x == 1 for x in c.values()), sum(c.values())
+    low = lambda x: float(lmscore.LOW[lmscore.level_of(np.array([x]))[0]]) if x else 0.0
+    p = lambda w, v: (low(c2[v, w]) + 20 * (c[w] or max(once, 1e-9)) / (n + once)) / (c[v] + 20)
+    for v in [*c, "unknown"]:
+        total = sum(p(w, v) for w in c) + p("unknown", v)
+        assert abs(total - 1) < 1e-9 if v not in ("$",) else total <= 1 + 1e-9
+    held = ["a b", "b a c d", "x a", "", "e e e", "a x x b"]
+    docs = spark.createDataFrame(list(enumerate(training)) + [(100 + k, t) for k, t in enumerate(held)], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in lmscore.score(docs, F.col("doc_id") < 100).collect()}
+    for k, t in [*enumerate(training), *[(100 + k, t) for k, t in enumerate(held)]]:
+        want = sum(math.log10(p(w, v)) for v, w in zip(seq(t)[:-1], seq(t)[1:], strict=True))
+        assert abs(got[k] - want) < 1e-4, (t, got[k], want)
 
 
 def test_pairs_of_rare_words_count_as_pairs(spark):
@@ -99,10 +131,13 @@ def test_pairs_of_rare_words_count_as_pairs(spark):
     assert got[0] / 54 > got[1] / 28 + 1 and got[2] > got[3] + 50
 
 
-def test_ties_of_pair_codes():
-    codes, sizes = lmscore.pair_codes(["a b", None, "b"], {b"a": 2})
-    w = lmscore.CLASSES + 2
-    assert sizes == [3, 1, 2] and codes.tolist() == [w + 2, 2 * w, 1, w + 1, w, 1]
+def test_repeated_rows_long_and_clashing_texts(spark):
+    text = "p q r " * 200_000
+    docs = spark.createDataFrame([(1, text, 0.0), (1, text, 1.0), (None, text, None), (3, None, None)], "doc_id long, text string, score double")
+    got = lmscore.score(docs, F.col("doc_id") == 1).collect()
+    own = [r for r in got if r.n_tokens > 1]
+    assert len(got) == 4 and {r.n_tokens for r in own} == {600_001} and len({round(r.score, 3) for r in own}) == 1
+    assert {r.train_tokens for r in got} == {1_200_002}
 
 
 def test_languages(spark):
