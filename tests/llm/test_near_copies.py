@@ -1,7 +1,7 @@
 import numpy as np
 
 import corpus_pipeline
-from tidegauge.llm import nearcopies
+from tidegauge.llm import simhash
 
 
 def similarity(a, b):
@@ -31,4 +31,18 @@ def test_the_stage_joins_all_copies_of_similarity_08_and_no_others(spark):
 
 def test_links_go_on_over_members_that_are_no_neighbours():
     sets = [np.arange(k, k + 100, dtype=np.uint64) for k in (20, 0, 10, 30, 500)]  # 0.82 in steps of 10, 0.67 in steps of 20
-    assert sorted(sorted(x) for x in nearcopies.link_bucket(sets, 0.8)) == [[0, 2], [0, 3], [1, 2]]
+    assert sorted(sorted(x) for x in simhash.link_sets(sets, 0.8)) == [[0, 2], [0, 3], [1, 2]]
+
+
+def test_copies_between_chunks_of_a_large_component_are_found(spark, monkeypatch):
+    """A chain in which only neighbours are copies, over more bytes than one task compares."""
+    monkeypatch.setattr(simhash, "CHUNK", 20_000)
+    rng = np.random.default_rng(7)
+    words = [f"w{x}" for x in rng.integers(0, 10**6, 1600)]
+    rows = [(k, " ".join(words[30 * k : 30 * k + 400])) for k in range(40)]  # 366 of 426 shingles are shared with the next: 0.86
+    rows += [(100 + k, " ".join(f"q{x}" for x in rng.integers(0, 10**6, 80))) for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs, 5, 0.8).collect()}
+    assert got == {k: 0 if k < 40 else k for k, _ in rows}
+    apart = spark.createDataFrame([r for r in rows if r[0] % 2 == 0], docs.schema)  # 332 of 460: 0.72
+    assert all(r.doc_id == r.component_id for r in simhash.near_copies(apart, 5, 0.8).collect())

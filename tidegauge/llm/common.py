@@ -10,6 +10,7 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,6 +62,11 @@ def together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
+def ragged(raw: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes between the bounds, as binary values."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw).view(np.uint8))])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)

@@ -262,11 +262,6 @@ def _unpack(raw: np.ndarray, width: int) -> np.ndarray:
     return out.view("<u8").ravel().astype(np.uint64)
 
 
-def _ragged(raw: np.ndarray, bounds: np.ndarray) -> pa.Array:
-    """The bytes between the bounds, as binary values."""
-    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw).view(np.uint8))])
-
-
 def _raw(column: pa.Array, first: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of some binary values in a row, and the size of each."""
     off = np.frombuffer(column.buffers()[1], np.int32)[column.offset + first : column.offset + stop + 1]
@@ -333,7 +328,7 @@ def build(docs: DataFrame, head: Head) -> DataFrame:
         there, first = np.unique(shard, return_index=True)
         bounds, inside = np.append(first, len(shard)), np.append(np.searchsorted(of, there), len(of))
         return pa.RecordBatch.from_arrays(
-            [pa.array(there.astype(np.int32)), _ragged(_pack(gram, 8), inside * 8), _ragged(n, inside), _ragged(_pack(own, GRAM_BYTES), bounds * GRAM_BYTES), _ragged(own_n, bounds)], names
+            [pa.array(there.astype(np.int32)), common.ragged(_pack(gram, 8), inside * 8), common.ragged(n, inside), common.ragged(_pack(own, GRAM_BYTES), bounds * GRAM_BYTES), common.ragged(own_n, bounds)], names
         )
 
     def tally(head: Head, held: list[tuple[np.ndarray, np.ndarray]], near: np.ndarray) -> pa.RecordBatch:
@@ -472,10 +467,10 @@ def _ask(docs: DataFrame, head_of, filters_of) -> DataFrame:
                 pa.array(np.ones(n, np.int32)),
                 pa.array(np.full(n, batch, np.int64)),
                 pa.array(ones.astype(np.int32)),
-                _ragged(_pack(own[order], 8), words * 8),
-                _ragged(_pack(gram[far], GRAM_BYTES), bounds * GRAM_BYTES),
-                _ragged(refs[far].astype("<u2"), bounds * 2),
-                _ragged(doc[far].astype("<u2"), bounds * 2),
+                common.ragged(_pack(own[order], 8), words * 8),
+                common.ragged(_pack(gram[far], GRAM_BYTES), bounds * GRAM_BYTES),
+                common.ragged(refs[far].astype("<u2"), bounds * 2),
+                common.ragged(doc[far].astype("<u2"), bounds * 2),
             ],
             names,
         )
@@ -544,12 +539,12 @@ def _answer(asked: DataFrame, model: DataFrame, head_of) -> DataFrame:
         return pa.RecordBatch.from_arrays(
             [
                 b.column(2).slice(i, j - i),
-                _ragged((texts & 65_535).astype("<u2"), bounds * 2),
-                _ragged(np.bincount(at, gain, len(texts)).astype("<f4"), bounds * 4),
-                _ragged((tails & 65_535).astype("<u2"), inside * 2),
-                _ragged(np.bincount(at_tail, n[tail] > 0, len(tails)).astype("<u4"), inside * 4),
-                _ragged(np.bincount(at_tail, np.log10(n[tail] + 1), len(tails)).astype("<f4"), inside * 4),
-                _ragged(none, np.zeros(j - i + 1, np.int64)),
+                common.ragged((texts & 65_535).astype("<u2"), bounds * 2),
+                common.ragged(np.bincount(at, gain, len(texts)).astype("<f4"), bounds * 4),
+                common.ragged((tails & 65_535).astype("<u2"), inside * 2),
+                common.ragged(np.bincount(at_tail, n[tail] > 0, len(tails)).astype("<u4"), inside * 4),
+                common.ragged(np.bincount(at_tail, np.log10(n[tail] + 1), len(tails)).astype("<f4"), inside * 4),
+                common.ragged(none, np.zeros(j - i + 1, np.int64)),
             ],
             names,
         )
@@ -567,7 +562,7 @@ def _answer(asked: DataFrame, model: DataFrame, head_of) -> DataFrame:
                 elif kind[i] == 1:
                     yield probe(head, now, b, i, j)
                 else:
-                    empty = _ragged(none, np.zeros(j - i + 1, np.int64))
+                    empty = common.ragged(none, np.zeros(j - i + 1, np.int64))
                     yield pa.RecordBatch.from_arrays([b.column(2).slice(i, j - i), *[empty] * 5, b.column(5).slice(i, j - i)], names)
 
     blank = F.lit(b"").cast("binary")

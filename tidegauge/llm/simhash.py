@@ -12,11 +12,16 @@ pairs of segments: nothing is missed, and every candidate is verified on its 64
 
 With `blocks` over 1 a fingerprint has so many blocks of 64 bits, whose hashes come from the shingles' by
 mixing. Every block gives keys of its own, and links are verified on all blocks together: `bits` of them may
-differ. Beyond 4 the keys no longer promise every link. A share x of differing bits stands for a cosine of
-cos(pi x), and so for a similarity of cos / (2 - cos) of sets of shingles: 19 of 128 bits for 0.8. With these,
-of the near copies in 10,000 documents, all of similarity 0.9 or more were linked, 7 of 8 between 0.85 and
-0.9, 16 of 24 between 0.8 and 0.85, and 1 in 100 between 0.5 and 0.65.
+differ. Beyond 4 the keys no longer promise every link, but each block is another chance.
 
+With `similarity` the fingerprints only propose: two texts link if the sets of their shingles' hashes have an
+exact Jaccard similarity of `similarity` or more and their fingerprints lie in one component. A cosine c of two
+sets makes a share of arccos(c) / pi of the bits differ: 0.15 for sets of similarity 0.8. One block's keys meet
+there with probability 0.71, five blocks' with 0.998 (simulated), beside the paths over further copies; and
+VERIFIED_BITS of 320 is three standard deviations above the differing bits that are expected. Texts of one set
+are one. The sets of a component meet in one task, or those of two of its chunks if it has over CHUNK bytes.
+
+Keys travel packed, a row for each batch of fingerprints and shard. Shards follow the number of fingerprints.
 Only distinct fingerprints get keys. Inside a bucket, a link is reported only if it connects two parts
 that aren't connected yet, so a bucket of n reports at most n - 1 links; components are unchanged by this.
 
@@ -44,6 +49,10 @@ WORDS, BITS = 4, 4
 WIDTHS = (22, 21, 21)
 #: Generator polynomial of the Golay code, x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1.
 GENERATOR = 0xC75
+#: Blocks, and bits that may differ, where similarity is verified.
+VERIFIED_BLOCKS, VERIFIED_BITS = 5, 70
+#: Bytes of the sets that are verified in one task, but for a pair of chunks; least shards of keys, and keys of one.
+CHUNK, SHARDS, SHARD_KEYS = 16 << 20, 64, 1 << 20
 #: Buckets up to this size are compared all at once, larger ones by pivots.
 SMALL = 12
 #: Linked fingerprints that a task holds before it reports and forgets them.
@@ -58,19 +67,23 @@ def _mixed(h: np.ndarray, block: int) -> np.ndarray:
     return h
 
 
-def fingerprint(text: str | None, words: int = WORDS, blocks: int = 1) -> int:
-    """The blocks of 64 bits, the first one highest."""
+def shingle_hashes(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The hashes of the text's shingles in order, repeats included; none without words."""
     own = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not own:
-        return 0
+        return np.zeros(0, np.uint64)
     joined, n = b" ".join(own), max(1, len(own) - words + 1)
     ends = np.cumsum([len(w) + 1 for w in own]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
     stops = ends[min(words, len(own)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
-    out = 0
-    for block in range(blocks):
+    return np.fromiter((digest(joined[a:b], 42) for a, b in zip(starts, stops, strict=True)), np.uint64, n)
+
+
+def fingerprint_of(hashes: np.ndarray, blocks: int = 1) -> int:
+    """The blocks of 64 bits, the first one highest; 0 for no hashes."""
+    out, n = 0, len(hashes)
+    for block in range(blocks if n else 0):
         votes = np.zeros(64, np.int64)
         for k in range(0, n, 1 << 16):
             part = _mixed(hashes[k : k + (1 << 16)], block).astype("<u8")
@@ -79,6 +92,10 @@ def fingerprint(text: str | None, words: int = WORDS, blocks: int = 1) -> int:
     return out
 
 
+def fingerprint(text: str | None, words: int = WORDS, blocks: int = 1) -> int:
+    return fingerprint_of(shingle_hashes(text, words), blocks)
+
+
 @cache
 def _golay() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Syndromes of the low 12 and the high 11 bits; by syndrome: error patterns to near codewords and their number."""
@@ -201,33 +218,59 @@ def link_runs(keys: np.ndarray, prints: np.ndarray, bits: int, forest: Forest) -
         link_bucket(prints[a : a + n], bits, forest)
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", blocks: int = 1) -> DataFrame:
-    """doc_id, print (the fingerprint in hex)."""
+def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", blocks: int = 1, sets: bool = False) -> DataFrame:
+    """doc_id, print (the fingerprint in hex); with `sets` the fingerprint of the set of hashes, and digest, the set's XXH3 in hex."""
     common.text_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for b in batches:
-            own = [f"{fingerprint(x, words, blocks):0{16 * blocks}x}" for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.string())], ["doc_id", "print"])
+            hashes = [shingle_hashes(x, words) for x in b.column(1).to_pylist()]
+            if sets:
+                hashes = [np.unique(h) for h in hashes]
+            columns = [b.column(0), pa.array([f"{fingerprint_of(h, blocks):0{16 * blocks}x}" for h in hashes], pa.string())]
+            if sets:
+                columns.append(pa.array([digest_of(h) for h in hashes], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "print", "digest"][: len(columns)])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, print string" + ", digest string" * sets)
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, print string")
+
+def digest_of(own: np.ndarray) -> str:
+    return xxhash.xxh3_128_hexdigest(own.tobytes())
 
 
 def links(prints: DataFrame, bits: int = BITS, blocks: int = 1) -> DataFrame:
     """Links (a, b) that connect the distinct fingerprints that share a key and differ in at most `bits`, directly or in steps."""
-    names = [f"p{k}" for k in range(blocks)]
+    distinct = common.saved(prints.select("print").distinct(), "distinct")
+    shards = max(SHARDS, 85 * blocks * distinct.count() // SHARD_KEYS)
+    # a fingerprint's keys of one codeword index lie side by side, and so in one shard, while there are enough of these
+    shift = 12 if shards <= 4096 * blocks else 0
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            raw = bytes.fromhex("".join(b.column(0).to_pylist()))
-            own = np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, blocks)
-            for k in range(blocks):
-                keys, owners = pair_keys(own[:, k])
-                yield pa.RecordBatch.from_arrays([pa.array((keys | k << 26).astype(np.int32)), *[pa.array(own[owners, j].view(np.int64)) for j in range(blocks)]], ["key", *names])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                raw = bytes.fromhex("".join(whole.column(0).slice(at, 4096).to_pylist()))
+                own = np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, blocks)
+                keys, owners = (np.concatenate(x) for x in zip(*((k | j << 26, o) for j in range(blocks) for k, o in [pair_keys(own[:, j])]), strict=True))
+                shard = (_mixed((keys >> shift).astype(np.uint64), 1) >> np.uint64(20)) % np.uint64(shards)
+                order = np.lexsort((owners, shard))
+                keys, owners, shard = keys[order].astype("<i4"), owners[order], shard[order].astype(np.int32)
+                # each fingerprint goes once to a shard
+                new = np.concatenate(([True], (shard[1:] != shard[:-1]) | (owners[1:] != owners[:-1])))
+                there, first = np.unique(shard, return_index=True)
+                bounds = np.append(first, len(keys))
+                place = np.cumsum(new) - 1
+                inside = np.append(place[first], new.sum())
+                refs = (place - np.repeat(inside[:-1], np.diff(bounds))).astype("<u2")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(there), common.ragged(keys, bounds * 4), common.ragged(refs, bounds * 2), common.ragged(own[owners[new]].astype("<u8"), inside * 8 * blocks)],
+                    ["shard", "keys", "refs", "prints"],
+                )
 
     def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest, rows = Forest(), 0
+        forest, last = Forest(), None
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def out() -> pa.RecordBatch:
@@ -235,48 +278,130 @@ def links(prints: DataFrame, bits: int = BITS, blocks: int = 1) -> DataFrame:
             forest.up.clear()
             return pa.RecordBatch.from_arrays([pa.array([f"{x[k]:0{16 * blocks}x}" for x in found], pa.string()) for k in (0, 1)], ["a", "b"])
 
-        for b in batches:
-            held.append((b.column(0).to_numpy(), np.stack([c.to_numpy().view(np.uint64) for c in b.columns[1:]], 1)))
-            rows += b.num_rows
-            if rows < 1 << 16:
-                continue
+        def link() -> None:
             keys, own = (np.concatenate(x) for x in zip(*held, strict=True))
-            whole = np.searchsorted(keys, keys[-1])  # the last bucket may go on
-            link_runs(keys[:whole], own[:whole], bits, forest)
-            held, rows = [(keys[whole:], own[whole:])], len(keys) - whole
-            if rows > 1 << 15:
-                rows = 0  # a large bucket: read on for as much again before looking for its end
-            if len(forest.up) > HELD:
-                yield out()
+            order = np.argsort(keys, kind="stable")
+            link_runs(keys[order], own[order], bits, forest)
+
+        for b in batches:
+            for shard, keys, refs, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if shard != last and held:
+                    link()
+                    held = []
+                    if len(forest.up) > HELD:
+                        yield out()
+                last = shard
+                held.append((np.frombuffer(keys, "<i4"), np.frombuffer(own, "<u8").reshape(-1, blocks)[np.frombuffer(refs, "<u2")]))
         if held:
-            keys, own = (np.concatenate(x) for x in zip(*held, strict=True))
-            link_runs(keys, own, bits, forest)
+            link()
         yield out()
 
-    keyed = prints.select("print").distinct().mapInArrow(key, "key int, " + ", ".join(f"{n} long" for n in names))
-    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(sweep, "a string, b string")
+    keyed = distinct.mapInArrow(key, "shard int, keys binary, refs binary, prints binary")
+    return keyed.repartition("shard").sortWithinPartitions("shard").mapInArrow(sweep, "a string, b string")
+
+
+def _labels(nodes: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """name, component_id from nodes (name, least) and the components found (node, root)."""
+    rooted = nodes.join(found, F.col(name) == F.col("node"), "left").select(name, "least", F.coalesce("root", name).alias("root"))
+    tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    return common.saved(rooted.join(tops, "root").select(name, "component_id"), "labels")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text", blocks: int = 1) -> DataFrame:
     """doc_id, fingerprint (hex), component_id (smallest id reachable over links) for every row."""
     prints = common.saved(fingerprints(docs, words, id_col, text_col, blocks), "prints")
     found = components(links(prints, bits, blocks))
-    least = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
-    rooted = least.join(found, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))
-    # only fingerprints with links need their component's smallest id
-    tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    label = common.saved(rooted.join(tops, "root").select("print", "component_id"), "labels")
+    label = _labels(prints.groupBy("print").agg(F.min("doc_id").alias("least")), found, "print")
     return prints.join(label, "print").select(
         "doc_id", F.col("print").alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
-def drop_near_copies(docs: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text", blocks: int = 1) -> DataFrame:
+def link_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links that connect the sorted sets of similarity `similarity` or more, directly or in steps; pivot by pivot."""
+    part, sizes, out = np.arange(len(sets)), np.array([len(s) for s in sets]), []
+    for i in range(len(sets) - 1):
+        small, large = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
+        apart = i + 1 + np.flatnonzero((part[i + 1 :] != part[i]) & (small[i + 1 :] >= similarity * large[i + 1 :] - 1e-9) & (small[i + 1 :] > 0))
+        if not len(apart):
+            if (part == part[0]).all():
+                break
+            continue
+        for k in range(0, len(apart), 512):
+            own = apart[k : k + 512]
+            flat = np.concatenate([sets[j] for j in own])
+            at = np.minimum(np.searchsorted(sets[i], flat), sizes[i] - 1)
+            both = np.bincount(np.repeat(np.arange(len(own)), sizes[own]), sets[i][at] == flat, len(own))
+            for j in own[both >= similarity * (sizes[own] + sizes[i] - both) - 1e-9]:
+                if part[j] != part[i]:
+                    part[part == part[j]] = part[i]
+                    out.append((i, int(j)))
+    return out
+
+
+def verified_links(rows: DataFrame, prints: DataFrame, loose: DataFrame, words: int, similarity: float) -> DataFrame:
+    """Links (a, b) of digests that connect the texts of rows (doc_id, text) of one loose component (node, root) by their sets."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [np.unique(shingle_hashes(x, words)) for x in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([digest_of(s) for s in own], pa.string()), pa.array([s.tobytes() for s in own], pa.binary())], ["digest", "hashes"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, names, sets = None, [], []
+
+        def out() -> pa.RecordBatch:
+            found = link_sets(sets, similarity)
+            return pa.RecordBatch.from_arrays([pa.array([names[x[k]] for x in found], pa.string()) for k in (0, 1)], ["a", "b"])
+
+        for b in batches:
+            for root, i, j, name, own in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (root, i, j) != last:
+                    if len(sets) > 1:
+                        yield out()
+                    last, names, sets = (root, i, j), [], []
+                names.append(name)
+                sets.append(np.frombuffer(own, np.uint64))
+        if len(sets) > 1:
+            yield out()
+
+    nodes = prints.groupBy("print", "digest").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("id"))
+    rooted = nodes.join(loose, F.col("print") == F.col("node"), "left").select("digest", "id", F.coalesce("root", "print").alias("root"))
+    rooted = common.saved(rooted, "rooted")
+    several = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("root")
+    members = common.saved(rooted.join(several, "root", "left_semi"), "members")
+    # one row has the text of a digest; rows that share its id may come along
+    pages = common.saved(common.bit_filter(members, F.col("id")), "pages")
+    texts = common.maybe_in(rows, F.coalesce("doc_id", F.lit(0).cast("long")), pages).select("text")
+    wanted = members.select("digest").distinct()
+    sets = texts.mapInArrow(gather, "digest string, hashes binary").join(wanted, "digest", "left_semi").dropDuplicates(["digest"])
+    sets = common.saved(members.select("root", "digest").join(sets, "digest"), "sets")
+    chunks = sets.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.length("hashes")) / CHUNK)).cast("int").alias("chunks"))
+    own = F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int")
+    dealt = sets.join(common.saved(chunks, "chunks"), "root").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = dealt.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "digest", "hashes")
+    return dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(compare, "a string, b string")
+
+
+def near_copies(docs: DataFrame, words: int, similarity: float, id_col: str = "doc_id", text_col: str = "text", bits: int = VERIFIED_BITS, blocks: int = VERIFIED_BLOCKS) -> DataFrame:
+    """doc_id, component_id (smallest id reachable over links of similarity `similarity` or more) for every row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    prints = common.saved(fingerprints(rows, words, blocks=blocks, sets=True), "prints")
+    loose = common.saved(components(links(prints, bits, blocks)), "loose")
+    found = components(verified_links(rows, prints, loose, words, similarity))
+    label = _labels(prints.groupBy("digest").agg(F.min("doc_id").alias("least")), found, "digest")
+    return prints.join(label, "digest").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def drop_near_copies(docs: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
     """The rows of docs that stay, with all their columns: those whose id is the smallest of its component.
 
-    Rows that share an id stay or go together; rows with a null id stay. Rows that the filter of dropped
-    ids rules out pass unmoved.
+    With `similarity` the components are those of near_copies, else of near_duplicates. Rows that share an id
+    stay or go together; rows with a null id stay. Rows that the filter of dropped ids rules out pass unmoved.
     """
-    label = near_duplicates(docs, words, bits, id_col, text_col, blocks)
+    if similarity is None:
+        label = near_duplicates(docs, words, bits, id_col, text_col)
+    else:
+        label = near_copies(docs, words, similarity, id_col, text_col)
     stays = label.filter("doc_id is not null").groupBy("doc_id").agg(F.max(F.col("doc_id") == F.col("component_id")).alias("stays"))
     return common.without_ids(docs, id_col, stays.filter("not stays").select("doc_id"))
