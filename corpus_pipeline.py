@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.llm import common, exact_dedup, nearcopies, packing, pii, quality
+from tidegauge.llm import common, exact_dedup, packing, pii, quality, simhash
 from tidegauge.llm.queries import path_of, tokenizer_path
 
 
@@ -25,7 +25,7 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component of near copies: sets of five-word shingles with a similarity of 0.8 or more."""
-    return nearcopies.drop_near_copies(docs, words=5, similarity=0.8)
+    return simhash.drop_near_copies(docs, words=5, similarity=0.8)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
