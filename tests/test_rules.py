@@ -70,7 +70,24 @@ def test_status_and_agreement(spark):
     assert [r[0] for r in df.select(S.aligned(F.col("s"), F.lit(1), F.lit(5))).collect()] == [False, True, True, False]
     df = spark.createDataFrame([(2, 0, 3), (1, 0, 2), (1, 1, 3), (0, 0, 0)], "b int, m int, n int")
     assert [r[0] for r in df.select(R.majority(F.col("b"), F.col("m"), F.col("n"))).collect()] == ["BAD", "GOOD", "NOISY", None]
-    assert annotate.dominant_of({"cheerful": F.lit(0.0), "happy": F.lit(0.0), "angry": F.lit(0.0), "nervous": F.lit(0.0), "sad": F.lit(0.0)}) is not None
+
+
+def test_dominant_emotion(spark):
+    names = ["cheerful", "happy", "angry", "nervous", "sad"]
+    cases = {
+        (0, 0, 0, 0, 0): "Neutral, Calm, Happiness, Anger, Sadness",
+        (3, 3, 3, 9, 3): "Sadness",
+        (3, 3, 9, 9, 3): "Anger, Sadness",
+        (3, 6, 3, 3, 3): "Calm, Happiness",
+        (3, 7, 3, 3, 3): "Happiness",
+        (3, 3, 3, 3, 6): "Calm, Sadness",
+        (6, 3, 3, 3, 3): "Happiness",
+        (4, 3, 3, 3, 3): "Neutral, Happiness",
+        (3, 3, 4, 3, 3): "Neutral, Anger",
+    }
+    df = spark.createDataFrame([tuple(map(float, c)) for c in cases], ", ".join(f"{n} double" for n in names))
+    labels, top = annotate.dominant_of({n: F.col(n) for n in names})
+    assert [tuple(r) for r in df.select(labels, top).collect()] == [(want, float(max(c))) for c, want in cases.items()]
 
 
 def test_runs_and_asof(spark):

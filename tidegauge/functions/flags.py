@@ -117,6 +117,17 @@ def audio(rms_db: Column, zero_ratio: Column, clip_ratio: Column, clip_run: Colu
     return [((rms_db < -60) | (zero_ratio > 0.5), "BAD", "FLAT"), ((clip_ratio > 0.001) | (clip_run >= 3), "BAD", "CLIPPING")]
 
 
+def video(blur: Column, clipping: Column, face: Column, blurs: tuple, clippings: tuple, faces: tuple) -> list[Rule]:
+    """Blur and faces are low when below a limit, clipping is high from a limit on. Clipping hides what else is bad."""
+    clipped, unclear = clipping >= clippings[1], (blur < blurs[1]) | (face < faces[1])
+    return [
+        (blur.isNull(), "BAD", "ARTIFACT"),
+        (clipped, "BAD", "CLIPPING"),
+        (~clipped & unclear, "BAD", "ARTIFACT"),
+        ((blur < blurs[0]) | (clipping >= clippings[0]) | (face < faces[0]), "NOISY", "NONE"),
+    ]
+
+
 def majority(bad: Column, noisy: Column, n: Column) -> Column:
     """BAD if over half are bad, NOISY if over half are not good, GOOD else; NULL without votes."""
     return F.when(n == 0, None).when(bad > n / 2, "BAD").when(bad + noisy > n / 2, "NOISY").otherwise("GOOD")

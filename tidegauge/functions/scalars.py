@@ -112,11 +112,20 @@ def status(actual: Column, expected: Column, zeros: Column | None = None, nulls:
     return F.when(actual == 0, "total_missing").when((actual < expected - 1) | flawed, "partial_missing").otherwise("complete")
 
 
-def annotation_flag(valence_p: Column, arousal_p: Column, valence_e: Column, arousal_e: Column, fits_p: Column, fits_e: Column) -> Column:
-    """Trial rating by participant and experimenter; NULL scores don't agree."""
-    agree = lambda p, e: F.coalesce(F.abs(p - e) < 3, F.lit(False))
-    v, a = agree(valence_p, valence_e), agree(arousal_p, arousal_e)
-    return F.when(~fits_p & ~fits_e, "BAD").when(~fits_p | ~fits_e, "NOISY").when(~v & ~a, "NOISY").when(~v | ~a, "ACCEPTABLE").otherwise("GOOD")
+def scores_agree(a: Column, b: Column, apart: float = 3) -> Column:
+    """Whether two raters' scores lie less than `apart` from each other; a missing score is no objection."""
+    return ~F.coalesce(F.abs(a - b) >= apart, F.lit(False))
+
+
+def annotation_flag(valence_fits: Column, arousal_fits: Column, valence_agrees: Column, arousal_agrees: Column) -> Column:
+    """Flag of a trial: whether the participant's scores fit the class, then whether the raters agree."""
+    return (
+        F.when(~valence_fits & ~arousal_fits, "BAD")
+        .when(~valence_fits | ~arousal_fits, "NOISY")
+        .when(~valence_agrees & ~arousal_agrees, "NOISY")
+        .when(~valence_agrees | ~arousal_agrees, "ACCEPTABLE")
+        .otherwise("GOOD")
+    )
 
 
 def raters_agree(*scores: Column) -> Column:
@@ -136,10 +145,3 @@ def session_flag(disagreements: Column, arousal_agrees: Column, valence_agrees:
         .when(~arousal_agrees | ~valence_agrees, "ACCEPTABLE")
         .otherwise("GOOD")
     )
-
-
-def dominant(sums: dict[str, Column]) -> Column:
-    """Names with the largest sum, in the given order, joined; missing sums count 0."""
-    own = {k: F.coalesce(v, F.lit(0.0)) for k, v in sums.items()}
-    top = F.greatest(*own.values())
-    return F.array_join(F.array_compact(F.array(*[F.when(v == top, k) for k, v in own.items()])), ", ")

@@ -11,8 +11,13 @@ from tidegauge.operators import asof
 
 
 def fuse(flags: DataFrame, keys: list[str], modalities: list[str]) -> DataFrame:
-    """Long flags (keys, modality, quality_flag) -> one `<modality>_flag` column each; one shuffle replaces N outer joins."""
-    return flags.groupBy(*keys).agg(*[F.max(F.when(F.col("modality") == m, F.col("quality_flag"))).alias(f"{m}_flag") for m in modalities])
+    """Long flags (keys, modality, quality_flag) -> one `<modality>_flag` column each; one shuffle replaces N outer joins.
+
+    Of several rows for one key and modality the worst flag counts; flags outside the lattice come before GOOD.
+    """
+    rank = F.coalesce(F.array_position(F.array(*[F.lit(q) for q in R.QUALITIES]), F.col("quality_flag")), F.lit(0))
+    worst = lambda m: F.max_by("quality_flag", F.when((F.col("modality") == m) & F.col("quality_flag").isNotNull(), rank))
+    return flags.groupBy(*keys).agg(*[worst(m).alias(f"{m}_flag") for m in modalities])
 
 
 def channel_majority(flags: DataFrame, keys: list[str]) -> DataFrame:

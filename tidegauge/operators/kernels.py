@@ -141,7 +141,9 @@ class QualityHmm:
     """Supervised Gaussian HMM whose emission noise grows as the quality of a modality falls.
 
     Each modality has its own Gaussian in each state; its covariance in use is
-    cov + (noise * (1 - quality) + floor) * I, with noise = max(strength * median variance, floor).
+    cov + (noise * (1 - quality) + floor) * I, with noise = max(strength * median variance, floor). Training weights
+    are qualities of `least` or more; when decoding, quality goes down to 0. Labels must be 0 to states - 1, and every
+    state must have training rows.
     """
 
     def __init__(self, smoothing: float = 1.0, floor: float = 1e-3, strength: float = 1.0, least: float = 0.01):
@@ -150,6 +152,11 @@ class QualityHmm:
     def fit(self, sequences: list[tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]], states: int) -> QualityHmm:
         """sequences: labels y [t], observations [modality][t, dim], qualities [modality][t]."""
         prior, trans = np.full(states, self.smoothing), np.full((states, states), self.smoothing)
+        for y, xs, qs in sequences:
+            if len(y) == 0 or y.min() < 0 or y.max() >= states:
+                raise ValueError(f"labels must be 0 to {states - 1}")
+            if any(len(x) != len(y) or np.shape(q) != np.shape(y) for x, q in zip(xs, qs, strict=True)):
+                raise ValueError("observations, qualities and labels of a sequence differ in length")
         for y, _, _ in sequences:
             prior[y[0]] += 1
             np.add.at(trans, (y[:-1], y[1:]), 1)
@@ -163,7 +170,9 @@ class QualityHmm:
             mean, cov = np.zeros((states, dim)), np.zeros((states, dim, dim))
             for k in range(states):
                 at = labels == k
-                own, w = (x[at], q[at]) if at.any() else (x, q)
+                if not at.any():
+                    raise ValueError(f"no training rows for state {k}")
+                own, w = x[at], q[at]
                 mean[k] = (w[:, None] * own).sum(0) / w.sum()
                 d = own - mean[k]
                 cov[k] = (w[:, None] * d).T @ d / w.sum() + self.floor * np.eye(dim)
@@ -177,7 +186,7 @@ class QualityHmm:
         total = 0.0
         for x, q, mean, cov, noise in zip(xs, qs, self.means, self.covs, self.noise, strict=True):
             dim = x.shape[1]
-            more = noise * (1 - np.clip(q, self.least, 1)) + self.floor
+            more = noise * (1 - np.clip(q, 0, 1)) + self.floor
             full = cov[None] + more[:, None, None, None] * np.eye(dim)
             d = x[:, None, :] - mean[None]
             solved = np.linalg.solve(full, d[..., None])[..., 0]

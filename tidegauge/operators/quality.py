@@ -2,8 +2,10 @@
 
 Samples are rows (keys, t in microseconds since the session's start, value). Every operator returns one
 row for each key and window of the spine, empty windows included: window_id, its metrics, quality_flag and
-problem_flag. All entities of a signal go through one plan, partitioned by key and window. Metrics are
-rounded to 4 places before the rules read them; NULL stands for what can't be computed.
+problem_flag. All entities of a signal go through one plan. The sample before is looked up once for each
+sample, before it is put into its windows; a difference counts in those windows that hold both samples.
+Metrics are rounded to 4 places before the rules read them, deviations and jumps of slow signals to 6; NULL
+stands for what can't be computed, such as the deviation of one sample.
 """
 
 from __future__ import annotations
@@ -27,17 +29,43 @@ class Windows:
     width: int
     count: int
     look: int | None = None
+    #: Without samples from before the start, windows that reach there are warm-up: NOISY with problem NONE.
+    pre_start: bool = True
 
     def assign(self, samples: DataFrame, t: str = "t") -> DataFrame:
         if self.look is None:
             return timewin.tumbling(samples, F.col(t), self.width, self.count)
         return timewin.lookback(samples, F.col(t), self.width, self.look, self.count)
 
+    def start(self) -> Column:
+        """Where the window of a row begins."""
+        return (F.col("window_id") + 1) * self.width - (self.look or self.width)
+
+    def with_steps(self, samples: DataFrame, keys: list[str]) -> DataFrame:
+        """The windows' rows with diff and gap: value and t less those of the sample before, if that lies in the window."""
+        w = Window.partitionBy(*keys).orderBy("t")
+        own = samples if self.pre_start else samples.filter("t >= 0")
+        rows = self.assign(own.withColumn("_v", F.lag("value").over(w)).withColumn("_t", F.lag("t").over(w)))
+        inside = F.col("_t") >= self.start()
+        return rows.withColumn("diff", F.when(inside, F.col("value") - F.col("_v"))).withColumn("gap", F.when(inside, F.col("t") - F.col("_t"))).withColumnRenamed("_t", "before").drop("_v")
+
+    def warm_up(self) -> Column:
+        return F.lit(not self.pre_start) & ((F.col("window_id") + 1) * self.width < (self.look or 0))
+
 
 def _n4(x: Column) -> Column:
     return F.round(x, 4)
 
 
+def _n6(x: Column) -> Column:
+    return F.round(x, 6)
+
+
+def _spread(value: str) -> Column:
+    """Deviation of two values or more."""
+    return _n6(F.when(F.count(value) >= 2, F.stddev_pop(value)))
+
+
 def _kept(keys: list[str]) -> list[str]:
     return [*keys, "window_id"]
 
@@ -57,127 +85,140 @@ def _completeness(n: str, expected: float) -> Column:
     return _n4(F.least(F.lit(1.0), F.col(n) / F.lit(float(expected))))
 
 
-def _jumps(rows: DataFrame, keys: list[str]) -> DataFrame:
-    return runs.differences(rows, _kept(keys), "t", "value")
+def _warmed(out: DataFrame, windows: Windows, metric: str) -> DataFrame:
+    """Warm-up windows with samples are NOISY and have no problem."""
+    warm = windows.warm_up() & F.col(metric).isNotNull()
+    return out.withColumn("quality_flag", F.when(warm, "NOISY").otherwise(F.col("quality_flag"))).withColumn("problem_flag", F.when(warm, "NONE").otherwise(F.col("problem_flag")))
 
 
 def acc(samples: DataFrame, keys: list[str], windows: Windows, rate: float, limit: float = 128, clip: float = 126, still: float = 0.5, rest: float = 64, off: float = 10) -> DataFrame:
-    """Three axes x, y, z. l_max is the longest run of |axis| >= clip over the axes."""
+    """Three axes x, y, z. A sample is clipped if one of its axes is; l_max is the longest run of clipped samples."""
     rows = windows.assign(samples).withColumn("ok", finite(F.col("x")).isNotNull() & finite(F.col("y")).isNotNull() & finite(F.col("z")).isNotNull())
     good = F.col("ok")
     m = F.sqrt(F.col("x") ** 2 + F.col("y") ** 2 + F.col("z") ** 2)
-    outside = (F.abs("x") > limit) | (F.abs("y") > limit) | (F.abs("z") > limit)
+    any_axis = lambda most, strict: F.greatest(F.abs("x"), F.abs("y"), F.abs("z")) > most if strict else F.greatest(F.abs("x"), F.abs("y"), F.abs("z")) >= most
     metrics = rows.groupBy(*_kept(keys)).agg(
         F.count(F.lit(1)).alias("n"),
-        _n4(F.avg(F.when(good, outside.cast("double")))).alias("out_ratio"),
+        _n4(F.avg(F.when(good, any_axis(limit, True).cast("double")))).alias("out_ratio"),
+        _n4(F.avg(F.when(good, any_axis(clip, False).cast("double")))).alias("clip_ratio"),
         *[F.stddev_pop(F.when(good, F.col(a))).alias(f"_s{a}") for a in "xyz"],
-        F.avg(F.when(good, m)).alias("M_mean"),
+        F.avg(F.when(good, m)).alias("M"),
     )
-    long = rows.filter("ok").select(*_kept(keys), "t", F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).alias("v")) for a in "xyz"])).alias("p")).select(*_kept(keys), "t", "p.*")
-    clipped = runs.longest_true_run(long, [*_kept(keys), "axis"], "t", F.abs("v") >= clip).groupBy(*_kept(keys)).agg(F.max("l_max").alias("l_max"))
+    clipped = runs.longest_true_run(rows.filter("ok"), _kept(keys), "t", any_axis(clip, False))
     metrics = metrics.join(clipped, _kept(keys), "left").select(
         *_kept(keys),
         _completeness("n", round(rate * windows.width / SECOND)).alias("completeness"),
         "out_ratio",
+        "clip_ratio",
         "l_max",
-        ((F.col("_sx") < still) & (F.col("_sy") < still) & (F.col("_sz") < still) & (F.abs(F.col("M_mean") - rest) > off)).alias("FLAT"),
-        _n4("M_mean").alias("M_mean"),
+        ((F.col("_sx") < still) & (F.col("_sy") < still) & (F.col("_sz") < still) & (F.abs(F.col("M") - rest) > off)).alias("FLAT"),
+        _n4("M").alias("M"),
+        _n4("M").alias("M_mean"),
     )
-    return _finish(samples, metrics, keys, windows, lambda: R.acc(F.col("completeness"), F.coalesce("out_ratio", F.lit(1.0)), F.col("l_max"), F.col("FLAT")), [("completeness", 0.0)])
+    rules = lambda: R.acc(F.col("completeness"), F.coalesce("out_ratio", F.lit(1.0)), F.col("l_max"), F.col("FLAT"))
+    out = _finish(samples, metrics, keys, windows, rules, [("completeness", 0.0), ("l_max", 0)])
+    return out.withColumn("FLAT", F.coalesce("FLAT", F.lit(True)))  # nothing moves in a window without samples
 
 
 def bvp(samples: DataFrame, keys: list[str], windows: Windows, rate: float, share: float = 0.999, **limits: float) -> DataFrame:
     """Clipping is a run at or above the key's own percentile `share` of the whole signal."""
     top = samples.groupBy(*keys).agg(F.percentile(finite(F.col("value")), F.lit(share)).alias("top"))
-    rows = windows.assign(samples).withColumn("value", finite(F.col("value")))
+    rows = windows.assign(samples).withColumn("value", finite(F.col("value"))).join(top, keys)
     metrics = rows.groupBy(*_kept(keys)).agg(
         F.count(F.lit(1)).alias("n"),
         _n4(F.max("value") - F.min("value")).alias("amplitude"),
         _n4(F.stddev_pop("value")).alias("std"),
+        _n4(F.when(F.count("value") > 0, F.sum((F.col("value") >= F.col("top")).cast("int")) / F.count(F.lit(1)))).alias("clip_ratio"),
         _n4(F.kurtosis("value") + 3).alias("kurtosis"),
     )
-    clipped = runs.longest_true_run(rows.filter("value is not null").join(top, keys), _kept(keys), "t", F.col("value") >= F.col("top"))
+    clipped = runs.longest_true_run(rows.filter("value is not null"), _kept(keys), "t", F.col("value") >= F.col("top"))
     metrics = metrics.join(clipped, _kept(keys), "left").withColumn("completeness", _completeness("n", round(rate * windows.width / SECOND))).drop("n")
     rules = lambda: R.bvp(F.col("completeness"), F.coalesce("amplitude", F.lit(0.0)), F.col("std"), F.col("l_max"), finite(F.col("kurtosis")), **limits)
-    return _finish(samples, metrics, keys, windows, rules, [("completeness", 0.0)])
+    return _finish(samples, metrics, keys, windows, rules, [("completeness", 0.0), ("l_max", 0)])
 
 
 def _smooth(samples: DataFrame, keys: list[str], windows: Windows, rate: float, low: float, high: float) -> DataFrame:
     """completeness, out_ratio, mean_value, sigma_window and max_jump of finite samples."""
-    rows = _jumps(windows.assign(samples.filter(finite(F.col("value")).isNotNull())), keys)
+    rows = windows.with_steps(samples.filter(finite(F.col("value")).isNotNull()), keys)
     outside = (~F.col("value").between(low, high)).cast("double")
     return rows.groupBy(*_kept(keys)).agg(
         _n4(F.least(F.lit(1.0), F.count(F.lit(1)) / F.lit(float(round(rate * (windows.look or windows.width) / SECOND))))).alias("completeness"),
         _n4(F.avg(outside)).alias("out_ratio"),
         _n4(F.avg("value")).alias("mean_value"),
-        _n4(F.stddev_pop("value")).alias("sigma_window"),
-        _n4(F.max(F.abs("diff"))).alias("max_jump"),
+        _spread("value").alias("sigma_window"),
+        _n6(F.max(F.abs("diff"))).alias("max_jump"),
     )
 
 
 def eda(samples: DataFrame, keys: list[str], windows: Windows, rate: float, low: float = 0.05, high: float = 60, **limits: tuple) -> DataFrame:
     metrics = _smooth(samples, keys, windows, rate, low, high).drop("mean_value")
     rules = lambda: R.eda(F.col("completeness"), F.coalesce("out_ratio", F.lit(1.0)), F.col("sigma_window"), F.col("max_jump"), **limits)
-    return _finish(samples, metrics, keys, windows, rules, [("completeness", 0.0)])
+    return _warmed(_finish(samples, metrics, keys, windows, rules, [("completeness", 0.0)]), windows, "out_ratio")
 
 
 def temp(samples: DataFrame, keys: list[str], windows: Windows, rate: float, low: float = 25, high: float = 36, **limits: tuple) -> DataFrame:
     metrics = _smooth(samples, keys, windows, rate, low, high).withColumnRenamed("mean_value", "mean_temp")
     rules = lambda: R.temp(F.col("completeness"), F.coalesce("out_ratio", F.lit(1.0)), F.col("mean_temp"), F.col("sigma_window"), F.col("max_jump"), **limits)
-    return _finish(samples, metrics, keys, windows, rules, [("completeness", 0.0)])
+    return _warmed(_finish(samples, metrics, keys, windows, rules, [("completeness", 0.0)]), windows, "out_ratio")
 
 
 def hr(samples: DataFrame, keys: list[str], windows: Windows, rate: float, bvp_flags: DataFrame | None = None, **limits: tuple) -> DataFrame:
-    """RoC_max is the larger of |p95| and |p5| of differences; with bvp_flags, bvp_quality_flag joins by window."""
-    rows = _jumps(windows.assign(samples.filter(finite(F.col("value")).isNotNull())), keys)
+    """RoC_max is the larger of |p95| and |p5| of differences; with bvp_flags, bvp_quality_flag joins by window. annotation marks warm-up."""
+    rows = windows.with_steps(samples.filter(finite(F.col("value")).isNotNull()), keys)
     up = F.percentile("diff", F.lit(0.95))
     down = F.percentile("diff", F.lit(0.05))
     metrics = rows.groupBy(*_kept(keys)).agg(
         _n4(F.least(F.lit(1.0), F.count(F.lit(1)) / F.lit(float(round(rate * (windows.look or windows.width) / SECOND))))).alias("completeness"),
         _n4(F.avg("value")).alias("hr_mean"),
-        _n4(F.stddev_pop("value")).alias("hr_std"),
+        _spread("value").alias("hr_std"),
         _n4(up).alias("hr_ratio_up"),
         _n4(down).alias("hr_ratio_down"),
         _n4(F.greatest(F.abs(up), F.abs(down))).alias("RoC_max"),
     )
     rules = lambda: R.hr(F.col("completeness"), F.col("hr_mean"), F.col("hr_std"), F.col("RoC_max"), **limits)
-    out = _finish(samples, metrics, keys, windows, rules, [("completeness", 0.0)])
+    out = _warmed(_finish(samples, metrics, keys, windows, rules, [("completeness", 0.0)]), windows, "hr_mean")
+    out = out.withColumn("annotation", F.when(windows.warm_up() & F.col("hr_mean").isNotNull(), "insufficient_warmup").otherwise(""))
     if bvp_flags is None:
         return out
     return out.join(bvp_flags.select(*_kept(keys), F.col("quality_flag").alias("bvp_quality_flag")), _kept(keys), "left")
 
 
 def ibi(samples: DataFrame, keys: list[str], windows: Windows, low: float = 270, high: float = 2000, **limits: tuple) -> DataFrame:
-    """value in milliseconds; gap_before_s is the time since the last sample before the window."""
-    own = samples.filter(finite(F.col("value")).isNotNull()).withColumn("before", F.lag("t").over(Window.partitionBy(*keys).orderBy("t")))
-    rows = runs.differences(windows.assign(own), _kept(keys), "t", "t", "gap")
+    """value in milliseconds; gap_before_s is the time since the last sample before the window, 0 if there is none."""
+    rows = windows.with_steps(samples.filter(finite(F.col("value")).isNotNull()), keys)
     metrics = rows.groupBy(*_kept(keys)).agg(
         F.count(F.lit(1)).alias("n_ibi"),
         _n4(F.avg((~F.col("value").between(low, high)).cast("double"))).alias("out_ratio"),
         _n4(F.max("gap") / SECOND).alias("g_max_s"),
         _n4(F.min_by(F.col("t") - F.col("before"), "t") / SECOND).alias("gap_before_s"),
     )
-    return _finish(samples, metrics, keys, windows, lambda: R.ibi(F.col("n_ibi"), F.col("out_ratio"), F.col("g_max_s"), **limits), [("n_ibi", 0)])
+    return _finish(samples, metrics, keys, windows, lambda: R.ibi(F.col("n_ibi"), F.col("out_ratio"), F.col("g_max_s"), **limits), [("n_ibi", 0), ("gap_before_s", 0.0)])
 
 
-def attention(samples: DataFrame, keys: list[str], windows: Windows, top: float = 100, **limits: float) -> DataFrame:
-    """Attention or meditation scores, one a second expected."""
-    expected = round(max(windows.look or windows.width, windows.width) / SECOND)
-    rows = _jumps(windows.assign(samples.filter(finite(F.col("value")).isNotNull())), keys)
+def attention(samples: DataFrame, keys: list[str], windows: Windows, top: float = 100, rate: float = 1.0, **limits: float) -> DataFrame:
+    """Attention or meditation scores, `rate` a second expected."""
+    expected = round(rate * max(windows.look or windows.width, windows.width) / SECOND)
+    rows = windows.with_steps(samples.filter(finite(F.col("value")).isNotNull()), keys)
     metrics = rows.groupBy(*_kept(keys)).agg(
         F.count(F.lit(1)).alias("n_window"),
         F.max(F.col("value") == 0).alias("zeros"),
-        F.max(F.abs("diff")).alias("max_delta"),
+        _n4(F.max(F.abs("diff"))).alias("max_delta"),
         F.sum((F.col("value") == top).cast("long")).alias("c_clip"),
     )
     metrics = metrics.join(runs.longest_run(rows, _kept(keys), "t", F.col("value")), _kept(keys), "left")
     rules = lambda: R.attention(F.col("n_window"), F.col("zeros"), F.col("max_delta"), F.col("c_clip"), F.col("run_max"), expected, **limits)
-    return _finish(samples, metrics, keys, windows, rules, [("n_window", 0), ("c_clip", 0), ("run_max", 0)])
+    return _finish(samples, metrics, keys, windows, rules, [("n_window", 0), ("zeros", False), ("c_clip", 0), ("run_max", 0)])
+
 
+def brainwave(samples: DataFrame, keys: list[str], windows: Windows, bands: list[str], spike: float = 2.0, least: int = SECOND) -> DataFrame:
+    """Band powers: zeros, flat bands (over the last windows where a window has one sample) and power spikes.
 
-def brainwave(samples: DataFrame, keys: list[str], windows: Windows, bands: list[str], spike: float = 2.0) -> DataFrame:
-    """Band powers: zeros, flat bands (over the last windows where a window has one sample) and power spikes."""
-    rows = windows.assign(samples)
+    Metrics are computed in windows of `least` microseconds or the output width, if that is more; an output window
+    has those of the computing window whose number is the second in which its centre lies, or else of the last one.
+    The last sample before the start is the power before the first window.
+    """
+    inner = Windows(max(least, windows.width), windows.count * windows.width // max(least, windows.width))
+    rows = inner.assign(samples)
     total = sum((F.col(b) for b in bands[1:]), F.col(bands[0]))
     zero = F.lit(False)
     for b in bands:
@@ -188,19 +229,29 @@ def brainwave(samples: DataFrame, keys: list[str], windows: Windows, bands: list
     own = rows.groupBy(*_kept(keys)).agg(
         F.count(F.lit(1)).alias("n"), F.max(zero).alias("zero"), still.alias("still"), F.avg(total).alias("power_"), F.max_by(F.array(*bands), "t").alias("last")
     )
-    dense = timewin.spine(samples.select(*keys).distinct(), windows.count).join(own, _kept(keys), "left")
+    first = samples.filter("t < 0").groupBy(*keys).agg(F.max_by(total, "t").alias("_first"))
+    dense = timewin.spine(samples.select(*keys).distinct(), inner.count).join(own, _kept(keys), "left").join(first, keys, "left")
     w = Window.partitionBy(*keys).orderBy("window_id")
     one, two = F.lag("last", 1).over(w), F.lag("last", 2).over(w)
     same = F.exists(F.arrays_zip(F.col("last").alias("a"), one.alias("b"), two.alias("c")), lambda x: (x["a"] == x["b"]) & (x["b"] == x["c"]))
-    before = F.lag("power_").over(w)
-    ratio = F.when(before > 0, F.col("power_") / before)
+    before = F.when(F.col("window_id") == 0, F.col("_first")).otherwise(F.lag("power_").over(w))
     dense = dense.withColumn("flat", F.when(F.col("n") >= 2, F.col("still")).when(one.isNotNull() & two.isNotNull(), same).otherwise(False))
-    dense = dense.withColumn("power_ratio_", ratio)
-    metrics = dense.select(
-        *_kept(keys), F.coalesce("zero", F.lit(False)).alias("zero"), F.coalesce("flat", F.lit(False)).alias("flat"), (F.coalesce(F.col("power_ratio_") > spike, F.lit(False))).alias("spike"), _n4("power_").alias("power"), _n4("power_ratio_").alias("power_ratio"), F.col("n").isNull().alias("_empty")
+    dense = dense.withColumn("_before", before).withColumn("power_ratio_", F.when(F.col("_before") > 0, F.col("power_") / F.col("_before")))
+    found = dense.select(
+        *keys,
+        F.col("window_id").alias("_inner"),
+        F.coalesce("zero", F.lit(False)).alias("zero"),
+        F.coalesce("flat", F.lit(False)).alias("flat"),
+        F.coalesce(F.col("power_ratio_") > spike, F.lit(False)).alias("spike"),
+        _n4("power_").alias("power"),
+        _n4("power_ratio_").alias("power_ratio"),
+        F.col("n").isNull().alias("_empty"),
     )
-    out = _finish(samples, metrics, keys, windows, lambda: [*R.brainwave(F.col("zero"), F.col("flat"), F.col("spike")), (F.col("_empty"), "BAD", "ARTIFACT")])
-    return out.drop("_empty")
+    centre = timewin.whole(F.col("window_id") * windows.width + windows.width // 2, least)
+    out = timewin.spine(samples.select(*keys).distinct(), windows.count).withColumn("_inner", F.least(centre, F.lit(inner.count - 1)))
+    metrics = out.join(found, [*keys, "_inner"], "left").drop("_inner")
+    rules = lambda: [*R.brainwave(F.col("zero"), F.col("flat"), F.col("spike")), (F.coalesce("_empty", F.lit(True)), "BAD", "ARTIFACT")]
+    return _finish(samples, metrics, keys, windows, rules).drop("_empty")
 
 
 def eeg(samples: DataFrame, keys: list[str], rate: float, width_s: float, noise: DataFrame | None = None) -> DataFrame:
@@ -239,35 +290,34 @@ def robust_z(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame
 
 
 def audio(samples: DataFrame, keys: list[str], rate: float, width_s: float, clip: float = 0.999) -> DataFrame:
-    """samples: keys, idx, value. snr_db is against the file's noise floor, the 10th percentile of its rms_db."""
+    """samples: keys, idx, value. snr_db is against the file's noise floor, the 10th percentile of its windows' linear RMS."""
     size = round(rate * width_s)
     rows = timewin.by_count(samples, keys, F.col("idx"), size)
     metrics = rows.groupBy(*_kept(keys)).agg(
-        _n4(decibels(F.sqrt(F.avg(F.col("value") ** 2)))).alias("rms_db"), _n4(F.avg((F.col("value") == 0).cast("double"))).alias("zero_ratio"), _n4(F.avg((F.abs("value") >= clip).cast("double"))).alias("clip_ratio")
+        F.sqrt(F.avg(F.col("value") ** 2)).alias("_rms"), _n6(F.avg((F.abs("value") < 1e-6).cast("double"))).alias("zero_ratio"), _n6(F.avg((F.abs("value") >= clip).cast("double"))).alias("clip_ratio")
     )
+    metrics = metrics.withColumn("rms_db", _n4(decibels(F.col("_rms"))))
     metrics = metrics.join(runs.longest_true_run(rows, _kept(keys), "idx", F.abs("value") >= clip, "clip_run_max"), _kept(keys), "left")
-    floor = metrics.groupBy(*keys).agg(F.percentile("rms_db", F.lit(0.1)).alias("_floor"))
+    floor = metrics.groupBy(*keys).agg(F.greatest(F.percentile("_rms", F.lit(0.1)), F.lit(1e-12)).alias("_floor"))
     rules = R.audio(F.col("rms_db"), F.col("zero_ratio"), F.col("clip_ratio"), F.col("clip_run_max"))
-    return metrics.join(floor, keys).select(
-        *_kept(keys), (F.col("window_id") * width_s).alias("window_start_s"), "rms_db", "zero_ratio", "clip_ratio", "clip_run_max", *R.flags(rules), F.round(F.col("rms_db") - F.col("_floor"), 5).alias("snr_db")
-    )
+    snr = _n4(F.when(F.col("_rms") > 1e-12, 20 * F.log10(F.col("_rms") / F.col("_floor"))).otherwise(-120.0))
+    bounds = [F.round(F.col("window_id") * size / rate, 3).alias("window_start_s"), F.round((F.col("window_id") + 1) * size / rate, 3).alias("window_end_s")]
+    return metrics.join(floor, keys).select(*_kept(keys), *bounds, "rms_db", "zero_ratio", "clip_ratio", "clip_run_max", *R.flags(rules), snr.alias("snr_db"))
+
 
+def video(frames: DataFrame, keys: list[str], fps: float, width_s: float, count: int, blur: tuple = (40.0, 20.0), clipped: tuple = (0.01, 0.03), face: tuple = (0.78, 0.5), whole: bool = False) -> DataFrame:
+    """frames: keys, frame, lap_var, clipped_ratio, face. Windows without frames are BAD; whole: keys with frames beyond `count` windows have as many more.
 
-def video(frames: DataFrame, keys: list[str], fps: float, width_s: float, count: int, blur: tuple = (100.0, 50.0), clipped: tuple = (0.1, 0.3), face: tuple = (0.78, 0.5), whole: bool = False) -> DataFrame:
-    """frames: keys, frame, lap_var, clipped_ratio, face. Windows without frames are BAD; whole: keys with frames beyond `count` windows have as many more."""
+    The limits are those of GOOD and of NOISY; a NOISY window has no problem. The rules read unrounded means.
+    """
     size = max(1, round(fps * width_s))
     windows = Windows(round(width_s * SECOND), count)
     rows = frames.withColumn("window_id", timewin.whole(F.col("frame"), size))
     rows = rows if whole else rows.filter(F.col("window_id") < count)
     own = rows.groupBy(*keys).agg(F.greatest(F.lit(count), F.max("window_id") + 1).alias("_n")) if whole else None
-    metrics = rows.groupBy(*_kept(keys)).agg(_n4(F.avg("lap_var")).alias("window_blur"), _n4(F.avg("clipped_ratio")).alias("window_clipping"), _n4(F.avg("face")).alias("face_detection_rate"))
-    rules = lambda: [
-        *R.at_least(F.col("window_blur"), *blur),
-        *R.at_most(F.col("window_clipping"), *clipped, "CLIPPING", "CLIPPING"),
-        *R.at_least(F.col("face_detection_rate"), *face),
-        (F.col("window_blur").isNull(), "BAD", "ARTIFACT"),
-    ]
-    return _finish(frames, metrics, keys, windows, rules, own=own)
+    metrics = rows.groupBy(*_kept(keys)).agg(F.avg("lap_var").alias("window_blur"), F.avg("clipped_ratio").alias("window_clipping"), F.avg("face").alias("face_detection_rate"))
+    out = _finish(frames, metrics, keys, windows, lambda: R.video(F.col("window_blur"), F.col("window_clipping"), F.col("face_detection_rate"), blur, clipped, face), own=own)
+    return out.withColumns({"window_blur": _n4("window_blur"), "window_clipping": _n6("window_clipping"), "face_detection_rate": _n4("face_detection_rate")})
 
 
 def summary(flags: DataFrame, keys: list[str]) -> DataFrame:

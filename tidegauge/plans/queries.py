@@ -99,9 +99,9 @@ def spine_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 BVP_SQL = f"""WITH {E}, {SPINE}, p AS (SELECT user_id, quantile_cont(value, 0.8) AS top FROM events GROUP BY 1),
-    m AS (SELECT user_id, window_id, round(least(1.0, count(*) / 3.0), 4)::DOUBLE AS completeness, round(max(value) - min(value), 4) AS amplitude, round(stddev_pop(value), 4) AS std, round(kurtosis_pop(value) + 3, 4) AS kurtosis FROM d GROUP BY ALL),
+    m AS (SELECT user_id, window_id, round(least(1.0, count(*) / 3.0), 4)::DOUBLE AS completeness, round(max(value) - min(value), 4) AS amplitude, round(stddev_pop(value), 4) AS std, round(count(*) FILTER (value >= top) / count(*)::DOUBLE, 4) AS clip_ratio, round(kurtosis_pop(value) + 3, 4) AS kurtosis FROM d JOIN p USING (user_id) GROUP BY ALL),
     l AS (SELECT user_id, window_id, max(CASE WHEN v THEN run_length ELSE 0 END) AS l_max FROM {sql_runs("d JOIN p USING (user_id)", "user_id, window_id", "t", "value >= top")} GROUP BY ALL),
-    j AS (SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(completeness, 0.0)::DOUBLE AS completeness, amplitude, std, kurtosis, l_max FROM s LEFT JOIN m USING (user_id, window_id) LEFT JOIN l USING (user_id, window_id))
+    j AS (SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(completeness, 0.0)::DOUBLE AS completeness, amplitude, std, clip_ratio, kurtosis, coalesce(l_max, 0) AS l_max FROM s LEFT JOIN m USING (user_id, window_id) LEFT JOIN l USING (user_id, window_id))
     SELECT *, {sql_flags([*sql_steps("completeness", ">= 0.95", ">= 0.8"), ("coalesce(amplitude, 0) < 20 AND std < 10", "BAD", "FLAT"), ("coalesce(amplitude, 0) < 20 AND coalesce(std >= 10, true)", "BAD", "ARTIFACT"), ("amplitude > 400", "BAD", "ARTIFACT"), *sql_steps("l_max", "<= 1", "<= 2", "CLIPPING", "CLIPPING"), ("kurtosis > 3.5", "NOISY", "ARTIFACT")])} FROM j"""
 
 
@@ -116,10 +116,14 @@ def flag_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.summary(quality_flags_bvp(spark, sf_dir).withColumn("signal_type", F.col("user_id") % 7), ["signal_type"])
 
 
-def smooth_sql(days: int, expected: int, low: float, high: float, mean: str, rules: list[tuple[str, str, str]]) -> str:
-    return f"""WITH {E.replace("value, cast", "floor(value) AS value, cast", 1) if mean else E}, {SPINE}, {looked_back(days)},
-    m AS (SELECT user_id, window_id, round(least(1.0, count(*) / {expected}::DOUBLE), 4)::DOUBLE AS completeness, round(avg((value NOT BETWEEN {low} AND {high})::INT), 4) AS out_ratio, {mean} round(stddev_pop(value), 4) AS sigma_window, round(max(abs(diff)), 4) AS max_jump FROM w GROUP BY ALL)
-    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(completeness, 0.0)::DOUBLE AS completeness, m.* EXCLUDE (user_id, window_id, completeness), {sql_flags(rules)} FROM s LEFT JOIN m USING (user_id, window_id)"""
+def smooth_sql(days: int, expected: int, low: float, high: float, mean: str, rules: list[tuple[str, str, str]], since: str = "") -> str:
+    """`since`: a condition on the samples, and windows that reach before the start are warm-up."""
+    warm = f"n IS NOT NULL AND (s.window_id + 1) < {days}" if since else "false"
+    flagged = sql_flags(rules).replace("CASE WHEN", f"CASE WHEN {warm} THEN 'NOISY' WHEN", 1)
+    flagged = f"{flagged[:flagged.index(', CASE WHEN')]}, CASE WHEN {warm} THEN 'NONE' WHEN{flagged[flagged.index(', CASE WHEN') + 11:]}"
+    return f"""WITH {E.replace("value, cast", "floor(value) AS value, cast", 1) if mean else E}, {SPINE}, {looked_back(days).replace("WHERE", f"WHERE {since} AND" if since else "WHERE")},
+    m AS (SELECT user_id, window_id, count(*) AS n, round(least(1.0, count(*) / {expected}::DOUBLE), 4)::DOUBLE AS completeness, round(avg((value NOT BETWEEN {low} AND {high})::INT), 4) AS out_ratio, {mean} CASE WHEN count(*) > 1 THEN round(stddev_pop(value), 6) END AS sigma_window, round(max(abs(diff)), 6) AS max_jump FROM w GROUP BY ALL)
+    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(completeness, 0.0)::DOUBLE AS completeness, m.* EXCLUDE (user_id, window_id, n, completeness), {flagged} FROM s LEFT JOIN m USING (user_id, window_id)"""
 
 
 @query(smooth_sql(7, 14, 0.5, 150, "", [*sql_steps("coalesce(completeness, 0)", ">= 0.95", ">= 0.8"), ("coalesce(out_ratio, 1) >= 0.05", "BAD", "ARTIFACT"), *sql_steps("sigma_window", ">= 30", ">= 20", "NONE", "FLAT"), *sql_steps("max_jump", "<= 100", "<= 200")]))
@@ -127,14 +131,20 @@ def quality_flags_eda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.eda(samples(spark, sf_dir), KEYS, quality.Windows(DAY, DAYS, 7 * DAY), 2 * PER_DAY, 0.5, 150, still=(30, 20), jumps=(100, 200))
 
 
+@query(smooth_sql(7, 14, 0.5, 150, "", [*sql_steps("coalesce(completeness, 0)", ">= 0.95", ">= 0.8"), ("coalesce(out_ratio, 1) >= 0.05", "BAD", "ARTIFACT"), *sql_steps("sigma_window", ">= 30", ">= 20", "NONE", "FLAT"), *sql_steps("max_jump", "<= 100", "<= 200")], "t >= 0"))
+def warm_up_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without samples from before the start, of which there are some when time starts 10 days late."""
+    return quality.eda(samples(spark, sf_dir), KEYS, quality.Windows(DAY, DAYS, 7 * DAY, pre_start=False), 2 * PER_DAY, 0.5, 150, still=(30, 20), jumps=(100, 200))
+
+
 @query(smooth_sql(7, 14, 0.5, 150, "round(avg(value), 4) AS mean_temp,", [*sql_steps("coalesce(completeness, 0)", ">= 0.95", ">= 0.8"), ("coalesce(out_ratio, 1) > 0.05", "BAD", "ARTIFACT"), ("mean_temp >= 25 AND mean_temp < 40", "NOISY", "NONE"), *sql_steps("sigma_window", ">= 30", ">= 20", "NONE", "FLAT"), *sql_steps("max_jump", "<= 100", "<= 200")]))
 def quality_flags_temp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.temp(samples(spark, sf_dir).withColumn("value", F.floor("value").cast("double")), KEYS, quality.Windows(DAY, DAYS, 7 * DAY), 2 * PER_DAY, 0.5, 150, warm=(25, 40), still=(30, 20), jumps=(100, 200))
 
 
 @query(f"""WITH {E.replace("value, cast", "floor(value) AS value, cast", 1)}, {SPINE}, {looked_back(3)}, b AS (SELECT user_id, window_id, quality_flag AS bvp_quality_flag FROM ({BVP_SQL})),
-    m AS (SELECT user_id, window_id, round(least(1.0, count(*) / 6.0), 4)::DOUBLE AS completeness, round(avg(value), 4) AS hr_mean, round(stddev_pop(value), 4) AS hr_std, round(quantile_cont(diff, 0.95), 4) AS hr_ratio_up, round(quantile_cont(diff, 0.05), 4) AS hr_ratio_down, round(greatest(abs(quantile_cont(diff, 0.95)), abs(quantile_cont(diff, 0.05))), 4) AS RoC_max FROM w GROUP BY ALL)
-    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(completeness, 0.0)::DOUBLE AS completeness, m.* EXCLUDE (user_id, window_id, completeness), {sql_flags([*sql_steps("coalesce(completeness, 0)", ">= 0.9", ">= 0.7"), *sql_steps("hr_mean", "BETWEEN 20 AND 80", "BETWEEN 10 AND 120", "NONE", "ARTIFACT"), *sql_steps("hr_std", ">= 20", ">= 10", "NONE", "FLAT"), *sql_steps("RoC_max", "<= 50", "<= 100", "NONE", "ARTIFACT")])}, bvp_quality_flag
+    m AS (SELECT user_id, window_id, round(least(1.0, count(*) / 6.0), 4)::DOUBLE AS completeness, round(avg(value), 4) AS hr_mean, CASE WHEN count(*) > 1 THEN round(stddev_pop(value), 6) END AS hr_std, round(quantile_cont(diff, 0.95), 4) AS hr_ratio_up, round(quantile_cont(diff, 0.05), 4) AS hr_ratio_down, round(greatest(abs(quantile_cont(diff, 0.95)), abs(quantile_cont(diff, 0.05))), 4) AS RoC_max FROM w GROUP BY ALL)
+    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(completeness, 0.0)::DOUBLE AS completeness, m.* EXCLUDE (user_id, window_id, completeness), {sql_flags([*sql_steps("coalesce(completeness, 0)", ">= 0.9", ">= 0.7"), *sql_steps("hr_mean", "BETWEEN 20 AND 80", "BETWEEN 10 AND 120", "NONE", "ARTIFACT"), *sql_steps("hr_std", ">= 20", ">= 10", "NONE", "FLAT"), *sql_steps("RoC_max", "<= 50", "<= 100", "NONE", "ARTIFACT")])}, '' AS annotation, bvp_quality_flag
     FROM s LEFT JOIN m USING (user_id, window_id) LEFT JOIN b USING (user_id, window_id)""")
 def quality_flags_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.hr(samples(spark, sf_dir).withColumn("value", F.floor("value").cast("double")), KEYS, quality.Windows(DAY, DAYS, 3 * DAY), 2 * PER_DAY, quality_flags_bvp(spark, sf_dir), inner=(20, 80), outer=(10, 120), still=(20, 10), changes=(50, 100))
@@ -142,60 +152,69 @@ def quality_flags_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {E}, {SPINE}, {looked_back(3)}, b AS (SELECT user_id, t, lag(t) OVER (PARTITION BY user_id ORDER BY t) AS before FROM e),
     m AS (SELECT w.user_id, window_id, count(*) AS n_ibi, round(avg((value NOT BETWEEN 1 AND 200)::INT), 4) AS out_ratio, round(max(gap) / 1000000, 4) AS g_max_s, round(first(t - before ORDER BY t) / 1000000, 4) AS gap_before_s FROM w JOIN b USING (user_id, t) GROUP BY ALL)
-    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(n_ibi, 0) AS n_ibi, m.* EXCLUDE (user_id, window_id, n_ibi), {sql_flags([*sql_steps("coalesce(n_ibi, 0)", ">= 7", ">= 4"), ("out_ratio <> 0", "BAD", "ARTIFACT"), *sql_steps("g_max_s", "<= 86400", "<= 129600")])} FROM s LEFT JOIN m USING (user_id, window_id)""")
+    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(n_ibi, 0) AS n_ibi, out_ratio, g_max_s, coalesce(gap_before_s, 0)::DOUBLE AS gap_before_s, {sql_flags([*sql_steps("coalesce(n_ibi, 0)", ">= 7", ">= 4"), ("out_ratio <> 0", "BAD", "ARTIFACT"), *sql_steps("g_max_s", "<= 86400", "<= 129600")])} FROM s LEFT JOIN m USING (user_id, window_id)""")
 def quality_flags_ibi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.ibi(samples(spark, sf_dir), KEYS, quality.Windows(DAY, DAYS, 3 * DAY), 1, 200, counts=(7, 4), gaps=(86400, 129600))
 
 
-@query(f"""WITH {E.replace("value, cast", "least(100, floor(value / 20) * 20)::DOUBLE AS value, cast", 1)}, {SPINE}, {looked_back(3)},
+@query(f"""WITH {E.replace("value, cast", "CASE WHEN value < 4 THEN 0 WHEN value < 30 THEN 40 WHEN value < 60 THEN 60 ELSE 100 END::DOUBLE AS value, cast", 1)}, {SPINE}, {looked_back(3)},
     m AS (SELECT user_id, window_id, count(*) AS n_window, bool_or(value = 0) AS zeros, max(abs(diff)) AS max_delta, count(*) FILTER (value = 100) AS c_clip FROM w GROUP BY ALL),
-    l AS (SELECT user_id, window_id, max(run_length) AS run_max FROM {sql_runs("w", "user_id, window_id", "t", "value")} GROUP BY ALL)
-    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(n_window, 0) AS n_window, zeros, max_delta, coalesce(c_clip, 0) AS c_clip, coalesce(run_max, 0) AS run_max,
-    {sql_flags([*sql_steps("coalesce(n_window, 0)", ">= 259200", ">= 181440"), ("zeros", "BAD", "ARTIFACT"), ("max_delta > 60", "BAD", "ARTIFACT")])} FROM s LEFT JOIN m USING (user_id, window_id) LEFT JOIN l USING (user_id, window_id)""")
+    l AS (SELECT user_id, window_id, max(run_length) AS run_max FROM {sql_runs("w", "user_id, window_id", "t", "value")} GROUP BY ALL),
+    j AS (SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(n_window, 0) AS n_window, coalesce(zeros, false) AS zeros, max_delta, coalesce(c_clip, 0) AS c_clip, coalesce(run_max, 0) AS run_max FROM s LEFT JOIN m USING (user_id, window_id) LEFT JOIN l USING (user_id, window_id))
+    SELECT *, {sql_flags([*sql_steps("n_window", ">= 5", ">= 4"), ("zeros", "BAD", "ARTIFACT"), ("max_delta > 40", "BAD", "ARTIFACT"), ("c_clip >= 5", "BAD", "CLIPPING"), ("c_clip = 4", "NOISY", "CLIPPING"), ("run_max >= 5", "BAD", "FLAT"), ("run_max = 4", "NOISY", "FLAT")])} FROM j""")
 def quality_flags_attention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = samples(spark, sf_dir).withColumn("value", F.least(F.lit(100.0), F.floor(F.col("value") / 20) * 20).cast("double"))
-    return quality.attention(rows, KEYS, quality.Windows(DAY, DAYS, 3 * DAY), most=60)
+    """Five scores are expected in three days; shares of them are rounded as in Python: 70 and 80 % are 4, 90 % is 4."""
+    v = F.col("value")
+    rows = samples(spark, sf_dir).withColumn("value", F.when(v < 4, 0.0).when(v < 30, 40.0).when(v < 60, 60.0).otherwise(100.0))
+    return quality.attention(rows, KEYS, quality.Windows(DAY, DAYS, 3 * DAY), rate=5 / 3 * PER_DAY)
 
 
 @query(f"""WITH {E}, {SPINE}, a AS (SELECT user_id, window_id, t, (c % 257 - 128)::DOUBLE AS x, (c % 101)::DOUBLE AS y, (c % 53)::DOUBLE AS z FROM d),
-    m AS (SELECT user_id, window_id, round(least(1.0, count(*) / 2.0), 4)::DOUBLE AS completeness, round(avg((abs(x) > 120 OR abs(y) > 120 OR abs(z) > 120)::INT), 4) AS out_ratio, stddev_pop(x) < 20 AND stddev_pop(y) < 20 AND stddev_pop(z) < 20 AND abs(avg(sqrt(x * x + y * y + z * z)) - 64) > 10 AS FLAT, round(avg(sqrt(x * x + y * y + z * z)), 4) AS M_mean FROM a GROUP BY ALL),
-    v AS (SELECT user_id, window_id, t, 'x' AS axis, x AS v1 FROM a UNION ALL SELECT user_id, window_id, t, 'y', y FROM a UNION ALL SELECT user_id, window_id, t, 'z', z FROM a),
-    l AS (SELECT user_id, window_id, max(CASE WHEN v THEN run_length ELSE 0 END) AS l_max FROM {sql_runs("v", "user_id, window_id, axis", "t", "abs(v1) >= 45")} GROUP BY ALL)
-    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(completeness, 0.0)::DOUBLE AS completeness, out_ratio, l_max, FLAT, M_mean, {sql_flags([*sql_steps("coalesce(completeness, 0)", ">= 0.95", ">= 0.8"), ("coalesce(out_ratio, 1) <> 0", "BAD", "ARTIFACT"), *sql_steps("l_max", "<= 1", "<= 2", "CLIPPING", "CLIPPING"), ("FLAT", "BAD", "FLAT")])} FROM s LEFT JOIN m USING (user_id, window_id) LEFT JOIN l USING (user_id, window_id)""")
+    b AS (SELECT *, greatest(abs(x), abs(y), abs(z)) AS most FROM a),
+    m AS (SELECT user_id, window_id, round(least(1.0, count(*) / 2.0), 4)::DOUBLE AS completeness, round(avg((most > 120)::INT), 4) AS out_ratio, round(avg((most >= 45)::INT), 4) AS clip_ratio, stddev_pop(x) < 20 AND stddev_pop(y) < 20 AND stddev_pop(z) < 20 AND abs(avg(sqrt(x * x + y * y + z * z)) - 64) > 10 AS still, round(avg(sqrt(x * x + y * y + z * z)), 4) AS M FROM b GROUP BY ALL),
+    l AS (SELECT user_id, window_id, max(CASE WHEN v THEN run_length ELSE 0 END) AS l_max FROM {sql_runs("b", "user_id, window_id", "t", "most >= 45")} GROUP BY ALL)
+    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(completeness, 0.0)::DOUBLE AS completeness, out_ratio, clip_ratio, coalesce(l_max, 0) AS l_max, coalesce(still, true) AS FLAT, M, M AS M_mean, {sql_flags([*sql_steps("coalesce(completeness, 0)", ">= 0.95", ">= 0.8"), ("coalesce(out_ratio, 1) <> 0", "BAD", "ARTIFACT"), *sql_steps("l_max", "<= 1", "<= 2", "CLIPPING", "CLIPPING"), ("still", "BAD", "FLAT")])} FROM s LEFT JOIN m USING (user_id, window_id) LEFT JOIN l USING (user_id, window_id)""")
 def quality_flags_acc(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.round(F.col("value") * 100).cast("long")
     rows = samples(spark, sf_dir).select("user_id", "t", (c % 257 - 128).cast("double").alias("x"), (c % 101).cast("double").alias("y"), (c % 53).cast("double").alias("z"))
     return quality.acc(rows, KEYS, quality.Windows(DAY, DAYS), 2 * PER_DAY, limit=120, clip=45, still=20)
 
 
-@query(f"""WITH {E}, {SPINE}, a AS (SELECT user_id, window_id, t, (c % 50)::DOUBLE AS low, (c % 7)::DOUBLE AS high FROM d),
+@query(f"""WITH {E}, x AS (SELECT user_id, t - {2 * DAY} AS t, (c % 50)::DOUBLE AS low, (c % 7)::DOUBLE AS high FROM e), s AS (SELECT user_id, k AS window_id FROM (SELECT DISTINCT user_id FROM e), range(28) r(k)),
+    a AS (SELECT *, t // {DAY} AS window_id FROM x WHERE t >= 0), f AS (SELECT user_id, arg_max(low + high, t) AS p0 FROM x WHERE t < 0 GROUP BY 1),
     m AS (SELECT user_id, window_id, count(*) AS n, bool_or(low = 0 OR high = 0) AS zero, stddev_pop(low) = 0 OR stddev_pop(high) = 0 AS still, avg(low + high) AS p, arg_max(low, t) AS ll, arg_max(high, t) AS lh FROM a GROUP BY ALL),
-    j AS (SELECT s.*, n, zero, still, p, ll, lh, lag(p) OVER o AS p1, lag(ll) OVER o AS l1, lag(lh) OVER o AS h1, lag(ll, 2) OVER o AS l2, lag(lh, 2) OVER o AS h2 FROM s LEFT JOIN m USING (user_id, window_id) WINDOW o AS (PARTITION BY s.user_id ORDER BY s.window_id)),
-    k AS (SELECT user_id, window_id, zero, CASE WHEN n >= 2 THEN still WHEN l1 IS NOT NULL AND l2 IS NOT NULL THEN coalesce((ll = l1 AND l1 = l2) OR (lh = h1 AND h1 = h2), false) ELSE false END AS flat, CASE WHEN p1 > 0 THEN p / p1 END AS ratio, p, n FROM j)
-    SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(zero, false) AS zero, flat, coalesce(ratio > 2, false) AS spike, round(p, 4) AS power, round(ratio, 4) AS power_ratio, {sql_flags([("zero", "BAD", "ARTIFACT"), ("flat", "BAD", "FLAT"), ("ratio > 2", "NOISY", "ARTIFACT"), ("n IS NULL", "BAD", "ARTIFACT")])} FROM k s""")
+    j AS (SELECT s.*, n, zero, still, p, ll, lh, CASE WHEN s.window_id = 0 THEN p0 ELSE lag(p) OVER o END AS p1, lag(ll) OVER o AS l1, lag(lh) OVER o AS h1, lag(ll, 2) OVER o AS l2, lag(lh, 2) OVER o AS h2 FROM s LEFT JOIN m USING (user_id, window_id) LEFT JOIN f USING (user_id) WINDOW o AS (PARTITION BY s.user_id ORDER BY s.window_id)),
+    k AS (SELECT user_id, window_id AS day, zero, CASE WHEN n >= 2 THEN still WHEN l1 IS NOT NULL AND l2 IS NOT NULL THEN coalesce((ll = l1 AND l1 = l2) OR (lh = h1 AND h1 = h2), false) ELSE false END AS flat, CASE WHEN p1 > 0 THEN p / p1 END AS ratio, p, n FROM j),
+    o AS (SELECT k.*, w.window_id FROM (SELECT range AS window_id FROM range(56)) w JOIN k ON k.day = (w.window_id * 43200 + 21600) // 86400)
+    SELECT s.user_id, s.window_id, s.window_id * 43200.0::DOUBLE AS window_start_s, (s.window_id + 1) * 43200.0::DOUBLE AS window_end_s, coalesce(zero, false) AS zero, flat, coalesce(ratio > 2, false) AS spike, round(p, 4) AS power, round(ratio, 4) AS power_ratio, {sql_flags([("zero", "BAD", "ARTIFACT"), ("flat", "BAD", "FLAT"), ("ratio > 2", "NOISY", "ARTIFACT"), ("n IS NULL", "BAD", "ARTIFACT")])} FROM o s""")
 def power_spike(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time starts after two days; metrics are of days, windows of half a day."""
     c = F.round(F.col("value") * 100).cast("long")
-    rows = samples(spark, sf_dir).select("user_id", "t", (c % 50).cast("double").alias("low"), (c % 7).cast("double").alias("high"))
-    return quality.brainwave(rows, KEYS, quality.Windows(DAY, DAYS), ["low", "high"])
+    rows = samples(spark, sf_dir).select("user_id", (F.col("t") - 2 * DAY).alias("t"), (c % 50).cast("double").alias("low"), (c % 7).cast("double").alias("high"))
+    return quality.brainwave(rows, KEYS, quality.Windows(DAY // 2, 56), ["low", "high"], least=DAY)
 
 
-@query(f"""WITH {E}, a AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY t) - 1 AS idx, (c % 200 - 100) / 100.0::DOUBLE AS value, count(*) OVER (PARTITION BY user_id) AS n FROM e),
+@query(f"""WITH {E}, a AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY t) - 1 AS idx, CASE WHEN user_id % 9 = 0 THEN c % 2 * 0.00000001::DOUBLE WHEN user_id % 3 = 0 THEN (c % 160 - 80) / 100.0::DOUBLE ELSE (c % 200 - 100) / 100.0::DOUBLE END AS value, count(*) OVER (PARTITION BY user_id) AS n FROM e),
     b AS (SELECT *, idx // 8 AS window_id FROM a WHERE (idx // 8 + 1) * 8 <= n),
-    m AS (SELECT user_id, window_id, round(CASE WHEN sqrt(avg(value * value)) > 1e-12 THEN 20 * log10(sqrt(avg(value * value))) ELSE -120 END, 4) AS rms_db, round(avg((value = 0)::INT), 4) AS zero_ratio, round(avg((abs(value) >= 0.9)::INT), 4) AS clip_ratio FROM b GROUP BY ALL),
+    m AS (SELECT user_id, window_id, sqrt(avg(value * value)) AS rms, round(avg((abs(value) < 1e-6)::INT), 6) AS zero_ratio, round(avg((abs(value) >= 0.9)::INT), 6) AS clip_ratio FROM b GROUP BY ALL),
+    q AS (SELECT *, round(CASE WHEN rms > 1e-12 THEN 20 * log10(rms) ELSE -120 END, 4) AS rms_db FROM m),
     l AS (SELECT user_id, window_id, max(CASE WHEN v THEN run_length ELSE 0 END) AS clip_run_max FROM {sql_runs("b", "user_id, window_id", "idx", "abs(value) >= 0.9")} GROUP BY ALL),
-    f AS (SELECT user_id, quantile_cont(rms_db, 0.1) AS floor_db FROM m GROUP BY 1)
-    SELECT user_id, window_id, window_id * 8.0::DOUBLE AS window_start_s, rms_db, zero_ratio, clip_ratio, clip_run_max, {sql_flags([("rms_db < -60 OR zero_ratio > 0.5", "BAD", "FLAT"), ("clip_ratio > 0.001 OR clip_run_max >= 3", "BAD", "CLIPPING")])}, round(rms_db - floor_db, 5) AS snr_db FROM m JOIN l USING (user_id, window_id) JOIN f USING (user_id)""")
+    f AS (SELECT user_id, greatest(quantile_cont(rms, 0.1), 1e-12) AS floor FROM m GROUP BY 1)
+    SELECT user_id, window_id, window_id * 8.0::DOUBLE AS window_start_s, (window_id + 1) * 8.0::DOUBLE AS window_end_s, rms_db, zero_ratio, clip_ratio, clip_run_max, {sql_flags([("rms_db < -60 OR zero_ratio > 0.5", "BAD", "FLAT"), ("clip_ratio > 0.001 OR clip_run_max >= 3", "BAD", "CLIPPING")])}, round(CASE WHEN rms > 1e-12 THEN 20 * log10(rms / floor) ELSE -120 END, 4) AS snr_db FROM q JOIN l USING (user_id, window_id) JOIN f USING (user_id)""")
 def audio_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
     c = F.round(F.col("value") * 100).cast("long")
-    rows = samples(spark, sf_dir).select("user_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("t")) - 1).alias("idx"), ((c % 200 - 100) / 100.0).alias("value"))
+    rows = samples(spark, sf_dir).select("user_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("t")) - 1).alias("idx"), F.when(F.col("user_id") % 9 == 0, c % 2 * 0.00000001).when(F.col("user_id") % 3 == 0, (c % 160 - 80) / 100.0).otherwise((c % 200 - 100) / 100.0).alias("value"))
     return quality.audio(rows, KEYS, 1.0, 8.0, clip=0.9)
 
 
-@query(f"""WITH {E}, a AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY t) - 1 AS frame, c FROM e), s AS (SELECT user_id, k AS window_id FROM (SELECT DISTINCT user_id FROM e), range(6) r(k)),
-    m AS (SELECT user_id, frame // 15 AS window_id, round(avg(c % 300), 4) AS window_blur, round(avg((c % 100) / 200.0::DOUBLE), 4) AS window_clipping, round(avg((c % 4 > 0)::INT), 4) AS face_detection_rate FROM a GROUP BY ALL)
-    SELECT s.user_id, s.window_id, s.window_id * 1.0::DOUBLE AS window_start_s, (s.window_id + 1) * 1.0::DOUBLE AS window_end_s, window_blur, window_clipping, face_detection_rate, {sql_flags([*sql_steps("window_blur", ">= 150", ">= 120"), *sql_steps("window_clipping", "<= 0.25", "<= 0.3", "CLIPPING", "CLIPPING"), *sql_steps("face_detection_rate", ">= 0.78", ">= 0.5"), ("window_blur IS NULL", "BAD", "ARTIFACT")])} FROM s LEFT JOIN m USING (user_id, window_id)""")
+@query(f"""WITH {E}, a AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY t) - 1 AS frame, c FROM e), n AS (SELECT user_id, greatest(6, max(frame) // 15 + 1) AS n FROM a GROUP BY 1), s AS (SELECT user_id, unnest(range(n)) AS window_id FROM n),
+    m AS (SELECT user_id, frame // 15 AS window_id, avg(c % 300) AS blur, avg((c % 100) / 200.0::DOUBLE) AS clipping, avg((c % 4 > 0)::INT) AS face FROM a GROUP BY ALL)
+    SELECT s.user_id, s.window_id, s.window_id * 1.0::DOUBLE AS window_start_s, (s.window_id + 1) * 1.0::DOUBLE AS window_end_s, round(blur, 4) AS window_blur, round(clipping, 6) AS window_clipping, round(face, 4) AS face_detection_rate,
+      CASE WHEN blur IS NULL OR blur < 120 OR clipping >= 0.27 OR face < 0.5 THEN 'BAD' WHEN blur < 150 OR clipping >= 0.25 OR face < 0.78 THEN 'NOISY' ELSE 'GOOD' END AS quality_flag,
+      CASE WHEN clipping >= 0.27 THEN 'CLIPPING' WHEN blur IS NULL OR blur < 120 OR face < 0.5 THEN 'ARTIFACT' ELSE 'NONE' END AS problem_flag
+    FROM s LEFT JOIN m USING (user_id, window_id)""")
 def video_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import Window
 
@@ -203,7 +222,7 @@ def video_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = samples(spark, sf_dir).select(
         "user_id", (F.row_number().over(Window.partitionBy("user_id").orderBy("t")) - 1).alias("frame"), (c % 300).alias("lap_var"), ((c % 100) / 200.0).alias("clipped_ratio"), (c % 4 > 0).cast("int").alias("face")
     )
-    return quality.video(rows, KEYS, 15, 1.0, 6, blur=(150, 120), clipped=(0.25, 0.3), whole=True)
+    return quality.video(rows, KEYS, 15, 1.0, 6, blur=(150, 120), clipped=(0.25, 0.27), whole=True)
 
 
 @query(f"WITH {E} SELECT user_id, k AS window_id, count(*) AS n, sum(c) / count(*)::DOUBLE AS mean_c FROM e, range({DAYS}) r(k) WHERE t >= (k + 1) * {DAY} - {7 * DAY} AND t < (k + 1) * {DAY} GROUP BY ALL")
@@ -315,25 +334,86 @@ def confusion_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.class_scores(stats.confusion(rows, "quality", "toxic", classes), "quality", "toxic")
 
 
-@query("SELECT doc_id, CASE WHEN coalesce(abs(quality - toxic) <= 1, false) OR coalesce(abs(quality - 3) <= 1, false) OR coalesce(abs(toxic - 3) <= 1, false) THEN 'AGREE' ELSE 'DISAGREE' END AS agreement FROM labels")
+@query("""WITH s AS (SELECT event_id, [c % 7, c // 7 % 7, CASE WHEN c % 5 > 0 THEN c // 49 % 7 END] AS r FROM (SELECT event_id, cast(round(value * 100) AS BIGINT) AS c FROM events))
+    SELECT event_id, CASE WHEN (SELECT count(*) FROM range(1, 4) i(a), range(1, 4) j(b) WHERE a < b AND abs(r[a] - r[b]) <= 1) > 0 THEN 'AGREE' ELSE 'DISAGREE' END AS agreement FROM s""")
 def rater_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "labels")
-    return rows.select("doc_id", F.when(S.raters_agree(F.col("quality"), F.col("toxic"), F.lit(3)), "AGREE").otherwise("DISAGREE").alias("agreement"))
+    c = F.round(F.col("value") * 100).cast("long")
+    own = [c % 7, F.floor(c / 7) % 7, F.when(c % 5 > 0, F.floor(c / 49) % 7)]
+    return table(spark, sf_dir, "events").select("event_id", F.when(S.raters_agree(*own), "AGREE").otherwise("DISAGREE").alias("agreement"))
 
 
-ANNOTATION_SQL = """WITH s AS (SELECT event_id, c % 9 - 4 AS vp, c % 7 - 3 AS ap, c % 5 - 2 AS ve, c % 8 - 4 AS ae FROM (SELECT event_id, cast(round(value * 100) AS BIGINT) AS c FROM events)),
-    f AS (SELECT *, NOT coalesce(vp = 0 OR vp < -3 OR vp > 3, false) AS fp, NOT coalesce(ve = 0 OR ve < -3 OR ve > 3, false) AS fe FROM s)
-    SELECT event_id, CASE WHEN NOT fp AND NOT fe THEN 'BAD' WHEN NOT fp OR NOT fe THEN 'NOISY' WHEN abs(vp - ve) >= 3 AND abs(ap - ae) >= 3 THEN 'NOISY' WHEN abs(vp - ve) >= 3 OR abs(ap - ae) >= 3 THEN 'ACCEPTABLE' ELSE 'GOOD' END AS quality_flag,
-    CASE WHEN vp >= 0 AND ap >= 0 THEN 'Happiness' WHEN vp <= 0 AND ap >= 0 THEN 'Anger' WHEN vp >= 0 AND ap <= 0 THEN 'Calm' ELSE 'Sadness' END AS emotion FROM f"""
+CLASSES = "(VALUES ('Anger', NULL, -1, 1, NULL), ('Happiness', 1, NULL, 1, NULL), ('Calm', -1, NULL, NULL, -1), ('Sadness', NULL, -1, NULL, -1), ('Neutral', NULL, NULL, NULL, NULL)) b(emotion_class, vl, vh, al, ah)"
 
 
-@query(ANNOTATION_SQL)
-def annotation_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query(f"""WITH e AS (SELECT event_id, cast(round(value * 100) AS BIGINT) AS c FROM events),
+    t AS (SELECT event_id, ['Anger', 'Happiness', 'Calm', 'Sadness', 'Neutral'][event_id % 5 + 1] AS emotion_class, event_id % 11 > 0 AS rated, CASE WHEN c % 13 > 0 THEN c % 9 - 4 END AS vp, c // 9 % 9 - 4 AS ap, c // 81 % 9 - 4 AS ve, (c + event_id) % 9 - 4 AS ae FROM e),
+    r AS (SELECT event_id, emotion_class, rated, CASE WHEN rated THEN vp END::DOUBLE AS vp, CASE WHEN rated THEN ap END::DOUBLE AS ap, CASE WHEN rated THEN ve END::DOUBLE AS ve, CASE WHEN rated THEN ae END::DOUBLE AS ae FROM t),
+    f AS (SELECT r.*, coalesce(vp = 0 OR vp < vl OR vp > vh, false) AS v_off, coalesce(ap = 0 OR ap < al OR ap > ah, false) AS a_off, coalesce(abs(vp - ve) >= 3, false) AS v_apart, coalesce(abs(ap - ae) >= 3, false) AS a_apart, (vp + ve) / 2 AS v, (ap + ae) / 2 AS a FROM r JOIN {CLASSES} USING (emotion_class)),
+    g AS (SELECT *, CASE WHEN v >= 0 AND a >= 0 THEN 'Happiness' WHEN v <= 0 AND a >= 0 THEN 'Anger' WHEN v >= 0 AND a <= 0 THEN 'Calm' WHEN v <= 0 AND a <= 0 THEN 'Sadness' END AS emotion FROM f)
+    SELECT event_id, emotion_class, vp AS valence_participant, ap AS arousal_participant, ve AS valence_experimenter, ae AS arousal_experimenter,
+      CASE WHEN rated THEN CASE WHEN v_off THEN 'MISALIGNED' ELSE 'ALIGNED' END END AS valence_class_alignment, CASE WHEN rated THEN CASE WHEN a_off THEN 'MISALIGNED' ELSE 'ALIGNED' END END AS arousal_class_alignment,
+      CASE WHEN NOT rated THEN NULL WHEN v_off AND a_off THEN 'BAD' WHEN v_off OR a_off THEN 'NOISY' WHEN v_apart AND a_apart THEN 'NOISY' WHEN v_apart OR a_apart THEN 'ACCEPTABLE' ELSE 'GOOD' END AS quality_flag,
+      v AS avg_valence, a AS avg_arousal, emotion AS valence_arousal_emotion, CASE WHEN rated THEN CASE WHEN emotion = emotion_class THEN 'ALIGNED' ELSE 'MISALIGNED' END END AS emotion_class_alignment FROM g""")
+def trial_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An event is a trial of a subject of its own; every eleventh has no scores, and some scores are missing."""
+    c = F.round(F.col("value") * 100).cast("long")
+    part = lambda n: F.floor(c / n) % 9 - 4
+    e = table(spark, sf_dir, "events").select(
+        "event_id",
+        F.element_at(F.array(*[F.lit(x) for x in ("Anger", "Happiness", "Calm", "Sadness", "Neutral")]), (F.col("event_id") % 5 + 1).cast("int")).alias("emotion_class"),
+        F.when(c % 13 > 0, part(1)).cast("double").alias("valence_participant"),
+        part(9).cast("double").alias("arousal_participant"),
+        part(81).cast("double").alias("valence_experimenter"),
+        ((c + F.col("event_id")) % 9 - 4).cast("double").alias("arousal_experimenter"),
+    )
+    trials = e.select(F.col("event_id").alias("subject"), F.lit(1).alias("trial_id"), "emotion_class", F.lit(1).alias("k"))
+    scores = e.filter("event_id % 11 > 0").withColumnRenamed("event_id", "subject").withColumn("k", F.lit(1))
+    bounds = [("Anger", None, -1, 1, None), ("Happiness", 1, None, 1, None), ("Calm", -1, None, None, -1), ("Sadness", None, -1, None, -1), ("Neutral", None, None, None, None)]
+    thresholds = spark.createDataFrame(bounds, "emotion_class string, valence_low int, valence_high int, arousal_low int, arousal_high int")
+    return annotate.trial_annotations(trials, scores, thresholds).withColumnRenamed("subject", "event_id").drop("trial_id", "k")
+
+
+RATED = ("arousal", "valence", "cheerful", "happy", "angry", "nervous", "sad")
+
+
+def _session_sql() -> str:
+    of = lambda c: f"[self.{c}, partner.{c}, external.{c}]"
+    agree = lambda c: f"(abs(self.{c} - partner.{c}) <= 1 OR abs(self.{c} - external.{c}) <= 1 OR abs(partner.{c} - external.{c}) <= 1)"
+    score = {c: f"(c // {7**k if k < 4 else 3 * k} + {k} * (event_id % 3)) % " + ("5 + 1" if k < 2 else "(CASE WHEN user_id % 4 = 0 THEN 2 ELSE 5 END) + 1") for k, c in enumerate(RATED)}
+    feelings = RATED[2:]
+    return f"""WITH e AS (SELECT event_id, user_id, ts, cast(round(value * 100) AS BIGINT) AS c FROM events WHERE user_id % 6 > 0 OR event_id % 3 < 2),
+    r AS (SELECT user_id, event_id % 3 AS who, c, {", ".join(f"CASE WHEN (c + {k}) % 8 > 0 THEN {x} END::DOUBLE AS {n}" for k, (n, x) in enumerate(score.items()))}, c % 2 = 0 AS boredom, c % 3 = 0 AS delight,
+      row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id DESC) AS back FROM e),
+    n AS (SELECT user_id, min(c) AS n, count(*) AS raters FROM (SELECT user_id, who, count(*) AS c FROM r GROUP BY ALL) GROUP BY 1),
+    w AS (SELECT user_id, n - self.back AS position, self, partner, external FROM n JOIN r self USING (user_id) JOIN r partner USING (user_id, back) JOIN r external USING (user_id, back) WHERE raters = 3 AND back <= n AND self.who = 0 AND partner.who = 1 AND external.who = 2),
+    g AS (SELECT user_id, position * 5 AS seconds, {", ".join(f"coalesce({agree(c)}, false) AS {c}_ok" for c in RATED)}, (self.boredom::INT + partner.boredom::INT + external.boredom::INT >= 2 OR self.delight::INT + partner.delight::INT + external.delight::INT >= 2) AS check_ok,
+      {", ".join(f"coalesce(list_sum({of(c)}), 0)::DOUBLE AS {c}_sum" for c in feelings)}, list_avg({of("valence")}) AS v, list_avg({of("arousal")}) AS a FROM w),
+    h AS (SELECT *, {" + ".join(f"(NOT {c}_ok)::INT" for c in (*RATED, "check"))} AS off, greatest({", ".join(f"{c}_sum" for c in feelings)}) AS top,
+      CASE WHEN v >= 3 AND a >= 3 THEN 'Happiness' WHEN v <= 3 AND a >= 3 THEN 'Anger' WHEN v >= 3 AND a <= 3 THEN 'Calm' WHEN v <= 3 AND a <= 3 THEN 'Sadness' END AS emotion FROM g),
+    d AS (SELECT *, concat_ws(', ', CASE WHEN top <= 4 THEN 'Neutral' END, CASE WHEN top <= 6 AND (happy_sum = top OR sad_sum = top) THEN 'Calm' END, CASE WHEN cheerful_sum = top OR happy_sum = top THEN 'Happiness' END, CASE WHEN angry_sum = top THEN 'Anger' END, CASE WHEN nervous_sum = top OR sad_sum = top THEN 'Sadness' END) AS dominant FROM h)
+    SELECT user_id, seconds, {", ".join(f"CASE WHEN {c}_ok THEN 'AGREE' ELSE 'DISAGREE' END AS {'check_0' if c == 'check' else c}_agree" for c in (*RATED, "check"))},
+      CASE WHEN off >= 5 THEN 'BAD' WHEN off >= 3 OR (NOT arousal_ok AND NOT valence_ok) THEN 'NOISY' WHEN NOT arousal_ok OR NOT valence_ok THEN 'ACCEPTABLE' ELSE 'GOOD' END AS quality_flag,
+      dominant AS dominant_emotion, top AS dominant_emotion_value, round(v, 9) AS avg_valence, round(a, 9) AS avg_arousal, emotion AS valence_arousal_emotion, CASE WHEN list_contains(string_split(dominant, ', '), emotion) THEN 'ALIGNED' ELSE 'MISALIGNED' END AS emotion_class_alignment FROM d"""
+
+
+@query(_session_sql())
+def session_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three raters of a user by event_id; some have no third one, and some scores are missing."""
     c = F.round(F.col("value") * 100).cast("long")
-    s = table(spark, sf_dir, "events").select("event_id", (c % 9 - 4).alias("vp"), (c % 7 - 3).alias("ap"), (c % 5 - 2).alias("ve"), (c % 8 - 4).alias("ae"))
-    fits = lambda x: S.aligned(F.col(x), F.lit(-3), F.lit(3))
-    flag = S.annotation_flag(F.col("vp"), F.col("ap"), F.col("ve"), F.col("ae"), fits("vp"), fits("ve"))
-    return s.select("event_id", flag.alias("quality_flag"), S.quadrant(F.col("vp"), F.col("ap")).alias("emotion"))
+    who = F.col("event_id") % 3
+    most = F.when(F.col("user_id") % 4 == 0, 2).otherwise(5)  # low feelings of some
+    score = lambda k: (F.floor(c / (7**k if k < 4 else 3 * k)) + k * who) % (5 if k < 2 else most) + 1
+    rows = table(spark, sf_dir, "events").filter("user_id % 6 > 0 or event_id % 3 < 2")
+    rows = rows.select(
+        "user_id",
+        F.element_at(F.array(F.lit("self"), F.lit("partner"), F.lit("external")), (who + 1).cast("int")).alias("rater"),
+        F.col("event_id").alias("row"),
+        *[F.when((c + k) % 8 > 0, score(k)).cast("double").alias(n) for k, n in enumerate(RATED)],
+        F.when(c % 2 == 0, "x").alias("boredom"),
+        F.when(c % 3 == 0, " X").otherwise("no").alias("delight"),
+    )
+    out = annotate.session_annotations(rows, KEYS, list(RATED), [["boredom", "delight"]])
+    return out.withColumn("avg_valence", F.round("avg_valence", 9)).withColumn("avg_arousal", F.round("avg_arousal", 9))
 
 
 @query("""SELECT c_custkey, CASE WHEN x >= 0 AND y >= 0 THEN 'Happiness' WHEN x <= 0 AND y >= 0 THEN 'Anger' WHEN x >= 0 AND y <= 0 THEN 'Calm' ELSE 'Sadness' END AS emotion FROM (SELECT c_custkey, c_acctbal - 3 AS x, c_nationkey % 5 - 3 AS y FROM customer)""")
@@ -341,14 +421,6 @@ def quadrant_emotion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select("c_custkey", S.quadrant(F.col("c_acctbal"), F.col("c_nationkey") % 5, 3.0).alias("emotion"))
 
 
-@query("""WITH s AS (SELECT user_id, greatest(count(*) FILTER (event_type = 'view'), 0) AS v, count(*) FILTER (event_type = 'click') AS k, count(*) FILTER (event_type = 'error') AS e FROM events GROUP BY 1)
-    SELECT user_id, concat_ws(', ', CASE WHEN v = greatest(v, k, e) THEN 'view' END, CASE WHEN k = greatest(v, k, e) THEN 'click' END, CASE WHEN e = greatest(v, k, e) THEN 'error' END) AS dominant FROM s""")
-def dominant_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    names = ["view", "click", "error"]
-    n = table(spark, sf_dir, "events").groupBy("user_id").agg(*[F.sum((F.col("event_type") == k).cast("double")).alias(k) for k in names])
-    return n.select("user_id", S.dominant({k: F.col(k) for k in names}).alias("dominant"))
-
-
 # -- joins, fusion, identifiers, missing data -----------------------------------------------------
 
 
@@ -369,21 +441,22 @@ def asof_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TYPES = ("view", "click", "purchase")
+WORST = "CASE WHEN bool_or(f = 'BAD') FILTER (event_type = '{m}') THEN 'BAD' WHEN bool_or(f = 'NOISY') FILTER (event_type = '{m}') THEN 'NOISY' WHEN bool_or(f = 'GOOD') FILTER (event_type = '{m}') THEN 'GOOD' END AS {m}_flag"
 FLAG_SQL = "CASE WHEN value > 120 THEN 'BAD' WHEN value > 60 THEN 'NOISY' ELSE 'GOOD' END"
 
 
 def typed_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.when(F.col("value") > 120, "BAD").when(F.col("value") > 60, "NOISY").otherwise("GOOD")
     rows = timewin.tumbling(samples(spark, sf_dir, "event_type").withColumn("quality_flag", flag), F.col("t"), DAY, DAYS)
-    return rows.groupBy("user_id", "window_id", F.col("event_type").alias("modality")).agg(F.max("quality_flag").alias("quality_flag"))
+    return rows.groupBy("user_id", "window_id", F.col("event_type").alias("modality")).agg(F.collect_set("quality_flag").alias("f")).select("user_id", "window_id", "modality", F.explode("f").alias("quality_flag"))
 
 
-@query(f"WITH {E}, g AS (SELECT *, {FLAG_SQL} AS f FROM d WHERE window_id < {DAYS}) SELECT user_id, window_id, " + ", ".join(f"max(f) FILTER (event_type = '{m}') AS {m}_flag" for m in TYPES) + " FROM g GROUP BY ALL")
+@query(f"WITH {E}, g AS (SELECT *, {FLAG_SQL} AS f FROM d WHERE window_id < {DAYS}) SELECT user_id, window_id, " + ", ".join(WORST.format(m=m) for m in TYPES) + " FROM g GROUP BY ALL")
 def pivot_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fusion.fuse(typed_flags(spark, sf_dir), ["user_id", "window_id"], list(TYPES))
 
 
-@query(f"""WITH {E}, g AS (SELECT *, {FLAG_SQL} AS f FROM d WHERE window_id < {DAYS}), w AS (SELECT user_id AS entity_id, window_id, {', '.join(f"max(f) FILTER (event_type = '{m}') AS {m}_flag" for m in TYPES)} FROM g GROUP BY ALL), l AS (SELECT user_id AS entity_id, t / 1000000 AS seconds, event_type AS emotion FROM e WHERE event_type IN ('error', 'signup'))
+@query(f"""WITH {E}, g AS (SELECT *, {FLAG_SQL} AS f FROM d WHERE window_id < {DAYS}), w AS (SELECT user_id AS entity_id, window_id, {', '.join(WORST.format(m=m) for m in TYPES)} FROM g GROUP BY ALL), l AS (SELECT user_id AS entity_id, t / 1000000 AS seconds, event_type AS emotion FROM e WHERE event_type IN ('error', 'signup'))
     SELECT w.entity_id, window_id, window_id * 86400.0::DOUBLE AS window_start_s, window_id * 86400.0::DOUBLE + 86400.0::DOUBLE AS window_end_s, {', '.join(f"{m}_flag" for m in TYPES)}, l.emotion AS window_emotion FROM w ASOF LEFT JOIN l ON w.entity_id = l.entity_id AND (window_id + 0.5::DOUBLE) * 86400 >= l.seconds""")
 def session_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = samples(spark, sf_dir, "event_type").filter("event_type in ('error', 'signup')").select(F.col("user_id").alias("entity_id"), (F.col("t") / 1000000).alias("seconds"), F.col("event_type").alias("emotion"))
@@ -395,11 +468,11 @@ def id_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.resolved(table(spark, sf_dir, "documents").select("doc_id", "source"), "source", r"^src(\d+)$").select("doc_id", "source_entity_id", "entity_id")
 
 
-@query("""WITH i AS (SELECT DISTINCT CASE WHEN r = 0 THEN source WHEN r = 1 THEN 'e0' || (n % 10) WHEN r = 2 THEN 'p' || n || '_p' || (n + 1) ELSE 'x' || n END AS id, r FROM (SELECT source, cast(substr(source, 4) AS INT) AS n, cast(substr(source, 4) AS INT) % 4 AS r FROM documents))
-    SELECT CASE r WHEN 0 THEN 'single' WHEN 1 THEN 'canonical' WHEN 2 THEN 'unknown' ELSE 'unknown' END AS format, count(*) AS n, array_to_string(list_slice(list_sort(list(id)), 1, 10), ',') AS examples FROM i GROUP BY 1""")
+@query("""WITH i AS (SELECT DISTINCT CASE WHEN r = 0 THEN source WHEN r = 1 THEN 'e0' || (n % 10) WHEN r = 2 THEN source || '_' || replace(source, 'src', 'SRC') ELSE 'x' || n END AS id, r FROM (SELECT source, cast(substr(source, 4) AS INT) AS n, cast(substr(source, 4) AS INT) % 4 AS r FROM documents))
+    SELECT CASE r WHEN 0 THEN 'single' WHEN 1 THEN 'canonical' WHEN 2 THEN 'dyadic' ELSE 'unknown' END AS format, count(*) AS n, array_to_string(list_slice(list_sort(list(id)), 1, 10), ',') AS examples FROM i GROUP BY 1""")
 def id_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.substring("source", 4, 9).cast("int")
-    own = F.when(n % 4 == 0, F.col("source")).when(n % 4 == 1, F.concat(F.lit("e0"), n % 10)).when(n % 4 == 2, F.concat(F.lit("p"), n, F.lit("_p"), n + 1)).otherwise(F.concat(F.lit("x"), n))
+    own = F.when(n % 4 == 0, F.col("source")).when(n % 4 == 1, F.concat(F.lit("e0"), n % 10)).when(n % 4 == 2, F.concat_ws("_", "source", F.regexp_replace("source", "src", "SRC"))).otherwise(F.concat(F.lit("x"), n))
     return checks.id_audit(table(spark, sf_dir, "documents").select(own.alias("id")), "id", r"^src(\d+)$")
 
 
@@ -446,9 +519,9 @@ def time_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.timing(rows, KEYS, sessions, KEYS)
 
 
-@query("SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)")
+@query("SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')")
 def anti_known_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    skipped = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    skipped = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return audit.without_skipped(table(spark, sf_dir, "customer").select("c_custkey"), skipped, ["c_custkey"])
 
 
