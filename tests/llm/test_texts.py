@@ -151,3 +151,25 @@ def test_token_counts(spark):
 def test_attribution_of_long_tokens():
     n, crossing = tokencounts.attribute(np.array([5, 1, 6]), np.array([2, 3, 1, 3, 3]))
     assert n.tolist() == [0, 1, 1, 1, 0] and crossing.tolist() == [1, 0, 0, 1, 0]
+
+
+def test_lines_end_at_line_feeds_and_carriage_returns_only():
+    assert tokencounts.lines("a\x0bb c\x1c\u2028d") == (["text"], [8])
+    assert tokencounts.lines("a\x0bb c\r") == (["text"], [6])
+    assert tokencounts.lines("a\r\nb|\rc\n\n") == (["text", "table", "text", "blank"], [3, 3, 2, 1])
+    assert tokencounts.lines("\n") == (["blank"], [1]) and tokencounts.lines("") == (["blank"], [0])
+    for x in texts(400, 9):
+        names, sizes = tokencounts.lines(x.replace("z", "\r"))
+        assert sum(sizes) == len(x) and len(names) == len(sizes)
+
+
+def test_long_runs_of_blanks_are_encoded_as_short_ones(monkeypatch):
+    encoder, sizes = tokencounts.encoding(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    for big in ("a" + " " * 3_000_000 + "b", "\n" * 1_200_000, "x" * 500_000, " \t" * 700_000):
+        assert sizes[tokencounts.encode(encoder, big)].sum() == len(big)
+    monkeypatch.setattr(tokencounts, "LONG_RUN", 5)
+    monkeypatch.setattr(tokencounts, "RUN", tokencounts.re.compile(tokencounts.SPACE + "{5,}"))
+    rng = random.Random(3)
+    for _ in range(5000):
+        x = "".join(rng.choices(["a", "b1", " ", "     ", "\n", "\t", "\r", "é", ".", "'s", "\x85", "\x1c", "\u3000", " " * 7], k=rng.randint(0, 14)))
+        assert list(tokencounts.encode(encoder, x)) == encoder.encode_ordinary(x), repr(x)

@@ -4,11 +4,12 @@ Base spans are the leftmost non-overlapping matches of each kind's pattern that
 is trained on the driver, in numpy, on labelled windows: those around base spans and around other digits
 in a bounded sample of documents (SAMPLE of them expected, chosen by a hash of the id; at most WINDOWS
 windows), variants of these spans that the patterns miss (telephone numbers without a plus, card numbers
-with other separators), and a few seeds of each kind, so that every kind is known.
+with other separators, e-mail addresses with at and dot written out), and a few seeds of each kind, so that
+every kind is known.
 
-Every span holds a digit or an at sign. The whole text is searched for these anchors, and overlapping
-windows cover all of them with their surroundings; a window without one could only give spans that the
-rule forbids. Windows are decoded on their own; spans cut off by a window's edge are left to the window
+Every span holds an anchor: a digit, an at sign, or a written at or dot. The whole text is searched for
+anchors, and overlapping windows cover all of them with their surroundings; a window without one could only
+give spans that the rule forbids. Windows are decoded on their own; spans cut off by a window's edge are left to the window
 that overlaps it there. All spans of a document are then reconciled at once: an added span must pass its
 kind's test, be likely enough and touch no base span, and of overlapping ones the set with the largest
 total probability stays (weighted interval scheduling).
@@ -37,7 +38,7 @@ from tidegauge.llm.tagger import Tagger, char_classes
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE, WINDOWS, STEPS = 3000, 4000, 300
 #: Made-up training texts.
-SEEDS = 1500
+SEEDS = 3000
 WIDTH, STRIDE, AROUND = 96, 48, 24
 LIKELY = 0.9
 
@@ -46,6 +47,10 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+#: E-mail addresses as the tagger may add them: with an at or dot written out, one of them in brackets or between blanks.
+_BRACKETS = r"\x20?[\[({<]\x20?%s\x20?[\])}>]\x20?"
+WRITTEN = re.compile(rf"[a-z0-9._%+-]+(?:@|{_BRACKETS % 'at'}|\x20at\x20)[a-z0-9-]+(?:(?:\.|{_BRACKETS % 'dot'}|\x20dot\x20)[a-z0-9-]+)+", re.I)
+MARKS = re.compile(r"[\[({<]\x20?(?:at|dot)\x20?[\])}>]|\x20dot\x20", re.I)
 ANCHORS = re.compile(r"[0-9@]+")
 LONG = re.compile(r"[0-9](?:[\x20().,/-]{0,2}[0-9])+")
 
@@ -65,11 +70,11 @@ def _digits(s: str) -> str:
 
 
 def valid(kind: int, s: str) -> bool:
-    """The test that a match of a kind must pass."""
+    """The test that a span of a kind must pass, found by a pattern or by the tagger."""
     if kind == 0:
-        return EMAIL.fullmatch(s) is not None
+        return EMAIL.fullmatch(s) is not None or MARKS.search(s) is not None and WRITTEN.fullmatch(s) is not None
     if kind == 1:
-        return all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in s.split("."))
+        return IP.fullmatch(s) is not None and all(len(x.lstrip("0")) <= 3 and int(x.lstrip("0") or 0) <= 255 for x in s.split("."))
     d = _digits(s)
     return 14 <= len(d) <= 19 and luhn(d) if kind == 2 else 10 <= len(d) <= 15
 
@@ -98,10 +103,13 @@ def joined(spans: list[Span]) -> str:
 def window_starts(text: str) -> list[int]:
     """Starts of the windows that cover every anchor with AROUND characters on both sides, half a window apart."""
     regions: list[list[int]] = []
-    for m in ANCHORS.finditer(text):
-        a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
+    anchors = [m.span() for m in ANCHORS.finditer(text)]
+    if marks := [m.span() for m in MARKS.finditer(text)]:
+        anchors = sorted(anchors + marks)
+    for start, end in anchors:
+        a, b = max(0, start - AROUND), min(len(text), end + AROUND)
         if regions and a <= regions[-1][1]:
-            regions[-1][1] = b
+            regions[-1][1] = max(b, regions[-1][1])
         else:
             regions.append([a, b])
     out = []
@@ -145,7 +153,7 @@ def reconcile(text: str, base: list[Span], found: dict[Span, float]) -> list[Spa
         k = bisect_right(starts, b - 1)
         return not k or ends[k - 1] <= a
 
-    options = sorted((b, a, k, p) for (a, k, b), p in found.items() if p >= LIKELY and free(a, b) and valid(k, text[a:b]))
+    options = sorted((b, a, k, p) for (a, k, b), p in found.items() if a < b and p >= LIKELY and free(a, b) and valid(k, text[a:b]))
     best: list[tuple[float, list | None]] = [(0.0, None)]
     for n, (b, a, k, p) in enumerate(options):
         before = bisect_right(options, a, 0, n, key=lambda o: o[0])
@@ -182,8 +190,17 @@ def find(texts: list[str], tagger: Tagger) -> Iterator[tuple[list[Span], list[Sp
 
 
 def _trimmed(text: str, kind: int, a: int, b: int) -> tuple[int, int]:
-    """Numbers start and end with a digit (or a leading plus)."""
-    if kind:
+    """Numbers start and end with a digit (or a leading plus); addresses reach to the ends of their outer words."""
+    if kind == 0:
+        while a < b and text[a] not in LOCAL:
+            a += 1
+        while a < b and text[b - 1] not in LOCAL:
+            b -= 1
+        while a and a < b and text[a - 1] in LOCAL:
+            a -= 1
+        while a < b < len(text) and text[b] in LOCAL and text[b] not in "._%+":
+            b += 1
+    else:
         while a < b and not ("0" <= text[a] <= "9" or kind == 3 and text[a] in "+("):
             a += 1
         while a < b and not "0" <= text[b - 1] <= "9":
@@ -192,14 +209,26 @@ def _trimmed(text: str, kind: int, a: int, b: int) -> tuple[int, int]:
 
 
 def _seeds(many: int = SEEDS, seed: int = 5) -> list[tuple[str, list[Span]]]:
-    """Short labelled texts of every kind, and of numbers that are none, made by rule."""
+    """Short labelled texts of every kind, and of numbers and marks that are none, made by rule.
+
+    Words around are made like those inside addresses, so that letters alone say nothing.
+    """
     rng = np.random.default_rng(seed)
     pick = lambda s, n: "".join(rng.choice(list(s), n))
+    letters = "aabcdeeefghiijklmnnooprrssttuuvwxyz"
+    word = lambda: pick(letters, int(rng.integers(1, 10)))
+
+    def prose(words: int) -> str:
+        own = [word() for _ in range(words)]
+        return "".join((w.capitalize() if rng.random() < 0.1 else w) + ("", "", "", "", ",", ".")[int(rng.integers(0, 6))] + " " for w in own)
+
     out = []
     for n in range(many):
         kind, n = n % 5, n // 5
         if kind == 0:
-            s = f"{pick('abcdeinorst', 6)}.{pick('aeinorst', 5)}@{pick('aeimnorst', 7)}.{('com', 'org', 'net', 'example')[n % 4]}"
+            s = word() + (".", "_", "", "-")[n // 7 % 4] + word() + "@" + word() + "." + ("com", "org", "net", "example", word())[n % 5]
+            if n % 3:
+                s = written(s, n)
         elif kind == 1:
             s = ".".join(str(x) for x in rng.integers(0, 256, 4))
         elif kind == 2:
@@ -209,14 +238,36 @@ def _seeds(many: int = SEEDS, seed: int = 5) -> list[tuple[str, list[Span]]]:
         elif kind == 3:
             s = ("+1 (%s) %s-%s", "+%s %s %s", "%s-%s-%s", "(%s) %s-%s")[n % 4] % (pick("23456789", 3), pick("0123456789", 3), pick("0123456789", 4))
         else:
-            s = (pick("0123456789", int(rng.integers(1, 8))), f"{rng.integers(1, 99)}.{rng.integers(0, 99)}", f"2{pick('0123456789', 3)}-0{pick('123456789', 1)}-1{pick('012345678', 1)}", pick("0123456789abcdef", 32))[n % 4]
-        # a window that holds the number anywhere
-        left = " ".join(pick("aeinorsthld", int(k)) for k in rng.integers(2, 9, 16))[-int(rng.integers(1, WIDTH - len(s))) :] + (" ", ", ", ": ")[int(rng.integers(0, 3))]
-        text = left + s + (" ", ". ", ", ", "\n")[int(rng.integers(0, 4))] + " ".join(pick("aeinorsthld", int(k)) for k in rng.integers(2, 9, 16))
-        out.append((text[: max(WIDTH, len(left) + len(s))], [(len(left), kind, len(left) + len(s))] if kind < 4 else []))
+            s = (
+                pick("0123456789", int(rng.integers(1, 8))),
+                f"{rng.integers(1, 99)}.{rng.integers(0, 99)}",
+                f"2{pick('0123456789', 3)}-0{pick('123456789', 1)}-1{pick('012345678', 1)}",
+                pick("0123456789abcdef", 32),
+                f"{word()} at {word()}",
+                f"{word()} dot {word()}",
+                f"({('at', 'dot', word())[n // 8 % 3]}) {word()}",
+                f"[{('at', 'dot', word())[n // 8 % 3]}] {word()}. {word()}",
+            )[n % 8]
+        # a window that holds the span anywhere
+        left = prose(24)[-int(rng.integers(1, WIDTH - len(s))) :]
+        right = (" ", ". ", ", ", "\n")[int(rng.integers(0, 4))] + prose(24)
+        out.append(((left + s + right)[: max(WIDTH, len(left) + len(s))], [(len(left), kind, len(left) + len(s))] if kind < 4 else []))
     return out
 
 
+#: Ways to write out the at and the dots of an address.
+AT, DOT = (" at ", " [at] ", "(at)", "@", "[at]"), (" dot ", " [dot] ", ".", " dot ", "[dot]")
+
+
+def written(address: str, n: int) -> str:
+    """An e-mail address with at and dots of its domain written out, in the n-th way; not in the way that the pattern finds."""
+    name, _, domain = address.partition("@")
+    at, dot = AT[n % 5], DOT[n // 5 % 5]
+    if dot == "." and "t" not in at or at == " at " and dot == ".":
+        dot = " dot "
+    return name + at + domain.replace(".", dot)
+
+
 def _variants(text: str, spans: list[Span]) -> Iterator[tuple[str, list[Span]]]:
     """The text with one span written in a way that the patterns miss."""
     for a, k, b in spans:
@@ -225,6 +276,8 @@ def _variants(text: str, spans: list[Span]) -> Iterator[tuple[str, list[Span]]]:
         elif k == 2:
             d = _digits(text[a:b])
             new = ".".join(d[n : n + 4] for n in range(0, len(d), 4))
+        elif k == 0 and EMAIL.fullmatch(text[a:b]):
+            new = written(text[a:b], a + b)
         else:
             continue
         yield text[:a] + new + text[b:], [(a, k, a + len(new))]
@@ -286,22 +339,22 @@ def _shared(docs: DataFrame, tagger: Tagger):
 
 
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tagger: Tagger | None = None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added."""
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans, n_added, n_spans (all spans)."""
     common.text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     get = _shared(docs, tagger or train(rows))
-    names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added"]
+    names = ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans", "n_added", "n_spans"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for base, spans in find([x or "" for x in b.column(1).to_pylist()], get()):
                 kinds = [k for _, k, _ in base]
-                out.append((*[kinds.count(k) for k in range(len(KINDS))], hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans) - len(base)))
-            types = [*[pa.int64()] * len(KINDS), pa.string(), pa.string(), pa.int64()]
+                out.append((*[kinds.count(k) for k in range(len(KINDS))], hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans) - len(base), len(spans)))
+            types = [*[pa.int64()] * len(KINDS), pa.string(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[k] for r in out], t) for k, t in enumerate(types)]], names)
 
-    return rows.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return rows.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long")
 
 
 def masked(text: str, spans: list[Span]) -> str:

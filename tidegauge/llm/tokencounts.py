@@ -7,14 +7,18 @@ that crosses a boundary is allocated whole, to the section that holds most of it
 to the first; the sections' counts therefore add up to the document's.
 
 Sections are given by a splitter: text -> names and lengths in characters, which cover the text. `lines`
-is one section per line, its line end included, named `blank`, `table` (a vertical bar in it) or `text`.
+is one section per line, its line end (LF, CR LF or CR) included, named `blank`, `table` (a vertical bar in
+it) or `text`.
 
-A null or empty text has one empty section named `blank` with no tokens. Repeated rows are treated alike.
-An empty table gives an empty result. Other columns are ignored.
+A null or empty text has one empty section named `blank` with no tokens. Texts are read whole, however long; a
+run of LONG_RUN white-space characters or more, for which the tokenizer's pattern would need a stack as deep, is
+set apart first, where the pattern can't cross. Repeated rows are treated alike. An empty table gives an empty
+result. Other columns are ignored.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -29,17 +33,46 @@ Sections = tuple[list[str], list[int]]
 _encodings: dict[tuple[str, str], tuple] = {}
 
 
+#: White-space runs from this length on are encoded as pieces of their own.
+LONG_RUN = 10_000
+#: White space as tokenizers' patterns have it.
+SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+RUN = re.compile(SPACE + "{%d,}" % LONG_RUN)
+#: The end of the patterns for which this is right: a run of white space but for its last character is one piece, the whole one at the text's end.
+RUN_RULE = r"|\s+(?!\S)|\s+"
+LINE = re.compile("[^\r\n]*(?:\r\n|\r|\n)|[^\r\n]+")
+
+
 def lines(text: str) -> Sections:
-    own = text.splitlines(keepends=True) if "\r" in text else [x + "\n" for x in text.split("\n")]
-    if "\r" not in text:
+    if "\r" in text:
+        own = LINE.findall(text)
+    else:
+        own = [x + "\n" for x in text.split("\n")]
         own[-1] = own[-1][:-1]
         if not own[-1] and len(own) > 1:
             own.pop()
-    if not own:
-        own = [""]
     return ["table" if "|" in x else "text" if not x.isspace() and x else "blank" for x in own], [len(x) for x in own]
 
 
+def encode(encoder, text: str) -> np.ndarray:
+    """The ids of a whole text."""
+    runs = list(RUN.finditer(text)) if len(text) >= LONG_RUN else []
+    if not runs:
+        return encoder.encode_to_numpy(text, disallowed_special=()) if text else np.zeros(0, np.uint32)
+    if not encoder._pat_str.endswith(RUN_RULE):
+        raise ValueError(f"a run of {LONG_RUN} white-space characters needs a pattern that ends in {RUN_RULE}")
+    out, at = [], 0
+    for m in runs:
+        end = m.end() - (m.end() < len(text))
+        if at < m.start():
+            out.append(encoder.encode_to_numpy(text[at : m.start()], disallowed_special=()))
+        out.append(np.array(encoder._encode_single_piece(text[m.start() : end]), np.uint32))
+        at = end
+    if at < len(text):
+        out.append(encoder.encode_to_numpy(text[at:], disallowed_special=()))
+    return np.concatenate(out)
+
+
 def encoding(path: str, pattern: str) -> tuple:
     """(tokenizer, bytes of each token) of a file of ranks."""
     if (path, pattern) not in _encodings:
@@ -84,7 +117,7 @@ def count(docs: DataFrame, ranks: str, pattern: str, splitter: Callable[[str], S
             ids, sections, kinds, starts, ends, many, over, total = ([] for _ in range(8))
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 text = text or ""
-                tokens = encoder.encode_to_numpy(text, disallowed_special=()) if text else np.zeros(0, np.uint32)
+                tokens = encode(encoder, text)
                 own, chars = splitter(text)
                 bounds = np.cumsum(chars)
                 if text.isascii():
