@@ -155,32 +155,26 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to the pieces (doc_id, piece, length and any other columns)."""
     from pyspark.sql import Window
 
-    share = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SHARES))
-    cut = cut.withColumn("_share", share)
-    # at most capacity x SHARES rows
-    tally = {(r["length"], r["_share"]): r["count"] for r in cut.groupBy("length", "_share").count().collect()}
-    counts: dict[int, int] = {}
-    bases = []
-    for (length, s), n in sorted(tally.items()):
-        bases.append((length, s, counts.get(length, 0)))
-        counts[length] = counts.get(length, 0) + n
+    cut = cut.withColumn("_share", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SHARES)).cast("int"))
+    # at most capacity x SHARES rows, of which only the capacity sums over shares reach the driver
+    tally = common.saved(cut.groupBy("length", "_share").agg(F.count(F.lit(1)).alias("_n")), "tally")
+    counts = {r["length"]: r["n"] for r in tally.groupBy("length").agg(F.sum("_n").alias("n")).collect()}
+    before = Window.partitionBy("length").orderBy("_share").rowsBetween(Window.unboundedPreceding, -1)
+    bases = tally.select("length", "_share", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     moves, _ = best_fit(counts, capacity)
     table = np.array(moves or np.zeros((0, 5)), np.int64).reshape(-1, 5)
-    order = np.lexsort((table[:, 1], table[:, 0]))
-    lengths, ranks, firsts, _, offsets = table[order].T
-    # one sorted key for both: a rank is below 2**48
-    keys = (lengths << 48) + ranks
-    base = np.zeros((capacity + 1, SHARES), np.int64)
-    for length, s, n in bases:
-        base[length, s] = n
+    # one sorted key of length and rank: a rank is below 2**48
+    shared = cut.sparkSession.sparkContext.broadcast(table[np.lexsort((table[:, 1], table[:, 0]))])
     names = [c for c in cut.columns if c != "_share"]
     schema = cut.drop("_share").schema.add("sequence_id", "long").add("offset", "long")
-    ranked = cut.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_share").orderBy("doc_id", "piece")))
+    ranked = cut.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_share").orderBy("doc_id", "piece"))).join(F.broadcast(bases), ["length", "_share"])
+    ranked = ranked.select(*names, (F.col("_base") + F.col("_rank") - 1).cast("long").alias("_rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lengths, ranks, firsts, _, offsets = shared.value.T
+        keys = (lengths << 48) + ranks
         for b in batches:
-            length, s, r = (b.column(b.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("length", "_share", "_rank"))
-            rank = base[length, s] + r - 1
+            length, rank = (b.column(b.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("length", "_rank"))
             k = np.searchsorted(keys, (length << 48) + rank, "right") - 1
             columns = [b.column(b.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(firsts[k] + rank - ranks[k]), pa.array(offsets[k])], [*names, "sequence_id", "offset"])
