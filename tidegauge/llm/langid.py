@@ -6,8 +6,8 @@ n1 / (n1 + 2 n2). Discounted shares and back-off weights lie in arrays sorted by
 for each language. A document's cross-entropy is the mean over its characters (word ends included); the
 language with the smallest one wins, ties going to the first name.
 
-Training takes, of the rows that may be learned from and have a language and text, the SAMPLE of each
-language with the smallest hash of their id: a documented bound. A fifth of them calibrates: the scale of
+Training takes, of the rows that may be learned from and have a language and text, an expected SAMPLE of each
+language, those with the smallest hashes of their ids: a documented bound. A fifth of them calibrates: the scale of
 the softmax that turns cross-entropies into a score, and for each language the cross-entropy beyond which
 a document is marked `rejected` (unlike anything learned; lang_pred still names the nearest language).
 
@@ -170,16 +170,12 @@ def train(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> Model | N
     spark = docs.sparkSession
     order = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.filter(learnable & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("order", order)
-    names = sorted(r[0] for r in rows.select("lang").distinct().collect())
-    # the sample's last hash in each language: narrow columns, top-k
-    last = {}
-    for name in names:
-        top = rows.filter(F.col("lang") == name).select("order").orderBy("order").limit(sample).agg(F.max("order")).first()
-        last[name] = top[0]
-    if not names:
+    # one count of each language gives the share of the hashes that holds its sample
+    limits = {r["lang"]: int((1 << 62) * min(1.0, sample / r["count"])) for r in rows.groupBy("lang").count().collect()}
+    if not limits:
         return None
-    limit = F.create_map(*[F.lit(x) for name in names for x in (name, last[name])])
-    chosen = rows.filter(F.col("order") <= limit[F.col("lang")]).withColumn("check", F.pmod(F.xxhash64(F.lit("check"), "order"), F.lit(5)) == 0)
+    limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+    chosen = rows.filter(F.shiftrightunsigned("order", 2) < limit[F.col("lang")]).withColumn("check", F.pmod(F.xxhash64(F.lit("check"), "order"), F.lit(5)) == 0)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
