@@ -8,6 +8,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Iterator
+from dataclasses import dataclass
 from pathlib import Path
 
 import numpy as np
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 PACKAGE = Path(__file__).resolve().parents[1]
 #: Most bytes and rows of one Arrow batch, since whole texts travel in them.
 BATCH_BYTES, BATCH_ROWS = 2 << 20, 4096
-#: Bits of a bounded filter: 2 MB, whatever the input holds.
-FILTER_BITS = 1 << 24
+#: Bits of a filter for each of its keys, and the least and most bits: 32 MB at most, whatever the input holds.
+FILTER_ROOM, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 28
 PAGE_BITS = 1 << 15
 
 _shipped: set[str] = set()
@@ -94,27 +95,39 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def bit_filter(keys: DataFrame, key: Column, bits: int = FILTER_BITS) -> DataFrame:
-    """A one-hash filter over `key` in pages of 4 KB: at most bits / 2**15 rows, however many keys there are."""
-    at = F.pmod(F.xxhash64(key), F.lit(bits))
-    return (
-        keys.select(F.floor(at / PAGE_BITS).cast("int").alias("_page"), (at % PAGE_BITS).cast("long").alias("_bit"))
-        .groupBy("_page")
-        .agg(F.bitmap_construct_agg("_bit").alias("_map"))
-    )
+@dataclass(frozen=True)
+class BitFilter:
+    """Pages (_page, _map) of a one-hash filter of so many bits."""
 
+    pages: DataFrame
+    bits: int
 
-def probed(rows: DataFrame, key: Column, pages: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+
+def bit_filter(keys: DataFrame, key: Column, name: str = "filter") -> BitFilter:
+    """A one-hash filter over `key`, saved in pages of 4 KB, with FILTER_ROOM bits for each row of keys.
+
+    It has MOST_BITS at most. Beyond, more rows that aren't in pass, which are joined as any others that may be in:
+    results don't depend on it.
+    """
+    keys = saved(keys.select(F.xxhash64(key).alias("_h")), name)
+    n = keys.count()
+    bits = min(max(LEAST_BITS, 1 << (FILTER_ROOM * n).bit_length()), MOST_BITS)
+    at = F.pmod(F.col("_h"), F.lit(bits))
+    pages = keys.select(F.floor(at / PAGE_BITS).cast("int").alias("_page"), (at % PAGE_BITS).cast("long").alias("_bit")).groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    return BitFilter(saved(pages, "pages"), bits)
+
+
+def probed(rows: DataFrame, key: Column, own: BitFilter) -> DataFrame:
     """Adds `_hit`: whether the key may be among the filter's. The pages have a fixed bound, so they are broadcast."""
-    at = F.pmod(F.xxhash64(key), F.lit(bits))
-    found = rows.withColumn("_at", at).withColumn("_page", F.floor(F.col("_at") / PAGE_BITS).cast("int")).join(F.broadcast(pages), "_page", "left")
+    at = F.pmod(F.xxhash64(key), F.lit(own.bits))
+    found = rows.withColumn("_at", at).withColumn("_page", F.floor(F.col("_at") / PAGE_BITS).cast("int")).join(F.broadcast(own.pages), "_page", "left")
     byte = F.conv(F.hex(F.expr(f"substring(_map, cast((_at % {PAGE_BITS}) div 8 as int) + 1, 1)")), 16, 10).cast("int")
     hit = F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")), F.lit(0)) == 1
     return found.withColumn("_hit", hit).drop("_page", "_map", "_at")
 
 
-def maybe_in(rows: DataFrame, key: Column, pages: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
-    return probed(rows, key, pages, bits).filter("_hit").drop("_hit")
+def maybe_in(rows: DataFrame, key: Column, own: BitFilter) -> DataFrame:
+    return probed(rows, key, own).filter("_hit").drop("_hit")
 
 
 def crc_mod(doc_id: Column, n: int) -> Column:
@@ -128,8 +141,8 @@ def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     A bounded filter of the ids lets almost all rows that stay pass unmoved; only the others are joined.
     """
     gone = saved(gone.toDF("_gone"), "gone")
-    pages = saved(bit_filter(gone, F.col("_gone")), "pages")
+    own = bit_filter(gone, F.col("_gone"), "gone")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"))
-    marked = probed(rows, F.coalesce("id", F.lit(0)), pages)
+    marked = probed(rows, F.coalesce("id", F.lit(0)), own)
     doubtful = marked.filter("_hit").join(gone, F.col("id") == F.col("_gone"), "left_anti")
     return marked.filter("not _hit").select("row.*").unionByName(doubtful.select("row.*"))

@@ -61,8 +61,8 @@ def compact(runs: DataFrame) -> DataFrame:
 
 def verify(docs: DataFrame, level: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256) -> DataFrame:
     """Groups of byte-equal texts among the hits: digest, norm, best, size. Copies combine before the shuffle."""
-    pages = common.bit_filter(level.filter("size > 1"), F.col("digest"))
-    hits = common.maybe_in(_rows(docs, id_col, text_col, digest), F.col("digest"), pages)
+    several = common.bit_filter(level.filter("size > 1"), F.col("digest"), "several")
+    hits = common.maybe_in(_rows(docs, id_col, text_col, digest), F.col("digest"), several)
     return hits.groupBy("digest", "norm").agg(F.min(_rank()).alias("best"), F.count(F.lit(1)).alias("size"))
 
 
@@ -97,12 +97,12 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spark, names = docs.sparkSession, docs.columns
     runs = flush(docs, common.table_path(spark, "runs"), id_col, text_col)
     level = common.saved(compact(runs), "level")
-    pages = common.saved(common.bit_filter(level.filter("size > 1"), F.col("digest")), "pages")
+    several = common.bit_filter(level.filter("size > 1"), F.col("digest"), "several")
     norm = normalised(F.col(text_col))
     rank = F.struct(
         (-F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("minus_n"), F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id")
     )
     row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), norm.alias("norm"), rank.alias("rank")).withColumn("digest", sha256(F.col("norm")))
-    marked = common.probed(row, F.col("digest"), pages)
+    marked = common.probed(row, F.col("digest"), several)
     best = marked.filter("_hit").groupBy("digest", "norm").agg(F.min_by("row", "rank").alias("row"))
     return marked.filter(~F.col("_hit")).select("row.*").unionByName(best.select("row.*"))

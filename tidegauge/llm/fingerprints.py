@@ -7,7 +7,7 @@ canonical bytes themselves are grouped, so that a collision can't join different
 of two fingerprints is exact: 1 if they and the bytes behind them are equal, else 0.
 
 Neighbours (the next document in descending order of id) need no global sort in one task: rows are
-range-partitioned and sorted, each task looks one row ahead, and only the last row of each task waits
+range-partitioned by id and text and sorted, each task looks one row ahead, and only the last row of each task waits
 for the first row of the next one.
 
 A null text is empty. Rows that share an id are ordered by their texts. Null ids come last. A document
@@ -94,7 +94,7 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     key = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(squeeze, "doc_id long, tie long, z binary")
-    walked = common.saved(texts.repartitionByRange(F.col("doc_id").desc_nulls_last()).sortWithinPartitions(*key).mapInArrow(walk, ENDS), "walked")
+    walked = common.saved(texts.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(walk, ENDS), "walked")
 
     # one row for each task: who follows whom, without the texts
     ends = [r[0] for r in walked.filter("part is not null").select("part").orderBy("part").collect()]
@@ -125,7 +125,7 @@ def groups(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col:
     """
     common.text_batches(docs.sparkSession)
     shared = prints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pages = common.saved(common.bit_filter(shared, F.col("fingerprint")), "pages")
+    filtered = common.bit_filter(shared, F.col("fingerprint"), "shared")
 
     def canon(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         z = zstandard.ZstdCompressor(level=1)
@@ -134,7 +134,7 @@ def groups(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([digest(x) for x in own], pa.string()), pa.array([z.compress(x) for x in own], pa.binary())], ["doc_id", "fingerprint", "canon"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(canon, "doc_id long, fingerprint string, canon binary")
-    hits = common.maybe_in(rows, F.col("fingerprint"), pages)
+    hits = common.maybe_in(rows, F.col("fingerprint"), filtered)
     same = hits.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     found = common.saved(
         same.groupBy("fingerprint").agg(F.min("class_id").alias("class_id"), F.sum("class_size").alias("class_size"), F.count(F.lit(1)).alias("texts")), "classes"

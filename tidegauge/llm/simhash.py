@@ -302,8 +302,8 @@ def links(prints: DataFrame, bits: int = BITS, blocks: int = 1) -> DataFrame:
 
 def _labels(nodes: DataFrame, found: DataFrame, name: str) -> DataFrame:
     """name, component_id from nodes (name, least) and the components found (node, root)."""
-    rooted = nodes.join(found, F.col(name) == F.col("node"), "left").select(name, "least", F.coalesce("root", name).alias("root"))
-    tops = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    rooted = common.saved(nodes.join(found, F.col(name) == F.col("node"), "left").select(name, "least", F.coalesce("root", name).alias("root")), "rooted")
+    tops = common.saved(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "tops")
     return common.saved(rooted.join(tops, "root").select(name, "component_id"), "labels")
 
 
@@ -368,11 +368,12 @@ def verified_links(rows: DataFrame, prints: DataFrame, loose: DataFrame, words:
     nodes = prints.groupBy("print", "digest").agg(F.min(F.coalesce("doc_id", F.lit(0))).alias("id"))
     rooted = nodes.join(loose, F.col("print") == F.col("node"), "left").select("digest", "id", F.coalesce("root", "print").alias("root"))
     rooted = common.saved(rooted, "rooted")
-    several = rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("root")
+    # saved, so that the join has shuffles of its own, which adaptive execution can split
+    several = common.saved(rooted.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("root"), "several")
     members = common.saved(rooted.join(several, "root", "left_semi"), "members")
     # one row has the text of a digest; rows that share its id may come along
-    pages = common.saved(common.bit_filter(members, F.col("id")), "pages")
-    texts = common.maybe_in(rows, F.coalesce("doc_id", F.lit(0).cast("long")), pages).select("text")
+    near = common.bit_filter(members, F.col("id"), "near")
+    texts = common.maybe_in(rows, F.coalesce("doc_id", F.lit(0).cast("long")), near).select("text")
     wanted = members.select("digest").distinct()
     sets = texts.mapInArrow(gather, "digest string, hashes binary").join(wanted, "digest", "left_semi").dropDuplicates(["digest"])
     sets = common.saved(members.select("root", "digest").join(sets, "digest"), "sets")
