@@ -59,12 +59,25 @@ def test_exact_dedup(spark):
     assert exact_dedup.deduplicate(docs.limit(0)).count() == 0 and exact_dedup.drop_copies(docs.limit(0)).count() == 0
 
 
-def test_index_grows_by_runs(spark):
-    path = common.table_path(spark, "index")
-    exact_dedup.flush(table(spark, [(5, "a b"), (6, "c")]), path)
-    runs = exact_dedup.flush(table(spark, [(1, "ab"), (7, "d")]), path)
-    got = {r.best.doc_id: r["size"] for r in exact_dedup.compact(runs).collect()}
-    assert got == {5: 2, 6: 1, 7: 1}
+def test_index_grows_by_runs_and_holds_batches_against_all_earlier_ones(spark):
+    rows = cases(spark)
+    random.Random(2).shuffle(rows)
+    weak = lambda norm: (F.length(norm) % 4).cast("string")
+    for digest, batches in ((exact_dedup.sha256, 6), (weak, 3)):
+        index, earlier, seen = exact_dedup.Index(), None, []
+        for k in range(batches):
+            own = rows[k::batches]
+            docs = table(spark, own)
+            got = exact_dedup.deduplicate(docs, digest=digest, index=index, earlier=earlier)
+            seen += own
+            want = {(w[0], w[1], w[2], w[3]) for w in brute_dedup(seen)}
+            found = [(str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in got.collect()]
+            assert len(found) == len(own) and set(found) <= want
+            earlier = docs if earlier is None else earlier.unionByName(docs)
+        levels = sorted(r.level for r in index.runs)
+        assert levels == ([0, 0, 1] if batches == 6 else [0, 0, 0])
+        assert sum(r.rows.agg(F.sum("size")).first()[0] for r in index.runs) == len(rows)
+    assert exact_dedup.deduplicate(table(spark, rows).limit(0), index=index).count() == 0
 
 
 def test_fingerprints(spark):
