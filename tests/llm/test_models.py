@@ -163,16 +163,59 @@ def test_languages(spark):
     assert langid.predict(docs.limit(0), learn).count() == 0
 
 
-def test_kneser_ney_is_a_distribution():
-    from itertools import product
-
-    words = ["aba", "ab", "abba", "cab", "bac"]
-    model = langid.Model(["x"], [langid.Language(words, np.array([3.0, 2, 1, 4, 1]))], 5)
-    every = ["".join(w) for n in range(1, 6) for w in product("abcd", repeat=n)]
-    p = 2 ** model.log2(every)[:, 0]
-    assert 0.8 < p.sum() <= 1.0001
-    own = dict(zip(every, p, strict=True))
-    assert own["cab"] > own["bac"] > own["ddd"] > 0
+class SlowKneserNey:
+    """Interpolated Kneser-Ney over the characters of words, from dictionaries of strings."""
+
+    def __init__(self, words, alphabet, order=langid.ORDER):
+        counts = [Counter() for _ in range(order)]
+        for w, m in words.items():
+            s = f"\x01{w}\x01"
+            for i in range(1, len(s)):
+                for k in range(min(i + 1, order)):
+                    counts[k][s[i - k : i + 1]] += m
+        self.alphabet, self.n, self.d = alphabet, [], []
+        for k in range(order):
+            before = Counter(g[1:] for g in counts[k + 1]) if k + 1 < order else {}
+            n = {g: before.get(g) or c for g, c in counts[k].items()}
+            ones, twos = (sum(x == j for x in n.values()) for j in (1, 2))
+            self.n.append(n)
+            self.d.append(ones / (ones + 2 * twos) if ones and twos else 0.5)
+
+    def p(self, context, c):
+        p = 1 / self.alphabet
+        for k in range(min(len(context) + 1, len(self.n))):
+            h = context[len(context) - k :]
+            after = {g: n for g, n in self.n[k].items() if g[:-1] == h}
+            if total := sum(after.values()):
+                p = max(after.get(h + c, 0) - self.d[k], 0) / total * (h + c in after) + self.d[k] * len(after) / total * p
+        return p
+
+    def log2(self, word):
+        s = f"\x01{word}\x01"
+        return sum(math.log2(self.p(s[:i], s[i])) for i in range(1, len(s)))
+
+
+def test_kneser_ney_is_that_of_plain_dictionaries_and_a_distribution():
+    own = [{"aba": 3, "ab": 2, "abba": 1, "cab": 4, "bac": 1}, {"zz": 2, "zab": 1, "abc": 5}]
+    alphabet = len({c for x in own for w in x for c in w}) + 2
+    languages = [langid.Language(list(x), np.array([float(n) for n in x.values()])) for x in own]
+    model, slow = langid.Model(["x", "y"], languages, alphabet), [SlowKneserNey(x, alphabet) for x in own]
+    words = ["aba", "a", "cabab", "zz", "q", "abcabcabc", "bacc", "zabz"]
+    for w, got in zip(words, model.log2(words), strict=True):
+        assert np.allclose(got, [x.log2(w) for x in slow], atol=1e-3), w
+    for x in slow:
+        for context in ("\x01", "\x01a", "\x01ab", "\x01abba", "\x01zq", "\x01cabab"):
+            assert abs(sum(x.p(context, c) for c in "abcz\x01?") - 1) < 1e-9, context
+
+
+def test_equal_languages_go_to_the_first_name(spark):
+    rows = [(k, f"same words here {'abcd'[k % 4]}", ("yy", "xx")[k % 2], "z") for k in range(0, 200)]
+    rows = [(2 * k + j, f"same words number {'abcdefgh'[k % 8]}", lang, "z") for k in range(100) for j, lang in enumerate(("yy", "xx"))]
+    docs = spark.createDataFrame(rows + [(1000, "same words", None, "z")], "doc_id long, text string, lang string, lang_pred string")
+    got = langid.predict(docs, F.col("doc_id") < 200, sample=1000).filter("doc_id = 1000").collect()
+    assert got[0].lang_pred in ("xx", "yy") and abs(got[0].score - 0.5) < 0.1
+    long = spark.createDataFrame([(1, "wort " * 300_000, "xx"), (2, "mot " * 300_000, "yy"), (3, "wort", None)], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.lang_pred for r in langid.predict(long, F.col("doc_id") < 3).collect()} == {1: "xx", 2: "yy", 3: "xx"}
 
 
 def test_quality(spark):
@@ -205,6 +248,60 @@ def test_quality(spark):
     assert all(r.keep == (r.doc_id not in (900, 901)) for r in free if r.doc_id is not None)
 
 
+def test_site_rates_and_posteriors_by_brute_force(spark):
+    rng = np.random.default_rng(8)
+    rows, labels = [], []
+    for k in range(500):
+        words = ["".join(rng.choice(list("aeinorst"), int(rng.integers(2, 9)))) for _ in range(int(rng.integers(5, 60)))]
+        host = None if k % 11 == 0 else f"h{int(rng.zipf(1.6)) % 9}"
+        bad = rng.random() < (0.7 if host == "h1" else 0.2)
+        if bad:
+            words = words[:3] * 12
+        rows.append((k, " ".join(words) if k % 29 else "  ", host, None if k % 7 == 0 else f"p{k % 3}"))
+        if k % 3:
+            labels.append((k, int(not bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, host string, path string")
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.classify(docs, known, F.col("host"), F.col("path")).collect()}
+    own = [(k, host, path, got[k].evidence) for k, text, host, path in rows if text.split()]
+    said = dict(labels)
+    base = np.mean([said[k] for k, *_ in own if k in said])
+    sigmoid = lambda x: 1 / (1 + math.exp(-x))
+    logit = lambda p: math.log(p / (1 - p))
+    p = {k: sigmoid(e + logit(base)) for k, _, _, e in own}
+
+    def strength(groups):
+        """(sum, n, parent's rate) of each group: the parent's worth in documents by moments."""
+        n = sum(g[1] for g in groups)
+        each = sum(m * q * (1 - q) for _, m, q in groups) / n
+        spread = (sum(m * (s / m - q) ** 2 for s, m, q in groups) - len(groups) * each) / n
+        return min(max(each / spread - 1, 1.0), quality.STRONGEST) if spread > 0 else quality.STRONGEST
+
+    rate = np.mean(list(p.values()))
+    sums = lambda key: {g: (sum(p[x[0]] for x in own if key(x) == g), sum(key(x) == g for x in own)) for g in {key(x) for x in own}}
+    hosts, paths = sums(lambda x: x[1]), sums(lambda x: (x[1], x[2]))
+    k_host = strength([(s, n, rate) for s, n in hosts.values()])
+    host_rate = {h: (s + k_host * rate) / (n + k_host) for h, (s, n) in hosts.items()}
+    k_path = strength([(s, n, host_rate[g[0]]) for g, (s, n) in paths.items()])
+    path_rate = {g: (s + k_path * host_rate[g[0]]) / (n + k_path) for g, (s, n) in paths.items()}
+    for k, host, path, e in own:
+        want = sigmoid(e + logit(path_rate[host, path]))
+        assert np.allclose([got[k].host_rate, got[k].path_rate, got[k].posterior], [host_rate[host], path_rate[host, path], want], atol=1e-9)
+        assert got[k].keep == (want >= 0.5)
+    # the evidence is that of a regression fitted to the labelled rows
+    x = np.array([quality.features(t) for k, t, _, _ in rows if k in said and t.split()])
+    y = np.array([said[k] for k, t, _, _ in rows if k in said and t.split()], float)
+    mean, spread, w = quality.fit(x, y)
+    for k, text, _, _ in rows[:60]:
+        if text.split():
+            z = quality._expand(np.clip((np.array([quality.features(text)]) - mean) / spread, -5, 5))
+            assert abs(float((z @ w)[0]) - logit(base) - got[k].evidence) < 1e-6
+    twice = quality.classify(docs.union(docs), known, F.col("host"), F.col("path"))
+    assert twice.count() == 1000
+    big = spark.createDataFrame([(1, "word " * 400_000, "h", "p"), (2, "other words", "h", "p")], docs.schema)
+    assert quality.classify(big, known, F.col("host"), F.col("path")).count() == 2
+
+
 def test_sparse_sites_stay_near_their_parent(spark):
     groups = spark.createDataFrame([("a", 90.0, 100), ("b", 10.0, 100), ("c", 0.0, 1)], "host string, s double, n long")
     k = quality._strength(groups, F.lit(0.5))
@@ -235,3 +332,36 @@ def test_pipeline(spark, tmp_path):
     assert good == {*range(60), 100, 101, 102}
     assert exact == good - {100, 1}
     assert near == private == packed == exact
+
+
+def test_pipeline_with_odd_tables(spark, tmp_path):
+    """Null and repeated ids, columns named as the operators' own, and an empty table pass through every stage."""
+    import corpus_pipeline
+
+    rng = np.random.default_rng(5)
+    text = lambda: " ".join("".join(rng.choice(list("aeinorst"), int(rng.integers(2, 9)))) for _ in range(40))
+    rows = [(k, text(), "en", f"s{k % 3}") for k in range(30)]
+    rows += [(None, text(), None, None), (None, text(), "en", None), (7, text(), "en", "s1"), (None, None, None, None), (40, "", "en", "s1"), (41, "call 555-0123 " * 20_000, "en", "s2")]
+    clash = ["row", "id", "digest", "norm", "print", "hashes", "root", "spans", "_hit", "_page", "keep", "host", "path", "length", "piece", "_share"]
+    df = spark.createDataFrame([(*r, len(r[1] or ""), *[f"x{j}" for j in range(len(clash))]) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clash))
+    for name, own in (("some", df), ("none", df.limit(0))):
+        folder = tmp_path / name
+        own.write.parquet(str(folder / "documents.parquet"))
+        spark.createDataFrame([(k, int(k % 4 > 0), 0) for k in range(0, 30, 2)], "doc_id long, quality int, toxic int").write.parquet(str(folder / "labels.parquet"))
+        docs, n = common.documents(spark, str(folder)), []
+        for stage, f in corpus_pipeline.STAGES:
+            docs = common.saved(f(spark, docs, str(folder)), stage)
+            n.append(docs.count())
+            if stage != "packing":
+                assert docs.columns == df.columns
+        if name == "none":
+            assert n == [0] * 5
+        else:
+            assert n[0] >= n[1] >= n[2] == n[3] <= n[4] and n[3] > 10
+            placed = docs.collect()
+            assert sum(r.doc_id is None for r in placed) >= 1 and all(1 <= r.length <= 4096 for r in placed)
+            ends = {}
+            for r in sorted(placed, key=lambda r: (r.sequence_id, r.offset)):
+                assert r.offset == ends.get(r.sequence_id, 0)
+                ends[r.sequence_id] = r.offset + r.length
+            assert max(ends.values()) <= 4096

@@ -34,6 +34,8 @@ from tidegauge.llm.chunks import ChunkTable
 
 ORDER = 5
 SAMPLE = 1000
+#: A language with fewer documents learns from all of them and isn't calibrated.
+FEW = 10
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Share of the calibration documents of a language that its threshold accepts, before the margin.
 ACCEPT, MARGIN = 0.99, 0.35
@@ -171,11 +173,13 @@ def train(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> Model | N
     order = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     rows = docs.filter(learnable & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("order", order)
     # one count of each language gives the share of the hashes that holds its sample
-    limits = {r["lang"]: int((1 << 62) * min(1.0, sample / r["count"])) for r in rows.groupBy("lang").count().collect()}
-    if not limits:
+    many = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not many:
         return None
+    limits = {lang: int((1 << 62) * min(1.0, sample / n)) for lang, n in many.items()}
+    few = [lang for lang, n in many.items() if n < FEW]
     limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-    chosen = rows.filter(F.shiftrightunsigned("order", 2) < limit[F.col("lang")]).withColumn("check", F.pmod(F.xxhash64(F.lit("check"), "order"), F.lit(5)) == 0)
+    chosen = rows.filter(F.shiftrightunsigned("order", 2) < limit[F.col("lang")]).withColumn("check", (F.pmod(F.xxhash64(F.lit("check"), "order"), F.lit(5)) == 0) & ~F.col("lang").isin(few))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
