@@ -47,15 +47,51 @@ def file_stem(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*?)(?:\.[^./]*)?$", 1)
 
 
+#: The file stem of each signal's flags.
+SIGNAL_STEMS = {
+    "E4_BVP": "biosignal_bvp",
+    "E4_EDA": "biosignal_eda",
+    "E4_ACC": "biosignal_acc",
+    "E4_HR": "biosignal_hr",
+    "E4_IBI": "biosignal_ibi",
+    "E4_TEMP": "biosignal_temp",
+    "BrainWave": "biosignal_brainwave",
+    "Attention": "biosignal_attention",
+    "Meditation": "biosignal_meditation",
+    "Polar_HR": "biosignal_polar_hr",
+    "eeg": "biosignal_eeg",
+    "audio": "audio",
+    "video": "video",
+}
+
+
+def flags_file_name(entity: Column, signal: str) -> Column:
+    """Name of the file of a signal's flags; a signal without a stem of its own gets one from its name."""
+    return F.concat(entity, F.lit(f"_{SIGNAL_STEMS.get(signal, f'biosignal_{signal.lower()}')}_quality_flags.csv"))
+
+
 def signal_of_path(path: Column) -> Column:
-    """biosignal_<signal>_quality_flags.csv -> signal, else the modality segment."""
-    return F.coalesce(F.nullif(F.regexp_extract(path, r"biosignal_(.*?)_quality_flags\.csv", 1), F.lit("")), path_part(path, "modality"))
+    """The signal whose stem a flags file's name is or ends in; else the path's modality, else unknown."""
+    stem = F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), "_quality_flags\\.csv", "")
+    known = [F.when((stem == own) | stem.endswith(f"_{own}"), name) for name, own in SIGNAL_STEMS.items()]
+    return F.coalesce(*known, path_part(path, "modality"), F.lit("unknown"))
+
+
+def dataset_of_path(path: Column, prefix: str) -> Column:
+    """The segment behind a prefix."""
+    return F.split(F.regexp_replace(F.substring(path, len(prefix) + 1, 1 << 20), "^/+", ""), "/")[0]
 
 
 def trial_id(file_name: Column) -> Column:
+    """The number before the first underscore, NULL if there is none."""
     return F.regexp_extract(file_name, r"^(\d+)_", 1).try_cast("int")
 
 
+def trial_unit(file_name: Column) -> Column:
+    """The digits before the first underscore as they stand, or else the file's stem."""
+    return F.coalesce(F.nullif(F.regexp_extract(file_name, r"^(\d+)_", 1), F.lit("")), file_stem(file_name))
+
+
 def participant_number(entity: Column) -> Column:
     return F.substring(entity, 2, 9).try_cast("int")
 
@@ -64,6 +100,14 @@ def trial_window_key(trial: Column, window: Column) -> Column:
     return F.format_string("%03d_%02d", trial, window)
 
 
+def trial_of_key(key: Column) -> Column:
+    return F.split(key, "_")[0].try_cast("int")
+
+
+def window_of_key(key: Column) -> Column:
+    return F.split(key, "_")[1].try_cast("int")
+
+
 def expected_trials(start: int, step: int, count: int, pattern: str = "%03d") -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.format_string(pattern, k * step + start))
 

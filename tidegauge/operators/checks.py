@@ -45,20 +45,27 @@ def resolved(rows: DataFrame, key: str, pattern: str = r"^p?(\d+)$", separator:
     return rows.withColumn("source_entity_id", F.col(key)).withColumn("entity_id", F.explode_outer(S.resolve_id(F.col("source_entity_id"), pattern, separator)))
 
 
-def reconcile(manifest: DataFrame, inventory: DataFrame, key: str = "path") -> DataFrame:
+def reconcile(manifest: DataFrame, inventory: DataFrame, key: str = "path", content: Column | None = None) -> DataFrame:
     """manifest (key, size, md5) against inventory (key, size, md5): the first check that fails.
 
-    Multipart hashes (with a dash) aren't compared.
+    Multipart hashes (with a dash) aren't compared. `content` is a condition on the manifest's columns that faulty
+    content fulfils; it is looked at last. A NULL condition is no fault.
     """
-    inv = inventory.select(F.col(key).alias("_key"), F.col("size").alias("_size"), F.col("md5").alias("_md5"))
+    inv = inventory.select(F.col(key).alias("_key"), F.col("size").alias("_size"), F.lower(F.regexp_replace("md5", '"', "")).alias("_md5"))
     rows = manifest.join(inv, F.col(key) == F.col("_key"), "left")
     outcome = (
         F.when(F.col("_key").isNull(), "missing")
         .when(F.col("_size") != F.col("size"), "size_mismatch")
         .when(~F.col("_md5").contains("-") & (F.col("_md5") != F.col("md5")), "hash_mismatch")
-        .otherwise("ok")
     )
-    return rows.select(key, outcome.alias("outcome"))
+    if content is not None:
+        outcome = outcome.when(content, "content")
+    return rows.select(key, outcome.otherwise("ok").alias("outcome"))
+
+
+def faulty(outcomes: DataFrame, key: str = "path") -> DataFrame:
+    """Keys of objects that are there and fail a check: what a clean-up would delete."""
+    return outcomes.filter(~F.col("outcome").isin("ok", "missing")).select(key)
 
 
 def to_upload(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -66,6 +73,54 @@ def to_upload(manifest: DataFrame, inventory: DataFrame) -> DataFrame:
     return manifest.join(inventory.select("path", "size"), ["path", "size"], "left_anti")
 
 
+def upload_parts(manifest: DataFrame, inventory: DataFrame, failed: DataFrame | None = None) -> DataFrame:
+    """path and part of each manifest row: skipped (already there in this size), failed (among the paths of `failed`) or uploaded."""
+    there = inventory.select("path", "size").distinct().withColumn("_there", F.lit(True))
+    rows = manifest.join(there, ["path", "size"], "left")
+    if failed is None:
+        rows = rows.withColumn("_failed", F.lit(False))
+    else:
+        rows = rows.join(failed.select("path").distinct().withColumn("_failed", F.lit(True)), "path", "left")
+    return rows.select("path", F.when(F.col("_there"), "skipped").when(F.col("_failed"), "failed").otherwise("uploaded").alias("part"))
+
+
+def raw_issues(files: DataFrame, rules: DataFrame) -> DataFrame:
+    """files with the issues that the rule of their dataset and modality finds; files without a rule only must exist and not be empty.
+
+    files: dataset, modality, name, length (NULL: not there), and what was read of them, NULL where it couldn't be:
+    duration_s and rate of audio, readable of others. rules: dataset, modality, kind (audio, video, mat, csv, xlsx),
+    extensions (array; empty: any), min_duration_s, max_duration_s, expected_rate, min_bytes. Hidden files and those with
+    other extensions than the rule's aren't collected.
+    """
+    rows = files.join(rules, ["dataset", "modality"], "left")  # a rule for each dataset and modality
+    ends = F.exists(F.transform("extensions", F.lower), lambda e: F.lower("name").endswith(e))
+    rows = rows.filter(~F.col("name").startswith(".") & F.coalesce(ends | (F.size("extensions") == 0), F.lit(True)))
+    audio, video = F.col("kind") == "audio", F.col("kind") == "video"
+    closed = F.when(audio, F.col("duration_s").isNull()).when(F.col("kind").isin("mat", "csv", "xlsx"), ~F.coalesce("readable", F.lit(False)))
+    rules_ = [
+        ("cannot_open", closed),
+        ("too_short", audio & (F.col("duration_s") < F.col("min_duration_s"))),
+        ("too_long", audio & (F.col("duration_s") > F.col("max_duration_s"))),
+        ("other_rate", audio & (F.col("rate") != F.col("expected_rate"))),
+        ("too_small", video & (F.col("length") < F.col("min_bytes"))),
+    ]
+    return file_issues(rows, rules_).select(*files.columns, "issues")
+
+
+def missing_folders(subjects: DataFrame, files: DataFrame, modalities: list[str], subject: str = "entity_id") -> DataFrame:
+    """(subject, modality) without any file."""
+    every = subjects.select(subject).distinct().withColumn("modality", F.explode(F.array(*[F.lit(m) for m in modalities])))
+    return every.join(files.select(subject, "modality"), [subject, "modality"], "left_anti")
+
+
+def prefix_findings(inventory: DataFrame, base: str, expected: list[str]) -> DataFrame:
+    """Sub-prefixes of a base: `missing` expected ones without files, and `unknown` ones with files."""
+    spark = inventory.sparkSession
+    found = inventory.select(F.regexp_extract("path", f"^{base.rstrip('/')}/([^/]+)/", 1).alias("prefix")).filter("prefix <> ''").distinct()
+    wanted = spark.createDataFrame([(e,) for e in expected], "prefix string")
+    return wanted.join(found, "prefix", "left_anti").withColumn("finding", F.lit("missing")).unionByName(found.join(wanted, "prefix", "left_anti").withColumn("finding", F.lit("unknown")))
+
+
 def file_issues(files: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     """files with `issues`: names of the rules that a file breaks; a missing or empty file breaks only that one."""
     broken = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules])) if rules else F.array().cast("array<string>")

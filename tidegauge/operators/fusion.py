@@ -40,6 +40,17 @@ def session_report(flags: DataFrame, labels: DataFrame, modalities: list[str], w
     return out.select("entity_id", "window_id", "window_start_s", (F.col("window_start_s") + width_s).alias("window_end_s"), *[f"{m}_flag" for m in modalities], "window_emotion")
 
 
+def with_trial_label(features: DataFrame, report: DataFrame, trial_shift: int = 0, window_shift: int = -1) -> DataFrame:
+    """Features (entity_id, trial_id, window_id) with the report's window_emotion by the composite key of trial and window.
+
+    Features count windows from 1, the report from 0; `trial_shift` is 1 for signals that count trials from 0. Windows
+    without a report row or label go.
+    """
+    key = trial_window_key((F.col("trial_id") + trial_shift).cast("int"), (F.col("window_id") + window_shift).cast("int"))
+    labels = report.select("entity_id", F.col("window_id").alias("_key"), "window_emotion").filter("window_emotion is not null")
+    return features.withColumn("_key", key).join(labels, ["entity_id", "_key"]).drop("_key")
+
+
 def with_quality(features: DataFrame, quality: DataFrame, keys: list[str], flag: str, score: Column) -> DataFrame:
     """Features joined to quality by the second in which a window starts, with the flag's score."""
     at = F.floor("window_start_s").cast("long")

@@ -289,32 +289,59 @@ def robust_z(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame
     return with_mid.join(mad, keys, "left").withColumn(name, z).drop("_mid", "_n", "_mad")
 
 
-def audio(samples: DataFrame, keys: list[str], rate: float, width_s: float, clip: float = 0.999) -> DataFrame:
-    """samples: keys, idx, value. snr_db is against the file's noise floor, the 10th percentile of its windows' linear RMS."""
-    size = round(rate * width_s)
-    rows = timewin.by_count(samples, keys, F.col("idx"), size)
-    metrics = rows.groupBy(*_kept(keys)).agg(
-        F.sqrt(F.avg(F.col("value") ** 2)).alias("_rms"), _n6(F.avg((F.abs("value") < 1e-6).cast("double"))).alias("zero_ratio"), _n6(F.avg((F.abs("value") >= clip).cast("double"))).alias("clip_ratio")
+def audio(samples: DataFrame, keys: list[str], rate: float | str, width_s: float, clip: float = 0.999) -> DataFrame:
+    """samples: keys, idx, value. rate: of all files, or the column that has each file's.
+
+    snr_db is against the file's noise floor, the 10th percentile of its windows' linear RMS. Whole windows only.
+    """
+    hz = F.col(rate) if isinstance(rate, str) else F.lit(float(rate))
+    samples = samples.withColumn("_size", F.round(hz * width_s).cast("long")).withColumn("_hz", hz)
+    part = [*keys, "window_id"]
+    rows = timewin.by_count(samples.filter("_size > 0"), keys, F.col("idx"), F.col("_size"))
+    metrics = rows.groupBy(*part).agg(
+        F.sqrt(F.avg(F.col("value") ** 2)).alias("_rms"),
+        _n6(F.avg((F.abs("value") < 1e-6).cast("double"))).alias("zero_ratio"),
+        _n6(F.avg((F.abs("value") >= clip).cast("double"))).alias("clip_ratio"),
+        F.first("_size").alias("_size"),
+        F.first("_hz").alias("_hz"),
     )
     metrics = metrics.withColumn("rms_db", _n4(decibels(F.col("_rms"))))
-    metrics = metrics.join(runs.longest_true_run(rows, _kept(keys), "idx", F.abs("value") >= clip, "clip_run_max"), _kept(keys), "left")
+    metrics = metrics.join(runs.longest_true_run(rows, part, "idx", F.abs("value") >= clip, "clip_run_max"), part, "left")
     floor = metrics.groupBy(*keys).agg(F.greatest(F.percentile("_rms", F.lit(0.1)), F.lit(1e-12)).alias("_floor"))
     rules = R.audio(F.col("rms_db"), F.col("zero_ratio"), F.col("clip_ratio"), F.col("clip_run_max"))
     snr = _n4(F.when(F.col("_rms") > 1e-12, 20 * F.log10(F.col("_rms") / F.col("_floor"))).otherwise(-120.0))
-    bounds = [F.round(F.col("window_id") * size / rate, 3).alias("window_start_s"), F.round((F.col("window_id") + 1) * size / rate, 3).alias("window_end_s")]
-    return metrics.join(floor, keys).select(*_kept(keys), *bounds, "rms_db", "zero_ratio", "clip_ratio", "clip_run_max", *R.flags(rules), snr.alias("snr_db"))
-
-
-def video(frames: DataFrame, keys: list[str], fps: float, width_s: float, count: int, blur: tuple = (40.0, 20.0), clipped: tuple = (0.01, 0.03), face: tuple = (0.78, 0.5), whole: bool = False) -> DataFrame:
-    """frames: keys, frame, lap_var, clipped_ratio, face. Windows without frames are BAD; whole: keys with frames beyond `count` windows have as many more.
-
-    The limits are those of GOOD and of NOISY; a NOISY window has no problem. The rules read unrounded means.
+    at = lambda k: F.round(k * F.col("_size") / F.col("_hz"), 3)
+    bounds = [at(F.col("window_id")).alias("window_start_s"), at(F.col("window_id") + 1).alias("window_end_s")]
+    return metrics.join(floor, keys).select(*part, *bounds, "rms_db", "zero_ratio", "clip_ratio", "clip_run_max", *R.flags(rules), snr.alias("snr_db"))
+
+
+def video(
+    frames: DataFrame,
+    keys: list[str],
+    fps: float,
+    width_s: float,
+    count: int | DataFrame,
+    blur: tuple = (40.0, 20.0),
+    clipped: tuple = (0.01, 0.03),
+    face: tuple = (0.78, 0.5),
+    whole: bool = False,
+) -> DataFrame:
+    """frames: keys, frame, lap_var, clipped_ratio, face. count: windows of each key, or a table (keys, count).
+
+    Windows without frames are BAD; whole: keys with frames beyond `count` windows have as many more. The limits are those
+    of GOOD and of NOISY; a NOISY window has no problem. The rules read unrounded means.
     """
     size = max(1, round(fps * width_s))
-    windows = Windows(round(width_s * SECOND), count)
     rows = frames.withColumn("window_id", timewin.whole(F.col("frame"), size))
-    rows = rows if whole else rows.filter(F.col("window_id") < count)
-    own = rows.groupBy(*keys).agg(F.greatest(F.lit(count), F.max("window_id") + 1).alias("_n")) if whole else None
+    if isinstance(count, DataFrame):
+        own = count.select(*keys, F.col("count").alias("_n"))
+        rows = rows.join(own, keys).filter("window_id < _n").drop("_n")
+        own = own.filter("_n > 0")
+    elif whole:
+        own = rows.groupBy(*keys).agg(F.greatest(F.lit(count), F.max("window_id") + 1).alias("_n"))
+    else:
+        rows, own = rows.filter(F.col("window_id") < count), None
+    windows = Windows(round(width_s * SECOND), count if isinstance(count, int) else 0)
     metrics = rows.groupBy(*_kept(keys)).agg(F.avg("lap_var").alias("window_blur"), F.avg("clipped_ratio").alias("window_clipping"), F.avg("face").alias("face_detection_rate"))
     out = _finish(frames, metrics, keys, windows, lambda: R.video(F.col("window_blur"), F.col("window_clipping"), F.col("face_detection_rate"), blur, clipped, face), own=own)
     return out.withColumns({"window_blur": _n4("window_blur"), "window_clipping": _n6("window_clipping"), "face_detection_rate": _n4("face_detection_rate")})

@@ -115,5 +115,19 @@ def spread(df: DataFrame, values: list[str], keys: list[str] | None = None) -> D
     return df.groupBy(*(keys or [])).agg(*[f(v).alias(f"{v}_{n}") for v in values for n, f in (("mean", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))])
 
 
+def rate_range(flags: DataFrame, keys: list[str]) -> DataFrame:
+    """Smallest, median and largest share (in per cent, to 2 places) of windows that aren't GOOD over the keys, and their number."""
+    each = bad_rate(flags, keys).select(F.round(F.col("bad_rate") * 100, 2).alias("_r"))
+    return each.agg(F.min("_r").alias("min_rate"), F.percentile("_r", F.lit(0.5)).alias("median_rate"), F.max("_r").alias("max_rate"), F.count(F.lit(1)).alias("n"))
+
+
+def eeg_report(flags: DataFrame, entity: str = "entity_id", channel: str = "channel") -> dict[str, DataFrame]:
+    """Of EEG flags: percentiles of rNSR and of its z-score, shares of windows that aren't GOOD by entity and, averaged over entities, by channel."""
+    numbers = lambda c, places: percentiles(flags.filter(F.col(c).isNotNull() & ~F.isnan(c)), c).select(*[F.round(f"p{p}", places).alias(f"p{p}") for p in (50, 75, 90, 95, 99)])
+    each = bad_rate(flags, [entity]).select(entity, F.col("n").alias("total_windows"), F.col("bad").alias("non_good_windows"), F.round(F.col("bad_rate") * 100, 2).alias("bad_rate_pct"))
+    macro = macro_rate(flags, entity, channel).select(channel, "n_entities", F.round(F.col("mean_rate") * 100, 2).alias("bad_rate_pct"), F.round(F.col("std_rate") * 100, 2).alias("bad_rate_std"))
+    return {"rNSR": numbers("rNSR", 6), "rNSR_zscore": numbers("rNSR_zscore", 4), "entities": each, "channels": macro}
+
+
 def condition_count(condition: Column, name: str) -> Column:
     return F.coalesce(F.sum(condition.cast("long")), F.lit(0)).alias(name)

@@ -23,9 +23,10 @@ def relative(ts: Column, start: str) -> Column:
 
 
 
-def whole(a: Column, b: int) -> Column:
+def whole(a: Column, b: int | Column) -> Column:
     """floor(a / b) of integers, exactly."""
-    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("long")
+    b = b if isinstance(b, Column) else F.lit(b)
+    return ((a - F.pmod(a, b)) / b).cast("long")
 
 
 def tumbling(df: DataFrame, t: Column, width: int, count: int | None = None, base: int = 0) -> DataFrame:
@@ -54,7 +55,7 @@ def forward(df: DataFrame, t: Column, step: int, look: int, count: int, base: in
     return out.withColumn("_k", F.explode(F.sequence("_first", "_last"))).withColumn("window_id", F.col("_k") + base).drop("_first", "_last", "_k")
 
 
-def by_count(df: DataFrame, keys: list[str], index: Column, size: int) -> DataFrame:
+def by_count(df: DataFrame, keys: list[str], index: Column, size: int | Column) -> DataFrame:
     """window_id = floor(index / size) of regular samples; an incomplete last window goes."""
     from pyspark.sql import Window
 

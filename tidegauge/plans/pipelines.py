@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegauge.operators import audit, checks, features, fusion, ml, quality, stats
+from tidegauge.operators import audit, checks, features, fusion, ml, quality, stats, timewin
 from tidegauge.operators.quality import SECOND, Windows
+from tidegauge.session import Config
+from tidegauge.sources import readers
 
 ID = ["entity_id"]
 
@@ -36,30 +38,80 @@ SIGNALS: dict[str, Signal] = {
     "E4_TEMP": Signal(quality.temp, 4, 30),
     "Attention": Signal(quality.attention, None, 10, "eeg"),
     "Meditation": Signal(quality.attention, None, 10, "eeg"),
+    "BrainWave": Signal(quality.brainwave, None, None, "eeg", {"bands": list(readers.BANDS)}),
 }
 
 
-def output_name(signal: str) -> str:
-    return f"biosignal_{signal}_quality_flags"
-
-
 def signal_flags(
-    samples: dict[str, DataFrame], width_s: float, count: int, skipped: DataFrame | None = None, signals: dict[str, Signal] = SIGNALS, only: set[str] | None = None
+    samples: dict[str, DataFrame],
+    width_s: float,
+    count: int,
+    skipped: DataFrame | None = None,
+    signals: dict[str, Signal] = SIGNALS,
+    only: set[str] | None = None,
+    config: Config | None = None,
+    first: int | None = None,
 ) -> dict[str, DataFrame]:
     """Flags of each signal for all entities in one plan each.
 
-    samples: signal -> (entity_id, t in microseconds, value or x, y, z); skipped: entity_id, signal_type that
-    are known to be missing. Heart rate gets the BVP flag of its window where both are there.
+    samples: signal -> (entity_id, t in microseconds, value, x, y, z or bands); skipped: entity_id, signal_type that
+    are known to be missing. Heart rate gets the BVP flag of its window where both are there. A configuration gives
+    the signals, the first entity and thresholds by signal; `first` is a test mode of so many entities.
     """
+    config = config or Config()
+    only = only or set(config.signals) or None
     out: dict[str, DataFrame] = {}
     for name in [s for s in signals if s in samples and (only is None or s in only)]:
-        s, rows = signals[name], samples[name]
+        s, rows = signals[name], audit.chosen_entities(samples[name], "entity_id", config.start_from, first)
         if skipped is not None:
             rows = audit.without_skipped(rows, skipped.filter(F.col("signal_type") == name), ID)
         windows = Windows(round(width_s * SECOND), count, None if s.look_s is None else round(s.look_s * SECOND))
         args = [] if s.rate is None else [s.rate]
         more = {"bvp_flags": out["E4_BVP"]} if name == "E4_HR" and "E4_BVP" in out else {}
-        out[name] = s.build(rows, ID, windows, *args, **s.options, **more)
+        out[name] = s.build(rows, ID, windows, *args, **s.options, **config.thresholds.get(name, {}), **more)
+    return out
+
+
+def signals_from_files(spark: SparkSession, root: str, sessions: DataFrame, unit_per_s: float = 1000.0) -> dict[str, DataFrame]:
+    """Samples of each signal from the CSV files below a root, one name for each signal: what signal_flags wants.
+
+    sessions: entity_id, session_start_s. A signal without any file is left out.
+    """
+    names = {r[0] for r in readers.inventory(spark, root, "*.csv").select(F.regexp_extract("path", r"([^/]+)\.csv$", 1)).distinct().collect()}  # a name for each signal
+    columns = {"E4_ACC": ["x", "y", "z"], "BrainWave": list(readers.BANDS)}
+    return {s: readers.signal_files(spark, root, f"{s}.csv", columns.get(s, ["value"]), sessions, unit_per_s) for s in SIGNALS if s in names}
+
+
+def session_audio(samples: DataFrame, sessions: DataFrame, width_s: float = 1.0, skipped: DataFrame | None = None, **limits: float) -> DataFrame:
+    """Flags of audio cut to the session. samples: entity_id, file_id, idx, value, rate. sessions: entity_id, duration_s."""
+    rows = samples if skipped is None else samples.join(skipped.filter("signal_type = 'audio'").select("entity_id"), "entity_id", "left_anti")
+    rows = rows.join(sessions.select("entity_id", "duration_s"), "entity_id").filter(F.col("idx") < F.bround(F.col("duration_s") * F.col("rate"))).drop("duration_s")
+    return quality.audio(rows, ["entity_id", "file_id"], "rate", width_s, **limits)
+
+
+def session_video(frames: DataFrame, sessions: DataFrame, fps: float, width_s: float = 1.0, skipped: DataFrame | None = None, **limits: tuple) -> DataFrame:
+    """Flags of video for as many windows as the session has. frames: entity_id, frame, lap_var, clipped_ratio, face."""
+    rows = frames if skipped is None else frames.join(skipped.filter("signal_type = 'video'").select("entity_id"), "entity_id", "left_anti")
+    counts = sessions.join(rows.select("entity_id").distinct(), "entity_id", "left_semi").select("entity_id", timewin.expected_windows(F.col("duration_s"), width_s).alias("count"))
+    return quality.video(rows, ID, fps, width_s, counts, **limits)
+
+
+def trial_flags(
+    samples: dict[str, DataFrame], fps: float, eeg_rate: float, width_s: float = 1.0, trial_s: float = 20.0, skipped: DataFrame | None = None, only: set[str] | None = None, eeg_noise: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Flags of trial data. samples: eeg (entity_id, trial, channel, t, value), audio (entity_id, trial_id, idx, value, rate)
+    and video (entity_id, trial_id, frame and its metrics); skipped: entity_id, unit_id, signal_type known to be missing."""
+    out: dict[str, DataFrame] = {}
+    for name in [s for s in ("eeg", "audio", "video") if s in samples and (only is None or s in only)]:
+        rows, trial = samples[name], "trial" if name == "eeg" else "trial_id"
+        if skipped is not None:
+            rows = rows.join(skipped.filter(F.col("signal_type") == name).select("entity_id", F.col("unit_id").alias(trial)), ["entity_id", trial], "left_anti")
+        if name == "eeg":
+            out[name] = quality.eeg(rows, ID, eeg_rate, width_s, eeg_noise)
+        elif name == "audio":
+            out[name] = quality.audio(rows.filter(F.col("idx") < F.bround(F.col("rate") * trial_s)), ["entity_id", trial], "rate", width_s)
+        else:
+            out[name] = quality.video(rows, ["entity_id", trial], fps, width_s, int(trial_s // width_s))
     return out
 
 

@@ -16,12 +16,35 @@ def _manifest(files: DataFrame, dataset: str, base: str) -> DataFrame:
     return files.select(F.col("path").alias("local_path"), place.alias("s3_path"), F.lit(dataset).alias("dataset"), "entity_id", "modality", name.alias("file_name"), kind.alias("table"))
 
 
-def trials(inventory: DataFrame, folders: dict[str, str], base: str, dataset: str = "trials") -> DataFrame:
-    """Trial layout `<subject>/<folder>/<file>`: folders maps a folder's name to its modality."""
+#: Auxiliary files of the trial layout and their category.
+AUXILIARY = {"meta_data.csv": "metadata", "subjects.csv": "metadata", "questionnaire.xlsx": "annotations"}
+
+
+def trials(inventory: DataFrame, folders: dict[str, str], base: str, dataset: str = "trials", subjects: str = "subject", auxiliary: dict[str, str] | None = None) -> DataFrame:
+    """Trial layout `<subject>/<folder>/<file>`: folders maps a folder's name to its modality.
+
+    Subjects' folders begin with `subjects`. Of the other files only those named in `auxiliary` are taken, into the
+    folder of their category, for the entity `global`; hidden files are none.
+    """
+    auxiliary = AUXILIARY if auxiliary is None else auxiliary
     subject = F.regexp_extract("path", r"([^/]+)/[^/]+/[^/]+$", 1)
-    folder = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
-    mode = F.coalesce(*[F.when(folder == k, v) for k, v in folders.items()])
-    return _manifest(inventory.select("path", F.when(mode.isNotNull(), subject).alias("entity_id"), mode.alias("modality")), dataset, base)
+    folder, name = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1), F.regexp_extract("path", r"([^/]+)$", 1)
+    pick = lambda column, table: F.coalesce(*[F.when(column == k, v) for k, v in table.items()], F.lit(None).cast("string"))
+    mode = F.when(subject.startswith(subjects), pick(folder, folders))
+    kind = F.when(mode.isNull(), pick(name, auxiliary))
+    rows = inventory.select("path", name.alias("file_name"), subject.alias("_subject"), mode.alias("_mode"), kind.alias("_kind")).filter("(_mode is not null or _kind is not null) and not startswith(file_name, '.')")
+    place = F.when(
+        F.col("_mode").isNotNull(), F.concat(F.lit(f"{base}/files/entity="), F.col("_subject"), F.lit("/modality="), F.col("_mode"), F.lit("/"), F.col("file_name"))
+    ).otherwise(F.concat(F.lit(f"{base}/auxiliary/"), F.col("_kind"), F.lit("/"), F.col("file_name")))
+    return rows.select(
+        F.col("path").alias("local_path"),
+        place.alias("s3_path"),
+        F.lit(dataset).alias("dataset"),
+        F.when(F.col("_mode").isNotNull(), F.col("_subject")).otherwise("global").alias("entity_id"),
+        F.coalesce("_mode", "_kind").alias("modality"),
+        "file_name",
+        F.when(F.col("_mode").isNotNull(), "files").otherwise("aux").alias("table"),
+    )
 
 
 def sessions(inventory: DataFrame, base: str, dataset: str = "sessions") -> DataFrame:

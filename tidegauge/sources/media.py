@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import struct
 import wave
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,8 +80,98 @@ def mp4_header(data: bytes) -> dict | None:
 
 
 def mat_kind(data: bytes) -> str | None:
-    """`hdf5` or `mat5` by the file's first bytes."""
-    return "hdf5" if data[:8] == b"\x89HDF\r\n\x1a\n" else "mat5" if data[:10] == b"MATLAB 5.0" else None
+    """`hdf5`, `mat73` (HDF5 behind a text header) or `mat5` by the file's first bytes."""
+    magic = b"\x89HDF\r\n\x1a\n"
+    if data[:8] == magic:
+        return "hdf5"
+    if data[:4] == b"MATL":
+        return "mat73" if data[128:136] == magic else "mat5"
+    return None
+
+
+#: Element types of MAT files, version 5, that hold numbers.
+_NUMBERS = {1: "i1", 2: "u1", 3: "i2", 4: "u2", 5: "i4", 6: "u4", 7: "f4", 9: "f8", 12: "i8", 13: "u8"}
+_MATRIX, _COMPRESSED = 14, 15
+
+
+def _elements(data: bytes, at: int, end: int, order: str) -> Iterator[tuple[int, int, int]]:
+    """Type, start and end of the content of each element; small ones have both in their first 8 bytes."""
+    while at + 8 <= end:
+        kind, size = struct.unpack_from(order + "II", data, at)
+        if kind >> 16:
+            yield kind & 0xFFFF, at + 4, at + 4 + (kind >> 16)
+            at += 8
+        else:
+            yield kind, at + 8, min(at + 8 + size, end)
+            at += 8 + size + (0 if kind == _COMPRESSED else -size % 8)
+
+
+def mat5_arrays(data: bytes, values: bool = True) -> Iterator[tuple[str, tuple[int, ...], np.ndarray | None]]:
+    """Name, shape and values (column-major order undone) of the numeric arrays of a MAT file, version 5; hidden names are left out."""
+    if mat_kind(data) != "mat5" or len(data) < 128:
+        return
+    order = "<" if data[126:128] == b"IM" else ">"
+    todo = [(data, kind, a, b) for kind, a, b in _elements(data, 128, len(data), order)]
+    for raw, kind, a, b in todo:
+        if kind == _COMPRESSED:
+            raw = zlib.decompress(raw[a:b])
+            kind, a, b = next(_elements(raw, 0, len(raw), order), (0, 0, 0))
+        if kind != _MATRIX:
+            continue
+        parts = list(_elements(raw, a, b, order))
+        if len(parts) < 3:
+            continue
+        shape = tuple(np.frombuffer(raw[parts[1][1] : parts[1][2]], order + "i4").tolist())
+        name = raw[parts[2][1] : parts[2][2]].decode("latin-1")
+        if name.startswith("_"):
+            continue
+        own = None
+        if values and len(parts) > 3 and parts[3][0] in _NUMBERS:
+            own = np.frombuffer(raw[parts[3][1] : parts[3][2]], order + _NUMBERS[parts[3][0]]).astype(np.float64).reshape(shape, order="F")
+        yield name, shape, own
+
+
+def mat_shapes(files: DataFrame) -> DataFrame:
+    """binaryFile rows -> path, name and shape of the first array; NULL where there is none that can be read (HDF5 needs `features.external`)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = []
+            for x in b["content"]:
+                try:
+                    found.append(next(mat5_arrays(bytes(x), values=False), (None, None, None)))
+                except (struct.error, zlib.error, ValueError):
+                    found.append((None, None, None))
+            yield pd.DataFrame({"path": b["path"], "name": [f[0] for f in found], "shape": [None if f[1] is None else list(f[1]) for f in found]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, name string, shape array<long>")
+
+
+def mat_signals(files: DataFrame) -> DataFrame:
+    """binaryFile rows -> path, instance, channel, t, value: the first array, (time, channel, instance), in long form."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for path, data in zip(b["path"], b["content"], strict=True):
+                try:
+                    x = next(mat5_arrays(bytes(data)), (None, None, None))[2]
+                except (struct.error, zlib.error, ValueError):
+                    continue
+                if x is None or x.ndim not in (2, 3):
+                    continue
+                x = x.reshape(*x.shape, 1) if x.ndim == 2 else x
+                for instance in range(x.shape[2]):
+                    for channel in range(x.shape[1]):
+                        yield pd.DataFrame({"path": path, "instance": instance, "channel": channel, "t": np.arange(len(x)), "value": x[:, channel, instance]})
+
+    return files.select("path", "content").mapInPandas(run, "path string, instance long, channel long, t long, value double")
+
+
+def frame_metrics(grey: np.ndarray) -> tuple[float, float]:
+    """Variance of the Laplacian and share of clipped pixels (below 5 or above 250) of a decoded frame of 8-bit grey values."""
+    x = np.pad(grey.astype(np.float64), 1, mode="reflect")
+    edges = x[:-2, 1:-1] + x[2:, 1:-1] + x[1:-1, :-2] + x[1:-1, 2:] - 4 * x[1:-1, 1:-1]
+    return float(edges.var()), float(((grey < 5) | (grey > 250)).mean())
 
 
 def headers(files: DataFrame, kind: str) -> DataFrame:

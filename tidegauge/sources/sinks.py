@@ -16,24 +16,22 @@ def write_parquet(df: DataFrame, path: str, *by: str) -> None:
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def append_files(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Appends file metadata with the time of ingest, by entity and modality."""
-    df.withColumn("ingest_ts", F.current_timestamp()).write.format(fmt).mode("append").partitionBy("entity_id", "modality").save(path)
-
-
-def append_aux(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.withColumn("ingest_ts", F.current_timestamp()).write.format(fmt).mode("append").partitionBy("dataset", "category").save(path)
+def append(df: DataFrame, path: str, *by: str, fmt: str = "parquet") -> None:
+    """Appends metadata rows with the time of ingest, by the given columns."""
+    own = df if "ingest_ts" in df.columns else df.withColumn("ingest_ts", F.current_timestamp())
+    own.write.format(fmt).mode("append").partitionBy(*by).save(path)
 
 
 def route(manifest: DataFrame, files_path: str, aux_path: str, fmt: str = "parquet") -> None:
-    """Manifest rows into the two metadata tables."""
-    now = F.current_timestamp()
-    files = manifest.filter("table = 'files'").select(F.expr("uuid()").alias("file_id"), "dataset", "entity_id", "modality", F.col("s3_path").alias("file_path"), "file_name", now.alias("ingestion_time"))
+    """Manifest rows into the two metadata tables, with one time of ingest for all."""
+    now = F.lit(datetime.now(UTC))
+    times = [now.alias("ingestion_time"), now.alias("ingest_ts")]
+    files = manifest.filter("table = 'files'").select(F.expr("uuid()").alias("file_id"), "dataset", "entity_id", "modality", F.col("s3_path").alias("file_path"), "file_name", *times)
     aux = manifest.filter("table = 'aux'").select(
-        F.expr("uuid()").alias("record_id"), "dataset", F.lit("aux").alias("category"), F.col("s3_path").alias("source_path"), "file_name", F.col("entity_id").alias("related_entity"), now.alias("ingestion_time")
+        F.expr("uuid()").alias("record_id"), "dataset", F.col("modality").alias("category"), F.col("s3_path").alias("source_path"), "file_name", F.col("entity_id").alias("related_entity"), *times
     )
-    append_files(files, files_path, fmt)
-    append_aux(aux, aux_path, fmt)
+    append(files, files_path, "entity_id", "modality", fmt=fmt)
+    append(aux, aux_path, "dataset", "category", fmt=fmt)
 
 
 def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
@@ -46,7 +44,11 @@ def by_participant(df: DataFrame, path: str) -> None:
 
 
 def report(findings: DataFrame, path: str, stage: str, status: str) -> str:
-    """Findings as JSON under `<stage>_<status>_<time>`; returns the path."""
+    """One JSON document {stage, status, findings: [...]} in a file below `<stage>_<status>_<time>`; returns the path.
+
+    Findings are those of a validation: a report is small.
+    """
     place = f"{path.rstrip('/')}/{stage}_{status}_{datetime.now(UTC):%Y%m%dT%H%M%S}"
-    findings.select(F.to_json(F.struct("*")).alias("value")).write.mode("overwrite").text(place)
+    own = findings.agg(F.collect_list(F.struct("*")).alias("findings"))
+    own.select(F.to_json(F.struct(F.lit(stage).alias("stage"), F.lit(status).alias("status"), "findings")).alias("value")).coalesce(1).write.mode("overwrite").text(place)
     return place
