@@ -108,7 +108,7 @@ def window_of_key(key: Column) -> Column:
     return F.split(key, "_")[1].try_cast("int")
 
 
-def expected_trials(start: int, step: int, count: int, pattern: str = "%03d") -> Column:
+def expected_trials(start: int | Column, step: int, count: int, pattern: str = "%03d") -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda k: F.format_string(pattern, k * step + start))
 
 

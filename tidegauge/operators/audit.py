@@ -114,8 +114,8 @@ def trial_missingness(entities: DataFrame, signals: DataFrame, found: DataFrame,
     entity_id, signal_type known to be missing. A file below min_bytes is a size anomaly.
     """
     keys = ["entity_id", "signal_type", "unit_id"]
-    number = F.col("first") + F.explode(F.sequence(F.lit(0), F.col("many") - 1)) * F.col("step")
-    units = signals.withColumn("_number", number).withColumn("unit_id", F.lpad(F.col("_number").cast("string"), F.greatest("digits", F.length(F.col("_number").cast("string"))), "0"))
+    units = signals.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).withColumn("_number", F.col("first") + F.col("_k") * F.col("step"))
+    units = units.withColumn("unit_id", F.lpad(F.col("_number").cast("string"), F.greatest("digits", F.length(F.col("_number").cast("string"))), "0"))
     spine = entities.select("entity_id").distinct().join(units)  # units: the trials of a few signals
     rows = spine.join(found, keys, "left").join(known.select("entity_id", "signal_type").distinct().withColumn("_known", F.lit(True)), ["entity_id", "signal_type"], "left")
     small = F.coalesce(F.col("length") < F.col("min_bytes"), F.lit(False))

@@ -17,6 +17,14 @@ def impute(df: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: F.coalesce(v, F.lit(float(row[c]))) for c, v in clean.items()})
 
 
+def numeric_filled(df: DataFrame, keep: list[str]) -> DataFrame:
+    """`keep` and the numeric columns, in which NULLs and NaNs become 0."""
+    from pyspark.sql.types import NumericType
+
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in keep]
+    return df.select(*keep, *names).na.fill(0, names)
+
+
 def scale(df: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
     """(x - mean) / population deviation of the training rows; constant columns are only centred."""
     row = train.agg(*[f(c).alias(f"{c}_{n}") for c in columns for n, f in (("m", F.avg), ("s", F.stddev_pop))]).first()

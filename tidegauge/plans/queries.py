@@ -151,7 +151,7 @@ def quality_flags_hr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {E}, {SPINE}, {looked_back(3)}, b AS (SELECT user_id, t, lag(t) OVER (PARTITION BY user_id ORDER BY t) AS before FROM e),
-    m AS (SELECT w.user_id, window_id, count(*) AS n_ibi, round(avg((value NOT BETWEEN 1 AND 200)::INT), 4) AS out_ratio, round(max(gap) / 1000000, 4) AS g_max_s, round(first(t - before ORDER BY t) / 1000000, 4) AS gap_before_s FROM w JOIN b USING (user_id, t) GROUP BY ALL)
+    m AS (SELECT w.user_id, window_id, count(*) AS n_ibi, round(avg((value NOT BETWEEN 1 AND 200)::INT), 4) AS out_ratio, (max(gap) + 50) // 100 / 10000::DOUBLE AS g_max_s, (first(t - before ORDER BY t) + 50) // 100 / 10000::DOUBLE AS gap_before_s FROM w JOIN b USING (user_id, t) GROUP BY ALL)
     SELECT s.user_id, s.window_id, {BOUNDS}, coalesce(n_ibi, 0) AS n_ibi, out_ratio, g_max_s, coalesce(gap_before_s, 0)::DOUBLE AS gap_before_s, {sql_flags([*sql_steps("coalesce(n_ibi, 0)", ">= 7", ">= 4"), ("out_ratio <> 0", "BAD", "ARTIFACT"), *sql_steps("g_max_s", "<= 86400", "<= 129600")])} FROM s LEFT JOIN m USING (user_id, window_id)""")
 def quality_flags_ibi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.ibi(samples(spark, sf_dir), KEYS, quality.Windows(DAY, DAYS, 3 * DAY), 1, 200, counts=(7, 4), gaps=(86400, 129600))
@@ -493,9 +493,10 @@ def manifest_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""WITH x AS (SELECT c_custkey, k AS month FROM customer, range(1, 13) r(k)), a AS (SELECT o_custkey AS c_custkey, month(o_orderdate) AS month, count(*) AS actual, count(*) FILTER (o_orderstatus = 'P') AS zeros FROM orders GROUP BY ALL),
-    j AS (SELECT c_custkey, month, coalesce(actual, 0) AS actual, CASE WHEN coalesce(actual, 0) = 0 THEN 'total_missing' WHEN coalesce(actual, 0) < 1 OR coalesce(zeros, 0) > 0 THEN 'partial_missing' ELSE 'complete' END AS status FROM x LEFT JOIN a USING (c_custkey, month)),
-    w AS (SELECT *, CASE WHEN status = 'total_missing' THEN 0 ELSE 2 END AS expected FROM j)
-    SELECT c_custkey, month, expected, actual, greatest(expected - actual, 0) AS missing, CASE WHEN expected > 0 THEN round(greatest(expected - actual, 0) * 100 / expected::DOUBLE, 4) ELSE 0.0::DOUBLE END AS missing_pct, status, CASE WHEN status = 'total_missing' THEN c_custkey % 3 = 0 ELSE status = 'complete' END AS known FROM w""")
+    j AS (SELECT c_custkey, month, coalesce(actual, 0) AS actual, coalesce(zeros, 0) AS bad, CASE WHEN coalesce(actual, 0) = 0 THEN 'total_missing' WHEN coalesce(actual, 0) < 1 OR coalesce(zeros, 0) > 0 THEN 'partial_missing' ELSE 'complete' END AS status FROM x LEFT JOIN a USING (c_custkey, month)),
+    w AS (SELECT *, CASE WHEN status = 'total_missing' THEN 0 ELSE 2 END AS expected FROM j), m AS (SELECT *, greatest(expected - actual, 0) AS missing FROM w)
+    SELECT c_custkey, month, expected, actual, missing, CASE WHEN expected > 0 THEN round(missing * 100 / expected::DOUBLE, 4) ELSE 0.0::DOUBLE END AS missing_pct, status, CASE WHEN status = 'total_missing' THEN c_custkey % 3 = 0 ELSE status = 'complete' END AS known,
+      CASE WHEN actual > 0 THEN round(bad * 100 / actual::DOUBLE, 4) ELSE 0.0::DOUBLE END AS zero_or_null_pct, missing + bad AS effective_missing, CASE WHEN expected > 0 THEN round((missing + bad) * 100 / expected::DOUBLE, 4) ELSE 0.0::DOUBLE END AS effective_missing_pct FROM m""")
 def missing_expected(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey")
     expected = c.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12)))).withColumn("expected", F.lit(2))
@@ -670,3 +671,6 @@ def hmm_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 4).alias("entity"), F.col("user_id").alias("sequence"), "t", "state", F.array(F.col("value"), F.log1p("value")).alias("x"), F.lit(0.8).alias("q"), F.when(F.col("user_id") % 5 == 0, "test").otherwise("train").alias("part")
     )
     return ml.hmm(rows, "entity", "sequence", "t", "state", ["x"], ["q"])
+
+
+from tidegauge.plans import layer_queries as _layer_queries  # noqa: E402, F401  (registers its queries here)
