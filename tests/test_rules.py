@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidegauge.functions import flags as R
 from tidegauge.functions import scalars as S
-from tidegauge.operators import annotate, asof, audit, checks, kernels, quality, runs, stats, timewin
+from tidegauge.operators import annotate, asof, audit, checks, features, kernels, quality, runs, stats, timewin
 from tidegauge.sources import media
 
 SEC = 1_000_000
@@ -238,3 +238,54 @@ def test_models_read_all_components_and_every_k(spark, monkeypatch):
     for name in ("q_kmeans", "q_pca", "q_lda"):
         QUERIES[name](spark, "/root/testdata/sf0.001")
     assert seen == {"kmeans": (64, 40, range(2, 42), 10), "pca": 64, "lda": 64}
+
+
+def test_percentiles_are_exact_without_a_sort(spark, monkeypatch):
+    from tidegauge.operators import stats
+
+    monkeypatch.setattr(stats, "FEW", 5)
+    monkeypatch.setattr(stats, "BINS", 7)
+    rng = np.random.default_rng(1)
+    for x in (rng.lognormal(0, 3, 1500), np.repeat([1.0, 5.0], [900, 100]), np.array([3.0]), np.concatenate((rng.normal(0, 1e-12, 300), [1e9, -1e9]))):
+        df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "v double")
+        got = stats.percentiles(df, "v").first()
+        assert np.allclose(list(got), np.percentile(x, [50, 75, 90, 95, 99]), rtol=1e-12, atol=1e-15)
+    assert stats.percentiles(spark.createDataFrame([], "v double"), "v").first().p50 is None
+
+
+def test_kernels_against_plain_loops():
+    rng = np.random.default_rng(2)
+    for n in (3, 10, 60, 200):
+        x = np.round(rng.normal(size=n), 1)
+        for distance in (1, 3, 9):
+            tops = [(i + j) // 2 for i in range(1, n - 1) for j in [next(k for k in range(i, n) if k == n - 1 or x[k + 1] != x[i])] if x[i - 1] < x[i] and j < n - 1 and x[j + 1] < x[i] and (i == 0 or x[i - 1] != x[i])]
+            keep, gone = [], set()
+            for k in sorted(range(len(tops)), key=lambda k: x[tops[k]], reverse=False)[::-1]:
+                if k not in gone:
+                    keep.append(tops[k])
+                    gone |= {j for j in range(len(tops)) if j != k and abs(tops[j] - tops[k]) < distance}
+            assert sorted(keep) == kernels.find_peaks(x, distance).tolist()
+        y = rng.normal(size=n)
+        r = 0.2 * y.std()
+
+        def phi(m, y=y, r=r):
+            v = [y[i : i + m] for i in range(len(y) - m + 1)]
+            return np.mean([np.log(np.mean([np.abs(a - b).max() <= r for b in v])) for a in v])
+
+        if n > 3:
+            assert kernels.approximate_entropy(y) == pytest.approx(phi(2) - phi(3), abs=1e-12)
+    x, rate = rng.normal(size=64), 32.0
+    f, p = kernels.welch(x, rate, 64)
+    w = 0.5 - 0.5 * np.cos(2 * np.pi * np.arange(64) / 64)
+    y = (x - x.mean()) * w
+    for k in range(33):
+        z = sum(y[t] * np.exp(-2j * np.pi * k * t / 64) for t in range(64))
+        want = abs(z) ** 2 / (rate * (w**2).sum()) * (1 if k in (0, 32) else 2)
+        assert f[k] == k / 2 and p[k] == pytest.approx(want, abs=1e-12)
+
+
+def test_windows_are_handed_over_together(spark):
+    rows = [(k, w, i, float((7 * i + 3 * w + k) % 11)) for k in range(2) for w in (0, 1, 255, 256, 700) for i in range(12)]
+    df = spark.createDataFrame(rows, "user_id int, window_id long, idx int, value double").repartition(3)
+    got = {(r.user_id, r.window_id): (r.first, r.n) for r in features.per_window(df, ["user_id", "window_id"], "idx", ["first", "n", "gone"], lambda x: {"first": x[0], "n": float(len(x))}).collect()}
+    assert got == {(k, w): (float((3 * w + k) % 11), 12.0) for k in range(2) for w in (0, 1, 255, 256, 700)}

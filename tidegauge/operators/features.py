@@ -57,18 +57,28 @@ def hjorth(rows: DataFrame, keys: list[str], order: str, value: str = "value") -
     return own.groupBy(*keys).agg(m.alias("mobility"), (F.sqrt(F.when(dv > 0, ddv / dv)) / F.nullif(m, F.lit(0.0))).alias("complexity"))
 
 
+#: Windows of a key that are handed to Python together.
+TOGETHER = 256
+
+
 def per_window(rows: DataFrame, keys: list[str], order: str, names: list[str], kernel: Callable[[np.ndarray], dict[str, float]], value: str = "value") -> DataFrame:
-    """kernel of the ordered samples of each window; a window is bounded by its width and rate."""
+    """kernel of the ordered samples of each window (keys, window_id among them).
+
+    A call of Python gets TOGETHER neighbouring windows of a key, each bounded by its width and rate.
+    """
     schema = rows.select(*keys).schema
     for n in names:
         schema = schema.add(n, "double")
 
-    def run(window: pd.DataFrame) -> pd.DataFrame:
-        x = window.sort_values(order)[value].to_numpy(np.float64)
-        found = kernel(x)
-        return pd.DataFrame([{**{k: window[k].iloc[0] for k in keys}, **{n: found.get(n, np.nan) for n in names}}])
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        block = block.sort_values(["window_id", order], kind="stable")
+        ids, x = block["window_id"].to_numpy(), block[value].to_numpy(np.float64)
+        first = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
+        found = [kernel(own) for own in np.split(x, first[1:])]
+        return pd.DataFrame({**{k: block[k].to_numpy()[first] for k in keys}, **{n: [f.get(n, np.nan) for f in found] for n in names}})
 
-    return rows.select(*keys, order, value).groupBy(*keys).applyInPandas(run, schema)
+    blocks = [*[k for k in keys if k != "window_id"], timewin.whole(F.col("window_id"), TOGETHER).alias("_block")]
+    return rows.select(*keys, order, value).groupBy(*blocks).applyInPandas(run, schema)
 
 
 def pulse(rows: DataFrame, keys: list[str], rate: float, order: str = "idx") -> DataFrame:

@@ -108,8 +108,12 @@ def approximate_entropy(x: np.ndarray, m: int = 2, share: float = 0.2) -> float:
     def phi(k: int) -> float:
         v = np.lib.stride_tricks.sliding_window_view(x, k)
         total = 0.0
-        for row in v:
-            total += np.log((np.abs(v - row).max(1) <= r).mean())
+        for at in range(0, len(v), 128):
+            # as many rows at once as keep the distances small
+            near = np.ones((len(v[at : at + 128]), len(v)), bool)
+            for j in range(k):
+                near &= np.abs(v[at : at + 128, j, None] - v[None, :, j]) <= r
+            total += np.log(near.mean(1)).sum()
         return total / len(v)
 
     return float(phi(m) - phi(m + 1))

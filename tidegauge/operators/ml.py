@@ -53,8 +53,14 @@ def pca(df: DataFrame, train: DataFrame, columns: list[str], most: int = 3, name
     return model.transform(vector_column(df, columns)).withColumn(name, vector_to_array("_pc")).drop("features", "_pc")
 
 
+#: Points whose pairs a silhouette compares at most.
+POINTS = 20_000
+
+
 def silhouette(points: DataFrame, key: str, x: str, cluster: str) -> DataFrame:
-    """Mean Euclidean silhouette over entities (key, array x, cluster). Entities are few: their pairs are the definition."""
+    """Mean Euclidean silhouette over entities (key, array x, cluster). Their pairs are the definition: more than POINTS are an error."""
+    if points.count() > POINTS:
+        raise ValueError(f"a silhouette compares all pairs; it is for {POINTS} entities at most")
     a = points.select(F.col(key).alias("a"), F.col(x).alias("xa"), F.col(cluster).alias("ca"))
     b = points.select(F.col(key).alias("b"), F.col(x).alias("xb"), F.col(cluster).alias("cb"))
     d = F.sqrt(F.aggregate(F.zip_with("xa", "xb", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
@@ -117,7 +123,7 @@ def dense_labels(df: DataFrame, label: str, name: str = "state") -> DataFrame:
     """Labels -> 0 .. n - 1 in their order; the distinct labels are ranked, not the rows."""
     own = df.select(label).filter(F.col(label).isNotNull()).distinct()
     ranked = own.withColumn(name, F.dense_rank().over(Window.orderBy(label)) - 1)
-    return df.join(F.broadcast(ranked), label)  # one row a class
+    return df.join(ranked, label)
 
 
 def sequences(rows: DataFrame, trial: str, label: str, order: str, modality: str) -> DataFrame:
