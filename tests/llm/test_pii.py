@@ -1,5 +1,6 @@
 import random
 import re
+from functools import cache
 
 import numpy as np
 
@@ -118,6 +119,7 @@ def test_detect_finds_variants_and_leaves_clean_text(spark):
     assert pii.detect(docs.limit(0), tagger=tagger).count() == 0
 
 
+@cache
 def seeds_only():
     rows = pii._seeds()
     rows += [v for text, spans in rows for v in pii._variants(text, spans)]

@@ -80,7 +80,13 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_tables(spark: SparkSession) -> None:
+    """Removes all tables that this application has saved; results that still read them must be written first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
