@@ -65,7 +65,11 @@ def together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Record
 
 def ragged(raw: np.ndarray, bounds: np.ndarray) -> pa.Array:
     """The bytes between the bounds, as binary values."""
-    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw).view(np.uint8))])
+    return pa.Array.from_buffers(
+        pa.binary(),
+        len(bounds) - 1,
+        [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(raw).view(np.uint8))],
+    )
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -119,14 +123,20 @@ def bit_filter(keys: DataFrame, key: Column, name: str = "filter") -> BitFilter:
     n = keys.count()
     bits = min(max(LEAST_BITS, 1 << (FILTER_ROOM * n).bit_length()), MOST_BITS)
     at = F.pmod(F.col("_h"), F.lit(bits))
-    pages = keys.select(F.floor(at / PAGE_BITS).cast("int").alias("_page"), (at % PAGE_BITS).cast("long").alias("_bit")).groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_map"))
+    pages = keys.select(
+        F.floor(at / PAGE_BITS).cast("int").alias("_page"),
+        (at % PAGE_BITS).cast("long").alias("_bit"),
+    ).groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_map"))
     return BitFilter(saved(pages, "pages"), bits)
 
 
 def probed(rows: DataFrame, key: Column, own: BitFilter) -> DataFrame:
     """Adds `_hit`: whether the key may be among the filter's. The pages have a fixed bound, so they are broadcast."""
     at = F.pmod(F.xxhash64(key), F.lit(own.bits))
-    found = rows.withColumn("_at", at).withColumn("_page", F.floor(F.col("_at") / PAGE_BITS).cast("int")).join(F.broadcast(own.pages), "_page", "left")
+    found = rows.withColumn("_at", at).withColumn(
+        "_page",
+        F.floor(F.col("_at") / PAGE_BITS).cast("int"),
+    ).join(F.broadcast(own.pages), "_page", "left")
     byte = F.conv(F.hex(F.expr(f"substring(_map, cast((_at % {PAGE_BITS}) div 8 as int) + 1, 1)")), 16, 10).cast("int")
     hit = F.coalesce(F.getbit(byte, (F.col("_at") % 8).cast("int")), F.lit(0)) == 1
     return found.withColumn("_hit", hit).drop("_page", "_map", "_at")

@@ -39,7 +39,11 @@ def sha256(norm: Column) -> Column:
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, digest=sha256) -> DataFrame:
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("doc_id"), F.length(text).cast("long").alias("n"), normalised(text).alias("norm")).withColumn("digest", digest(F.col("norm")))
+    return docs.select(
+        F.col(id_col).alias("doc_id"),
+        F.length(text).cast("long").alias("n"),
+        normalised(text).alias("norm"),
+    ).withColumn("digest", digest(F.col("norm")))
 
 
 def _rank() -> Column:
@@ -106,7 +110,14 @@ def verify(docs: DataFrame, level: DataFrame, id_col: str = "doc_id", text_col:
     return hits.groupBy("digest", "norm").agg(F.min(_rank()).alias("best"), F.count(F.lit(1)).alias("size"))
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest=sha256, index: Index | None = None, earlier: DataFrame | None = None) -> DataFrame:
+def deduplicate(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    digest=sha256,
+    index: Index | None = None,
+    earlier: DataFrame | None = None,
+) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 (the digest) for every row of docs.
 
     With an index of earlier batches, rows are held against these, too; `earlier` has their documents, whose bytes
@@ -118,13 +129,18 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     pair = [id_col, text_col]
     every = docs.select(*pair) if earlier is None else docs.select(*pair).unionByName(earlier.select(*pair))
     # digests under which the bytes differ: none, unless the digest is weak
-    torn = common.saved(verify(every, level, id_col, text_col, digest).groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"), "torn")
+    torn = common.saved(
+        verify(every, level, id_col, text_col, digest).groupBy("digest").agg(F.count(F.lit(1)).alias("texts")).filter("texts > 1"),
+        "torn",
+    )
     whole = rows.join(level, "digest")
     if not torn.isEmpty():
         whole = whole.join(torn.select("digest"), "digest", "left_anti")
         of_torn = lambda d: _rows(d, id_col, text_col, digest).join(torn.select("digest"), "digest", "left_semi")
         groups = of_torn(every).groupBy("digest", "norm").agg(F.min(_rank()).alias("best"), F.count(F.lit(1)).alias("size"))
-        whole = whole.select("digest", "n", "doc_id", "best", "size").unionByName(of_torn(docs).join(groups, ["digest", "norm"]).select("digest", "n", "doc_id", "best", "size"))
+        whole = whole.select("digest", "n", "doc_id", "best", "size").unionByName(
+            of_torn(docs).join(groups, ["digest", "norm"]).select("digest", "n", "doc_id", "best", "size"),
+        )
     return whole.select(
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
@@ -147,7 +163,11 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     rank = F.struct(
         (-F.length(F.coalesce(F.col(text_col), F.lit("")))).alias("minus_n"), F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id")
     )
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), norm.alias("norm"), rank.alias("rank")).withColumn("digest", sha256(F.col("norm")))
+    row = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
+        norm.alias("norm"),
+        rank.alias("rank"),
+    ).withColumn("digest", sha256(F.col("norm")))
     marked = common.probed(row, F.col("digest"), several)
     best = marked.filter("_hit").groupBy("digest", "norm").agg(F.min_by("row", "rank").alias("row"))
     return marked.filter(~F.col("_hit")).select("row.*").unionByName(best.select("row.*"))

@@ -70,7 +70,10 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         for b in batches:
             texts = [x or "" for x in b.column(1).to_pylist()]
             order = [xxhash.xxh64_intdigest(x) >> 1 for x in texts]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(order, pa.int64()), pa.array([z.compress(x.encode()) for x in texts], pa.binary())], ["doc_id", "tie", "z"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(order, pa.int64()), pa.array([z.compress(x.encode()) for x in texts], pa.binary())],
+                ["doc_id", "tie", "z"],
+            )
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -93,7 +96,10 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             yield _columns([(before[0], *[None] * 6, part, first, before[3])])
 
     key = [F.col("doc_id").desc_nulls_last(), F.col("tie")]
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(squeeze, "doc_id long, tie long, z binary")
+    texts = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+    ).mapInArrow(squeeze, "doc_id long, tie long, z binary")
     walked = common.saved(texts.repartitionByRange(*key).sortWithinPartitions(*key).mapInArrow(walk, ENDS), "walked")
 
     # one row for each task: who follows whom, without the texts
@@ -102,7 +108,10 @@ def neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return walked.select(*NAMES)
     link = spark.createDataFrame([(p, ends[(k + 1) % len(ends)]) for k, p in enumerate(ends)], "part int, after int")
     edge = walked.filter("part is not null").select("doc_id", "part", "first", "last")
-    pairs = edge.join(link, "part").join(edge.select(F.col("part").alias("after"), F.col("first").alias("head")), "after").select("doc_id", "last", "head")
+    pairs = edge.join(link, "part").join(
+        edge.select(F.col("part").alias("after"), F.col("first").alias("head")),
+        "after",
+    ).select("doc_id", "last", "head")
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unz = zstandard.ZstdDecompressor()
@@ -131,13 +140,23 @@ def groups(docs: DataFrame, prints: DataFrame, id_col: str = "doc_id", text_col:
         z = zstandard.ZstdCompressor(level=1)
         for b in batches:
             own = [canonical(x or "") for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([digest(x) for x in own], pa.string()), pa.array([z.compress(x) for x in own], pa.binary())], ["doc_id", "fingerprint", "canon"])
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(canon, "doc_id long, fingerprint string, canon binary")
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([digest(x) for x in own], pa.string()), pa.array([z.compress(x) for x in own], pa.binary())],
+                ["doc_id", "fingerprint", "canon"],
+            )
+
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+    ).mapInArrow(canon, "doc_id long, fingerprint string, canon binary")
     hits = common.maybe_in(rows, F.col("fingerprint"), filtered)
     same = hits.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     found = common.saved(
-        same.groupBy("fingerprint").agg(F.min("class_id").alias("class_id"), F.sum("class_size").alias("class_size"), F.count(F.lit(1)).alias("texts")), "classes"
+        same.groupBy("fingerprint").agg(
+            F.min("class_id").alias("class_id"),
+            F.sum("class_size").alias("class_size"),
+            F.count(F.lit(1)).alias("texts"),
+        ), "classes"
     )
     whole = found.filter("texts = 1").select(F.lit(None).cast("long").alias("doc_id"), "fingerprint", "class_id", "class_size")
     torn = found.filter("texts > 1").select("fingerprint")
@@ -151,7 +170,12 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """`neighbours` with class_id and class_size of each document's group of equal canonical texts."""
     prints = common.saved(neighbours(docs, id_col, text_col), "prints")
     same = groups(docs, prints, id_col, text_col)
-    torn = same.filter("doc_id is not null").select("doc_id", F.col("fingerprint"), F.col("class_id").alias("own_id"), F.col("class_size").alias("own_size"))
+    torn = same.filter("doc_id is not null").select(
+        "doc_id",
+        F.col("fingerprint"),
+        F.col("class_id").alias("own_id"),
+        F.col("class_size").alias("own_size"),
+    )
     joined = prints.join(same.filter("doc_id is null").drop("doc_id"), "fingerprint", "left").join(torn, ["doc_id", "fingerprint"], "left")
     return joined.select(
         *NAMES, F.coalesce("own_id", "class_id", "doc_id").alias("class_id"), F.coalesce("own_size", "class_size", F.lit(1)).alias("class_size")

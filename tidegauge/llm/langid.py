@@ -161,7 +161,10 @@ def entropies(docs: DataFrame, model: Model, *more: str) -> DataFrame:
                 n.append(size)
                 total = np.array(list(c.values()), np.float64) @ np.array([table[w] for w in c]) if size else np.zeros(len(model.names))
                 bits.append((-total / max(size, 1)).tolist())
-            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(n, pa.int64()), pa.array(bits, pa.list_(pa.float64()))], ["doc_id", *more, "n", "bits"])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), *b.columns[2:], pa.array(n, pa.int64()), pa.array(bits, pa.list_(pa.float64()))],
+                ["doc_id", *more, "n", "bits"],
+            )
 
     schema = docs.select("doc_id", *more).schema.add("n", T.LongType()).add("bits", T.ArrayType(T.DoubleType()))
     return docs.select("doc_id", "text", *more).mapInArrow(run, schema)
@@ -179,16 +182,25 @@ def train(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> Model | N
     limits = {lang: int((1 << 62) * min(1.0, sample / n)) for lang, n in many.items()}
     few = [lang for lang, n in many.items() if n < FEW]
     limit = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-    chosen = rows.filter(F.shiftrightunsigned("order", 2) < limit[F.col("lang")]).withColumn("check", (F.pmod(F.xxhash64(F.lit("check"), "order"), F.lit(5)) == 0) & ~F.col("lang").isin(few))
+    chosen = rows.filter(F.shiftrightunsigned("order", 2) < limit[F.col("lang")]).withColumn(
+        "check",
+        (F.pmod(F.xxhash64(F.lit("check"), "order"), F.lit(5)) == 0) & ~F.col("lang").isin(few),
+    )
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 seen.update((lang, w) for w in words_of(text))
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(list(seen.values()), pa.int64())], ["lang", "word", "n"])
-
-    tally = chosen.filter(~F.col("check")).select("lang", "text").mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()), pa.array(list(seen.values()), pa.int64())],
+            ["lang", "word", "n"],
+        )
+
+    tally = chosen.filter(~F.col("check")).select("lang", "text").mapInArrow(
+        count,
+        "lang string, word string, n long",
+    ).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     found: dict[str, list[tuple[str, int]]] = {}
     for lang, word, n in tally.orderBy("lang", "word").collect():
         found.setdefault(lang, []).append((word, n))
@@ -199,7 +211,13 @@ def train(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> Model | N
     alphabet = len({c for x in found.values() for w, _ in x for c in w}) + 2
     model = Model(names, languages, alphabet)
 
-    checks = [(r.lang, r.n, r.bits) for r in entropies(chosen.filter("check").select("doc_id", "text", "lang"), model, "lang").filter("n > 0").collect() if r.lang in names]
+    checks = [
+        (r.lang, r.n, r.bits) for r in entropies(
+            chosen.filter("check").select("doc_id", "text", "lang"),
+            model,
+            "lang",
+        ).filter("n > 0").collect() if r.lang in names
+    ]
     if checks:
         own = np.array([names.index(x) for x, _, _ in checks])
         bits = np.array([x for _, _, x in checks])
@@ -216,14 +234,32 @@ def train(docs: DataFrame, learnable: Column, sample: int = SAMPLE) -> Model | N
     return model
 
 
-def predict(docs: DataFrame, learnable: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> DataFrame:
+def predict(
+    docs: DataFrame,
+    learnable: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    sample: int = SAMPLE,
+) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected, bits; learnable: condition on doc_id of the rows that training may read."""
     common.text_batches(docs.sparkSession)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        F.col(lang_col).cast("string").alias("lang"),
+    )
     model = train(rows, learnable, sample)
     held = (~learnable).alias("held_out")
     if model is None:
-        return rows.select("doc_id", held, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(False).alias("rejected"), F.lit(None).cast("double").alias("bits"))
+        return rows.select(
+            "doc_id",
+            held,
+            F.lit("und").alias("lang_pred"),
+            F.lit(0.0).alias("score"),
+            F.lit(False).alias("rejected"),
+            F.lit(None).cast("double").alias("bits"),
+        )
     names = F.array(*[F.lit(x) for x in model.names])
     limits = F.array(*[F.lit(float(x)) for x in model.limits])
     found = entropies(rows, model).withColumn("least", F.array_min("bits")).withColumn("k", F.array_position("bits", F.col("least")).cast("int"))

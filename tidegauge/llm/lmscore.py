@@ -328,7 +328,13 @@ def build(docs: DataFrame, head: Head) -> DataFrame:
         there, first = np.unique(shard, return_index=True)
         bounds, inside = np.append(first, len(shard)), np.append(np.searchsorted(of, there), len(of))
         return pa.RecordBatch.from_arrays(
-            [pa.array(there.astype(np.int32)), common.ragged(_pack(gram, 8), inside * 8), common.ragged(n, inside), common.ragged(_pack(own, GRAM_BYTES), bounds * GRAM_BYTES), common.ragged(own_n, bounds)], names
+            [
+                pa.array(there.astype(np.int32)),
+                common.ragged(_pack(gram, 8), inside * 8),
+                common.ragged(n, inside),
+                common.ragged(_pack(own, GRAM_BYTES), bounds * GRAM_BYTES),
+                common.ragged(own_n, bounds),
+            ], names
         )
 
     def tally(head: Head, held: list[tuple[np.ndarray, np.ndarray]], near: np.ndarray) -> pa.RecordBatch:
@@ -378,7 +384,10 @@ def build(docs: DataFrame, head: Head) -> DataFrame:
             merge()
             own, n, grams, many = (x[0] for x in held)
             bits = Filter.of(grams, many).bits
-            return pa.RecordBatch.from_arrays([pa.array([last], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (own, n, bits))], ["shard", "words", "counts", "bits"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([last], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (own, n, bits))],
+                ["shard", "words", "counts", "bits"],
+            )
 
         for b in batches:
             shard = b.column(0).to_numpy()
@@ -497,9 +506,20 @@ def _ask(docs: DataFrame, head_of, filters_of) -> DataFrame:
                 if n:
                     yield from deal(head, batch, *map(np.concatenate, zip(*held, strict=True)), sums)
                 ids = b.column(0)
-                rest = np.concatenate([ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), *sums[:2]]).astype(np.int64)
+                rest = np.concatenate(
+                    [ids.fill_null(0).to_numpy(zero_copy_only=False), ids.is_null().to_numpy(zero_copy_only=False), *sums[:2]],
+                ).astype(np.int64)
                 raw = rest.tobytes() + sums[2:].tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([batch % head.shards], pa.int32()), pa.array([2], pa.int32()), pa.array([batch], pa.int64()), pa.array([0], pa.int32()), *(pa.array([x], pa.binary()) for x in (b"", raw, b"", b""))], names)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([batch % head.shards], pa.int32()),
+                        pa.array([2], pa.int32()),
+                        pa.array([batch], pa.int64()),
+                        pa.array([0], pa.int32()),
+                        *(pa.array([x], pa.binary()) for x in (b"", raw, b"", b"")),
+                    ],
+                    names,
+                )
 
     return docs.mapInArrow(run, "shard int, kind int, batch long, ones int, words binary, grams binary, refs binary, docs binary")
 
@@ -566,7 +586,16 @@ def _answer(asked: DataFrame, model: DataFrame, head_of) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([b.column(2).slice(i, j - i), *[empty] * 5, b.column(5).slice(i, j - i)], names)
 
     blank = F.lit(b"").cast("binary")
-    shards = model.filter("shard >= 0").select("shard", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("batch"), F.lit(0).alias("ones"), "words", F.col("bits").alias("grams"), F.col("counts").alias("refs"), blank.alias("docs"))
+    shards = model.filter("shard >= 0").select(
+        "shard",
+        F.lit(0).alias("kind"),
+        F.lit(0).cast("long").alias("batch"),
+        F.lit(0).alias("ones"),
+        "words",
+        F.col("bits").alias("grams"),
+        F.col("counts").alias("refs"),
+        blank.alias("docs"),
+    )
     dealt = shards.union(asked).repartition("shard").sortWithinPartitions("shard", "kind")
     return dealt.mapInArrow(run, "batch long, docs binary, own binary, tails binary, known binary, base binary, whole binary")
 
@@ -580,7 +609,14 @@ def _finish(answers: DataFrame, train_tokens: int) -> DataFrame:
         ids, null, tokens, known = np.frombuffer(whole[: 32 * size], np.int64).reshape(4, -1)
         base, own = np.frombuffer(whole[32 * size :], np.float64).reshape(2, -1)
         known = known + sums[0, :size].astype(np.int64)
-        columns = [pa.array(ids, mask=null.astype(bool)), pa.array(tokens), pa.array(known), pa.array(np.full(size, train_tokens)), pa.array(base + sums[1, :size]), pa.array(own + sums[2, :size])]
+        columns = [
+            pa.array(ids, mask=null.astype(bool)),
+            pa.array(tokens),
+            pa.array(known),
+            pa.array(np.full(size, train_tokens)),
+            pa.array(base + sums[1, :size]),
+            pa.array(own + sums[2, :size]),
+        ]
         return pa.RecordBatch.from_arrays(columns, names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -96,7 +96,14 @@ def ids_of(texts: list[str | None], table: ChunkTable) -> Iterator[bytes]:
         yield b"".join([*map(table.__getitem__, p), end])
 
 
-def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 [, ids] for each piece of each document."""
     common.text_batches(docs.sparkSession)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
@@ -112,7 +119,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: st
                     for column, x in zip(out, row, strict=False):
                         column.append(x)
             types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=False)], schema.replace(" array<int>", "").replace(" long", "").replace(" int", "").split(", "))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(out, types, strict=False)],
+                schema.replace(" array<int>", "").replace(" long", "").replace(" int", "").split(", "),
+            )
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(cut, schema)
 
@@ -167,7 +177,10 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     shared = cut.sparkSession.sparkContext.broadcast(table[np.lexsort((table[:, 1], table[:, 0]))])
     names = [c for c in cut.columns if c != "_share"]
     schema = cut.drop("_share").schema.add("sequence_id", "long").add("offset", "long")
-    ranked = cut.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_share").orderBy("doc_id", "piece"))).join(F.broadcast(bases), ["length", "_share"])
+    ranked = cut.withColumn(
+        "_rank",
+        F.row_number().over(Window.partitionBy("length", "_share").orderBy("doc_id", "piece")),
+    ).join(F.broadcast(bases), ["length", "_share"])
     ranked = ranked.select(*names, (F.col("_base") + F.col("_rank") - 1).cast("long").alias("_rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,12 +190,22 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             length, rank = (b.column(b.schema.get_field_index(n)).to_numpy(zero_copy_only=False) for n in ("length", "_rank"))
             k = np.searchsorted(keys, (length << 48) + rank, "right") - 1
             columns = [b.column(b.schema.get_field_index(n)) for n in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(firsts[k] + rank - ranks[k]), pa.array(offsets[k])], [*names, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(firsts[k] + rank - ranks[k]), pa.array(offsets[k])],
+                [*names, "sequence_id", "offset"],
+            )
 
     return ranked.mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame,
+    tokenizer: str,
+    capacity: int = CAPACITY,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    with_ids: bool = False,
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 [, ids], sequence_id, offset for every piece."""
     cut = common.saved(pieces(docs, tokenizer, capacity, id_col, text_col, with_ids), "pieces")
     return pack(cut, capacity)

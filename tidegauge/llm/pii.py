@@ -304,11 +304,16 @@ def training_windows(docs: DataFrame, sample: int = SAMPLE, most: int = WINDOWS)
                     cutoff = any(a < s < e or a < s + WIDTH < e for a, _, e in spans)
                     if not cutoff and not doubtful(text[s : s + WIDTH], own):
                         rows.append((text[s : s + WIDTH], [x for span in own for x in span]))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))], ["window", "spans"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.int32()))],
+                ["window", "spans"],
+            )
 
     found = part.select("doc_id", "text").mapInArrow(cut, "window string, spans array<int>")
     # `most` rows of WIDTH characters
-    rows = found.orderBy(F.size("spans") == 0, F.xxhash64("window")).limit(most // 2).union(found.filter(F.size("spans") == 0).orderBy(F.xxhash64("window")).limit(most // 2)).collect()
+    rows = found.orderBy(F.size("spans") == 0, F.xxhash64("window")).limit(most // 2).union(
+        found.filter(F.size("spans") == 0).orderBy(F.xxhash64("window")).limit(most // 2),
+    ).collect()
     return [(r.window, [tuple(r.spans[k : k + 3]) for k in range(0, len(r.spans), 3)]) for r in rows]
 
 
@@ -350,11 +355,22 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tagg
             out = []
             for base, spans in find([x or "" for x in b.column(1).to_pylist()], get()):
                 kinds = [k for _, k, _ in base]
-                out.append((*[kinds.count(k) for k in range(len(KINDS))], hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), len(spans) - len(base), len(spans)))
+                out.append(
+                    (
+                        *[kinds.count(k) for k in range(len(KINDS))],
+                        hashlib.sha256(joined(base).encode()).hexdigest(),
+                        joined(spans),
+                        len(spans) - len(base),
+                        len(spans),
+                    )
+                )
             types = [*[pa.int64()] * len(KINDS), pa.string(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[k] for r in out], t) for k, t in enumerate(types)]], names)
 
-    return rows.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long")
+    return rows.mapInArrow(
+        run,
+        "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long",
+    )
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -370,7 +386,13 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", tagger: Tagger | None = None) -> DataFrame:
+def redact(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    chars_col: str | None = "n_chars",
+    tagger: Tagger | None = None,
+) -> DataFrame:
     """docs with every span in the text replaced by <KIND> and n_chars counted anew; all rows and columns stay."""
     common.text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -75,9 +75,17 @@ def table(docs: DataFrame, host: Column, path: Column, id_col: str = "doc_id", t
         release()
         for b in batches:
             own = np.array([features(x) for x in b.column(1).to_pylist()], np.float64).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(own[:, 0] > 0), *[pa.array(own[:, k]) for k in range(len(FEATURES))]], names)
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), host.cast("string").alias("host"), path.cast("string").alias("path"))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(2), b.column(3), pa.array(own[:, 0] > 0), *[pa.array(own[:, k]) for k in range(len(FEATURES))]],
+                names,
+            )
+
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(text_col).cast("string").alias("text"),
+        host.cast("string").alias("host"),
+        path.cast("string").alias("path"),
+    )
     return rows.mapInArrow(run, "doc_id long, host string, path string, has_words boolean, " + ", ".join(f"{n} double" for n in names[4:]))
 
 
@@ -151,7 +159,12 @@ def classify(
     host_rate = hosts.select(F.col("host").alias("h"), ((F.col("s") + k_host * rate) / (F.col("n") + k_host)).alias("host_rate"))
     level = common.saved(paths.join(host_rate, F.col("host").eqNullSafe(F.col("h"))).drop("h"), "level")
     k_path = _strength(level, F.col("host_rate"))
-    path_rate = level.select(F.col("host").alias("h"), F.col("path").alias("q"), "host_rate", ((F.col("s") + k_path * F.col("host_rate")) / (F.col("n") + k_path)).alias("path_rate"))
+    path_rate = level.select(
+        F.col("host").alias("h"),
+        F.col("path").alias("q"),
+        "host_rate",
+        ((F.col("s") + k_path * F.col("host_rate")) / (F.col("n") + k_path)).alias("path_rate"),
+    )
 
     joined = own.join(path_rate, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("q")), "left")
     odds = F.col("evidence") + _odds(F.coalesce("path_rate", F.lit(rate)))
@@ -161,7 +174,15 @@ def classify(
     ).withColumn("keep", F.col("posterior") >= THRESHOLD)
 
 
-def reject(docs: DataFrame, labels: DataFrame, host: Column, path: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
+def reject(
+    docs: DataFrame,
+    labels: DataFrame,
+    host: Column,
+    path: Column,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+) -> DataFrame:
     """The rows of docs that are kept, with all their columns; only rows that may have been rejected are shuffled."""
     judged = classify(docs, labels, host, path, id_col, text_col, label_col)
     kept = judged.filter("doc_id is not null").groupBy("doc_id").agg(F.max("keep").alias("keep"))

@@ -218,7 +218,14 @@ def link_runs(keys: np.ndarray, prints: np.ndarray, bits: int, forest: Forest) -
         link_bucket(prints[a : a + n], bits, forest)
 
 
-def fingerprints(docs: DataFrame, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text", blocks: int = 1, sets: bool = False) -> DataFrame:
+def fingerprints(
+    docs: DataFrame,
+    words: int = WORDS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    blocks: int = 1,
+    sets: bool = False,
+) -> DataFrame:
     """doc_id, print (the fingerprint in hex); with `sets` the fingerprint of the set of hashes, and digest, the set's XXH3 in hex."""
     common.text_batches(docs.sparkSession)
 
@@ -253,7 +260,9 @@ def links(prints: DataFrame, bits: int = BITS, blocks: int = 1) -> DataFrame:
             for at in range(0, whole.num_rows, 4096):
                 raw = bytes.fromhex("".join(whole.column(0).slice(at, 4096).to_pylist()))
                 own = np.frombuffer(raw, ">u8").astype(np.uint64).reshape(-1, blocks)
-                keys, owners = (np.concatenate(x) for x in zip(*((k | j << 26, o) for j in range(blocks) for k, o in [pair_keys(own[:, j])]), strict=True))
+                keys, owners = (
+                    np.concatenate(x) for x in zip(*((k | j << 26, o) for j in range(blocks) for k, o in [pair_keys(own[:, j])]), strict=True)
+                )
                 shard = (_mixed((keys >> shift).astype(np.uint64), 1) >> np.uint64(20)) % np.uint64(shards)
                 order = np.lexsort((owners, shard))
                 keys, owners, shard = keys[order].astype("<i4"), owners[order], shard[order].astype(np.int32)
@@ -265,7 +274,12 @@ def links(prints: DataFrame, bits: int = BITS, blocks: int = 1) -> DataFrame:
                 inside = np.append(place[first], new.sum())
                 refs = (place - np.repeat(inside[:-1], np.diff(bounds))).astype("<u2")
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(there), common.ragged(keys, bounds * 4), common.ragged(refs, bounds * 2), common.ragged(own[owners[new]].astype("<u8"), inside * 8 * blocks)],
+                    [
+                        pa.array(there),
+                        common.ragged(keys, bounds * 4),
+                        common.ragged(refs, bounds * 2),
+                        common.ragged(own[owners[new]].astype("<u8"), inside * 8 * blocks),
+                    ],
                     ["shard", "keys", "refs", "prints"],
                 )
 
@@ -302,12 +316,22 @@ def links(prints: DataFrame, bits: int = BITS, blocks: int = 1) -> DataFrame:
 
 def _labels(nodes: DataFrame, found: DataFrame, name: str) -> DataFrame:
     """name, component_id from nodes (name, least) and the components found (node, root)."""
-    rooted = common.saved(nodes.join(found, F.col(name) == F.col("node"), "left").select(name, "least", F.coalesce("root", name).alias("root")), "rooted")
+    rooted = common.saved(
+        nodes.join(found, F.col(name) == F.col("node"), "left").select(name, "least", F.coalesce("root", name).alias("root")),
+        "rooted",
+    )
     tops = common.saved(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "tops")
     return common.saved(rooted.join(tops, "root").select(name, "component_id"), "labels")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text", blocks: int = 1) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    words: int = WORDS,
+    bits: int = BITS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    blocks: int = 1,
+) -> DataFrame:
     """doc_id, fingerprint (hex), component_id (smallest id reachable over links) for every row."""
     prints = common.saved(fingerprints(docs, words, id_col, text_col, blocks), "prints")
     found = components(links(prints, bits, blocks))
@@ -345,7 +369,10 @@ def verified_links(rows: DataFrame, prints: DataFrame, loose: DataFrame, words:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [np.unique(shingle_hashes(x, words)) for x in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([digest_of(s) for s in own], pa.string()), pa.array([s.tobytes() for s in own], pa.binary())], ["digest", "hashes"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([digest_of(s) for s in own], pa.string()), pa.array([s.tobytes() for s in own], pa.binary())],
+                ["digest", "hashes"],
+            )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, names, sets = None, [], []
@@ -379,12 +406,23 @@ def verified_links(rows: DataFrame, prints: DataFrame, loose: DataFrame, words:
     sets = common.saved(members.select("root", "digest").join(sets, "digest"), "sets")
     chunks = sets.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.length("hashes")) / CHUNK)).cast("int").alias("chunks"))
     own = F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int")
-    dealt = sets.join(common.saved(chunks, "chunks"), "root").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    dealt = sets.join(common.saved(chunks, "chunks"), "root").withColumn("own", own).withColumn(
+        "other",
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)),
+    )
     dealt = dealt.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "digest", "hashes")
     return dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(compare, "a string, b string")
 
 
-def near_copies(docs: DataFrame, words: int, similarity: float, id_col: str = "doc_id", text_col: str = "text", bits: int = VERIFIED_BITS, blocks: int = VERIFIED_BLOCKS) -> DataFrame:
+def near_copies(
+    docs: DataFrame,
+    words: int,
+    similarity: float,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    bits: int = VERIFIED_BITS,
+    blocks: int = VERIFIED_BLOCKS,
+) -> DataFrame:
     """doc_id, component_id (smallest id reachable over links of similarity `similarity` or more) for every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     prints = common.saved(fingerprints(rows, words, blocks=blocks, sets=True), "prints")
@@ -394,7 +432,14 @@ def near_copies(docs: DataFrame, words: int, similarity: float, id_col: str = "d
     return prints.join(label, "digest").select("doc_id", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def drop_near_copies(docs: DataFrame, words: int = WORDS, bits: int = BITS, id_col: str = "doc_id", text_col: str = "text", similarity: float | None = None) -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame,
+    words: int = WORDS,
+    bits: int = BITS,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    similarity: float | None = None,
+) -> DataFrame:
     """The rows of docs that stay, with all their columns: those whose id is the smallest of its component.
 
     With `similarity` the components are those of near_copies, else of near_duplicates. Rows that share an id

@@ -106,7 +106,14 @@ def attribute(token_sizes: np.ndarray, section_sizes: np.ndarray) -> tuple[np.nd
     return np.bincount(best, minlength=len(section_sizes)), np.cumsum(crossing)[: len(section_sizes)]
 
 
-def count(docs: DataFrame, ranks: str, pattern: str, splitter: Callable[[str], Sections] = lines, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def count(
+    docs: DataFrame,
+    ranks: str,
+    pattern: str,
+    splitter: Callable[[str], Sections] = lines,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
     """doc_id, section (from 0), kind, start, end (characters), n_tokens, n_crossing (tokens over its end), doc_tokens."""
     common.text_batches(docs.sparkSession)
     names = ["doc_id", "section", "kind", "start", "end", "n_tokens", "n_crossing", "doc_tokens"]
@@ -135,7 +142,10 @@ def count(docs: DataFrame, ranks: str, pattern: str, splitter: Callable[[str], S
                 over += crossing.tolist()
                 total += [len(tokens)] * len(own)
             types = [pa.int64(), pa.int64(), pa.string(), *[pa.int64()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((ids, sections, kinds, starts, ends, many, over, total), types, strict=True)], names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip((ids, sections, kinds, starts, ends, many, over, total), types, strict=True)],
+                names,
+            )
 
     schema = "doc_id long, section long, kind string, start long, end long, n_tokens long, n_crossing long, doc_tokens long"
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
