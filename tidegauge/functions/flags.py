@@ -40,10 +40,24 @@ def at_most(value: Column, good: float, noisy: float, noisy_problem: str = "ARTI
 
 
 def acc(completeness: Column, out_ratio: Column, run: Column, flat: Column) -> list[Rule]:
-    return [*at_least(completeness, 0.95, 0.80), (out_ratio != 0, "BAD", "ARTIFACT"), *at_most(run, 1, 2, "CLIPPING", "CLIPPING"), (flat, "BAD", "FLAT")]
+    return [
+        *at_least(completeness, 0.95, 0.80),
+        (out_ratio != 0, "BAD", "ARTIFACT"),
+        *at_most(run, 1, 2, "CLIPPING", "CLIPPING"),
+        (flat, "BAD", "FLAT")
+    ]
 
 
-def bvp(completeness: Column, amplitude: Column, std: Column, run: Column, kurtosis: Column, low: float = 5, high: float = 400, still: float = 2) -> list[Rule]:
+def bvp(
+    completeness: Column,
+    amplitude: Column,
+    std: Column,
+    run: Column,
+    kurtosis: Column,
+    low: float = 5,
+    high: float = 400,
+    still: float = 2,
+) -> list[Rule]:
     return [
         *at_least(completeness, 0.95, 0.80),
         ((amplitude < low) & (std < still), "BAD", "FLAT"),
@@ -55,10 +69,24 @@ def bvp(completeness: Column, amplitude: Column, std: Column, run: Column, kurto
 
 
 def eda(completeness: Column, out_ratio: Column, std: Column, jump: Column, still: tuple = (0.005, 0.002), jumps: tuple = (5.0, 10.0)) -> list[Rule]:
-    return [*at_least(completeness, 0.95, 0.80), (out_ratio >= 0.05, "BAD", "ARTIFACT"), *at_least(std, *still, "NONE", "FLAT"), *at_most(jump, *jumps)]
+    return [
+        *at_least(completeness, 0.95, 0.80),
+        (out_ratio >= 0.05, "BAD", "ARTIFACT"),
+        *at_least(std, *still, "NONE", "FLAT"),
+        *at_most(jump, *jumps)
+    ]
 
 
-def hr(completeness: Column, mean: Column, std: Column, change: Column, inner: tuple = (40, 180), outer: tuple = (30, 220), still: tuple = (0.5, 0.1), changes: tuple = (3, 6)) -> list[Rule]:
+def hr(
+    completeness: Column,
+    mean: Column,
+    std: Column,
+    change: Column,
+    inner: tuple = (40, 180),
+    outer: tuple = (30, 220),
+    still: tuple = (0.5, 0.1),
+    changes: tuple = (3, 6),
+) -> list[Rule]:
     return [
         *at_least(completeness, 0.9, 0.7),
         *steps(mean, mean.between(*inner), mean.between(*outer), "NONE", "ARTIFACT"),

@@ -23,7 +23,9 @@ def conversations(meta: DataFrame, classes: list[str], size: int = 10) -> DataFr
 def questionnaire(cells: DataFrame, keys: list[str], order: str, label: str, most: int = 5) -> DataFrame:
     """Sheet rows -> (keys, emotion_class, k, other columns): header rows carry a label forward, then up to `most` data rows follow."""
     w = Window.partitionBy(*keys).orderBy(order)
-    rows = cells.withColumn("emotion_class", F.last(label, ignorenulls=True).over(w)).filter(F.col(label).isNull() & F.col("emotion_class").isNotNull())
+    rows = cells.withColumn("emotion_class", F.last(label, ignorenulls=True).over(w)).filter(
+        F.col(label).isNull() & F.col("emotion_class").isNotNull(),
+    )
     rows = rows.withColumn("k", F.row_number().over(Window.partitionBy(*keys, "emotion_class").orderBy(order)))
     return rows.filter(F.col("k") <= most).drop(label)
 
@@ -70,7 +72,14 @@ def head_aligned(rows: DataFrame, keys: list[str], rater: str, order: str) -> Da
     return own.join(n, keys).filter(F.col("position") < F.col("_n")).drop("_n")
 
 
-def session_annotations(rows: DataFrame, keys: list[str], scores: list[str], checks: list[list[str]], raters: tuple[str, ...] = ("self", "partner", "external"), step_s: int = 5) -> DataFrame:
+def session_annotations(
+    rows: DataFrame,
+    keys: list[str],
+    scores: list[str],
+    checks: list[list[str]],
+    raters: tuple[str, ...] = ("self", "partner", "external"),
+    step_s: int = 5,
+) -> DataFrame:
     """One row for each key and step: agreement of each score and check group, flag, dominant emotion and the raters' means.
 
     rows: keys, rater, row (order), scores (Likert), checks (columns of each group: ticked or not). A key without

@@ -7,8 +7,20 @@ from pyspark.sql import functions as F
 
 
 def _merged(left: DataFrame, right: DataFrame, keys: list[str], time: str, right_time: str, value: str) -> DataFrame:
-    a = left.select(F.struct("*").alias("_row"), *keys, F.col(time).alias("_t"), F.lit(None).cast(right.schema[value].dataType).alias("_v"), F.lit(None).cast(right.schema[right_time].dataType).alias("_vt"))
-    b = right.filter(F.col(value).isNotNull()).select(F.lit(None).cast(a.schema["_row"].dataType).alias("_row"), *keys, F.col(right_time).alias("_t"), F.col(value).alias("_v"), F.col(right_time).alias("_vt"))
+    a = left.select(
+        F.struct("*").alias("_row"),
+        *keys,
+        F.col(time).alias("_t"),
+        F.lit(None).cast(right.schema[value].dataType).alias("_v"),
+        F.lit(None).cast(right.schema[right_time].dataType).alias("_vt"),
+    )
+    b = right.filter(F.col(value).isNotNull()).select(
+        F.lit(None).cast(a.schema["_row"].dataType).alias("_row"),
+        *keys,
+        F.col(right_time).alias("_t"),
+        F.col(value).alias("_v"),
+        F.col(right_time).alias("_vt"),
+    )
     return a.unionByName(b)
 
 

@@ -35,7 +35,10 @@ def signal_scan(samples: DataFrame, keys: list[str], declared: Column | None = N
         F.max("t").alias("last_t"),
         rate.alias("_rate"),
     )
-    return own.withColumn("sample_rate_hz", F.coalesce(F.nullif(declared, F.lit(0.0)), "_rate") if declared is not None else F.col("_rate")).drop("_rate")
+    return own.withColumn(
+        "sample_rate_hz",
+        F.coalesce(F.nullif(declared, F.lit(0.0)), "_rate") if declared is not None else F.col("_rate"),
+    ).drop("_rate")
 
 
 def miss_columns(rows: DataFrame, keys: list[str], more: list[str] | None = None) -> DataFrame:
@@ -48,7 +51,10 @@ def miss_columns(rows: DataFrame, keys: list[str], more: list[str] | None = None
     bad = F.when(n > 0, F.coalesce("bad", F.lit(0))).otherwise(0)
     state = F.when(F.col("too_small"), "size_anomaly").otherwise(status(n, F.col("expected"), bad))
     want = F.when(state == "total_missing", 0).otherwise(F.coalesce("expected", F.lit(0)))
-    rows = rows.withColumns({"status": state, "_want": want, "_n": n, "_bad": bad}).withColumn("_miss", F.when(F.col("_want") > 0, F.greatest(F.col("_want") - F.col("_n"), F.lit(0))).otherwise(0))
+    rows = rows.withColumns({"status": state, "_want": want, "_n": n, "_bad": bad}).withColumn(
+        "_miss",
+        F.when(F.col("_want") > 0, F.greatest(F.col("_want") - F.col("_n"), F.lit(0))).otherwise(0),
+    )
     share = lambda a, b: F.when(b > 0, F.round(a * 100 / b, 4)).otherwise(0.0)
     lost = F.col("_miss") + F.col("_bad")
     return rows.select(
@@ -77,7 +83,13 @@ def missingness(expected: DataFrame, actual: DataFrame, keys: list[str], known:
     else:
         rows = rows.withColumn("_known", F.lit(False))
     there = F.coalesce("actual", F.lit(0)) > 0
-    rows = rows.withColumns({"bad": F.coalesce("zeros", F.lit(0)) + F.coalesce("nulls", F.lit(0)), "too_small": F.lit(False), "known": F.coalesce("_known", F.lit(False)) & ~there})
+    rows = rows.withColumns(
+        {
+            "bad": F.coalesce("zeros", F.lit(0)) + F.coalesce("nulls", F.lit(0)),
+            "too_small": F.lit(False),
+            "known": F.coalesce("_known", F.lit(False)) & ~there,
+        },
+    )
     return miss_columns(rows, keys)
 
 
@@ -90,7 +102,11 @@ def session_missingness(participants: DataFrame, signals: DataFrame, sessions: D
     """
     keys = ["entity_id", "signal_type"]
     spine = participants.select("entity_id").union(absent.select("entity_id")).distinct().join(signals)  # signals: a few rows of settings
-    rows = spine.join(sessions.select("entity_id", (F.col("session_end_s") - F.col("session_start_s")).alias("_s")), "entity_id", "left").join(found, keys, "left")
+    rows = spine.join(
+        sessions.select("entity_id", (F.col("session_end_s") - F.col("session_start_s")).alias("_s")),
+        "entity_id",
+        "left",
+    ).join(found, keys, "left")
     rows = rows.join(absent.select(*keys).distinct().withColumn("_absent", F.lit(True)), keys, "left")
     there = F.col("actual").isNotNull()
     rows = rows.withColumns(
@@ -114,14 +130,24 @@ def trial_missingness(entities: DataFrame, signals: DataFrame, found: DataFrame,
     entity_id, signal_type known to be missing. A file below min_bytes is a size anomaly.
     """
     keys = ["entity_id", "signal_type", "unit_id"]
-    units = signals.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("many") - 1))).withColumn("_number", F.col("first") + F.col("_k") * F.col("step"))
+    units = signals.withColumn(
+        "_k",
+        F.explode(F.sequence(F.lit(0), F.col("many") - 1)),
+    ).withColumn("_number", F.col("first") + F.col("_k") * F.col("step"))
     units = units.withColumn("unit_id", F.lpad(F.col("_number").cast("string"), F.greatest("digits", F.length(F.col("_number").cast("string"))), "0"))
     spine = entities.select("entity_id").distinct().join(units)  # units: the trials of a few signals
-    rows = spine.join(found, keys, "left").join(known.select("entity_id", "signal_type").distinct().withColumn("_known", F.lit(True)), ["entity_id", "signal_type"], "left")
+    rows = spine.join(found, keys, "left").join(
+        known.select("entity_id", "signal_type").distinct().withColumn("_known", F.lit(True)),
+        ["entity_id", "signal_type"],
+        "left",
+    )
     small = F.coalesce(F.col("length") < F.col("min_bytes"), F.lit(False))
     rows = rows.withColumns(
         {
-            "expected": F.coalesce(F.col("expected"), F.when(F.col("actual").isNotNull(), F.bround(F.col("duration_s") * F.col("sample_rate_hz")).cast("long"))),
+            "expected": F.coalesce(
+                F.col("expected"),
+                F.when(F.col("actual").isNotNull(), F.bround(F.col("duration_s") * F.col("sample_rate_hz")).cast("long")),
+            ),
             "bad": F.lit(0),
             "too_small": small,
             "known": F.coalesce("_known", F.lit(False)),
@@ -142,7 +168,10 @@ def without_skipped(samples: DataFrame, skipped: DataFrame, keys: list[str]) ->
 
 def with_rates(samples: DataFrame, rates: DataFrame, keys: list[str], declared: float) -> DataFrame:
     """Adds rate: the report's, or the declared one where it is missing or 0."""
-    return samples.join(rates.select(*keys, "sample_rate_hz"), keys, "left").withColumn("rate", F.coalesce(F.nullif("sample_rate_hz", F.lit(0.0)), F.lit(declared))).drop("sample_rate_hz")
+    return samples.join(rates.select(*keys, "sample_rate_hz"), keys, "left").withColumn(
+        "rate",
+        F.coalesce(F.nullif("sample_rate_hz", F.lit(0.0)), F.lit(declared)),
+    ).drop("sample_rate_hz")
 
 
 def timing(samples: DataFrame, keys: list[str], sessions: DataFrame, session_keys: list[str]) -> DataFrame:
@@ -150,18 +179,27 @@ def timing(samples: DataFrame, keys: list[str], sessions: DataFrame, session_key
     own = samples.filter("t is not null").groupBy(*keys).agg(F.min_by("t", "row").alias("start_s"), F.max_by("t", "row").alias("end_s"))
     rows = own.join(sessions.select(*session_keys, "session_start_s", "session_end_s"), session_keys, "left")
     return rows.select(
-        *keys, "start_s", "end_s", (F.col("end_s") - F.col("start_s")).alias("duration_s"), (F.col("start_s") - F.col("session_start_s")).alias("start_offset_s"), (F.col("end_s") - F.col("session_end_s")).alias("end_offset_s")
+        *keys, "start_s", "end_s", (F.col("end_s") - F.col("start_s")).alias("duration_s"), (
+            F.col("start_s") - F.col("session_start_s")
+        ).alias("start_offset_s"), (F.col("end_s") - F.col("session_end_s")).alias("end_offset_s")
     )
 
 
 def in_session(samples: DataFrame, sessions: DataFrame, keys: list[str]) -> DataFrame:
     """Samples between session_start_s and session_end_s, both included."""
-    return samples.join(sessions, keys).filter(F.col("t").between(F.col("session_start_s"), F.col("session_end_s"))).drop("session_start_s", "session_end_s")
+    return samples.join(sessions, keys).filter(
+        F.col("t").between(F.col("session_start_s"), F.col("session_end_s")),
+    ).drop("session_start_s", "session_end_s")
 
 
 def media_timing(headers: DataFrame, keys: list[str]) -> DataFrame:
     """Timing rows of media files (keys, duration_s): they start with their unit; unreadable ones have none."""
-    return headers.filter("duration_s is not null").select(*keys, F.lit(0.0).alias("start_rel_s"), F.col("duration_s").alias("end_rel_s"), "duration_s")
+    return headers.filter("duration_s is not null").select(
+        *keys,
+        F.lit(0.0).alias("start_rel_s"),
+        F.col("duration_s").alias("end_rel_s"),
+        "duration_s",
+    )
 
 
 def instance_timing(arrays: DataFrame, keys: list[str], rate: float, time_axis: int = 0, instance_axis: int = 2) -> DataFrame:

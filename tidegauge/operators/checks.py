@@ -42,7 +42,10 @@ def id_audit(ids: DataFrame, key: str, pattern: str = r"^p?(\d+)$", separator: s
 
 def resolved(rows: DataFrame, key: str, pattern: str = r"^p?(\d+)$", separator: str = "_") -> DataFrame:
     """Rows with source_entity_id and canonical entity_id; an id of a pair gives two rows, an unknown one a NULL."""
-    return rows.withColumn("source_entity_id", F.col(key)).withColumn("entity_id", F.explode_outer(S.resolve_id(F.col("source_entity_id"), pattern, separator)))
+    return rows.withColumn("source_entity_id", F.col(key)).withColumn(
+        "entity_id",
+        F.explode_outer(S.resolve_id(F.col("source_entity_id"), pattern, separator)),
+    )
 
 
 def reconcile(manifest: DataFrame, inventory: DataFrame, key: str = "path", content: Column | None = None) -> DataFrame:
@@ -118,19 +121,30 @@ def prefix_findings(inventory: DataFrame, base: str, expected: list[str]) -> Dat
     spark = inventory.sparkSession
     found = inventory.select(F.regexp_extract("path", f"^{base.rstrip('/')}/([^/]+)/", 1).alias("prefix")).filter("prefix <> ''").distinct()
     wanted = spark.createDataFrame([(e,) for e in expected], "prefix string")
-    return wanted.join(found, "prefix", "left_anti").withColumn("finding", F.lit("missing")).unionByName(found.join(wanted, "prefix", "left_anti").withColumn("finding", F.lit("unknown")))
+    return wanted.join(found, "prefix", "left_anti").withColumn("finding", F.lit("missing")).unionByName(
+        found.join(wanted, "prefix", "left_anti").withColumn("finding", F.lit("unknown")),
+    )
 
 
 def file_issues(files: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
     """files with `issues`: names of the rules that a file breaks; a missing or empty file breaks only that one."""
-    broken = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules])) if rules else F.array().cast("array<string>")
-    return files.withColumn("issues", F.when(F.col("length").isNull(), F.array(F.lit("missing"))).when(F.col("length") == 0, F.array(F.lit("zero_byte"))).otherwise(broken))
+    broken = F.array_compact(
+        F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(n)) for n, c in rules])
+    ) if rules else F.array().cast("array<string>")
+    return files.withColumn(
+        "issues",
+        F.when(F.col("length").isNull(), F.array(F.lit("missing"))).when(F.col("length") == 0, F.array(F.lit("zero_byte"))).otherwise(broken),
+    )
 
 
 def rollup(issues: DataFrame, keys: list[str]) -> DataFrame:
     """PASS or FAIL of each key with counts."""
     bad = F.sum((F.size("issues") > 0).cast("long"))
-    return issues.groupBy(*keys).agg(F.count(F.lit(1)).alias("files"), bad.alias("with_issues"), F.when(bad > 0, "FAIL").otherwise("PASS").alias("status"))
+    return issues.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("files"),
+        bad.alias("with_issues"),
+        F.when(bad > 0, "FAIL").otherwise("PASS").alias("status"),
+    )
 
 
 def outcome(uploaded: int, failed: int) -> tuple[str, int]:

@@ -22,7 +22,11 @@ def moments(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
 
 def trend(rows: DataFrame, keys: list[str], rate: float, value: str = "value", index: str = "idx") -> DataFrame:
     """Mean, sample deviation and slope per second of a regular signal."""
-    return rows.groupBy(*keys).agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std"), F.regr_slope(F.col(value), F.col(index) / rate).alias("slope"))
+    return rows.groupBy(*keys).agg(
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("std"),
+        F.regr_slope(F.col(value), F.col(index) / rate).alias("slope"),
+    )
 
 
 def heart_rate(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -61,7 +65,14 @@ def hjorth(rows: DataFrame, keys: list[str], order: str, value: str = "value") -
 TOGETHER = 256
 
 
-def per_window(rows: DataFrame, keys: list[str], order: str, names: list[str], kernel: Callable[[np.ndarray], dict[str, float]], value: str = "value") -> DataFrame:
+def per_window(
+    rows: DataFrame,
+    keys: list[str],
+    order: str,
+    names: list[str],
+    kernel: Callable[[np.ndarray], dict[str, float]],
+    value: str = "value",
+) -> DataFrame:
     """kernel of the ordered samples of each window (keys, window_id among them).
 
     A call of Python gets TOGETHER neighbouring windows of a key, each bounded by its width and rate.
@@ -97,7 +108,12 @@ def spectra(rows: DataFrame, keys: list[str], rate: float, order: str = "idx") -
 
     def kernel(x: np.ndarray) -> dict[str, float]:
         mobility, complexity = kernels.hjorth(x)
-        return {**dict(zip(bands, kernels.band_powers(x, rate), strict=True)), "mobility": mobility, "complexity": complexity, "entropy": kernels.approximate_entropy(x)}
+        return {
+            **dict(zip(bands, kernels.band_powers(x, rate), strict=True)),
+            "mobility": mobility,
+            "complexity": complexity,
+            "entropy": kernels.approximate_entropy(x),
+        }
 
     return per_window(rows, keys, order, [*bands, "mobility", "complexity", "entropy"], kernel)
 
@@ -134,7 +150,10 @@ def session_slice(rows: DataFrame, keys: list[str], sessions: DataFrame, rate: f
     own = rows.join(t0, keys).join(sessions, keys)
     a = F.bround((F.col("session_start_s") - F.col("_t0")) * rate).cast("long")
     b = F.bround((F.col("session_end_s") - F.col("_t0")) * rate).cast("long")
-    return own.filter((F.col("idx") >= a) & (F.col("idx") < b)).withColumn("idx", F.col("idx") - F.greatest(a, F.lit(0))).drop("_t0", "session_start_s", "session_end_s")
+    return own.filter((F.col("idx") >= a) & (F.col("idx") < b)).withColumn(
+        "idx",
+        F.col("idx") - F.greatest(a, F.lit(0)),
+    ).drop("_t0", "session_start_s", "session_end_s")
 
 
 def external(files: DataFrame, extractor: Callable, schema: str) -> DataFrame:

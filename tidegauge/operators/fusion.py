@@ -23,21 +23,40 @@ def fuse(flags: DataFrame, keys: list[str], modalities: list[str]) -> DataFrame:
 def channel_majority(flags: DataFrame, keys: list[str]) -> DataFrame:
     """One flag for each key by the majority of its channels' valid flags."""
     q = F.col("quality_flag")
-    n = flags.groupBy(*keys).agg(F.sum((q == "BAD").cast("long")).alias("b"), F.sum((q == "NOISY").cast("long")).alias("m"), F.count(F.when(q.isin(*R.QUALITIES), 1)).alias("n"))
+    n = flags.groupBy(*keys).agg(
+        F.sum((q == "BAD").cast("long")).alias("b"),
+        F.sum((q == "NOISY").cast("long")).alias("m"),
+        F.count(F.when(q.isin(*R.QUALITIES), 1)).alias("n"),
+    )
     return n.select(*keys, R.majority(F.coalesce("b", F.lit(0)), F.coalesce("m", F.lit(0)), F.col("n")).alias("quality_flag"))
 
 
 def trial_report(flags: DataFrame, emotions: DataFrame, modalities: list[str]) -> DataFrame:
     """Trial data: flags (entity_id, trial_id, window_id, modality, quality_flag), emotions (entity_id, trial_id, emotion)."""
     wide = fuse(flags, ["entity_id", "trial_id", "window_id"], modalities).join(emotions, ["entity_id", "trial_id"], "left")
-    return wide.select("entity_id", trial_window_key(F.col("trial_id"), F.col("window_id")).alias("window_id"), *[f"{m}_flag" for m in modalities], F.col("emotion").alias("window_emotion"))
+    return wide.select(
+        "entity_id",
+        trial_window_key(F.col("trial_id"), F.col("window_id")).alias("window_id"),
+        *[f"{m}_flag" for m in modalities],
+        F.col("emotion").alias("window_emotion"),
+    )
 
 
 def session_report(flags: DataFrame, labels: DataFrame, modalities: list[str], width_s: float) -> DataFrame:
     """Session data: the label in force at each window's middle; start and end come from the window id."""
-    wide = fuse(flags, ["entity_id", "window_id"], modalities).withColumn("window_start_s", F.col("window_id") * width_s).withColumn("mid_s", (F.col("window_id") + 0.5) * width_s)
+    wide = fuse(flags, ["entity_id", "window_id"], modalities).withColumn(
+        "window_start_s",
+        F.col("window_id") * width_s,
+    ).withColumn("mid_s", (F.col("window_id") + 0.5) * width_s)
     out = asof.backward(wide, labels, ["entity_id"], "mid_s", "seconds", "emotion", "window_emotion")
-    return out.select("entity_id", "window_id", "window_start_s", (F.col("window_start_s") + width_s).alias("window_end_s"), *[f"{m}_flag" for m in modalities], "window_emotion")
+    return out.select(
+        "entity_id",
+        "window_id",
+        "window_start_s",
+        (F.col("window_start_s") + width_s).alias("window_end_s"),
+        *[f"{m}_flag" for m in modalities],
+        "window_emotion",
+    )
 
 
 def with_trial_label(features: DataFrame, report: DataFrame, trial_shift: int = 0, window_shift: int = -1) -> DataFrame:

@@ -34,7 +34,10 @@ def scale(df: DataFrame, train: DataFrame, columns: list[str]) -> DataFrame:
 def scaled_vectors(vectors: DataFrame, key: str, vector: str, like: DataFrame | None = None) -> DataFrame:
     """(key, pos, z): arrays standardised by position with population moments."""
     long = vectors.select(key, F.posexplode(vector).alias("pos", "x")).withColumn("x", F.col("x").cast("double"))
-    moments = (like.select(F.posexplode(vector).alias("pos", "x")) if like is not None else long).groupBy("pos").agg(F.avg(F.col("x").cast("double")).alias("m"), F.stddev_pop(F.col("x").cast("double")).alias("s"))
+    moments = (like.select(F.posexplode(vector).alias("pos", "x")) if like is not None else long).groupBy("pos").agg(
+        F.avg(F.col("x").cast("double")).alias("m"),
+        F.stddev_pop(F.col("x").cast("double")).alias("s"),
+    )
     return long.join(F.broadcast(moments), "pos").select(key, "pos", ((F.col("x") - F.col("m")) / F.when(F.col("s") > 0, F.col("s")).otherwise(1.0)).alias("z"))  # one row a position
 
 
@@ -66,12 +69,25 @@ def silhouette(points: DataFrame, key: str, x: str, cluster: str) -> DataFrame:
     d = F.sqrt(F.aggregate(F.zip_with("xa", "xb", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
     # points against the other points, by nested loop; for entity means only
     near = a.join(b, F.col("a") != F.col("b")).groupBy("a", "ca", "cb").agg(F.avg(d).alias("d"))
-    own = near.groupBy("a").agg(F.max(F.when(F.col("ca") == F.col("cb"), F.col("d"))).alias("inside"), F.min(F.when(F.col("ca") != F.col("cb"), F.col("d"))).alias("outside"))
-    s = F.when(F.col("inside").isNull() | F.col("outside").isNull(), 0.0).otherwise((F.col("outside") - F.col("inside")) / F.greatest("inside", "outside"))
+    own = near.groupBy("a").agg(
+        F.max(F.when(F.col("ca") == F.col("cb"), F.col("d"))).alias("inside"),
+        F.min(F.when(F.col("ca") != F.col("cb"), F.col("d"))).alias("outside"),
+    )
+    s = F.when(F.col("inside").isNull() | F.col("outside").isNull(), 0.0).otherwise(
+        (F.col("outside") - F.col("inside")) / F.greatest("inside", "outside"),
+    )
     return own.agg(F.avg(s).alias("silhouette"))
 
 
-def kmeans(points: DataFrame, key: str, columns: list[str], ks: range, seed: int = 42, starts: int = 10, good: float = 0.5) -> tuple[DataFrame, int, dict[int, float]]:
+def kmeans(
+    points: DataFrame,
+    key: str,
+    columns: list[str],
+    ks: range,
+    seed: int = 42,
+    starts: int = 10,
+    good: float = 0.5,
+) -> tuple[DataFrame, int, dict[int, float]]:
     """(key, cluster), the chosen k and each k's silhouette: the largest k above `good`, else the best one."""
     from pyspark.ml.clustering import KMeans
 
@@ -116,7 +132,9 @@ def lda(df: DataFrame, group: list[str], label: str, columns: list[str], keep: l
 def entity_means(df: DataFrame, entity: str, modality: str, values: list[str], modalities: list[str]) -> DataFrame:
     """One row for each entity: mean of each value in each modality, 0 where there is none."""
     clean = lambda v: F.when(~F.isnan(F.col(v).cast("double")), F.col(v))
-    return df.groupBy(entity).agg(*[F.coalesce(F.avg(F.when(F.col(modality) == m, clean(v))), F.lit(0.0)).alias(f"{m}_{v}") for m in modalities for v in values])
+    return df.groupBy(entity).agg(
+        *[F.coalesce(F.avg(F.when(F.col(modality) == m, clean(v))), F.lit(0.0)).alias(f"{m}_{v}") for m in modalities for v in values]
+    )
 
 
 def dense_labels(df: DataFrame, label: str, name: str = "state") -> DataFrame:
@@ -129,13 +147,26 @@ def dense_labels(df: DataFrame, label: str, name: str = "state") -> DataFrame:
 def sequences(rows: DataFrame, trial: str, label: str, order: str, modality: str) -> DataFrame:
     """Rows of trials that every modality has and that have one label, with position t, cut to the shortest modality."""
     n = rows.select(modality).distinct().count()
-    good = rows.groupBy(trial).agg(F.count_distinct(modality).alias("m"), F.count_distinct(label).alias("l")).filter((F.col("m") == n) & (F.col("l") == 1)).select(trial)
+    good = rows.groupBy(trial).agg(
+        F.count_distinct(modality).alias("m"),
+        F.count_distinct(label).alias("l"),
+    ).filter((F.col("m") == n) & (F.col("l") == 1)).select(trial)
     own = rows.join(good, trial, "left_semi").withColumn("t", F.row_number().over(Window.partitionBy(trial, modality).orderBy(order)) - 1)
     least = own.groupBy(trial, modality).agg(F.count(F.lit(1)).alias("c")).groupBy(trial).agg(F.min("c").alias("_n"))
     return own.join(least, trial).filter(F.col("t") < F.col("_n")).drop("_n")
 
 
-def hmm(rows: DataFrame, entity: str, sequence: str, order: str, state: str, vectors: list[str], qualities: list[str], part: str = "part", **settings: float) -> DataFrame:
+def hmm(
+    rows: DataFrame,
+    entity: str,
+    sequence: str,
+    order: str,
+    state: str,
+    vectors: list[str],
+    qualities: list[str],
+    part: str = "part",
+    **settings: float,
+) -> DataFrame:
     """(entity, sequence, order, state, predicted) of the test rows: one model for each entity, trained on its train rows.
 
     vectors: array columns, one for each modality; qualities: their scores in [0, 1]. An entity's rows meet in one task.
@@ -146,7 +177,14 @@ def hmm(rows: DataFrame, entity: str, sequence: str, order: str, state: str, vec
         def parts(frame: pd.DataFrame) -> list[tuple]:
             out = []
             for _, s in frame.sort_values([sequence, order]).groupby(sequence):
-                out.append((s, s[state].to_numpy(np.int64), [np.stack(s[v]).astype(np.float64) for v in vectors], [s[q].to_numpy(np.float64) for q in qualities]))
+                out.append(
+                    (
+                        s,
+                        s[state].to_numpy(np.int64),
+                        [np.stack(s[v]).astype(np.float64) for v in vectors],
+                        [s[q].to_numpy(np.float64) for q in qualities],
+                    )
+                )
             return out
 
         train, test = parts(own[own[part] == "train"]), parts(own[own[part] == "test"])

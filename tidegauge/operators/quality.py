@@ -47,7 +47,10 @@ class Windows:
         own = samples if self.pre_start else samples.filter("t >= 0")
         rows = self.assign(own.withColumn("_v", F.lag("value").over(w)).withColumn("_t", F.lag("t").over(w)))
         inside = F.col("_t") >= self.start()
-        return rows.withColumn("diff", F.when(inside, F.col("value") - F.col("_v"))).withColumn("gap", F.when(inside, F.col("t") - F.col("_t"))).withColumnRenamed("_t", "before").drop("_v")
+        return rows.withColumn(
+            "diff",
+            F.when(inside, F.col("value") - F.col("_v")),
+        ).withColumn("gap", F.when(inside, F.col("t") - F.col("_t"))).withColumnRenamed("_t", "before").drop("_v")
 
     def warm_up(self) -> Column:
         return F.lit(not self.pre_start) & ((F.col("window_id") + 1) * self.width < (self.look or 0))
@@ -77,7 +80,10 @@ def _finish(samples: DataFrame, metrics: DataFrame, keys: list[str], windows: Wi
     for name, default in extra:
         dense = dense.withColumn(name, F.coalesce(name, F.lit(default)))
     own = [c for c in dense.columns if c not in _kept(keys)]
-    bounds = [(F.col("window_id") * windows.width / SECOND).alias("window_start_s"), ((F.col("window_id") + 1) * windows.width / SECOND).alias("window_end_s")]
+    bounds = [
+        (F.col("window_id") * windows.width / SECOND).alias("window_start_s"),
+        ((F.col("window_id") + 1) * windows.width / SECOND).alias("window_end_s"),
+    ]
     return dense.select(*_kept(keys), *bounds, *own, *R.flags(rules()))
 
 
@@ -88,10 +94,23 @@ def _completeness(n: str, expected: float) -> Column:
 def _warmed(out: DataFrame, windows: Windows, metric: str) -> DataFrame:
     """Warm-up windows with samples are NOISY and have no problem."""
     warm = windows.warm_up() & F.col(metric).isNotNull()
-    return out.withColumn("quality_flag", F.when(warm, "NOISY").otherwise(F.col("quality_flag"))).withColumn("problem_flag", F.when(warm, "NONE").otherwise(F.col("problem_flag")))
+    return out.withColumn(
+        "quality_flag",
+        F.when(warm, "NOISY").otherwise(F.col("quality_flag")),
+    ).withColumn("problem_flag", F.when(warm, "NONE").otherwise(F.col("problem_flag")))
 
 
-def acc(samples: DataFrame, keys: list[str], windows: Windows, rate: float, limit: float = 128, clip: float = 126, still: float = 0.5, rest: float = 64, off: float = 10) -> DataFrame:
+def acc(
+    samples: DataFrame,
+    keys: list[str],
+    windows: Windows,
+    rate: float,
+    limit: float = 128,
+    clip: float = 126,
+    still: float = 0.5,
+    rest: float = 64,
+    off: float = 10,
+) -> DataFrame:
     """Three axes x, y, z. A sample is clipped if one of its axes is; l_max is the longest run of clipped samples."""
     rows = windows.assign(samples).withColumn("ok", finite(F.col("x")).isNotNull() & finite(F.col("y")).isNotNull() & finite(F.col("z")).isNotNull())
     good = F.col("ok")
@@ -132,7 +151,10 @@ def bvp(samples: DataFrame, keys: list[str], windows: Windows, rate: float, shar
         _n4(F.kurtosis("value") + 3).alias("kurtosis"),
     )
     clipped = runs.longest_true_run(rows.filter("value is not null"), _kept(keys), "t", F.col("value") >= F.col("top"))
-    metrics = metrics.join(clipped, _kept(keys), "left").withColumn("completeness", _completeness("n", round(rate * windows.width / SECOND))).drop("n")
+    metrics = metrics.join(clipped, _kept(keys), "left").withColumn(
+        "completeness",
+        _completeness("n", round(rate * windows.width / SECOND)),
+    ).drop("n")
     rules = lambda: R.bvp(F.col("completeness"), F.coalesce("amplitude", F.lit(0.0)), F.col("std"), F.col("l_max"), finite(F.col("kurtosis")), **limits)
     return _finish(samples, metrics, keys, windows, rules, [("completeness", 0.0), ("l_max", 0)])
 
@@ -192,7 +214,14 @@ def ibi(samples: DataFrame, keys: list[str], windows: Windows, low: float = 270,
         _n4(F.max("gap") / SECOND).alias("g_max_s"),
         _n4(F.min_by(F.col("t") - F.col("before"), "t") / SECOND).alias("gap_before_s"),
     )
-    return _finish(samples, metrics, keys, windows, lambda: R.ibi(F.col("n_ibi"), F.col("out_ratio"), F.col("g_max_s"), **limits), [("n_ibi", 0), ("gap_before_s", 0.0)])
+    return _finish(
+        samples,
+        metrics,
+        keys,
+        windows,
+        lambda: R.ibi(F.col("n_ibi"), F.col("out_ratio"), F.col("g_max_s"), **limits),
+        [("n_ibi", 0), ("gap_before_s", 0.0)],
+    )
 
 
 def attention(samples: DataFrame, keys: list[str], windows: Windows, top: float = 100, rate: float = 1.0, **limits: float) -> DataFrame:
@@ -265,15 +294,38 @@ def eeg(samples: DataFrame, keys: list[str], rate: float, width_s: float, noise:
     metrics = rows.groupBy(*part, "window_id").agg(
         F.count("x").alias("samples"), F.max(F.col("x").isNull()).alias("nan_present"), F.round(F.stddev_pop("x"), 6).alias("std"), _n4(F.max("x") - F.min("x")).alias("peak_to_peak"), F.count(F.lit(1)).alias("_all")
     )
-    metrics = metrics.join(runs.longest_run(rows.filter("x is not null"), [*part, "window_id"], "t", F.col("x"), "max_run"), [*part, "window_id"], "left")
+    metrics = metrics.join(
+        runs.longest_run(rows.filter("x is not null"), [*part, "window_id"], "t", F.col("x"), "max_run"),
+        [*part, "window_id"],
+        "left",
+    )
     metrics = metrics.filter(F.col("_all") == size).drop("_all")
     if noise is None:
         metrics = metrics.withColumn("rNSR", F.lit(None).cast("double"))
     else:
         metrics = metrics.join(noise, [*part, "window_id"], "left")
     metrics = robust_z(metrics, [*keys, "trial"], "rNSR", "rNSR_zscore").withColumn("rNSR_zscore", _n4("rNSR_zscore"))
-    rules = R.eeg(F.col("samples"), size, F.col("nan_present"), F.col("std"), F.col("rNSR"), F.col("rNSR_zscore"), F.coalesce("max_run", F.lit(0)), F.col("peak_to_peak"))
-    return metrics.select(*part, "window_id", "samples", "std", F.coalesce("max_run", F.lit(0)).alias("max_run"), "peak_to_peak", "rNSR", "rNSR_zscore", *R.flags(rules))
+    rules = R.eeg(
+        F.col("samples"),
+        size,
+        F.col("nan_present"),
+        F.col("std"),
+        F.col("rNSR"),
+        F.col("rNSR_zscore"),
+        F.coalesce("max_run", F.lit(0)),
+        F.col("peak_to_peak"),
+    )
+    return metrics.select(
+        *part,
+        "window_id",
+        "samples",
+        "std",
+        F.coalesce("max_run", F.lit(0)).alias("max_run"),
+        "peak_to_peak",
+        "rNSR",
+        "rNSR_zscore",
+        *R.flags(rules),
+    )
 
 
 def robust_z(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
@@ -312,7 +364,16 @@ def audio(samples: DataFrame, keys: list[str], rate: float | str, width_s: float
     snr = _n4(F.when(F.col("_rms") > 1e-12, 20 * F.log10(F.col("_rms") / F.col("_floor"))).otherwise(-120.0))
     at = lambda k: F.round(k * F.col("_size") / F.col("_hz"), 3)
     bounds = [at(F.col("window_id")).alias("window_start_s"), at(F.col("window_id") + 1).alias("window_end_s")]
-    return metrics.join(floor, keys).select(*part, *bounds, "rms_db", "zero_ratio", "clip_ratio", "clip_run_max", *R.flags(rules), snr.alias("snr_db"))
+    return metrics.join(floor, keys).select(
+        *part,
+        *bounds,
+        "rms_db",
+        "zero_ratio",
+        "clip_ratio",
+        "clip_run_max",
+        *R.flags(rules),
+        snr.alias("snr_db"),
+    )
 
 
 def video(
@@ -342,13 +403,36 @@ def video(
     else:
         rows, own = rows.filter(F.col("window_id") < count), None
     windows = Windows(round(width_s * SECOND), count if isinstance(count, int) else 0)
-    metrics = rows.groupBy(*_kept(keys)).agg(F.avg("lap_var").alias("window_blur"), F.avg("clipped_ratio").alias("window_clipping"), F.avg("face").alias("face_detection_rate"))
-    out = _finish(frames, metrics, keys, windows, lambda: R.video(F.col("window_blur"), F.col("window_clipping"), F.col("face_detection_rate"), blur, clipped, face), own=own)
-    return out.withColumns({"window_blur": _n4("window_blur"), "window_clipping": _n6("window_clipping"), "face_detection_rate": _n4("face_detection_rate")})
+    metrics = rows.groupBy(*_kept(keys)).agg(
+        F.avg("lap_var").alias("window_blur"),
+        F.avg("clipped_ratio").alias("window_clipping"),
+        F.avg("face").alias("face_detection_rate"),
+    )
+    out = _finish(
+        frames,
+        metrics,
+        keys,
+        windows,
+        lambda: R.video(F.col("window_blur"), F.col("window_clipping"), F.col("face_detection_rate"), blur, clipped, face),
+        own=own,
+    )
+    return out.withColumns(
+        {"window_blur": _n4("window_blur"), "window_clipping": _n6("window_clipping"), "face_detection_rate": _n4("face_detection_rate")},
+    )
 
 
 def summary(flags: DataFrame, keys: list[str]) -> DataFrame:
     """Windows by quality: counts and percentages; other flags are ignored and empty groups dropped."""
     n = {q: F.sum((F.col("quality_flag") == q).cast("long")) for q in R.QUALITIES}
-    out = flags.groupBy(*keys).agg(*[v.alias(q.lower()) for q, v in n.items()]).withColumn("total_windows", F.col("good") + F.col("noisy") + F.col("bad"))
-    return out.filter("total_windows > 0").select(*keys, "total_windows", "good", "noisy", "bad", *[F.round(F.col(q.lower()) * 100 / F.col("total_windows"), 2).alias(f"{q.lower()}_pct") for q in R.QUALITIES])
+    out = flags.groupBy(*keys).agg(*[v.alias(q.lower()) for q, v in n.items()]).withColumn(
+        "total_windows",
+        F.col("good") + F.col("noisy") + F.col("bad"),
+    )
+    return out.filter("total_windows > 0").select(
+        *keys,
+        "total_windows",
+        "good",
+        "noisy",
+        "bad",
+        *[F.round(F.col(q.lower()) * 100 / F.col("total_windows"), 2).alias(f"{q.lower()}_pct") for q in R.QUALITIES],
+    )

@@ -14,9 +14,16 @@ def differences(df: DataFrame, keys: list[str], order: str, value: str, name: st
 def islands(df: DataFrame, keys: list[str], order: str, value: Column) -> DataFrame:
     """One row for each run of equal values: keys, value, run_start, run_length."""
     w = Window.partitionBy(*keys).orderBy(order)
-    marked = df.withColumn("_value", value).withColumn("_new", (~F.col("_value").eqNullSafe(F.lag("_value").over(w)) | (F.row_number().over(w) == 1)).cast("int"))
+    marked = df.withColumn("_value", value).withColumn(
+        "_new",
+        (~F.col("_value").eqNullSafe(F.lag("_value").over(w)) | (F.row_number().over(w) == 1)).cast("int"),
+    )
     marked = marked.withColumn("_island", F.sum("_new").over(w))
-    return marked.groupBy(*keys, "_island").agg(F.first("_value").alias("value"), F.min(order).alias("run_start"), F.count(F.lit(1)).alias("run_length")).drop("_island")
+    return marked.groupBy(*keys, "_island").agg(
+        F.first("_value").alias("value"),
+        F.min(order).alias("run_start"),
+        F.count(F.lit(1)).alias("run_length"),
+    ).drop("_island")
 
 
 def longest_run(df: DataFrame, keys: list[str], order: str, value: Column, name: str = "run_max") -> DataFrame:

@@ -19,7 +19,11 @@ def bad_rate(flags: DataFrame, keys: list[str]) -> DataFrame:
 def macro_rate(flags: DataFrame, entity: str, channel: str) -> DataFrame:
     """Mean and population deviation over entities of each channel's rate."""
     each = bad_rate(flags, [entity, channel])
-    return each.groupBy(channel).agg(F.avg("bad_rate").alias("mean_rate"), F.stddev_pop("bad_rate").alias("std_rate"), F.count(F.lit(1)).alias("n_entities"))
+    return each.groupBy(channel).agg(
+        F.avg("bad_rate").alias("mean_rate"),
+        F.stddev_pop("bad_rate").alias("std_rate"),
+        F.count(F.lit(1)).alias("n_entities"),
+    )
 
 
 #: Bins of a pass, and values that the driver may sort.
@@ -46,7 +50,11 @@ def percentiles(df: DataFrame, value: str, at: tuple[float, ...] = (0.5, 0.75, 0
                 return sorted(r[0] for r in inside.collect())[k - below]
             step = (hi - lo) / BINS
             bin_ = F.least(F.floor((F.col("v") - lo) / step), F.lit(BINS - 1)) if step > 0 else (F.col("v") > lo).cast("long")
-            for r in inside.groupBy(bin_.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).orderBy("b").collect():
+            for r in inside.groupBy(bin_.alias("b")).agg(
+                F.count(F.lit(1)).alias("n"),
+                F.min("v").alias("lo"),
+                F.max("v").alias("hi"),
+            ).orderBy("b").collect():
                 if below + r.n > k:
                     lo, hi, n = r.lo, r.hi, r.n
                     break
@@ -98,7 +106,15 @@ def class_scores(table: DataFrame, truth: str, guess: str) -> DataFrame:
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     own = rows.join(columns, "class").withColumn("p", ratio(F.col("tp"), F.col("predicted"))).withColumn("r", ratio(F.col("tp"), F.col("support")))
     f1 = F.when(F.col("p") + F.col("r") > 0, 2 * F.col("p") * F.col("r") / (F.col("p") + F.col("r"))).otherwise(0.0)
-    return own.select("class", "tp", "support", "predicted", F.round("p", 4).alias("precision"), F.round("r", 4).alias("recall"), F.round(f1, 4).alias("f1"))
+    return own.select(
+        "class",
+        "tp",
+        "support",
+        "predicted",
+        F.round("p", 4).alias("precision"),
+        F.round("r", 4).alias("recall"),
+        F.round(f1, 4).alias("f1"),
+    )
 
 
 def transitions(states: DataFrame, keys: list[str], order: str, state: str, classes: DataFrame, smoothing: float = 1.0) -> DataFrame:
@@ -121,9 +137,18 @@ def weighted_moments(vectors: DataFrame, keys: list[str], vector: str, weight: s
     """Weighted mean and covariance of each key, as rows (i, j, mean_i, mean_j, cov)."""
     x = F.transform(F.slice(F.col(vector), 1, dims), lambda v: v.cast("double"))
     i = F.explode(F.sequence(F.lit(0), F.lit(dims - 1)))
-    rows = vectors.select(*keys, F.col(weight).cast("double").alias("w"), x.alias("x")).withColumn("i", i).withColumn("j", F.explode(F.sequence(F.col("i"), F.lit(dims - 1))))
+    rows = vectors.select(
+        *keys,
+        F.col(weight).cast("double").alias("w"),
+        x.alias("x"),
+    ).withColumn("i", i).withColumn("j", F.explode(F.sequence(F.col("i"), F.lit(dims - 1))))
     xi, xj, w = F.col("x")[F.col("i")], F.col("x")[F.col("j")], F.col("w")
-    sums = rows.groupBy(*keys, "i", "j").agg(F.sum(w).alias("sw"), F.sum(w * xi).alias("si"), F.sum(w * xj).alias("sj"), F.sum(w * xi * xj).alias("sij"))
+    sums = rows.groupBy(*keys, "i", "j").agg(
+        F.sum(w).alias("sw"),
+        F.sum(w * xi).alias("si"),
+        F.sum(w * xj).alias("sj"),
+        F.sum(w * xi * xj).alias("sij"),
+    )
     mi, mj = F.col("si") / F.col("sw"), F.col("sj") / F.col("sw")
     return sums.select(*keys, "i", "j", mi.alias("mean_i"), mj.alias("mean_j"), (F.col("sij") / F.col("sw") - mi * mj).alias("cov"))
 
@@ -156,20 +181,37 @@ def stratified_split(df: DataFrame, label: str, key: str, share: float, seed: in
 
 def spread(df: DataFrame, values: list[str], keys: list[str] | None = None) -> DataFrame:
     """mean, population deviation, smallest and largest of each value."""
-    return df.groupBy(*(keys or [])).agg(*[f(v).alias(f"{v}_{n}") for v in values for n, f in (("mean", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))])
+    return df.groupBy(*(keys or [])).agg(
+        *[f(v).alias(f"{v}_{n}") for v in values for n, f in (("mean", F.avg), ("std", F.stddev_pop), ("min", F.min), ("max", F.max))]
+    )
 
 
 def rate_range(flags: DataFrame, keys: list[str]) -> DataFrame:
     """Smallest, median and largest share (in per cent, to 2 places) of windows that aren't GOOD over the keys, and their number."""
     each = bad_rate(flags, keys).select(F.round(F.col("bad_rate") * 100, 2).alias("_r"))
-    return each.agg(F.min("_r").alias("min_rate"), F.percentile("_r", F.lit(0.5)).alias("median_rate"), F.max("_r").alias("max_rate"), F.count(F.lit(1)).alias("n"))
+    return each.agg(
+        F.min("_r").alias("min_rate"),
+        F.percentile("_r", F.lit(0.5)).alias("median_rate"),
+        F.max("_r").alias("max_rate"),
+        F.count(F.lit(1)).alias("n"),
+    )
 
 
 def eeg_report(flags: DataFrame, entity: str = "entity_id", channel: str = "channel") -> dict[str, DataFrame]:
     """Of EEG flags: percentiles of rNSR and of its z-score, shares of windows that aren't GOOD by entity and, averaged over entities, by channel."""
     numbers = lambda c, places: percentiles(flags.filter(F.col(c).isNotNull() & ~F.isnan(c)), c).select(*[F.round(f"p{p}", places).alias(f"p{p}") for p in (50, 75, 90, 95, 99)])
-    each = bad_rate(flags, [entity]).select(entity, F.col("n").alias("total_windows"), F.col("bad").alias("non_good_windows"), F.round(F.col("bad_rate") * 100, 2).alias("bad_rate_pct"))
-    macro = macro_rate(flags, entity, channel).select(channel, "n_entities", F.round(F.col("mean_rate") * 100, 2).alias("bad_rate_pct"), F.round(F.col("std_rate") * 100, 2).alias("bad_rate_std"))
+    each = bad_rate(flags, [entity]).select(
+        entity,
+        F.col("n").alias("total_windows"),
+        F.col("bad").alias("non_good_windows"),
+        F.round(F.col("bad_rate") * 100, 2).alias("bad_rate_pct"),
+    )
+    macro = macro_rate(flags, entity, channel).select(
+        channel,
+        "n_entities",
+        F.round(F.col("mean_rate") * 100, 2).alias("bad_rate_pct"),
+        F.round(F.col("std_rate") * 100, 2).alias("bad_rate_std"),
+    )
     return {"rNSR": numbers("rNSR", 6), "rNSR_zscore": numbers("rNSR_zscore", 4), "entities": each, "channels": macro}
 
 

@@ -66,7 +66,10 @@ def by_count(df: DataFrame, keys: list[str], index: Column, size: int | Column)
 def spine(entities: DataFrame, count: int | Column, base: int = 0) -> DataFrame:
     """Every entity with every window id, so that empty windows have rows."""
     last = (F.lit(count) if isinstance(count, int) else count) - 1
-    return entities.withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long")))).withColumn("window_id", F.col("_k") + base).drop("_k")
+    return entities.withColumn(
+        "_k",
+        F.explode(F.sequence(F.lit(0).cast("long"), last.cast("long"))),
+    ).withColumn("window_id", F.col("_k") + base).drop("_k")
 
 
 def expected_windows(duration_s: Column, width_s: float) -> Column:
@@ -81,4 +84,7 @@ def trim(flags: DataFrame, expected: Column) -> DataFrame:
 def count_check(flags: DataFrame, keys: list[str], expected: Column) -> DataFrame:
     """Windows found against windows expected: ok, trimmed (too many) or too_few."""
     found = flags.groupBy(*keys).agg(F.count_distinct("window_id").alias("n_windows"), F.max(expected).alias("expected"))
-    return found.withColumn("outcome", F.when(F.col("n_windows") == F.col("expected"), "ok").when(F.col("n_windows") > F.col("expected"), "trimmed").otherwise("too_few"))
+    return found.withColumn(
+        "outcome",
+        F.when(F.col("n_windows") == F.col("expected"), "ok").when(F.col("n_windows") > F.col("expected"), "trimmed").otherwise("too_few"),
+    )

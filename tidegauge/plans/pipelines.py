@@ -85,14 +85,26 @@ def signals_from_files(spark: SparkSession, root: str, sessions: DataFrame, unit
 def session_audio(samples: DataFrame, sessions: DataFrame, width_s: float = 1.0, skipped: DataFrame | None = None, **limits: float) -> DataFrame:
     """Flags of audio cut to the session. samples: entity_id, file_id, idx, value, rate. sessions: entity_id, duration_s."""
     rows = samples if skipped is None else samples.join(skipped.filter("signal_type = 'audio'").select("entity_id"), "entity_id", "left_anti")
-    rows = rows.join(sessions.select("entity_id", "duration_s"), "entity_id").filter(F.col("idx") < F.bround(F.col("duration_s") * F.col("rate"))).drop("duration_s")
+    rows = rows.join(sessions.select("entity_id", "duration_s"), "entity_id").filter(
+        F.col("idx") < F.bround(F.col("duration_s") * F.col("rate")),
+    ).drop("duration_s")
     return quality.audio(rows, ["entity_id", "file_id"], "rate", width_s, **limits)
 
 
-def session_video(frames: DataFrame, sessions: DataFrame, fps: float, width_s: float = 1.0, skipped: DataFrame | None = None, **limits: tuple) -> DataFrame:
+def session_video(
+    frames: DataFrame,
+    sessions: DataFrame,
+    fps: float,
+    width_s: float = 1.0,
+    skipped: DataFrame | None = None,
+    **limits: tuple,
+) -> DataFrame:
     """Flags of video for as many windows as the session has. frames: entity_id, frame, lap_var, clipped_ratio, face."""
     rows = frames if skipped is None else frames.join(skipped.filter("signal_type = 'video'").select("entity_id"), "entity_id", "left_anti")
-    counts = sessions.join(rows.select("entity_id").distinct(), "entity_id", "left_semi").select("entity_id", timewin.expected_windows(F.col("duration_s"), width_s).alias("count"))
+    counts = sessions.join(rows.select("entity_id").distinct(), "entity_id", "left_semi").select(
+        "entity_id",
+        timewin.expected_windows(F.col("duration_s"), width_s).alias("count"),
+    )
     return quality.video(rows, ID, fps, width_s, counts, **limits)
 
 
@@ -105,7 +117,11 @@ def trial_flags(
     for name in [s for s in ("eeg", "audio", "video") if s in samples and (only is None or s in only)]:
         rows, trial = samples[name], "trial" if name == "eeg" else "trial_id"
         if skipped is not None:
-            rows = rows.join(skipped.filter(F.col("signal_type") == name).select("entity_id", F.col("unit_id").alias(trial)), ["entity_id", trial], "left_anti")
+            rows = rows.join(
+                skipped.filter(F.col("signal_type") == name).select("entity_id", F.col("unit_id").alias(trial)),
+                ["entity_id", trial],
+                "left_anti",
+            )
         if name == "eeg":
             out[name] = quality.eeg(rows, ID, eeg_rate, width_s, eeg_noise)
         elif name == "audio":
@@ -167,8 +183,22 @@ def sequence_labels(rows: DataFrame, vectors: list[str], qualities: list[str], s
     trials = rows.groupBy("entity_id", "trial_id").agg(F.min("state").alias("label"))
     out = None
     for seed in seeds:
-        part = stats.stratified_split(trials.withColumn("stratum", F.struct("entity_id", "label")), "stratum", "trial_id", share, seed).select("entity_id", "trial_id", "part")
-        found = ml.hmm(rows.join(part, ["entity_id", "trial_id"]), "entity_id", "trial_id", "t", "state", vectors, qualities).withColumn("seed", F.lit(seed))
+        part = stats.stratified_split(
+            trials.withColumn("stratum", F.struct("entity_id", "label")),
+            "stratum",
+            "trial_id",
+            share,
+            seed,
+        ).select("entity_id", "trial_id", "part")
+        found = ml.hmm(
+            rows.join(part, ["entity_id", "trial_id"]),
+            "entity_id",
+            "trial_id",
+            "t",
+            "state",
+            vectors,
+            qualities,
+        ).withColumn("seed", F.lit(seed))
         out = found if out is None else out.unionByName(found)
     scores = out.groupBy("entity_id", "seed").agg(F.avg((F.col("state") == F.col("predicted")).cast("double")).alias("accuracy"))
     return out, stats.spread(scores, ["accuracy"], ["entity_id"])

@@ -162,7 +162,9 @@ def mat_signals(files: DataFrame) -> DataFrame:
                 x = x.reshape(*x.shape, 1) if x.ndim == 2 else x
                 for instance in range(x.shape[2]):
                     for channel in range(x.shape[1]):
-                        yield pd.DataFrame({"path": path, "instance": instance, "channel": channel, "t": np.arange(len(x)), "value": x[:, channel, instance]})
+                        yield pd.DataFrame(
+                            {"path": path, "instance": instance, "channel": channel, "t": np.arange(len(x)), "value": x[:, channel, instance]},
+                        )
 
     return files.select("path", "content").mapInPandas(run, "path string, instance long, channel long, t long, value double")
 

@@ -35,7 +35,13 @@ def csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """path, length, modificationTime of files, with entity and modality of their path; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
-    return files.select("path", "length", "modificationTime", path_part(F.col("path"), "entity").alias("entity_id"), path_part(F.col("path"), "modality").alias("modality"))
+    return files.select(
+        "path",
+        "length",
+        "modificationTime",
+        path_part(F.col("path"), "entity").alias("entity_id"),
+        path_part(F.col("path"), "modality").alias("modality"),
+    )
 
 
 def entities(files: DataFrame) -> DataFrame:
@@ -47,7 +53,14 @@ def top_folders(files: DataFrame, root: str) -> DataFrame:
     return files.select(F.regexp_extract("path", f"{root.rstrip('/')}/([^/]+)/", 1).alias("entity_id")).filter("entity_id <> ''").distinct()
 
 
-def signal(rows: DataFrame, keys: list[str], values: list[str], time: str = "timestamp", unit_per_s: float = 1000.0, start: Column | None = None) -> DataFrame:
+def signal(
+    rows: DataFrame,
+    keys: list[str],
+    values: list[str],
+    time: str = "timestamp",
+    unit_per_s: float = 1000.0,
+    start: Column | None = None,
+) -> DataFrame:
     """Raw rows -> keys, t (microseconds since `start`, in seconds, or since the first time), t_s (the same in seconds), values.
 
     Text becomes numbers or NULL; rows without a time go.
@@ -56,10 +69,23 @@ def signal(rows: DataFrame, keys: list[str], values: list[str], time: str = "tim
     own = rows.withColumn("_ts", ts / unit_per_s).withColumn("_line", F.monotonically_increasing_id()).filter("_ts is not null and not isnan(_ts)")
     first = start if start is not None else F.first("_ts").over(Window.partitionBy(*keys).orderBy("_line"))
     rel = F.col("_ts") - first
-    return own.select(*keys, F.round(rel * 1_000_000).cast("long").alias("t"), rel.alias("t_s"), *[F.col(v).try_cast("double").alias(v) for v in values])
-
-
-def signal_files(spark: SparkSession, root: str, name: str, values: list[str], sessions: DataFrame, unit_per_s: float = 1000.0, time: str = "timestamp") -> DataFrame:
+    return own.select(
+        *keys,
+        F.round(rel * 1_000_000).cast("long").alias("t"),
+        rel.alias("t_s"),
+        *[F.col(v).try_cast("double").alias(v) for v in values],
+    )
+
+
+def signal_files(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    values: list[str],
+    sessions: DataFrame,
+    unit_per_s: float = 1000.0,
+    time: str = "timestamp",
+) -> DataFrame:
     """All CSV files of a name below a root, entity=... in their path -> entity_id, t, t_s since the session's start, values.
 
     sessions: entity_id, session_start_s. Entities without a session go; files without one of the columns give no rows.
@@ -68,13 +94,19 @@ def signal_files(spark: SparkSession, root: str, name: str, values: list[str], s
     # a file whose header lacks a column, or has the columns in another order, is read by its own header's names
     raw = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", name).text(root)
     raw = raw.select(path_part(F.col("_metadata.file_path"), "entity").alias("entity_id"), F.col("_metadata.file_path").alias("_file"), "value")
-    raw = raw.withColumn("_cells", F.transform(F.split(F.regexp_replace("value", "\r$", ""), ","), lambda x: F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', ""))))
+    raw = raw.withColumn(
+        "_cells",
+        F.transform(F.split(F.regexp_replace("value", "\r$", ""), ","), lambda x: F.trim(F.regexp_replace(x, '^\\s*"|"\\s*$', ""))),
+    )
     header = raw.filter(F.array_contains("_cells", time)).groupBy("_file").agg(F.first("_cells").alias("_names"))
     rows = raw.join(header, "_file").filter("_cells <> _names")
     at = {c: F.array_position("_names", c).cast("int") for c in columns}
     for c in columns:
         rows = rows.filter(at[c] > 0)
-    rows = rows.select("entity_id", *[F.try_element_at("_cells", at[c]).alias(c) for c in columns]).join(sessions.select("entity_id", "session_start_s"), "entity_id")
+    rows = rows.select(
+        "entity_id",
+        *[F.try_element_at("_cells", at[c]).alias(c) for c in columns],
+    ).join(sessions.select("entity_id", "session_start_s"), "entity_id")
     return signal(rows, ["entity_id"], values, time, unit_per_s, F.col("session_start_s"))
 
 
@@ -88,7 +120,11 @@ def regular(samples: DataFrame, keys: list[str], t: str = "t") -> DataFrame:
 
 def subjects(spark: SparkSession, path: str) -> DataFrame:
     own = csv(spark, path, SUBJECTS)
-    return own.select(F.format_string("e%02d", "pid").alias("entity_id"), (F.col("startTime") / 1000).alias("session_start_s"), (F.col("endTime") / 1000).alias("session_end_s"))
+    return own.select(
+        F.format_string("e%02d", "pid").alias("entity_id"),
+        (F.col("startTime") / 1000).alias("session_start_s"),
+        (F.col("endTime") / 1000).alias("session_end_s"),
+    )
 
 
 def annotation_files(files: DataFrame) -> DataFrame:

@@ -26,7 +26,15 @@ def route(manifest: DataFrame, files_path: str, aux_path: str, fmt: str = "parqu
     """Manifest rows into the two metadata tables, with one time of ingest for all."""
     now = F.lit(datetime.now(UTC))
     times = [now.alias("ingestion_time"), now.alias("ingest_ts")]
-    files = manifest.filter("table = 'files'").select(F.expr("uuid()").alias("file_id"), "dataset", "entity_id", "modality", F.col("s3_path").alias("file_path"), "file_name", *times)
+    files = manifest.filter("table = 'files'").select(
+        F.expr("uuid()").alias("file_id"),
+        "dataset",
+        "entity_id",
+        "modality",
+        F.col("s3_path").alias("file_path"),
+        "file_name",
+        *times,
+    )
     aux = manifest.filter("table = 'aux'").select(
         F.expr("uuid()").alias("record_id"), "dataset", F.col("modality").alias("category"), F.col("s3_path").alias("source_path"), "file_name", F.col("entity_id").alias("related_entity"), *times
     )
@@ -50,5 +58,7 @@ def report(findings: DataFrame, path: str, stage: str, status: str) -> str:
     """
     place = f"{path.rstrip('/')}/{stage}_{status}_{datetime.now(UTC):%Y%m%dT%H%M%S}"
     own = findings.agg(F.collect_list(F.struct("*")).alias("findings"))
-    own.select(F.to_json(F.struct(F.lit(stage).alias("stage"), F.lit(status).alias("status"), "findings")).alias("value")).coalesce(1).write.mode("overwrite").text(place)
+    own.select(
+        F.to_json(F.struct(F.lit(stage).alias("stage"), F.lit(status).alias("status"), "findings")).alias("value"),
+    ).coalesce(1).write.mode("overwrite").text(place)
     return place
