@@ -39,8 +39,8 @@ SHARES = 64
 WORDS_HELD, TOGETHER = 800_000, 1000
 #: Bytes of texts whose new chunks are tokenised together.
 BATCH_BYTES = 8 << 20
-#: Letters below the combining marks, then perhaps punctuation: one or two of the vocabulary's words.
-PLAIN = re.compile("[A-Za-z\u00e0-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+([.,;:!?|]+)?")
+#: Lines of letters below the combining marks, then perhaps punctuation: one or two of the vocabulary's words. Other lines give two empty parts.
+PLAIN = re.compile("^([A-Za-z\u00e0-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+)([.,;:!?|]+)?$|^.*$", re.M)
 
 _tokenizers: dict[str, ChunkTable] = {}
 
@@ -58,26 +58,30 @@ def token_table(path: str) -> ChunkTable:
         for token, k in t.get_vocab().items():
             last[k] = token.endswith("</w>")
 
+        def many(words: list[str]) -> dict[str, bytes]:
+            """The ids of words of one kind of characters, which go to the tokenizer many at a time."""
+            out = {}
+            for at in range(0, len(words), TOGETHER):
+                own = words[at : at + TOGETHER]
+                ids = np.array(t.encode(" ".join(own), add_special_tokens=False).ids, "<u4")
+                ends = (4 * (np.flatnonzero(last[ids]) + 1)).tolist()
+                flat = ids.tobytes()
+                out.update(zip(own, [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
+            return out
+
         def segment(chunks: list[str]) -> list[bytes]:
-            # letters and what stands behind them: one or two words each, which go to the tokenizer many at a time
-            out: list[bytes] = [b""] * len(chunks)
-            plain, words, rest = [], [], []
-            for k, c in enumerate(chunks):
-                if m := PLAIN.fullmatch(c):
-                    plain.append(k)
-                    words.append(2 if m[1] else 1)
-                else:
-                    rest.append(k)
+            # letters and what stands behind them are words of their own, and case is dropped
+            parts = PLAIN.findall("\n".join(chunks))
+            known = _tokenizers[path]
+            words = {w.lower() for w, _ in parts}
+            words.update(p for _, p in parts)
+            own = many([w for w in words if w and w not in known])
+            own.update((w, known[w]) for w in words if w not in own and w)
+            own[""] = b""
+            out = [own[w.lower()] + own[p] for w, p in parts]
+            rest = [k for k, (w, _) in enumerate(parts) if not w]
             for k, e in zip(rest, t.encode_batch_fast([chunks[k] for k in rest], add_special_tokens=False), strict=True):
                 out[k] = np.array(e.ids, "<u4").tobytes()
-            for at in range(0, len(plain), TOGETHER):
-                own = plain[at : at + TOGETHER]
-                ids = np.array(t.encode(" ".join([chunks[k] for k in own]), add_special_tokens=False).ids, "<u4")
-                ends = (4 * (np.flatnonzero(last[ids]) + 1))[np.cumsum(words[at : at + TOGETHER]) - 1].tolist()
-                flat, start = ids.tobytes(), 0
-                for k, end in zip(own, ends, strict=True):
-                    out[k] = flat[start:end]
-                    start = end
             return out
 
         _tokenizers[path] = ChunkTable(segment, WORDS_HELD)
