@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegauge.functions import scalars as S
-from tidegauge.operators import annotate, audit, checks, features, fusion, ml, stats, timewin
+from tidegauge.operators import annotate, audit, checks, features, fusion, ml, quality, stats, timewin
 from tidegauge.plans import pipelines
 from tidegauge.plans.queries import DAY, DAYS, FLAG_SQL, KEYS, E, query, samples, sql_runs, table
 
@@ -318,9 +318,9 @@ def feature_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of half-second windows with the quality of the second that they start in; a day is a second."""
     rows = timewin.tumbling(samples(spark, sf_dir, "event_type"), F.col("t"), DAY, DAYS)
     first = rows.groupBy("user_id", "window_id").agg(F.min_by(F.struct(FLAG.alias("f"), "event_type"), "t").alias("x"))
-    quality = first.select("user_id", (F.col("window_id") + 0.5).alias("window_start_s"), F.col("x.f").alias("flag"), F.col("x.event_type").alias("window_emotion"))
+    flags = first.select("user_id", (F.col("window_id") + 0.5).alias("window_start_s"), F.col("x.f").alias("flag"), F.col("x.event_type").alias("window_emotion"))
     own = rows.select("user_id").distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(61)))).withColumn("window_start_s", F.col("part") * 0.5 + 0.25)
-    return fusion.with_quality(own, quality, KEYS, "flag", S.flag_score(F.col("_flag")))
+    return fusion.with_quality(own, flags, KEYS, "flag", S.flag_score(F.col("_flag")))
 
 
 @query(f"""WITH {E}, x AS (SELECT user_id AS entity_id, k AS part, (k * {DAY} * 2)::DOUBLE / 1000000 AS s FROM (SELECT DISTINCT user_id FROM e), range(15) r(k)), l AS (SELECT user_id AS entity_id, t / 1000000 AS s, event_type AS v FROM e WHERE event_type <> 'view'),
@@ -404,6 +404,23 @@ def trimmed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timewin.trim(rows.withColumn("expected", timewin.expected_windows((10 + F.col("user_id") % 12) * 0.3, 0.3)), F.col("expected"))
 
 
+EEG_X = "CASE user_id % 6 WHEN 0 THEN value * 8 WHEN 1 THEN floor(value / 40) WHEN 2 THEN value / 300 WHEN 3 THEN CASE WHEN c % 19 > 0 THEN value END ELSE value END"
+
+
+@query(f"""WITH {E}, a AS (SELECT user_id, c, {EEG_X} AS x, row_number() OVER (PARTITION BY user_id ORDER BY t) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM e), b AS (SELECT *, i // 16 AS window_id FROM a WHERE (i // 16 + 1) * 16 <= n),
+    l AS (SELECT user_id, window_id, max(run_length) AS max_run FROM {sql_runs("b WHERE x IS NOT NULL", "user_id, window_id", "i", "x")} GROUP BY ALL),
+    m AS (SELECT user_id, window_id, count(x) AS samples, bool_or(x IS NULL) AS gone, round(stddev_pop(x), 6) AS std, round(max(x) - min(x), 4) AS peak_to_peak FROM b GROUP BY ALL)
+    SELECT user_id % 7 AS entity_id, user_id AS trial, 0 AS channel, window_id, samples, std, max_run, peak_to_peak, CASE WHEN samples < 13 OR gone OR std < 0.5 OR max_run >= 5 OR peak_to_peak > 500 THEN 'BAD' ELSE 'GOOD' END AS quality_flag,
+      CASE WHEN gone OR std < 0.5 THEN 'FLAT' WHEN max_run >= 5 THEN 'CLIPPING' WHEN samples < 13 OR peak_to_peak > 500 THEN 'ARTIFACT' ELSE 'NONE' END AS problem_flag FROM m JOIN l USING (user_id, window_id)""")
+def eeg_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EEG flags without noise ratios; some samples are missing, flat, repeated or far apart."""
+    v, u = F.col("value"), F.col("user_id")
+    x = F.when(u % 6 == 0, v * 8).when(u % 6 == 1, F.floor(v / 40).cast("double")).when(u % 6 == 2, v / 300).when(u % 6 == 3, F.when(cents() % 19 > 0, v)).otherwise(v)
+    i = F.row_number().over(Window.partitionBy("user_id").orderBy("t")) - 1
+    rows = samples(spark, sf_dir).select((u % 7).alias("entity_id"), u.alias("trial"), F.lit(0).alias("channel"), i.alias("t"), x.alias("value"))
+    return quality.eeg(rows, ["entity_id"], 16.0, 1.0).drop("rNSR", "rNSR_zscore")
+
+
 # -- statistics, models ---------------------------------------------------------------------------
 
 RATES = f"WITH r AS (SELECT user_id, round(avg(({FLAG_SQL} <> 'GOOD')::INT) * 100, 2) AS r, avg(({FLAG_SQL} <> 'GOOD')::INT) AS rate FROM events GROUP BY 1)"
