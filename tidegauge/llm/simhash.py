@@ -19,7 +19,9 @@ exact Jaccard similarity of `similarity` or more and their fingerprints lie in o
 sets makes a share of arccos(c) / pi of the bits differ: 0.15 for sets of similarity 0.8. One block's keys meet
 there with probability 0.71, five blocks' with 0.998 (simulated), beside the paths over further copies; and
 VERIFIED_BITS of 320 is three standard deviations above the differing bits that are expected. Texts of one set
-are one. The sets of a component meet in one task, or those of two of its chunks if it has over CHUNK bytes.
+are one. The sets of a large component are first held against one of them, where they lie, which settles a group of
+copies of one text. What isn't settled of a component meets in one task, or, if it has over CHUNK bytes, two of its
+chunks do.
 
 Keys travel packed, a row for each batch of fingerprints and shard. Shards follow the number of fingerprints.
 Only distinct fingerprints get keys. Inside a bucket, a link is reported only if it connects two parts
@@ -51,6 +53,8 @@ WIDTHS = (22, 21, 21)
 GENERATOR = 0xC75
 #: Blocks, and bits that may differ, where similarity is verified.
 VERIFIED_BLOCKS, VERIFIED_BITS = 5, 70
+#: Sets of a component from which on they are first held against a pivot where they lie.
+MANY = 256
 #: Bytes of the sets that are verified in one task, but for a pair of chunks; least shards of keys, and keys of one.
 CHUNK, SHARDS, SHARD_KEYS = 16 << 20, 64, 1 << 20
 #: Buckets up to this size are compared all at once, larger ones by pivots.
@@ -363,6 +367,40 @@ def link_sets(sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]
     return out
 
 
+def against_pivots(sets: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """(links, sets that are still to be compared) of saved sets (root, digest, hashes), after one pivot for each large component.
+
+    A component of MANY sets or more has the set of its smallest digest as pivot, and every set is held against it where
+    it lies. Distances 1 - similarity obey the triangle inequality: a set that isn't linked to the pivot can be linked
+    to one that is only if its similarity to the pivot is 2 * similarity - 1 or more. Without such a set the linked ones
+    are done, and only the others are compared among themselves.
+    """
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for own, pivot in zip(b.column(2).to_pylist(), b.column(4).to_pylist(), strict=True):
+                x, y = np.frombuffer(own, np.uint64), np.frombuffer(pivot, np.uint64)
+                both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum()) if len(x) and len(y) else 0
+                out.append(both / max(len(x) + len(y) - both, 1))
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(out, pa.float64())], ["root", "digest", "hashes", "pivot", "s"])
+
+    large = common.saved(sets.groupBy("root").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= MANY).select("root"), "large")
+    if large.isEmpty():
+        return sets.select(F.col("digest").alias("a"), F.col("digest").alias("b")).limit(0), sets
+    pivots = sets.join(large, "root", "left_semi").groupBy("root").agg(F.min(F.struct("digest", "hashes")).alias("p"))
+    pivots = common.saved(pivots.select("root", F.col("p.digest").alias("pivot"), F.col("p.hashes").alias("held")), "pivots")
+    joined = sets.join(pivots, "root").select("root", "digest", "hashes", "pivot", "held")
+    judged = common.saved(joined.mapInArrow(judge, "root string, digest string, hashes binary, pivot string, s double"), "judged")
+    linked, reach = F.col("s") >= similarity - 1e-9, F.col("s") >= 2 * similarity - 1 - 1e-9
+    open_ = common.saved(judged.filter(~linked & reach).select("root").distinct(), "open")
+    rest = judged.filter(~linked).select("root", "digest", "hashes").unionByName(
+        judged.filter(linked).join(open_, "root", "left_semi").select("root", "digest", "hashes"),
+    )
+    links = judged.filter(linked & (F.col("digest") != F.col("pivot"))).select(F.col("digest").alias("a"), F.col("pivot").alias("b"))
+    return links, sets.join(large, "root", "left_anti").select("root", "digest", "hashes").unionByName(rest)
+
+
 def verified_links(rows: DataFrame, prints: DataFrame, loose: DataFrame, words: int, similarity: float) -> DataFrame:
     """Links (a, b) of digests that connect the texts of rows (doc_id, text) of one loose component (node, root) by their sets."""
 
@@ -403,7 +441,7 @@ def verified_links(rows: DataFrame, prints: DataFrame, loose: DataFrame, words:
     texts = common.maybe_in(rows, F.coalesce("doc_id", F.lit(0).cast("long")), near).select("text")
     wanted = members.select("digest").distinct()
     sets = texts.mapInArrow(gather, "digest string, hashes binary").join(wanted, "digest", "left_semi").dropDuplicates(["digest"])
-    sets = common.saved(members.select("root", "digest").join(sets, "digest"), "sets")
+    links, sets = against_pivots(common.saved(members.select("root", "digest").join(sets, "digest"), "sets"), similarity)
     chunks = sets.groupBy("root").agg(F.greatest(F.lit(1), F.ceil(F.sum(F.length("hashes")) / CHUNK)).cast("int").alias("chunks"))
     own = F.pmod(F.xxhash64("digest"), F.col("chunks")).cast("int")
     dealt = sets.join(common.saved(chunks, "chunks"), "root").withColumn("own", own).withColumn(
@@ -411,7 +449,7 @@ def verified_links(rows: DataFrame, prints: DataFrame, loose: DataFrame, words:
         F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)),
     )
     dealt = dealt.select("root", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "digest", "hashes")
-    return dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(compare, "a string, b string")
+    return links.unionByName(dealt.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j").mapInArrow(compare, "a string, b string"))
 
 
 def near_copies(
