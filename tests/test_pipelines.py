@@ -1,9 +1,10 @@
 """Whole stages over made-up sessions."""
 
 import numpy as np
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidegauge.operators import annotate
+from tidegauge.operators import annotate, timewin
 from tidegauge.plans import pipelines
 
 SEC = 1_000_000
@@ -75,3 +76,36 @@ def test_annotations(spark):
     out = annotate.session_annotations(df, ["entity_id"], scores, [["boredom", "none_1"]]).orderBy("seconds").collect()
     assert [r.seconds for r in out] == [0, 5, 10, 15]
     assert all(r.quality_flag == "GOOD" and r.dominant_emotion == "Sadness" and r.check_0_agree == "AGREE" for r in out)
+
+
+def test_features_of_every_signal(spark):
+    """Each signal's features for all windows of two entities, those of skin on lookbacks numbered from 1."""
+    rng = np.random.default_rng(4)
+    rows = [(f"e0{e}", w, i, w + i / 64, float(60 + 10 * np.sin(i / 5 + e) + rng.normal())) for e in (1, 2) for w in range(3) for i in range(64)]
+    df = spark.createDataFrame(rows, "entity_id string, window_id long, idx int, t double, value double")
+    axes = df.withColumns({"x": F.col("value"), "y": F.col("value") / 2, "z": F.lit(60.0)})
+    own = {"E4_ACC": axes, "E4_BVP": df, "E4_TEMP": df, "E4_HR": df, "Polar_HR": df, "E4_IBI": df.withColumn("value", F.col("value") * 12), "EEG": df, "odd": df}
+    late = timewin.lookback(df.select("entity_id", "idx", "value", (F.col("t") * 1_000_000).cast("long").alias("us"), "t"), F.col("us"), 1_000_000, 2_000_000, 3, base=1)
+    own["E4_EDA"] = late.withColumn("idx", F.row_number().over(Window.partitionBy("entity_id", "window_id").orderBy("t")) - 1)
+    found = pipelines.entity_features(own, {"EEG": 64.0})
+    assert set(found) == set(own) - {"odd"}
+    got = {s: {(r.entity_id, r.window_id): r for r in f.collect()} for s, f in found.items()}
+    assert all(set(v) == {(e, w) for e in ("e01", "e02") for w in range(3)} for s, v in got.items() if s != "E4_EDA")
+    assert set(got["E4_EDA"]) == {(e, w) for e in ("e01", "e02") for w in (1, 2, 3)}
+    values = np.array([r[4] for r in rows if r[0] == "e01" and r[1] == 1])
+    assert abs(got["E4_TEMP"]["e01", 1]["mean"] - values.mean()) < 1e-9 and abs(got["E4_ACC"]["e01", 1].x_std - values.std(ddof=1)) < 1e-9
+    assert got["E4_ACC"]["e01", 1].z_std == 0 and got["E4_HR"]["e01", 1].hr_mean == got["Polar_HR"]["e01", 1].hr_mean
+    assert abs(got["E4_TEMP"]["e01", 1].slope - np.polyfit(np.arange(64) / 4, values, 1)[0]) < 1e-9
+    longer = np.array([r[4] for r in rows if r[0] == "e01" and r[1] in (0, 1)])
+    assert abs(got["E4_EDA"]["e01", 2]["mean"] - longer.mean()) < 1e-9 and got["E4_EDA"]["e01", 2].scr_count >= 1
+    assert got["E4_BVP"]["e01", 0].n_peaks >= 1 and got["EEG"]["e01", 0].entropy > 0 and got["E4_IBI"]["e02", 2].n == 64
+
+
+def test_three_layers_as_tables(spark):
+    manifest = spark.createDataFrame([("a", "s", 5, "m1"), ("b", "s", 6, "m2"), ("c", "t", 7, "m3")], "path string, dataset string, size long, md5 string")
+    inventory = spark.createDataFrame([("a", 5, "m1"), ("b", 6, "other")], "path string, length long, md5 string")
+    out = pipelines.raw_to_metadata(manifest, inventory, [("small", F.col("length") < 6)])
+    assert {r.path: list(r.issues) for r in out["issues"].collect()} == {"a": ["small"], "b": [], "c": ["missing"]}
+    assert {r.dataset: r.status for r in out["status"].collect()} == {"s": "FAIL", "t": "FAIL"}
+    assert [r.path for r in out["to_upload"].collect()] == ["c"]
+    assert {r.path: r.outcome for r in out["integrity"].collect()} == {"a": "ok", "b": "hash_mismatch", "c": "missing"}
