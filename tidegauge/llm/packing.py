@@ -184,7 +184,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = cut.withColumn(
         "_rank",
         F.row_number().over(Window.partitionBy("length", "_share").orderBy("doc_id", "piece")),
-    ).join(F.broadcast(bases), ["length", "_share"])
+    ).join(bases, ["length", "_share"])
     ranked = ranked.select(*names, (F.col("_base") + F.col("_rank") - 1).cast("long").alias("_rank"))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
