@@ -203,6 +203,6 @@ def evaluate(pairs: DataFrame, truth: str, guess: str) -> DataFrame:
 
     classes = pairs.select(F.col(truth).alias("class")).union(pairs.select(guess)).distinct()
     table = stats.confusion(pairs, truth, guess, classes)
-    scores = stats.class_scores(table, truth, guess)
+    scores = stats.raw_scores(table, truth, guess)
     hit: Column = F.sum(F.when(F.col(truth) == F.col(guess), F.col("n")).otherwise(0)) / F.sum("n")
     return table.agg(F.round(hit, 4).alias("accuracy")).crossJoin(scores.agg(F.round(F.avg("f1"), 4).alias("macro_f1")))  # one row each

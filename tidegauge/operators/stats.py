@@ -100,6 +100,11 @@ def confusion(pairs: DataFrame, truth: str, guess: str, classes: DataFrame) -> D
 
 def class_scores(table: DataFrame, truth: str, guess: str) -> DataFrame:
     """precision, recall and f1 of each class of a confusion table, 0 where undefined, to 4 places."""
+    return raw_scores(table, truth, guess).withColumns({c: F.round(c, 4) for c in ("precision", "recall", "f1")})
+
+
+def raw_scores(table: DataFrame, truth: str, guess: str) -> DataFrame:
+    """class_scores before rounding."""
     hit = F.sum(F.when(F.col(truth) == F.col(guess), F.col("n")).otherwise(0))
     rows = table.groupBy(F.col(truth).alias("class")).agg(hit.alias("tp"), F.sum("n").alias("support"))
     columns = table.groupBy(F.col(guess).alias("class")).agg(F.sum("n").alias("predicted"))
@@ -111,9 +116,9 @@ def class_scores(table: DataFrame, truth: str, guess: str) -> DataFrame:
         "tp",
         "support",
         "predicted",
-        F.round("p", 4).alias("precision"),
-        F.round("r", 4).alias("recall"),
-        F.round(f1, 4).alias("f1"),
+        F.col("p").alias("precision"),
+        F.col("r").alias("recall"),
+        f1.alias("f1"),
     )
 
 

@@ -13,7 +13,9 @@ from tidegauge.operators import annotate, audit, checks, features, fusion, ml, q
 from tidegauge.plans import pipelines
 from tidegauge.plans.queries import DAY, DAYS, FLAG_SQL, KEYS, E, query, samples, sql_runs, table
 
-FLAG = F.when(F.col("value") > 120, "BAD").when(F.col("value") > 60, "NOISY").otherwise("GOOD")
+
+def flag() -> Column:
+    return F.when(F.col("value") > 120, "BAD").when(F.col("value") > 60, "NOISY").otherwise("GOOD")
 
 
 def cents() -> Column:
@@ -300,7 +302,7 @@ TRIAL_REPORT = f"""WITH g AS ({TRIAL_FLAGS}), m AS (SELECT entity_id, trial_id,
 @query(TRIAL_REPORT)
 def trial_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    flags = e.select((F.col("user_id") % 9).alias("entity_id"), (F.col("event_id") % 6 + 1).cast("int").alias("trial_id"), (F.floor(F.col("event_id") / 6) % 5).cast("int").alias("window_id"), F.col("event_type").alias("modality"), FLAG.alias("quality_flag"))
+    flags = e.select((F.col("user_id") % 9).alias("entity_id"), (F.col("event_id") % 6 + 1).cast("int").alias("trial_id"), (F.floor(F.col("event_id") / 6) % 5).cast("int").alias("window_id"), F.col("event_type").alias("modality"), flag().alias("quality_flag"))
     emotions = flags.select("entity_id", "trial_id").distinct().filter("(entity_id + trial_id) % 4 > 0").withColumn("emotion", F.when(F.col("trial_id") % 2 == 0, "Calm").otherwise("Anger"))
     return fusion.trial_report(flags, emotions, ["view", "click"])
 
@@ -317,7 +319,7 @@ def trial_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feature_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Features of half-second windows with the quality of the second that they start in; a day is a second."""
     rows = timewin.tumbling(samples(spark, sf_dir, "event_type"), F.col("t"), DAY, DAYS)
-    first = rows.groupBy("user_id", "window_id").agg(F.min_by(F.struct(FLAG.alias("f"), "event_type"), "t").alias("x"))
+    first = rows.groupBy("user_id", "window_id").agg(F.min_by(F.struct(flag().alias("f"), "event_type"), "t").alias("x"))
     flags = first.select("user_id", (F.col("window_id") + 0.5).alias("window_start_s"), F.col("x.f").alias("flag"), F.col("x.event_type").alias("window_emotion"))
     own = rows.select("user_id").distinct().withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(61)))).withColumn("window_start_s", F.col("part") * 0.5 + 0.25)
     return fusion.with_quality(own, flags, KEYS, "flag", S.flag_score(F.col("_flag")))
@@ -427,7 +429,7 @@ RATES = f"WITH r AS (SELECT user_id, round(avg(({FLAG_SQL} <> 'GOOD')::INT) * 10
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").withColumn("quality_flag", FLAG)
+    return table(spark, sf_dir, "events").withColumn("quality_flag", flag())
 
 
 @query(f"{RATES} SELECT min(r) AS min_rate, median(r) AS median_rate, max(r) AS max_rate, count(*) AS n FROM r")
@@ -462,7 +464,7 @@ def eeg_like(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH p AS (SELECT event_type AS y, CASE WHEN event_id % 3 = 0 THEN 'view' WHEN event_id % 7 = 0 THEN 'odd' ELSE event_type END AS g FROM events), k AS (SELECT y AS c FROM p UNION SELECT g FROM p),
     s AS (SELECT c, (SELECT count(*) FROM p WHERE y = c AND g = c) AS tp, (SELECT count(*) FROM p WHERE y = c) AS sup, (SELECT count(*) FROM p WHERE g = c) AS pred FROM k), r AS (SELECT *, CASE WHEN pred > 0 THEN tp / pred::DOUBLE ELSE 0 END AS p, CASE WHEN sup > 0 THEN tp / sup::DOUBLE ELSE 0 END AS r FROM s)
-    SELECT (SELECT round(avg((y = g)::INT), 4) FROM p) AS accuracy, round(avg(round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 4)), 4) AS macro_f1 FROM r""")
+    SELECT (SELECT round(avg((y = g)::INT), 4) FROM p) AS accuracy, round(avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END), 4) AS macro_f1 FROM r""")
 def evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     guess = F.when(F.col("event_id") % 3 == 0, "view").when(F.col("event_id") % 7 == 0, "odd").otherwise(F.col("event_type"))
     return ml.evaluate(table(spark, sf_dir, "events").select(F.col("event_type").alias("y"), guess.alias("g")), "y", "g")
