@@ -35,10 +35,10 @@ END_ID = 1
 #: Ranks are counted in this many shares of each length, so that a length that many pieces have isn't one task.
 SHARES = 64
 
-#: Chunks that a worker's table holds (some 200 MB), and those that are tokenised together.
-WORDS_HELD, TOGETHER = 800_000, 1000
+#: Chunks that a worker's table holds (some 150 MB), and those that are tokenised together.
+WORDS_HELD, TOGETHER = 600_000, 1000
 #: Bytes of texts whose new chunks are tokenised together.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: Lines of letters below the combining marks, then perhaps punctuation: one or two of the vocabulary's words. Other lines give two empty parts.
 PLAIN = re.compile("^([A-Za-z\u00e0-\u00f6\u00f8-\u00ff\u00c0-\u00d6\u00d8-\u00de]+)([.,;:!?|]+)?$|^.*$", re.M)
 
