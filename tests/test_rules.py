@@ -240,6 +240,86 @@ def test_models_read_all_components_and_every_k(spark, monkeypatch):
     assert seen == {"kmeans": (64, 40, range(2, 42), 10), "pca": 64, "lda": 64}
 
 
+def test_kmeans_query_makes_all_fits_in_few_jobs(spark):
+    from tidegauge.plans.queries import QUERIES
+
+    before = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+    spark.sparkContext.setJobGroup("kmeans", "all fits")
+    got = QUERIES["q_kmeans"](spark, "/root/testdata/sf0.001").collect()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", before)
+    assert sorted(r.id for r in got) == list(range(40)) and len({r.cluster for r in got}) > 1
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("kmeans")) <= 12
+
+
+def test_kmeans_against_all_partitions():
+    from itertools import product
+
+    rng = np.random.default_rng(4)
+    for _ in range(5):
+        x = rng.normal(size=(8, 2))
+        for k in (2, 3):
+            cost = lambda y: sum(((x[y == c] - x[y == c].mean(0)) ** 2).sum() for c in set(y.tolist()))
+            fits = [kernels.kmeans(x, k, 42 + s) for s in range(10)]
+            assert all(c == pytest.approx(cost(y)) for y, c in fits)
+            assert min(c for _, c in fits) == pytest.approx(min(cost(np.array(y)) for y in product(range(k), repeat=8)))
+    copies = np.repeat([[0.0, 0.0], [1.0, 5.0]], 4, 0)
+    y, cost = kernels.kmeans(copies, 3, 42)
+    assert cost == 0 and len(set(y[:4])) == len(set(y[4:])) == 1 and y[0] != y[4]
+    assert np.array_equal(kernels.standardised(np.array([[0.1, 1.0]] * 3 + [[0.1, 5.0]])).round(6)[:, 0], np.zeros(4))
+
+
+def test_an_empty_cluster_takes_the_farthest_row(monkeypatch):
+    x = np.array([[0.0], [1.0], [10.0], [30.0]])
+    monkeypatch.setattr(kernels, "first_centres", lambda x, k, rng: np.array([[5.0], [1000.0], [2000.0]]))
+    y, cost = kernels.kmeans(x, 3, 42)
+    assert len(set(y.tolist())) == 3 and cost == pytest.approx(0.5)
+
+
+def test_silhouettes_of_all_k_against_plain_loops(spark, monkeypatch):
+    from tidegauge.operators import ml
+
+    rng = np.random.default_rng(5)
+    x = np.concatenate((rng.normal(size=(17, 3)), np.ones((3, 3))))
+    labels = np.stack([rng.integers(0, 4, 20), np.arange(20) // 7, np.where(np.arange(20) == 0, 0, 1), np.zeros(20, int), np.where(np.arange(20) < 19, 0, 5)])
+    plain = np.zeros(labels.shape)
+    for r, y in enumerate(labels):
+        for i in range(20):
+            to = {c: np.mean([np.linalg.norm(x[i] - x[j]) for j in range(20) if j != i and y[j] == c]) for c in set(y.tolist()) if any(j != i and y[j] == c for j in range(20))}
+            a, b = to.pop(y[i], None), min(to.values(), default=None)
+            plain[r, i] = 0 if a is None or b is None or max(a, b) == 0 else (b - a) / max(a, b)
+    assert np.allclose(np.concatenate([kernels.silhouettes(x, np.arange(a, min(20, a + 6)), labels) for a in range(0, 20, 6)], 1), plain, atol=1e-12)
+
+    monkeypatch.setattr(ml, "DISTANCES", 100)  # several blocks of rows
+    x = x[:17]
+    df = spark.createDataFrame([(f"e{i:02}", *map(float, v)) for i, v in enumerate(x)], "id string, a double, b double, c double").repartition(5)
+    out, k, scores = ml.kmeans(df, "id", ["a", "b", "c"], range(2, 42))
+    again, *same = ml.kmeans(df.repartition(2), "id", ["a", "b", "c"], range(2, 42))
+    assert list(scores) == list(range(2, 17)) and [k, scores] == same and sorted(out.collect()) == sorted(again.collect())
+    assert k == (max([j for j in scores if scores[j] > 0.5], default=0) or max(scores, key=scores.get))
+    z = kernels.standardised(x)
+    own = spark.createDataFrame([(r.id, z[int(r.id[1:])].tolist(), r.cluster) for r in out.collect()], "id string, x array<double>, c int")
+    assert ml.silhouette(own, "id", "x", "c").first()[0] == pytest.approx(scores[k])
+
+
+def test_kmeans_of_odd_points(spark, monkeypatch):
+    from tidegauge.operators import ml
+
+    rows = [(k, float(k % 2), 7.0) for k in range(6)] + [(6, None, 1.0), (7, float("nan"), 1.0)]
+    df = spark.createDataFrame(rows, "id int, x double, y double")
+    out, k, scores = ml.kmeans(df, "id", ["x", "y"], range(2, 42))
+    got = {r.id: r.cluster for r in out.collect()}
+    assert set(got) == set(range(6)) and scores[2] == 1 and len(set(got.values())) == 2
+    assert len({got[k] for k in (0, 2, 4)}) == len({got[k] for k in (1, 3, 5)}) == 1
+    same, k, scores = ml.kmeans(df.filter("x = 1"), "id", ["x", "y"], range(2, 42))
+    assert scores == {2: 0} and same.count() == 3
+    for n in (0, 1, 2):
+        out, k, scores = ml.kmeans(df.filter(f"id < {n}"), "id", ["x", "y"], range(2, 42))
+        assert [(r.id, r.cluster) for r in out.orderBy("id").collect()] == [(i, 0) for i in range(n)] and (k, scores) == (min(n, 1), {})
+    monkeypatch.setattr(ml, "POINTS", 5)
+    with pytest.raises(ValueError, match="5 entities"):
+        ml.kmeans(df, "id", ["x", "y"], range(2, 42))
+
+
 def test_percentiles_are_exact_without_a_sort(spark, monkeypatch):
     from tidegauge.operators import stats
 

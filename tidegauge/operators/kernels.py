@@ -1,4 +1,4 @@
-"""Numeric kernels of one window or sequence, in numpy: peaks, spectra, entropy, discriminants, Viterbi."""
+"""Numeric kernels of one window, sequence or set of points, in numpy: peaks, spectra, entropy, discriminants, K-Means, Viterbi."""
 
 from __future__ import annotations
 
@@ -141,6 +141,80 @@ def discriminant(x: np.ndarray, y: np.ndarray, most: int = 3) -> np.ndarray:
     return (x - mean) @ axes
 
 
+def standardised(x: np.ndarray) -> np.ndarray:
+    """(x - mean) / population deviation of each column; columns constant but for rounding are only centred."""
+    m, v = x.mean(0), x.var(0)
+    e = len(x) * np.finfo(np.float64).eps
+    return (x - m) / np.where(v <= e * v + (e * m) ** 2, 1.0, np.sqrt(v))
+
+
+def first_centres(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++: rows drawn by their squared distance to the nearest centre, the best of 2 + log k draws each time."""
+    square = lambda c: np.einsum("ij,ij->i", x - x[c], x - x[c])
+    own = [int(rng.integers(len(x)))]
+    near = square(own[0])
+    for _ in range(1, k):
+        up = near.cumsum()
+        draws = np.minimum(np.searchsorted(up, rng.random(2 + int(np.log(k))) * up[-1], "right"), len(x) - 1)
+        tries = [np.minimum(near, square(c)) for c in draws]
+        best = int(np.argmin([t.sum() for t in tries]))
+        own.append(int(draws[best]))
+        near = tries[best]
+    return x[own]
+
+
+def kmeans(x: np.ndarray, k: int, seed: int, rounds: int = 300, tolerance: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Labels 0 .. k - 1 and cost (sum of squared distances) of one fit by Lloyd's rounds.
+
+    They end once no label changes or the centres move by less than `tolerance` of the mean variance. An empty cluster
+    takes the row farthest from its centre; where fewer than k rows differ, clusters stay empty.
+    """
+    c = first_centres(x, k, np.random.default_rng(seed))
+    nearest = lambda: ((c * c).sum(1) - 2 * (x @ c.T)).argmin(1)
+    least, y = tolerance * x.var(0).mean(), nearest()
+    for _ in range(rounds):
+        n = np.bincount(y, minlength=k)
+        sums = np.stack([np.bincount(y, v, k) for v in x.T], 1)
+        if (n == 0).any():
+            away = ((x - c[y]) ** 2).sum(1)
+            far = iter(np.argsort(-away, kind="stable"))
+            for e in np.flatnonzero(n == 0):
+                row = next((r for r in far if n[y[r]] > 1 and away[r] > 0), None)
+                if row is None:
+                    break
+                n[y[row]] -= 1
+                sums[y[row]] -= x[row]
+                n[e], sums[e] = 1, x[row]
+        moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], c)
+        shift, c, old = ((moved - c) ** 2).sum(), moved, y
+        y = nearest()
+        if (y == old).all() or shift <= least:
+            break
+    return y, float(((x - c[y]) ** 2).sum())
+
+
+def silhouettes(x: np.ndarray, rows: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Silhouettes (labelling, row) of some rows of x among all of them, Euclidean; labels: (labelling, row of x)."""
+    d = np.zeros((len(rows), len(x)))
+    for v in x.T:
+        t = v[rows, None] - v
+        d += t * t
+    np.sqrt(d, out=d)
+    out, at = np.zeros((len(labels), len(rows))), np.arange(len(rows))
+    for s, y in zip(out, labels, strict=True):
+        own, n = y[rows], np.bincount(y)
+        sums = d @ np.eye(len(n))[y]
+        inside = sums[at, own] / np.maximum(n[own] - 1, 1)
+        means = np.where(n > 0, sums / np.maximum(n, 1), np.inf)
+        means[at, own] = np.inf
+        outside = means.min(1)
+        most = np.maximum(inside, outside)
+        # alone, without another cluster, or among copies in both: 0
+        good = (n[own] > 1) & np.isfinite(outside) & (most > 0)
+        s[good] = (outside - inside)[good] / most[good]
+    return out
+
+
 class QualityHmm:
     """Supervised Gaussian HMM whose emission noise grows as the quality of a modality falls.
 

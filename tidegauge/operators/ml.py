@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidegauge.operators import kernels
 
@@ -79,6 +82,10 @@ def silhouette(points: DataFrame, key: str, x: str, cluster: str) -> DataFrame:
     return own.agg(F.avg(s).alias("silhouette"))
 
 
+#: Distances that a task of `kmeans` holds at once.
+DISTANCES = 2_000_000
+
+
 def kmeans(
     points: DataFrame,
     key: str,
@@ -88,26 +95,62 @@ def kmeans(
     starts: int = 10,
     good: float = 0.5,
 ) -> tuple[DataFrame, int, dict[int, float]]:
-    """(key, cluster), the chosen k and each k's silhouette: the largest k above `good`, else the best one."""
-    from pyspark.ml.clustering import KMeans
-
-    data = vector_column(scale(points, points, columns), columns).cache()
-    n = data.count()
-    scores, models = {}, {}
-    for k in ks:
-        if k >= n:
-            break
-        fits = [KMeans(k=k, seed=seed + s).fit(data) for s in range(starts)]
-        models[k] = min(fits, key=lambda m: m.summary.trainingCost)
-        from pyspark.ml.functions import vector_to_array
-
-        out = models[k].transform(data).select(key, vector_to_array("features").alias("x"), "prediction")
-        scores[k] = silhouette(out, key, "x", "prediction").first()[0]
+    """(key, cluster), the chosen k and each k's silhouette: the largest k above `good`, else the best one.
+
+    Points that lack a value are left out; every k below their number is tried. Their silhouettes compare all pairs, so
+    more than POINTS are an error; as many fit into each task, which makes whole fits, or rows of all silhouettes.
+    """
+    spark, kind = points.sparkSession, points.schema[key].dataType
+    x = F.array(*[F.col(c).cast("double") for c in columns])
+    # in one order, as fits draw rows by position
+    found = points.na.drop(subset=columns).select(F.col(key).alias("key"), x.alias("x")).sort("key", "x").limit(POINTS + 1).collect()
+    if len(found) > POINTS:
+        raise ValueError(f"a silhouette compares all pairs; K-Means is for {POINTS} entities at most")
+    n, schema = len(found), StructType([StructField(key, kind), StructField("cluster", IntegerType(), False)])
+    ks = [k for k in ks if k < n]
+    if not ks:
+        return spark.createDataFrame([(r.key, 0) for r in found], schema), min(n, 1), {}
+    z = kernels.standardised(np.array([r.x for r in found], np.float64))
+    if not np.isfinite(z).all():
+        raise ValueError("K-Means needs finite values")
+    shared = spark.sparkContext.broadcast(z)  # at most POINTS rows
+
+    def fits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in batch["id"]:
+                start, at = divmod(i, len(ks))
+                y, cost = kernels.kmeans(shared.value, ks[at], seed + start)
+                yield pd.DataFrame({"at": [at], "start": [start], "cost": [cost], "labels": [y.astype("<i4").tobytes()]})
+
+    # every k of a start, then the next start: neighbours differ in k, so that tasks have about the same work
+    tried = over(spark, len(ks) * starts).mapInPandas(fits, "at long, start long, cost double, labels binary")
+    kept = tried.groupBy("at").agg(F.min_by("labels", F.struct("cost", "start")).alias("labels")).sort("at").collect()
+    labels = spark.sparkContext.broadcast(np.stack([np.frombuffer(r.labels, "<i4") for r in kept]))
+    size = max(1, DISTANCES // n)
+
+    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in batch["id"]:
+                own = np.arange(i * size, min(n, (i + 1) * size))
+                s = kernels.silhouettes(shared.value, own, labels.value).sum(1)
+                yield pd.DataFrame({"block": i, "at": np.arange(len(ks)), "s": s})
+
+    parts = over(spark, -(-n // size)).mapInPandas(rows, "block long, at long, s double").collect()
+    sums = np.zeros(len(ks))
+    for r in sorted(parts):
+        sums[r["at"]] += r["s"]
+    scores = {k: float(s) / n for k, s in zip(ks, sums, strict=True)}
     above = [k for k, s in scores.items() if s > good]
     best = max(above) if above else max(scores, key=lambda k: scores[k])
-    out = models[best].transform(data).select(key, F.col("prediction").alias("cluster"))
-    data.unpersist()
-    return out, best, scores
+    chosen = labels.value[ks.index(best)].tolist()
+    shared.destroy()
+    labels.destroy()
+    return spark.createDataFrame([(r.key, c) for r, c in zip(found, chosen, strict=True)], schema), best, scores
+
+
+def over(spark: SparkSession, n: int) -> DataFrame:
+    """(id) 0 .. n - 1, dealt to every core."""
+    return spark.range(0, n, 1, min(n, spark.sparkContext.defaultParallelism))
 
 
 def lda(df: DataFrame, group: list[str], label: str, columns: list[str], keep: list[str], most: int = 3) -> DataFrame:
